@@ -124,27 +124,35 @@ def km_quantile(curve: DataFrame, p: float = 0.5, value: str = "surv", by: Seque
 
 
 def ipcw_weights(df: DataFrame, horizons: Sequence[float], time: str = "time", event: str = "event",
-                 ties: str = "all", lookup: str = "linear", train: DataFrame | None = None) -> DataFrame:
+                 ties: str = "all", lookup: str = "linear", train: DataFrame | None = None,
+                 exploded: bool = False, times_in_curve: bool | None = None) -> DataFrame:
     """K6: inverse-probability-of-censoring weights per subject and horizon.
 
     event by the horizon: 1/G(T); still event-free after it: 1/G(horizon); censored by it: 0.
     G is the censoring curve of ``train`` (default: ``df`` itself). ``lookup="linear"`` clips G
     to [1e-8, 1] like the reference; ``"step"`` leaves zero weights where G is 0.
-    Returns ``df`` exploded over horizons with ``horizon, g_t, g_h, weight``.
-    The G(T) read is an equi-join on ``time`` (every observed T is a curve time when ``train`` is
-    ``df``); the G(h) values are a handful of rows, broadcast.
+    ``exploded=False``: ``df`` is one row per subject and is crossed with the (few, broadcast)
+    horizons; ``exploded=True``: ``df`` already has a ``horizon`` column (long predictions).
+    When every T is a curve time (``train`` is the same subjects) G(T) is an equi-join on time,
+    otherwise a banded range lookup. Adds ``g_t, g_h, weight``.
     """
     src = train if train is not None else df
+    if times_in_curve is None:
+        times_in_curve = train is None
     cens = km_censoring(src, time, event, ties=ties)
     g_h = curve_at(cens, horizons, value="cens", lookup=lookup, clip=(lookup == "linear"))
-    if train is None:
+    g_h = g_h.select("horizon", F.col("cens").alias("g_h"))
+    if times_in_curve:
         g_t = cens.select(F.col("time").alias("_gt_time"), F.col("cens").alias("g_t"))
         if lookup == "linear":
             g_t = g_t.withColumn("g_t", F.least(F.greatest(F.col("g_t"), F.lit(CLIP_LO)), F.lit(1.0)))
         joined = df.join(g_t, F.col(time).cast("double") == F.col("_gt_time"), "left").drop("_gt_time")
     else:
-        joined = lookup_curve(df, cens, time, "cens", lookup).withColumnRenamed("cens", "g_t")
-    out = joined.crossJoin(F.broadcast(g_h.select("horizon", F.col("cens").alias("g_h"))))
+        joined = lookup_curve(df, cens.select("time", "cens"), time, "cens", lookup).withColumnRenamed("cens", "g_t")
+    if exploded:
+        out = joined.join(F.broadcast(g_h), "horizon")
+    else:
+        out = joined.crossJoin(F.broadcast(g_h))
     t, e, h = F.col(time), F.col(event), F.col("horizon")
     weight = (
         F.when((t <= h) & (e == 1) & (F.col("g_t") > 0), 1.0 / F.col("g_t"))

@@ -1,11 +1,15 @@
-"""Ordered scans without a single-partition window (building blocks B1, B2).
+"""Ordered scans without an unbounded single-partition window (building blocks B1, B2).
 
 Spark has no distributed running sum: ``Window.orderBy`` with no ``partitionBy`` pulls every row
-into one task. These helpers cut the ordering key into value bands (cut points from
-``percentile_approx``, so equal keys always share a band and a retry gives the same bands), run the
-window inside each ``(by, band)`` partition, and add per-band offsets computed from the band totals,
-a table of at most ``|by| x k`` rows. All of it is lazy: the cut points arrive through a broadcast
-of a one-row aggregate.
+into one task. Every scan here first runs one small action on its (usually pre-aggregated) input:
+the row count and ``k - 1`` approximate quantiles of the ordering key.
+
+* count <= ``SMALL_ROWS``: the table is proven small, so a plain window (partitioned by ``by``
+  only) runs it.
+* otherwise the key is cut into value bands (equal keys always share a band, and a retry gives
+  the same bands because the cut points are literals in the plan), the window runs inside each
+  ``(by, band)`` partition, and per-band offsets come from the band totals, a table of at most
+  ``|by| x k`` rows.
 """
 
 from __future__ import annotations
@@ -17,35 +21,43 @@ from pyspark.sql import functions as F
 
 from tte.session import shuffle_partitions
 
-_BAND = "_tte_band"
-_CUTS = "_tte_cuts"
+BAND = "_tte_band"
+SMALL_ROWS = 200_000  # at most this many rows go through one window partition
 
 
-def band_cuts(df: DataFrame, order: str, k: int, accuracy: int = 10000) -> DataFrame:
-    """One-row DataFrame holding ``k - 1`` approximate quantiles of ``order`` as an array."""
-    if k <= 1:
-        return df.sparkSession.range(1).select(F.array().cast("array<double>").alias(_CUTS))
+def plan_bands(df: DataFrame, order: str, k: int | None = None, small_rows: int = SMALL_ROWS,
+               accuracy: int = 10000) -> list[float] | None:
+    """One action: ``None`` when ``df`` has at most ``small_rows`` rows, else the cut points."""
+    k = k or max(2, shuffle_partitions(df.sparkSession))
     probs = [i / k for i in range(1, k)]
-    return df.agg(
-        F.percentile_approx(F.col(order).cast("double"), probs, accuracy).alias(_CUTS)
-    )
+    row = df.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.percentile_approx(F.col(order).cast("double"), probs, accuracy).alias("cuts"),
+    ).collect()[0]
+    if row["n"] <= small_rows:
+        return None
+    return sorted(set(float(c) for c in (row["cuts"] or []) if c is not None))
 
 
-def with_band(df: DataFrame, order: str, k: int | None = None, name: str = _BAND,
-              cuts: DataFrame | None = None) -> DataFrame:
-    """Add ``name`` = number of cut points strictly below the key (0 .. k-1)."""
-    k = k or shuffle_partitions(df.sparkSession)
-    cuts = cuts if cuts is not None else band_cuts(df, order, k)
+def band_of(order: str, cuts: Sequence[float]) -> Column:
+    """Number of cut points strictly below the key: 0 .. len(cuts)."""
     key = F.col(order).cast("double")
-    return (
-        df.crossJoin(F.broadcast(cuts))
-        .withColumn(name, F.size(F.filter(F.col(_CUTS), lambda c: c < key)))
-        .drop(_CUTS)
-    )
+    if not cuts:
+        return F.lit(0)
+    arr = F.array(*[F.lit(float(c)) for c in cuts])
+    return F.size(F.filter(arr, lambda c: c < key))
+
+
+def with_band(df: DataFrame, order: str, k: int | None = None, name: str = BAND,
+              small_rows: int = 0) -> DataFrame:
+    """Add a band column on ``order`` with about ``k`` value bands (always banded by default)."""
+    cuts = plan_bands(df, order, k, small_rows=small_rows)
+    return df.withColumn(name, band_of(order, cuts or []))
 
 
 def prefix_sum(df: DataFrame, order: str, values: Sequence[str], by: Sequence[str] = (),
-               prefix: str = "cum_", k: int | None = None, exclusive: bool = False) -> DataFrame:
+               prefix: str = "cum_", k: int | None = None, exclusive: bool = False,
+               small_rows: int = SMALL_ROWS) -> DataFrame:
     """Running sums of ``values`` in ascending ``order`` within ``by``.
 
     Rows with equal ``order`` get the same (tie-inclusive) sum; ``exclusive=True`` gives the sum
@@ -53,32 +65,33 @@ def prefix_sum(df: DataFrame, order: str, values: Sequence[str], by: Sequence[st
     """
     by = list(by)
     values = list(values)
-    banded = with_band(df, order, k)
-    w = Window.partitionBy(*by, _BAND).orderBy(order).rangeBetween(Window.unboundedPreceding, 0)
-    local = banded.select(
-        "*", *[F.sum(v).over(w).alias(f"_loc_{v}") for v in values]
-    )
-    totals = banded.groupBy(*by, _BAND).agg(*[F.sum(v).alias(f"_tot_{v}") for v in values])
-    wb = Window.partitionBy(*by).orderBy(_BAND).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *by, _BAND,
-        *[F.coalesce(F.sum(f"_tot_{v}").over(wb), F.lit(0).cast(totals.schema[f"_tot_{v}"].dataType))
-          .alias(f"_off_{v}") for v in values],
-    )
-    out = local.join(offsets, on=[*by, _BAND], how="inner")
-    cols = [c for c in df.columns]
+    cuts = plan_bands(df, order, k, small_rows)
+    part = by if cuts is None else [*by, BAND]
+    src = df if cuts is None else df.withColumn(BAND, band_of(order, cuts))
+    w = Window.partitionBy(*part).orderBy(order).rangeBetween(Window.unboundedPreceding, 0)
+    wt = Window.partitionBy(*part, order)
+    local = src.select("*", *[F.sum(v).over(w).alias(f"_loc_{v}") for v in values],
+                       *([F.sum(v).over(wt).alias(f"_tie_{v}") for v in values] if exclusive else []))
+    if cuts is None:
+        out = local
+        off = {v: F.lit(0) for v in values}
+    else:
+        totals = src.groupBy(*part).agg(*[F.sum(v).alias(f"_tot_{v}") for v in values])
+        wb = Window.partitionBy(*by).orderBy(BAND).rowsBetween(Window.unboundedPreceding, -1)
+        offsets = totals.select(*part, *[F.sum(f"_tot_{v}").over(wb).alias(f"_off_{v}") for v in values])
+        out = local.join(offsets, on=part, how="inner")
+        off = {v: F.coalesce(F.col(f"_off_{v}"), F.lit(0)) for v in values}
     exprs = []
     for v in values:
-        running = F.col(f"_loc_{v}") + F.col(f"_off_{v}")
+        running = F.col(f"_loc_{v}") + off[v]
         if exclusive:
-            # ties share the key, so subtract the whole tie group: local sum at this key
-            running = running - F.sum(v).over(Window.partitionBy(*by, _BAND, order))
+            running = running - F.col(f"_tie_{v}")
         exprs.append(running.alias(prefix + v))
-    return out.select(*cols, *exprs)
+    return out.select(*df.columns, *exprs)
 
 
 def prefix_product(df: DataFrame, order: str, factors: dict[str, Column], by: Sequence[str] = (),
-                   k: int | None = None) -> DataFrame:
+                   k: int | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
     """Running products (building block B2) of factor expressions in [0, 1].
 
     Each product is ``exp(sum(log f))``; factors equal to 0 are counted separately, so once one has
@@ -90,7 +103,7 @@ def prefix_product(df: DataFrame, order: str, factors: dict[str, Column], by: Se
         tmp = tmp.withColumn(f"_lg_{name}", F.when(f > 0, F.log(f)).otherwise(F.lit(0.0)))
         tmp = tmp.withColumn(f"_z_{name}", F.when(f <= 0, F.lit(1)).otherwise(F.lit(0)))
         sums += [f"_lg_{name}", f"_z_{name}"]
-    scanned = prefix_sum(tmp, order, sums, by=by, k=k)
+    scanned = prefix_sum(tmp, order, sums, by=by, k=k, small_rows=small_rows)
     outs = [
         F.when(F.col(f"cum__z_{name}") > 0, F.lit(0.0)).otherwise(F.exp(F.col(f"cum__lg_{name}"))).alias(name)
         for name in factors
@@ -99,31 +112,33 @@ def prefix_product(df: DataFrame, order: str, factors: dict[str, Column], by: Se
 
 
 def carry_forward(df: DataFrame, key: Sequence[str], order: str, value: str, out: str,
-                  k: int | None = None) -> DataFrame:
+                  k: int | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
     """``out`` = last non-null ``value`` at a strictly smaller ``order`` within ``key``.
 
-    ``order`` must be integral (e.g. ``unix_micros(ts)``). Banded like ``prefix_sum``, so one hot key
-    is spread over ``k`` tasks; the value carried into a band comes from the band-level table.
+    ``order`` must be integral (e.g. ``unix_micros(ts)``). Banded like ``prefix_sum`` so one hot
+    key is spread over ``k`` tasks; the value carried into a band comes from the band-level table.
     """
     key = list(key)
-    banded = with_band(df, order, k)
-    w = Window.partitionBy(*key, _BAND).orderBy(order).rangeBetween(Window.unboundedPreceding, -1)
-    local = banded.withColumn("_loc", F.last(value, ignorenulls=True).over(w))
-    band_last = banded.groupBy(*key, _BAND).agg(
+    cuts = plan_bands(df, order, k, small_rows)
+    part = key if cuts is None else [*key, BAND]
+    src = df if cuts is None else df.withColumn(BAND, band_of(order, cuts))
+    w = Window.partitionBy(*part).orderBy(order).rangeBetween(Window.unboundedPreceding, -1)
+    local = src.withColumn("_loc", F.last(value, ignorenulls=True).over(w))
+    if cuts is None:
+        return local.select(*df.columns, F.col("_loc").alias(out))
+    band_last = src.groupBy(*part).agg(
         F.max_by(F.col(value), F.when(F.col(value).isNotNull(), F.col(order))).alias("_blast")
     )
-    wb = Window.partitionBy(*key).orderBy(_BAND).rowsBetween(Window.unboundedPreceding, -1)
-    carry = band_last.select(*key, _BAND, F.last("_blast", ignorenulls=True).over(wb).alias("_carry"))
-    res = local.join(carry, on=[*key, _BAND], how="left")
+    wb = Window.partitionBy(*key).orderBy(BAND).rowsBetween(Window.unboundedPreceding, -1)
+    carry = band_last.select(*part, F.last("_blast", ignorenulls=True).over(wb).alias("_carry"))
+    res = local.join(carry, on=part, how="left")
     return res.select(*df.columns, F.coalesce(F.col("_loc"), F.col("_carry")).alias(out))
 
 
 def next_value(df: DataFrame, key: Sequence[str], order: str, value: str, out: str,
-               k: int | None = None) -> DataFrame:
-    """``out`` = first non-null ``value`` at a strictly larger ``order`` within ``key``.
-
-    Mirror of ``carry_forward`` on the negated key.
-    """
+               k: int | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
+    """``out`` = first non-null ``value`` at a strictly larger ``order`` within ``key``
+    (``carry_forward`` on the negated key)."""
     neg = df.withColumn("_neg_order", -F.col(order))
-    res = carry_forward(neg, key, "_neg_order", value, out, k)
+    res = carry_forward(neg, key, "_neg_order", value, out, k, small_rows)
     return res.drop("_neg_order")
