@@ -105,3 +105,17 @@ def linear_at(curve: str, value: str, x: str) -> str:
          f"WHEN {hi_t} = {lo_t} THEN {lo_v} "
          f"ELSE {lo_v} + ({hi_v} - {lo_v}) * ({x} - {lo_t}) / ({hi_t} - {lo_t}) END")
     return f"least(greatest({v}, 1e-8), 1.0)"
+
+QUALITY_FRAME = """
+qf AS (
+  SELECT l_orderkey, l_linenumber, l_quantity,
+         CASE WHEN l_orderkey % 13 = 0 THEN NULL ELSE l_returnflag END AS l_returnflag,
+         l_linestatus,
+         CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE l_discount END AS l_discount
+  FROM lineitem)"""
+
+QF_NUMERIC = ("l_orderkey", "l_linenumber", "l_quantity", "l_discount")
+QF_TEXT = ("l_returnflag", "l_linestatus")
+QF_DTYPES = {"l_orderkey": "bigint", "l_linenumber": "int", "l_quantity": "double", "l_returnflag": "string",
+             "l_linestatus": "string", "l_discount": "double"}
+QF_COLUMNS = ("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus", "l_discount")

@@ -166,3 +166,16 @@ def standin_long(df: DataFrame, horizons=HORIZONS) -> DataFrame:
         .select("*", F.explode(hz).alias("horizon"))
         .withColumn("surv", F.exp(-F.exp(F.col("risk") - STANDIN_SHIFT) * F.col("horizon") / STANDIN_SCALE))
     )
+
+
+def quality_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineitem projection with gaps added by a stated rule, for the quality operators:
+    ``l_returnflag`` is null when ``l_orderkey % 13 = 0`` and ``l_discount`` null when
+    ``l_orderkey % 7 = 0``. All rows are kept; the projection has natural whole-row duplicates."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        "l_orderkey", "l_linenumber", "l_quantity",
+        F.when(F.col("l_orderkey") % 13 == 0, F.lit(None)).otherwise(F.col("l_returnflag")).alias("l_returnflag"),
+        "l_linestatus",
+        F.when(F.col("l_orderkey") % 7 == 0, F.lit(None)).otherwise(F.col("l_discount")).alias("l_discount"),
+    )
