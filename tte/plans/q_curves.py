@@ -24,10 +24,10 @@ def s9_cohort_orders(spark, sf_dir):
 
 @register("S9_episodes", f"""
 WITH {COHORT_EPISODES}
-SELECT subject_id, user_id, round(time, 6) AS time, event, x1 FROM cohort""")
+SELECT subject_id, user_id, round(time, 6) AS time, event, x1, start_ts FROM cohort""")
 def s9_episodes(spark, sf_dir):
     c = cohort_episodes(spark, sf_dir)
-    return c.select("subject_id", "user_id", r6("time").alias("time"), "event", "x1")
+    return c.select("subject_id", "user_id", r6("time").alias("time"), "event", "x1", "start_ts")
 
 
 @register("K1_risk_table", f"""

@@ -48,7 +48,7 @@ cohort AS (
   SELECT s.event_id AS subject_id, s.user_id,
          date_diff('second', s.ts, coalesce(p.p_ts, s.next_ts, e.study_end)) / 3600.0 AS time,
          CAST(p.p_ts IS NOT NULL AS INT) AS event,
-         s.value AS x1
+         s.value AS x1, s.ts AS start_ts
   FROM s CROSS JOIN e LEFT JOIN p USING (event_id)
 )"""
 
@@ -119,3 +119,9 @@ QF_TEXT = ("l_returnflag", "l_linestatus")
 QF_DTYPES = {"l_orderkey": "bigint", "l_linenumber": "int", "l_quantity": "double", "l_returnflag": "string",
              "l_linestatus": "string", "l_discount": "double"}
 QF_COLUMNS = ("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus", "l_discount")
+
+DRIFT_FRAME = """
+df AS (
+  SELECT CASE WHEN o_orderdate < TIMESTAMP '1995-06-01' THEN 'base' ELSE 'current' END AS period,
+         o_totalprice, c_acctbal, o_orderstatus, o_orderpriority, c_mktsegment
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey)"""

@@ -120,6 +120,7 @@ def cohort_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("episode_id"),
         "user_id",
         F.col("value").alias("x1"),
+        F.col("ts").alias("start_ts"),
         F.unix_seconds("ts").alias("_start_s"),
         F.coalesce(
             F.floor(F.col("_next_us") / 1_000_000).cast("bigint"), F.unix_seconds("study_end")
@@ -140,6 +141,7 @@ def cohort_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((end_s - F.col("_start_s")) / 3600.0).alias("time"),
         hit.cast("int").alias("event"),
         "x1",
+        "start_ts",
     )
 
 
@@ -179,3 +181,15 @@ def quality_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_linestatus",
         F.when(F.col("l_orderkey") % 7 == 0, F.lit(None)).otherwise(F.col("l_discount")).alias("l_discount"),
     )
+
+
+def drift_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with customer attributes and a ``period``: ``base`` before 1995-06-01, else
+    ``current`` (every order is in one of the two)."""
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice", "o_orderstatus", "o_orderpriority")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    j = o.join(c, F.col("o_custkey") == F.col("c_custkey"), "left")
+    return j.select(
+        F.when(F.col("o_orderdate") < F.lit("1995-06-01").cast("timestamp_ntz"), F.lit("base")).otherwise(F.lit("current")).alias("period"),
+        "o_totalprice", "c_acctbal", "o_orderstatus", "o_orderpriority", "c_mktsegment",
+    )
