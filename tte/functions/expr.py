@@ -32,7 +32,10 @@ def logistic_cdf(z: Column) -> Column:
     return sigmoid(z)
 
 
-@F.pandas_udf("double")
+from pyspark.sql import types as T  # noqa: E402
+
+
+@F.pandas_udf(T.DoubleType())
 def _normal_cdf_udf(z: pd.Series) -> pd.Series:
     erf = np.vectorize(math.erf, otypes=[float])
     v = z.to_numpy(dtype=float)
