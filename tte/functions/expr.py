@@ -65,6 +65,6 @@ def monotone_survival(surv: Column) -> Column:
     rev = F.reverse(surv)
     running = F.aggregate(
         rev, F.array().cast("array<double>"),
-        lambda acc, x: F.concat(acc, F.array(F.greatest(x, F.coalesce(F.element_at(acc, -1), x)))),
+        lambda acc, x: F.concat(acc, F.array(F.greatest(x, F.coalesce(F.try_element_at(acc, F.lit(-1)), x)))),
     )
     return F.reverse(running)

@@ -154,7 +154,12 @@ def leaderboard(metrics: DataFrame, model: str = "model", metric: str = "metric"
     """One row per model (pivot with a fixed value list), ordered by concordance desc, then
     IBS asc, then model."""
     wide = metrics.groupBy(model).pivot(metric, list(names)).agg(F.first(value))
-    return wide.orderBy(F.col("concordance").desc_nulls_last(), F.col("ibs").asc_nulls_last(), F.col(model))
+    order = []
+    if "concordance" in names:
+        order.append(F.col("concordance").desc_nulls_last())
+    if "ibs" in names:
+        order.append(F.col("ibs").asc_nulls_last())
+    return wide.orderBy(*order, F.col(model))
 
 
 def assemble_oof(fold_preds: DataFrame, id_col: str, horizons: Sequence[float]) -> DataFrame:

@@ -1 +1,296 @@
-"""Registered queries (filled in as operators land)."""
+"""Registered queries: preprocessing (P*), splits (V*), models (L*), OOF assembly, leaderboard and
+regression checks (M12-M14)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tte.operators.metrics import assemble_oof, check_regression, leaderboard
+from tte.operators.models.aft import WeibullAFT
+from tte.operators.models.cox import CoxPH
+from tte.operators.models.ensemble import (
+    Bagging, combine, dynamic_selection, fit_per_group, horizon_classifier, stacking, update_model,
+)
+from tte.operators.models.hazard import DiscreteHazard, person_period
+from tte.operators.pairs import concordance
+from tte.operators.prep import OneHot, SimpleImputer, StandardScaler, build_pipeline, fit_transform_split
+from tte.operators.split import contiguous_folds, cross_validate, kfold, stratified_split
+from tte.plans.registry import r6, register
+from tte.plans.sqltext import COHORT_EPISODES, COHORT_LINES, COHORT_ORDERS, RISK
+from tte.sources.testdata import HORIZONS, cohort_episodes, cohort_lines, cohort_orders, with_standin
+
+SEGMENTS = ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')
+DQ = '"'
+ONEHOT_SUMS = ", ".join(f"CAST(sum(CASE WHEN c_mktsegment = '{s}' THEN 1 ELSE 0 END) AS DOUBLE) AS {DQ}c_mktsegment_{s}{DQ}" for s in SEGMENTS)
+ONEHOT_COLS = ", ".join(f"CAST(seg = '{s}' AS DOUBLE) AS {DQ}c_mktsegment_{s}{DQ}" for s in SEGMENTS)
+
+PREP_SQL = f"""{COHORT_ORDERS},
+pf AS (SELECT subject_id, time, event, x_price, CASE WHEN subject_id % 5 = 0 THEN NULL ELSE x_bal END AS x_bal,
+              CASE WHEN subject_id % 11 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment FROM cohort)"""
+
+
+def prep_frame(spark, sf_dir):
+    """Orders cohort with gaps by a stated rule: x_bal null when subject_id % 5 = 0, segment null
+    when subject_id % 11 = 0 (every row kept)."""
+    c = cohort_orders(spark, sf_dir)
+    return c.select("subject_id", "time", "event", "x_price",
+                    F.when(F.col("subject_id") % 5 == 0, F.lit(None)).otherwise(F.col("x_bal")).alias("x_bal"),
+                    F.when(F.col("subject_id") % 11 == 0, F.lit(None)).otherwise(F.col("c_mktsegment")).alias("c_mktsegment"))
+
+
+@register("P1_imputer", f"""WITH {PREP_SQL},
+c AS (SELECT avg(x_bal) AS m, quantile_cont(x_bal, 0.5) AS med,
+             (SELECT c_mktsegment FROM pf WHERE c_mktsegment IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS mode FROM pf)
+SELECT subject_id, round(coalesce(x_bal, c.m), 6) AS bal_mean, round(coalesce(x_bal, c.med), 6) AS bal_median,
+       coalesce(c_mktsegment, c.mode) AS segment_mode FROM pf CROSS JOIN c""")
+def p1_imputer(spark, sf_dir):
+    pf = prep_frame(spark, sf_dir)
+    a = SimpleImputer(["x_bal"], "mean").fit(pf).exprs(pf)["x_bal"]
+    b = SimpleImputer(["x_bal"], "median").fit(pf).exprs(pf)["x_bal"]
+    c = SimpleImputer(["c_mktsegment"], "most_frequent").fit(pf).exprs(pf)["c_mktsegment"]
+    return pf.select("subject_id", r6(a).alias("bal_mean"), r6(b).alias("bal_median"), c.alias("segment_mode"))
+
+
+@register("P3_standard_scaler", f"""WITH {PREP_SQL}, c AS (SELECT avg(x_price) AS m, stddev_pop(x_price) AS s FROM pf)
+SELECT subject_id, round((x_price - m) / CASE WHEN s = 0 OR s IS NULL THEN 1.0 ELSE s END, 6) AS x_price FROM pf CROSS JOIN c""")
+def p3_scaler(spark, sf_dir):
+    pf = prep_frame(spark, sf_dir)
+    e = StandardScaler(["x_price"]).fit(pf).exprs(pf)["x_price"]
+    return pf.select("subject_id", r6(e).alias("x_price"))
+
+
+@register("P4_one_hot", f"""WITH {PREP_SQL}
+SELECT {ONEHOT_SUMS},
+       CAST(sum(CASE WHEN c_mktsegment IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS all_zero FROM pf""")
+def p4_one_hot(spark, sf_dir):
+    """Column sums of the encoding (unknown / null rows are all zeros)."""
+    pf = prep_frame(spark, sf_dir)
+    ex = OneHot(["c_mktsegment"]).fit(pf).exprs(pf)
+    enc = pf.select(*[e.alias(n) for n, e in ex.items()])
+    zero = sum((F.col(f"`{n}`") for n in ex), F.lit(0.0)) == 0
+    return enc.agg(*[F.sum(f"`{n}`").alias(n) for n in ex], F.sum(zero.cast("long")).alias("all_zero"))
+
+
+SPEC = [("imputer", {"strategy": "median"}), ("imputer_cat", {}), ("scaler", {}), ("encoder", {})]
+
+
+@register("P5_pipeline", f"""WITH {PREP_SQL},
+c1 AS (SELECT quantile_cont(x_price, 0.5) AS mp, quantile_cont(x_bal, 0.5) AS mb,
+              (SELECT c_mktsegment FROM pf WHERE c_mktsegment IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS mode FROM pf),
+f1 AS (SELECT subject_id, coalesce(x_price, mp) AS x_price, coalesce(x_bal, mb) AS x_bal, coalesce(c_mktsegment, mode) AS seg FROM pf CROSS JOIN c1),
+c2 AS (SELECT avg(x_price) AS ap, stddev_pop(x_price) AS sp, avg(x_bal) AS ab, stddev_pop(x_bal) AS sb FROM f1)
+SELECT subject_id, round((x_price - ap) / sp, 6) AS x_price, round((x_bal - ab) / sb, 6) AS x_bal,
+  {ONEHOT_COLS}
+FROM f1 CROSS JOIN c2""")
+def p5_pipeline(spark, sf_dir):
+    pf = prep_frame(spark, sf_dir).select("subject_id", "x_price", "x_bal", "c_mktsegment")
+    pipe = build_pipeline(SPEC, ["x_price", "x_bal"], ["c_mktsegment"]).fit(pf)
+    out = pipe.transform(pf)
+    return out.select("subject_id", r6("x_price").alias("x_price"), r6("x_bal").alias("x_bal"),
+                      *[c for c in out.columns if c.startswith("c_mktsegment_")])
+
+
+@register("P6_fit_transform_split", f"""WITH {PREP_SQL},
+c AS (SELECT avg(x_price) AS ap, stddev_pop(x_price) AS sp FROM pf),
+{COHORT_LINES.strip().replace('cohort AS (', 'ln AS (', 1)}
+SELECT c_mktsegment, round(avg((x_price - ap) / sp), 6) AS mean_scaled_price, count(*) AS n
+FROM ln CROSS JOIN c GROUP BY c_mktsegment""")
+def p6_split(spark, sf_dir):
+    """Scaler constants from the orders cohort applied to the shipped-lines cohort."""
+    pf = prep_frame(spark, sf_dir).select("x_price")
+    lines = cohort_lines(spark, sf_dir)
+    pipe = build_pipeline([("scaler", {})], ["x_price"], [])
+    _, test = fit_transform_split(pipe, pf, lines.select("x_price", "c_mktsegment"))
+    return test.groupBy("c_mktsegment").agg(r6(F.avg("x_price")).alias("mean_scaled_price"), F.count(F.lit(1)).alias("n"))
+
+
+@register("V1_stratified_split", f"""WITH {COHORT_ORDERS},
+c AS (SELECT count(*) AS n, sum(event) AS pos FROM cohort),
+k AS (SELECT CAST(floor(n * 0.2) AS BIGINT) AS n_test, CAST(floor(pos * 0.2) AS BIGINT) AS n_pos, n, pos FROM c)
+SELECT 'test' AS split, 1 AS event, n_pos AS n FROM k UNION ALL SELECT 'test', 0, n_test - n_pos FROM k
+UNION ALL SELECT 'train', 1, pos - n_pos FROM k UNION ALL SELECT 'train', 0, n - pos - (n_test - n_pos) FROM k""")
+def v1_split(spark, sf_dir):
+    s = stratified_split(cohort_orders(spark, sf_dir), "subject_id", "event", 0.2, 42)
+    return s.groupBy("split", "event").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("V2_kfold", f"""WITH {COHORT_ORDERS},
+r AS (SELECT event, CAST((row_number() OVER (PARTITION BY event ORDER BY subject_id) - 1) % 5 AS INT) AS fold FROM cohort)
+SELECT fold, event, count(*) AS n FROM r GROUP BY fold, event""")
+def v2_kfold(spark, sf_dir):
+    """Fold sizes per stratum (the hashed order itself is checked for determinism in the tests)."""
+    f = kfold(cohort_orders(spark, sf_dir), "subject_id", 5, 42, stratify="event")
+    return f.groupBy("fold", "event").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("V3_contiguous_folds", f"""WITH {COHORT_ORDERS},
+r AS (SELECT CAST(least(floor((rank() OVER (ORDER BY time) - 1) * 5 / (SELECT count(*) FROM cohort)), 4) AS INT) AS fold, time FROM cohort)
+SELECT fold, count(*) AS n, min(time) AS t_min, max(time) AS t_max FROM r GROUP BY fold""")
+def v3_contiguous(spark, sf_dir):
+    f = contiguous_folds(cohort_orders(spark, sf_dir), "time", 5)
+    return f.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.min("time").alias("t_min"), F.max("time").alias("t_max"))
+
+
+@register("L1_coxph_fit")
+def l1_cox(spark, sf_dir):
+    """Rows-only: Newton fit of a ridge Cox model on the orders cohort; C-index of its risk."""
+    co = cohort_orders(spark, sf_dir)
+    m = CoxPH(["x_price", "x_bal"], alpha=0.01).fit(co)
+    c = concordance(m.risk(co)).select("c_index")
+    return c.select(F.lit(float(m.coef_[0])).alias("coef_x_price"), F.lit(float(m.coef_[1])).alias("coef_x_bal"),
+                    F.lit(m.n_iter_).alias("iterations"), "c_index")
+
+
+@register("L2_weibull_aft")
+def l2_aft(spark, sf_dir):
+    """Rows-only: MLlib Weibull AFT; survival at the horizons is non-increasing per row."""
+    co = cohort_orders(spark, sf_dir)
+    m = WeibullAFT(["x_price", "x_bal"]).fit(co)
+    s = m.survival(co, HORIZONS)
+    return s.agg(F.count(F.lit(1)).alias("n"), F.avg(F.element_at("surv", 1)).alias("mean_s90"),
+                 F.sum((F.element_at("surv", 1) < F.element_at("surv", 3)).cast("int")).alias("n_increasing"))
+
+
+EDGES = (30.0, 90.0, 180.0, 365.0, 730.0, 1095.0, 1825.0, 2600.0)
+
+
+@register("L3_person_period", f"""WITH {COHORT_ORDERS},
+iv AS (SELECT * FROM (VALUES {', '.join(f'({i + 1}, CAST({s} AS DOUBLE), CAST({e} AS DOUBLE))' for i, (s, e) in enumerate(zip((0.0,) + EDGES[:-1], EDGES)))}) t(interval, s, e))
+SELECT interval, count(*) AS n, CAST(sum(CASE WHEN event = 1 AND time <= e THEN 1 ELSE 0 END) AS DOUBLE) AS events
+FROM cohort JOIN iv ON time > s GROUP BY interval""")
+def l3_person_period(spark, sf_dir):
+    pp = person_period(cohort_orders(spark, sf_dir), EDGES)
+    return pp.groupBy("interval").agg(F.count(F.lit(1)).alias("n"), F.sum("target").alias("events"))
+
+
+@register("L4_hazard_forest")
+def l4_forest(spark, sf_dir):
+    """Rows-only: discrete-time hazard forest; C-index of the summed hazard."""
+    co = cohort_orders(spark, sf_dir)
+    m = DiscreteHazard(["x_price", "x_bal"], EDGES, "forest", n_trees=20, depth=4).fit(co)
+    return concordance(m.survival(co, "subject_id")).select("c_index", "comparable")
+
+
+@register("L5_hazard_gbt")
+def l5_gbt(spark, sf_dir):
+    co = cohort_orders(spark, sf_dir)
+    m = DiscreteHazard(["x_price", "x_bal"], EDGES, "gbt", depth=3, rounds=10).fit(co)
+    return concordance(m.survival(co, "subject_id")).select("c_index", "comparable")
+
+
+@register("L6_combine", f"""WITH {COHORT_ORDERS}
+SELECT subject_id, round(0.5 * ({RISK}) + 0.3 * x_price + 0.2 * (-x_bal), 6) AS risk FROM cohort""")
+def l6_combine(spark, sf_dir):
+    co = with_standin(cohort_orders(spark, sf_dir)).withColumnRenamed("risk", "r1").withColumn("r3", -F.col("x_bal"))
+    return combine(co, ["r1", "x_price", "r3"], [0.5, 0.3, 0.2]).select("subject_id", r6("risk").alias("risk"))
+
+
+@register("L7_bagging")
+def l7_bagging(spark, sf_dir):
+    co = cohort_orders(spark, sf_dir)
+    b = Bagging(["x_price", "x_bal"], n=3, feat_frac=1.0, seed=7).fit(co, "subject_id")
+    return concordance(b.risk(co)).select("c_index")
+
+
+def _oof(spark, sf_dir, k=3):
+    co = cohort_orders(spark, sf_dir)
+    oof, final = cross_validate(
+        co, lambda d: CoxPH(["x_price", "x_bal"], alpha=0.01).fit(d),
+        lambda m, d: m.risk(d).select("subject_id", "fold", "time", "event", "risk", "x_price", "x_bal"), k=k)
+    return oof, final
+
+
+@register("V5_cross_validate")
+def v5_cv(spark, sf_dir):
+    """Rows-only: 3-fold out-of-fold C-index of a Cox model."""
+    oof, _ = _oof(spark, sf_dir)
+    return concordance(oof).select("c_index", "comparable")
+
+
+@register("M13_assemble_oof")
+def m13_oof(spark, sf_dir):
+    oof, final = _oof(spark, sf_dir)
+    long = final.survival(oof, HORIZONS).select("subject_id", "fold", "time", "event", "risk",
+                                                F.posexplode("surv").alias("_i", "surv"))
+    hz = F.array(*[F.lit(float(h)) for h in HORIZONS])
+    long = long.withColumn("horizon", F.element_at(hz, F.col("_i") + 1)).drop("_i")
+    return assemble_oof(long, "subject_id", HORIZONS)
+
+
+@register("L8_stacking")
+def l8_stacking(spark, sf_dir):
+    oof, _ = _oof(spark, sf_dir)
+    o2 = oof.withColumn("r_price", F.col("x_price")).withColumn("r_bal", -F.col("x_bal"))
+    w, b = stacking(o2, ["risk", "r_price", "r_bal"])
+    return spark.createDataFrame([(w[0], w[1], w[2], b)], "w_cox double, w_price double, w_bal double, intercept double")
+
+
+@register("L9_dynamic_selection")
+def l9_dynamic(spark, sf_dir):
+    oof, _ = _oof(spark, sf_dir)
+    o2 = oof.withColumn("r_price", F.col("x_price")).withColumn("r_bal", -F.col("x_bal"))
+    keep = dynamic_selection(o2, ["risk", "r_price", "r_bal"])
+    return spark.createDataFrame([(m,) for m in keep], "model string")
+
+
+@register("L10_horizon_classifier")
+def l10_horizon(spark, sf_dir):
+    co = cohort_orders(spark, sf_dir)
+    score = horizon_classifier(co, ["x_price", "x_bal"], 365.0)
+    return concordance(score(co)).select("c_index")
+
+
+@register("L11_fit_per_group")
+def l11_groups(spark, sf_dir):
+    """Rows-only: one Cox model per market segment (local Newton per group)."""
+    return fit_per_group(cohort_orders(spark, sf_dir), "c_mktsegment", ["x_price", "x_bal"])
+
+
+@register("L12_update_model")
+def l12_update(spark, sf_dir):
+    """Rows-only: sliding-window warm-started refit on the episode cohort (history = first two
+    weeks of signups, new = the rest)."""
+    ep = cohort_episodes(spark, sf_dir).withColumnRenamed("start_ts", "ts")
+    cut = F.lit("2024-01-15").cast("timestamp")
+    hist, new = ep.where(F.col("ts") < cut), ep.where(F.col("ts") >= cut)
+    m0 = CoxPH(["x1"]).fit(hist)
+    m1, updated = update_model(m0, hist, new, "sliding", window_days=14)
+    return spark.createDataFrame([(float(m0.coef_[0]), float(m1.coef_[0]), updated)], "coef_before double, coef_after double, updated boolean")
+
+
+@register("M12_leaderboard", f"""WITH {COHORT_ORDERS},
+m AS (SELECT c.*, mm.model, CASE mm.model WHEN 'standin' THEN {RISK} WHEN 'price' THEN x_price ELSE -x_bal END AS risk
+      FROM cohort c CROSS JOIN (VALUES ('standin'), ('price'), ('neg_bal')) mm(model)),
+cc AS (SELECT a.model, sum(CASE WHEN b.risk < a.risk THEN 1.0 WHEN b.risk = a.risk THEN 0.5 ELSE 0.0 END) / count(*) AS concordance
+       FROM m a JOIN m b ON a.model = b.model AND a.event = 1 AND (b.time > a.time OR (b.time = a.time AND b.event = 0)) GROUP BY a.model)
+SELECT model, round(concordance, 6) AS concordance, CAST(rank() OVER (ORDER BY concordance DESC, model) AS INT) AS position FROM cc""")
+def m12_leaderboard(spark, sf_dir):
+    co = with_standin(cohort_orders(spark, sf_dir))
+    arr = F.array(F.struct(F.lit("standin").alias("model"), F.col("risk").alias("r")),
+                  F.struct(F.lit("price").alias("model"), F.col("x_price").alias("r")),
+                  F.struct(F.lit("neg_bal").alias("model"), (-F.col("x_bal")).alias("r")))
+    long = co.select("time", "event", F.explode(arr).alias("_m")).select("time", "event", "_m.model", F.col("_m.r").alias("risk"))
+    c = concordance(long, by=["model"]).select("model", F.lit("concordance").alias("metric"), F.col("c_index").alias("value"))
+    lb = leaderboard(c, names=("concordance",))
+    from pyspark.sql import Window
+    return lb.select("model", r6("concordance").alias("concordance"),
+                     F.rank().over(Window.orderBy(F.col("concordance").desc(), "model")).cast("int").alias("position"))
+
+
+@register("M14_check_regression", f"""WITH {COHORT_ORDERS},
+s AS (SELECT CASE WHEN c_mktsegment = 'BUILDING' THEN 'base' ELSE 'new' END AS side, avg(event) AS event_rate, avg(time) AS mean_time FROM cohort GROUP BY 1),
+l AS (SELECT side, 'event_rate' AS metric, event_rate AS value, false AS hib FROM s UNION ALL SELECT side, 'mean_time', mean_time, true FROM s)
+SELECT n.metric, round(n.value, 6) AS new, round(b.value, 6) AS base,
+       round((n.value - b.value) * CASE WHEN b.hib THEN 1 ELSE -1 END, 6) AS change,
+       (n.value - b.value) * CASE WHEN b.hib THEN 1 ELSE -1 END < -0.02 AS regressed
+FROM l n JOIN l b ON n.metric = b.metric AND n.side = 'new' AND b.side = 'base'""")
+def m14_regression(spark, sf_dir):
+    """Other segments (new) against BUILDING (baseline) on event rate (lower is better) and mean
+    follow-up time (higher is better), absolute tolerance .02."""
+    co = cohort_orders(spark, sf_dir).withColumn("side", F.when(F.col("c_mktsegment") == "BUILDING", "base").otherwise("new"))
+    s = co.groupBy("side").agg(F.avg("event").alias("event_rate"), F.avg("time").alias("mean_time"))
+    arr = F.array(F.struct(F.lit("event_rate").alias("metric"), F.col("event_rate").alias("value"), F.lit(False).alias("higher_is_better")),
+                  F.struct(F.lit("mean_time").alias("metric"), F.col("mean_time").alias("value"), F.lit(True).alias("higher_is_better")))
+    long = s.select("side", F.explode(arr).alias("_m")).select("side", "_m.*")
+    r = check_regression(long.where(F.col("side") == "new"), long.where(F.col("side") == "base"), 0.02)
+    return r.select("metric", r6("new").alias("new"), r6("base").alias("base"), r6("change").alias("change"), "regressed")

@@ -47,6 +47,10 @@ def _load_all() -> None:
 
 
 def r6(c: Column | str, digits: int = 6) -> Column:
-    """Round for the oracle comparison (the SQL side rounds the same way)."""
+    """Round for the oracle comparison: round-half-away of x * 10^d on the binary value, then
+    divide, which is how the SQL side's ``round(x, d)`` treats a DOUBLE. (Spark's own
+    ``round(x, d)`` rounds the shortest decimal text instead, which differs at exact-looking
+    halves such as -0.9046514999999999.)"""
     col = F.col(c) if isinstance(c, str) else c
-    return F.round(col.cast("double"), digits)
+    m = float(10 ** digits)
+    return F.round(col.cast("double") * m, 0) / m
