@@ -1 +1,98 @@
-"""Registered queries (filled in as operators land)."""
+"""Registered queries: streaming operators driven over the events table.
+
+Each query streams ``events.parquet`` through a file source (explicit schema, ``ts`` as
+timestamp), trigger ``availableNow``, into a fresh folder under the checkpoint directory, and
+returns what the stream wrote. Append mode writes a window once the watermark (max event time
+minus the delay) has passed its end; the oracle SQL states exactly that set of windows.
+"""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import functions as F
+
+from tte.plans.registry import r6, register
+from tte.streaming.stream import (
+    read_stream, run_available_now, stream_dedup, stream_feature_stats, stream_quality, stream_score, stream_sessions,
+    stream_update_gate,
+)
+
+
+def _events(spark, sf_dir):
+    return read_stream(spark, os.path.join(sf_dir, "events.parquet"))
+
+
+WM = "CAST(ts AS TIMESTAMP)"
+CLOSED = "(SELECT max(ts) - INTERVAL 1 HOUR FROM events)"
+
+
+@register("W1_stream_quality", f"""
+SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, count(*) AS n_rows,
+       CAST(sum(CASE WHEN value IS NULL THEN 1 ELSE 0 END) + sum(CASE WHEN props IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_cells,
+       round((1 - sum(CASE WHEN value IS NULL THEN 1 ELSE 0 END) / count(*)) * 100.0, 6) AS completeness_value,
+       round((1 - sum(CASE WHEN props IS NULL THEN 1 ELSE 0 END) / count(*)) * 100.0, 6) AS completeness_props
+FROM events GROUP BY 1, 2 HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= {CLOSED}""")
+def w1_quality(spark, sf_dir):
+    out, _ = run_available_now(stream_quality(_events(spark, sf_dir), ["value", "props"]), "w1")
+    return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                      F.col("window_end").cast("timestamp_ntz").alias("window_end"), "n_rows", "missing_cells",
+                      r6("completeness_value").alias("completeness_value"), r6("completeness_props").alias("completeness_props"))
+
+
+@register("W2_stream_feature_stats", f"""
+WITH b AS (SELECT avg(value) AS base_mean, stddev_samp(value) AS base_std FROM events WHERE ts < TIMESTAMP '2024-01-02'),
+w AS (SELECT d.start AS window_start, d.start + INTERVAL 2 DAY AS window_end, e.value
+      FROM (SELECT DISTINCT date_trunc('day', ts) AS start FROM events UNION SELECT DISTINCT date_trunc('day', ts) - INTERVAL 1 DAY FROM events) d
+      JOIN events e ON e.ts >= d.start AND e.ts < d.start + INTERVAL 2 DAY),
+g AS (SELECT window_start, window_end, count(*) AS n, avg(value) AS mean, stddev_samp(value) AS std, min(value) AS min, max(value) AS max
+      FROM w GROUP BY 1, 2 HAVING window_end <= {CLOSED})
+SELECT window_start, window_end, n, round(mean, 6) AS mean, round(std, 6) AS std, min, max,
+       round(CASE WHEN base_std > 0 THEN greatest(abs(mean - base_mean) / base_std, abs(std - base_std) / base_std) ELSE 0.0 END, 6) AS drift
+FROM g CROSS JOIN b""")
+def w2_feature_stats(spark, sf_dir):
+    """Sliding 2-day windows (1-day slide) of the event value against the first day's baseline."""
+    from tte.sources.tables import table
+    base = table(spark, sf_dir, "events").where(F.col("ts") < F.lit("2024-01-02").cast("timestamp_ntz")).agg(
+        F.avg("value").alias("base_mean"), F.stddev_samp("value").alias("base_std"))
+    out, _ = run_available_now(stream_feature_stats(_events(spark, sf_dir), "value", base), "w2")
+    return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                      F.col("window_end").cast("timestamp_ntz").alias("window_end"), "n",
+                      r6("mean").alias("mean"), r6("std").alias("std"), "min", "max", r6("drift").alias("drift"))
+
+
+@register("W4_stream_score", """
+SELECT event_id, round((value - 25.0) / 10.0, 6) AS risk,
+       round(exp(-exp((value - 25.0) / 10.0) * 30.0 / 1000.0), 6) AS s30, round(exp(-exp((value - 25.0) / 10.0) * 90.0 / 1000.0), 6) AS s90
+FROM events""")
+def w4_score(spark, sf_dir):
+    s = stream_score(_events(spark, sf_dir), (F.col("value") - 25.0) / 10.0, [30.0, 90.0])
+    out, _ = run_available_now(s.select("event_id", "risk", "surv"), "w4")
+    return out.select("event_id", r6("risk").alias("risk"), r6(F.element_at("surv", 1)).alias("s30"),
+                      r6(F.element_at("surv", 2)).alias("s90"))
+
+
+@register("W5_stream_sessions", f"""
+WITH o AS (SELECT user_id, ts, CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL
+                                   OR ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS new_s FROM events),
+s AS (SELECT user_id, ts, sum(new_s) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM o),
+g AS (SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS n_events FROM s GROUP BY user_id, sid)
+SELECT * FROM g WHERE session_end <= {CLOSED}""")
+def w5_sessions(spark, sf_dir):
+    out, _ = run_available_now(stream_sessions(_events(spark, sf_dir), "user_id"), "w5")
+    return out.select("user_id", F.col("session_start").cast("timestamp_ntz").alias("session_start"),
+                      F.col("session_end").cast("timestamp_ntz").alias("session_end"), "n_events")
+
+
+@register("W7_stream_dedup")
+def w7_dedup(spark, sf_dir):
+    """Rows-only: events with repeats of (user_id, event_type) inside the watermark dropped."""
+    out, _ = run_available_now(stream_dedup(_events(spark, sf_dir), ["user_id", "event_type"]), "w7")
+    return out
+
+
+@register("W6_stream_update_gate")
+def w6_gate(spark, sf_dir):
+    """Rows-only: per event type, 'update due' once 50 rows are buffered."""
+    out, _ = run_available_now(stream_update_gate(_events(spark, sf_dir), "event_type", 50, 1000), "w6")
+    return out
