@@ -17,19 +17,22 @@ from tte.operators.curves import curve_at, km_curves
 from tte.operators.scan import prefix_sum
 
 
-def _g_at_times(train: DataFrame, test: DataFrame, time: str, event: str) -> DataFrame:
+def _g_at_times(train: DataFrame, test: DataFrame, time: str, event: str, same_times: bool = False) -> DataFrame:
     """Censoring survival G(T) (events_first, step) for each test row.
 
-    When test times are train times this is an equi-join on the curve; otherwise a banded
-    range lookup (``lookup_curve``)."""
+    With ``same_times`` (every test time is a train time, e.g. the same subjects) this is an
+    equi-join on the curve's time; otherwise a banded range lookup (``lookup_curve``)."""
     from tte.operators.curves import lookup_curve
 
     cens = km_curves(train, time, event, ties="events_first").select("time", "cens")
+    if same_times:
+        g = cens.select(F.col("time").alias("_gt"), F.col("cens").alias("g_t"))
+        return test.join(g, F.col(time).cast("double") == F.col("_gt"), "left").drop("_gt")
     return lookup_curve(test, cens, time, "cens", "step").withColumnRenamed("cens", "g_t")
 
 
 def brier_score(train: DataFrame, test_long: DataFrame, horizons: Sequence[float], time: str = "time",
-                event: str = "event", by: Sequence[str] = ()) -> DataFrame:
+                event: str = "event", by: Sequence[str] = (), same_times: bool = False) -> DataFrame:
     """M3: Brier score per horizon.
 
     mean over test rows of I(T <= h, event) S^2 / G(T) + I(T > h) (1 - S)^2 / G(h); censored
@@ -39,7 +42,7 @@ def brier_score(train: DataFrame, test_long: DataFrame, horizons: Sequence[float
     by = list(by)
     cens = km_curves(train, time, event, ties="events_first").select("time", "cens")
     g_h = curve_at(cens, horizons, "cens", "step").withColumnRenamed("cens", "g_h")
-    with_g = _g_at_times(train, test_long, time, event)
+    with_g = _g_at_times(train, test_long, time, event, same_times)
     j = with_g.join(F.broadcast(g_h), "horizon")
     t, e, h, s = F.col(time), F.col(event), F.col("horizon"), F.col("surv")
     contrib = (
@@ -72,7 +75,7 @@ def integrated_brier(brier: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def dynamic_auc(train: DataFrame, test: DataFrame, horizons: Sequence[float], risk: str = "risk",
-                time: str = "time", event: str = "event") -> tuple[DataFrame, DataFrame]:
+                time: str = "time", event: str = "event", same_times: bool = False) -> tuple[DataFrame, DataFrame]:
     """M5: cumulative/dynamic AUC per horizon and its mean.
 
     Cases: T <= h with the event, weight 1/G(T) (G from ``train``, events_first, step); controls:
@@ -86,7 +89,7 @@ def dynamic_auc(train: DataFrame, test: DataFrame, horizons: Sequence[float], ri
     max_t = test.agg(F.max(time).alias("_max_t"))
     hz = test.sparkSession.createDataFrame([(float(h),) for h in horizons], "horizon double")
     hz = hz.crossJoin(F.broadcast(max_t)).where(F.col("horizon") < F.col("_max_t")).select("horizon")
-    with_g = _g_at_times(train, test, time, event)
+    with_g = _g_at_times(train, test, time, event, same_times)
     x = with_g.crossJoin(F.broadcast(hz))
     t, e, h = F.col(time), F.col(event), F.col("horizon")
     case_w = F.when((t <= h) & (e == 1) & (F.col("g_t") > 0), 1.0 / F.col("g_t")).otherwise(F.lit(0.0))

@@ -87,7 +87,7 @@ brier AS (SELECT horizon, avg(c) AS brier, count(*) AS n FROM contrib GROUP BY h
 @register("M3_brier", f"WITH {BRIER_SQL_CTE} SELECT horizon, round(brier, 6) AS brier, n FROM brier")
 def m3_brier(spark, sf_dir):
     co = cohort_orders(spark, sf_dir)
-    b = brier_score(co, standin_long(co), HORIZONS)
+    b = brier_score(co, standin_long(co), HORIZONS, same_times=True)
     return b.select("horizon", r6("brier").alias("brier"), "n")
 
 
@@ -96,7 +96,7 @@ seg AS (SELECT horizon, brier, lag(horizon) OVER (ORDER BY horizon) AS h0, lag(b
 SELECT round(sum((horizon - h0) * (brier + b0) / 2.0) / (max(horizon) - min(horizon)), 6) AS ibs FROM seg""")
 def m4_ibs(spark, sf_dir):
     co = cohort_orders(spark, sf_dir)
-    b = brier_score(co, standin_long(co), HORIZONS)
+    b = brier_score(co, standin_long(co), HORIZONS, same_times=True)
     return integrated_brier(b).select(r6("ibs").alias("ibs"))
 
 
@@ -117,7 +117,7 @@ auc AS (SELECT num.horizon, num.num / ((SELECT sum(w) FROM cases c WHERE c.horiz
 @register("M5_dynamic_auc", f"WITH {AUC_CTE} SELECT horizon, round(auc, 6) AS auc FROM auc")
 def m5_auc(spark, sf_dir):
     co = with_standin(cohort_orders(spark, sf_dir))
-    auc, _ = dynamic_auc(co, co, AUC_HZ)
+    auc, _ = dynamic_auc(co, co, AUC_HZ, same_times=True)
     return auc.select("horizon", r6("auc").alias("auc"))
 
 
@@ -128,7 +128,7 @@ d AS (SELECT auc, surv, horizon, coalesce(lag(surv) OVER (ORDER BY horizon), 1.0
 SELECT round(sum(auc * drop) / (1.0 - arg_max(surv, horizon)), 6) AS mean_auc FROM d""")
 def m5_mean_auc(spark, sf_dir):
     co = with_standin(cohort_orders(spark, sf_dir))
-    _, mean = dynamic_auc(co, co, AUC_HZ)
+    _, mean = dynamic_auc(co, co, AUC_HZ, same_times=True)
     return mean.select(r6("mean_auc").alias("mean_auc"))
 
 

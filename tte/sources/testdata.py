@@ -24,6 +24,33 @@ THRESHOLDS = (0.05, 0.1, 0.2, 0.3)
 BINS = 10
 
 
+_CACHE: dict = {}
+
+
+def _cached(builder):
+    """Persist a derived cohort once per (session, folder) and reuse it across queries.
+
+    Every operator runs a few small planning actions (band cut points, counts) before its main
+    job; without this each one would rebuild the cohort's joins. The blocks are MEMORY_AND_DISK
+    and are rebuilt from lineage when an executor is lost."""
+    import functools
+
+    from pyspark import StorageLevel
+
+    @functools.wraps(builder)
+    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (builder.__name__, id(spark.sparkContext._jsc), sf_dir)
+        df = _CACHE.get(key)
+        if df is None:
+            df = builder(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+            _CACHE[key] = df
+        return df
+
+    wrapper.uncached = builder
+    return wrapper
+
+
+@_cached
 def cohort_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order: time to the first returned shipment after the order date, in days.
 
@@ -63,6 +90,7 @@ def cohort_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_cached
 def cohort_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per shipped line: days from order to ship, event = the line was returned.
 
@@ -86,6 +114,7 @@ def cohort_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_cached
 def cohort_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Episodes from the ``events`` stream (bridge S9).
 
