@@ -263,3 +263,35 @@ def select_model(ranked: DataFrame, criterion: str = "best", by: Sequence[str] =
         raise ValueError("criterion must be best, stable or balanced")
     w = Window.partitionBy(*by).orderBy(key, F.col("model"))
     return r.withColumn("_pick", F.row_number().over(w)).where(F.col("_pick") == 1).select(*by, "model", "score", "rank", "stability")
+
+
+def quality_report_trend(reports: DataFrame, days: int = 7, ts: str = "ts") -> DataFrame:
+    """Over the last ``days`` of quality reports ``(ts, score, n_issues)``: first and last
+    score and issue count, the score slope per report, and advice when the slope is < -1
+    (declining) or > .5 (improving); needs >= 2 reports (>= 3 for the slope)."""
+    end = reports.agg(F.max(_epoch(ts)).alias("_end"))
+    r = reports.crossJoin(F.broadcast(end)).where(_epoch(ts) > F.col("_end") - days * DAY)
+    r = r.withColumn("_i", F.row_number().over(Window.orderBy(ts)).cast("double"))  # a week of reports: small
+    g = r.agg(F.count(F.lit(1)).alias("n_reports"), F.min_by("score", ts).alias("first_score"),
+              F.max_by("score", ts).alias("last_score"), F.min_by("n_issues", ts).alias("first_issues"),
+              F.max_by("n_issues", ts).alias("last_issues"), F.regr_slope("score", "_i").alias("slope"))
+    slope = F.when(F.col("n_reports") >= 3, F.col("slope"))
+    advice = (F.when(F.col("n_reports") < 2, "insufficient_data").when(slope < -1, "quality declining: investigate sources")
+              .when(slope > 0.5, "quality improving").otherwise("stable"))
+    return g.select("n_reports", "first_score", "last_score", "first_issues", "last_issues", slope.alias("slope"),
+                    advice.alias("advice"))
+
+
+def retrain_triggers(history: DataFrame, interval_s: int = 3600, c_drop: float = 0.02, drift: float = 0.1,
+                     min_new_rows: int = 100) -> DataFrame:
+    """Per history point, with the model (re)trained at its first point: scheduled (time
+    since the last training > ``interval_s``), performance (first C minus current > ``c_drop``),
+    drift (> ``drift``) and data volume (rows since the last training >= ``min_new_rows``).
+    Trainings are not simulated: the last training is the model's first point."""
+    w = Window.partitionBy("model").orderBy(_epoch()).rowsBetween(Window.unboundedPreceding, 0)
+    h = history.select("ts", "model", "concordance", "drift", "n_samples",
+                       F.first(_epoch()).over(w).alias("_t0"), F.first("concordance").over(w).alias("_c0"),
+                       F.sum("n_samples").over(w).alias("_rows"))
+    return h.select("ts", "model", ((_epoch() - F.col("_t0")) > interval_s).alias("scheduled"),
+                    F.coalesce((F.col("_c0") - F.col("concordance")) > c_drop, F.lit(False)).alias("performance"),
+                    (F.col("drift") > drift).alias("drift_trigger"), (F.col("_rows") >= min_new_rows).alias("data_volume"))

@@ -452,3 +452,140 @@ def remove_outliers(df: DataFrame, cols: Sequence[str], exact: bool = True) -> D
         out = out.crossJoin(F.broadcast(f)).where((_q(c) >= F.col("lower")) & (_q(c) <= F.col("upper"))) \
             .drop("lower", "upper")
     return out
+
+
+# fixed values of the reference's domain checks: (check id, column, condition, level)
+DOMAIN_RULES = (
+    ("age_negative", "age", "< 0", "error"),
+    ("age_too_high", "age", "> 150", "warning"),
+    ("sofa_negative", "sofa", "< 0", "error"),
+    ("sofa_too_high", "sofa", "> 24", "error"),
+)
+# fixed values: accepted spellings of sex / gender
+SEX_VALUES = ("male", "female", "m", "f", "0", "1")
+
+
+def domain_checks(df: DataFrame, rules=DOMAIN_RULES, numeric_expect: Sequence[str] = (),
+                  sex_columns: Sequence[str] = ("sex", "gender")) -> DataFrame:
+    """Q9: data-driven clinical range checks in one aggregate: each (column, condition) rule that
+    applies to an existing column counts offending rows; listed numeric columns that are not
+    numeric are a type mismatch; sex/gender columns with other values are flagged.
+    Output rows ``check, column, level, n_rows`` for the checks that fire."""
+    num = set(numeric_columns(df))
+    aggs, meta = [F.count(F.lit(1)).alias("_n")], []
+    for cid, col, cond, level in rules:
+        if col in df.columns:
+            aggs.append(F.sum(F.coalesce(F.expr(f"`{col}` {cond}"), F.lit(False)).cast("long")).alias(cid))
+            meta.append((cid, col, level))
+    for col in numeric_expect:
+        if col in df.columns and col not in num:
+            aggs.append(F.lit(1).cast("long").alias(f"type_{col}"))
+            meta.append((f"type_{col}", col, "error"))
+    for col in sex_columns:
+        if col in df.columns:
+            bad = _q(col).isNotNull() & ~F.lower(_q(col).cast("string")).isin(list(SEX_VALUES))
+            aggs.append(F.sum(bad.cast("long")).alias(f"values_{col}"))
+            meta.append((f"values_{col}", col, "warning"))
+    wide = df.agg(*aggs)
+    if not meta:
+        return df.sparkSession.createDataFrame([], "check string, column string, level string, n_rows long")
+    arr = F.array(*[F.struct(F.lit(c).alias("check"), F.lit(col).alias("column"), F.lit(lv).alias("level"),
+                             F.col(c).cast("long").alias("n_rows")) for c, col, lv in meta])
+    return wide.select(F.explode(arr).alias("_r")).select("_r.*").where(F.col("n_rows") > 0)
+
+
+def cleanse(df: DataFrame, outlier_columns: Sequence[str] = (), remove: bool = True, exact: bool = True):
+    """Q23: drop duplicates -> fill / drop gappy columns -> remove outliers (T9: for real, behind
+    ``remove``), returning (clean DataFrame, one-row summary with shapes and step counts).
+    Counts are small actions; the clean table stays lazy."""
+    n0, c0 = df.count(), len(df.columns)
+    d = drop_duplicates(df)
+    n1 = d.count()
+    m = cleanse_missing(d, exact=exact)
+    out = remove_outliers(m, [c for c in outlier_columns if c in m.columns], exact) if remove else m
+    n2 = out.count()
+    summary = df.sparkSession.createDataFrame(
+        [(n0, c0, n2, len(out.columns), n0 - n1, n1 - n2, c0 - len(m.columns))],
+        "rows_before long, columns_before int, rows_after long, columns_after int, duplicates_removed long, "
+        "outlier_rows_removed long, columns_removed int")
+    return out, summary
+
+
+def isolation_scores(df: DataFrame, cols: Sequence[str], trees: int = 100, sample: int = 256,
+                     contamination: float = 0.1, seed: int = 42, id_col: str | None = None) -> DataFrame:
+    """Q8: isolation-forest score per row and a flag for the top ``contamination`` share.
+
+    Columns are mean-filled and standardised (one aggregate). Each tree is grown on the driver
+    from ``sample`` rows picked by hash (a bounded ``trees x sample`` draw, taken with a
+    distributed top-k by hash), the small forest is broadcast, and every row is scored in
+    ``mapInPandas``. The cut is the (1 - contamination) ``percentile_approx`` of the scores."""
+    import numpy as np
+    import pandas as pd
+
+    st = df.agg(F.count(F.lit(1)).alias("_n"), *[F.avg(c).alias(f"m_{c}") for c in cols],
+                *[F.stddev_pop(c).alias(f"s_{c}") for c in cols]).collect()[0]
+    mu = {c: st[f"m_{c}"] or 0.0 for c in cols}
+    sd = {c: (st[f"s_{c}"] or 1.0) or 1.0 for c in cols}
+    n = max(int(st["_n"]), 1)
+    z = df.select("*", *[((F.coalesce(_q(c).cast("double"), F.lit(mu[c])) - mu[c]) / sd[c]).alias(f"_z_{c}") for c in cols])
+    # one hashed uniform per row; rows with u < trees * p fall into tree floor(u / p), p ~ 2 x
+    # sample / n, so the candidates are O(trees x sample) rows and only they are shuffled
+    p_tree = min(1.0 / trees, 2.0 * sample / n)
+    u = (F.pmod(F.xxhash64(*[_q(c) for c in df.columns], F.lit(seed)), F.lit(1 << 53)).cast("double") / float(1 << 53))
+    cand = z.select(*[f"_z_{c}" for c in cols], u.alias("_u")).where(F.col("_u") < trees * p_tree) \
+        .withColumn("_t", F.floor(F.col("_u") / p_tree).cast("int"))
+    from pyspark.sql import Window
+    w = Window.partitionBy("_t").orderBy("_u")
+    picked = cand.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= sample).drop("_rn", "_u")
+    pdf = picked.toPandas()  # trees x sample rows: bounded by the parameters, not by the data
+    rng = np.random.default_rng(seed)
+    limit = int(np.ceil(np.log2(max(sample, 2))))
+
+    def grow(x, depth):
+        if depth >= limit or len(x) <= 1:
+            return ("leaf", len(x))
+        j = int(rng.integers(x.shape[1]))
+        lo, hi = x[:, j].min(), x[:, j].max()
+        if lo == hi:
+            return ("leaf", len(x))
+        s = float(rng.uniform(lo, hi))
+        return ("node", j, s, grow(x[x[:, j] < s], depth + 1), grow(x[x[:, j] >= s], depth + 1))
+
+    zc = [f"_z_{c}" for c in cols]
+    forest = [grow(g[zc].to_numpy(float), 0) for _, g in pdf.groupby("_t")]
+    m = min(sample, len(pdf) // max(trees, 1) or 1)
+
+    def c_of(n):
+        return 2.0 * (np.log(n - 1) + 0.5772156649) - 2.0 * (n - 1) / n if n > 2 else (1.0 if n == 2 else 0.0)
+
+    cm = c_of(m) or 1.0
+    bforest = df.sparkSession.sparkContext.broadcast(forest)
+
+    def path_len(tree, x):
+        out = np.zeros(len(x))
+        idx = np.arange(len(x))
+        stack = [(tree, idx, 0)]
+        while stack:
+            node, ii, d = stack.pop()
+            if node[0] == "leaf":
+                out[ii] = d + c_of(node[1])
+                continue
+            _, j, s, left, right = node
+            mask = x[ii, j] < s
+            stack.append((left, ii[mask], d + 1))
+            stack.append((right, ii[~mask], d + 1))
+        return out
+
+    def score(it):
+        fr = bforest.value
+        for b in it:
+            x = b[zc].to_numpy(float)
+            h = np.mean([path_len(t, x) for t in fr], axis=0) if len(x) else np.zeros(0)
+            b = b.drop(columns=zc)
+            b["anomaly_score"] = np.power(2.0, -h / cm)
+            yield b
+
+    schema = z.drop(*zc).schema.add("anomaly_score", "double")
+    scored = z.mapInPandas(score, schema)
+    cut = scored.agg(F.percentile_approx("anomaly_score", 1 - contamination, 10000).alias("_cut"))
+    return scored.crossJoin(F.broadcast(cut)).withColumn("is_anomaly", F.col("anomaly_score") >= F.col("_cut")).drop("_cut")

@@ -68,3 +68,93 @@ def cross_validate(df: DataFrame, fit: Callable[[DataFrame], object], score: Cal
         oof = oof.unionByName(p)
     final = fit(df)
     return oof, final
+
+
+def grid(params: dict[str, list]) -> list[dict]:
+    """All combinations of a parameter grid, in a fixed order."""
+    import itertools
+
+    keys = sorted(params)
+    return [dict(zip(keys, vals)) for vals in itertools.product(*[params[k] for k in keys])]
+
+
+def nested_cv(df: DataFrame, make_fit: Callable[[dict], Callable[[DataFrame], object]], score: Callable[[object, DataFrame], float],
+              params: dict[str, list], outer: int = 3, inner: int = 3, id_col: str = "subject_id", seed: int = 42):
+    """V6: for each outer fold, every grid point is scored by the mean inner-fold score on the
+    outer-train rows; the best is refit on the outer-train rows and scored on the outer fold.
+    Global parameters = those of the best outer fold. One Spark job per fit / score.
+    Returns (list of (outer fold, params, inner score, outer score), best params)."""
+    folded = kfold(df, id_col, outer, seed, "event").persist()
+    rows = []
+    try:
+        for f in range(outer):
+            tr, te = folded.where(F.col("fold") != f).drop("fold"), folded.where(F.col("fold") == f).drop("fold")
+            inner_f = kfold(tr, id_col, inner, seed + 1, "event").persist()
+            best, best_s = None, None
+            for p in grid(params):
+                ss = []
+                for g in range(inner):
+                    m = make_fit(p)(inner_f.where(F.col("fold") != g))
+                    ss.append(score(m, inner_f.where(F.col("fold") == g)))
+                s = float(sum(ss) / len(ss))
+                if best_s is None or s > best_s:
+                    best, best_s = p, s
+            inner_f.unpersist()
+            rows.append((f, best, best_s, score(make_fit(best)(tr), te)))
+    finally:
+        folded.unpersist()
+    top = max(rows, key=lambda r: r[3])
+    return rows, top[1]
+
+
+def random_search(df: DataFrame, make_fit, score, space: dict[str, tuple], trials: int = 5, k: int = 3,
+                  id_col: str = "subject_id", seed: int = 42):
+    """V7: random draws from a space of ``("float", lo, hi, log)``, ``("int", lo, hi)`` or
+    ``("cat", [values])``, each scored by the mean k-fold score. Returns (trials, best params)."""
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    folded = kfold(df, id_col, k, seed, "event").persist()
+    out = []
+    try:
+        for t in range(trials):
+            p = {}
+            for name, spec in sorted(space.items()):
+                if spec[0] == "float":
+                    lo, hi, log = spec[1], spec[2], (spec[3] if len(spec) > 3 else False)
+                    p[name] = float(np.exp(rng.uniform(np.log(lo), np.log(hi)))) if log else float(rng.uniform(lo, hi))
+                elif spec[0] == "int":
+                    p[name] = int(rng.integers(spec[1], spec[2] + 1))
+                else:
+                    p[name] = spec[1][int(rng.integers(len(spec[1])))]
+            ss = [score(make_fit(p)(folded.where(F.col("fold") != f)), folded.where(F.col("fold") == f)) for f in range(k)]
+            out.append((t, p, float(sum(ss) / len(ss))))
+    finally:
+        folded.unpersist()
+    return out, max(out, key=lambda r: r[2])[1]
+
+
+def leakage_probe(df: DataFrame, make_fit, score, features: list[str], k: int = 3, id_col: str = "subject_id",
+                  seed: int = 42, time: str = "time", threshold: float = 0.1):
+    """Cross-validate twice, the second time with a leaked feature equal to -time on the
+    held-out fold only (0 on training rows). A pipeline that only uses training information must
+    not gain: fail when the mean score rises by more than ``threshold``.
+    Returns (score without, score with, leak detected)."""
+    folded = kfold(df, id_col, k, seed, "event").persist()
+    try:
+        def cv(add_leak: bool):
+            ss = []
+            for f in range(k):
+                tr = folded.where(F.col("fold") != f)
+                te = folded.where(F.col("fold") == f)
+                feats = list(features)
+                if add_leak:
+                    tr = tr.withColumn("_leak", F.lit(0.0))
+                    te = te.withColumn("_leak", -F.col(time))
+                    feats = feats + ["_leak"]
+                ss.append(score(make_fit(feats)(tr), te))
+            return float(sum(ss) / len(ss))
+        base, leaked = cv(False), cv(True)
+    finally:
+        folded.unpersist()
+    return base, leaked, (leaked - base) > threshold

@@ -294,3 +294,84 @@ def m14_regression(spark, sf_dir):
     long = s.select("side", F.explode(arr).alias("_m")).select("side", "_m.*")
     r = check_regression(long.where(F.col("side") == "new"), long.where(F.col("side") == "base"), 0.02)
     return r.select("metric", r6("new").alias("new"), r6("base").alias("base"), r6("change").alias("change"), "regressed")
+
+
+def _cox_factory(alpha):
+    return lambda d: CoxPH(["x_price", "x_bal"], alpha=alpha).fit(d)
+
+
+def _c_of(m, d):
+    return concordance(m.risk(d)).collect()[0]["c_index"] or 0.0
+
+
+@register("V6_nested_cv")
+def v6_nested(spark, sf_dir):
+    """Rows-only: 2 x 2 nested CV over the ridge penalty of the Cox model."""
+    from tte.operators.split import nested_cv
+
+    rows, best = nested_cv(cohort_orders(spark, sf_dir), lambda p: _cox_factory(p["alpha"]), _c_of,
+                           {"alpha": [0.0, 1.0]}, outer=2, inner=2)
+    return spark.createDataFrame([(f, float(p["alpha"]), float(i), float(o)) for f, p, i, o in rows],
+                                 "outer_fold int, alpha double, inner_c double, outer_c double")
+
+
+@register("V7_random_search")
+def v7_random(spark, sf_dir):
+    from tte.operators.split import random_search
+
+    out, best = random_search(cohort_orders(spark, sf_dir), lambda p: _cox_factory(p["alpha"]), _c_of,
+                              {"alpha": ("float", 1e-3, 10.0, True)}, trials=3, k=2)
+    return spark.createDataFrame([(t, float(p["alpha"]), float(s)) for t, p, s in out], "trial int, alpha double, mean_c double")
+
+
+@register("V10_leakage_probe")
+def v10_leak(spark, sf_dir):
+    """Rows-only: the leak (-time on held-out rows only) must not raise the CV C-index of a
+    pipeline that learns only from training rows."""
+    from tte.operators.split import leakage_probe
+
+    base, leaked, flag = leakage_probe(cohort_orders(spark, sf_dir), lambda feats: (lambda d: CoxPH(feats, alpha=0.01).fit(d)),
+                                       _c_of, ["x_price", "x_bal"], k=2)
+    return spark.createDataFrame([(base, leaked, flag)], "c_without double, c_with_leak double, leak_detected boolean")
+
+
+@register("X1_permutation_importance")
+def x1_perm(spark, sf_dir):
+    from tte.operators.explain import permutation_importance
+
+    m = CoxPH(["x_price", "x_bal"]).fit(cohort_orders(spark, sf_dir))
+    return permutation_importance(cohort_orders(spark, sf_dir), "subject_id", m.risk, ["x_price", "x_bal"], repeats=2)
+
+
+@register("X2_permutation_shift")
+def x2_shift(spark, sf_dir):
+    """Rows-only: about 0 for a linear model by construction (a permutation keeps the mean)."""
+    from tte.operators.explain import permutation_shift
+
+    m = CoxPH(["x_price", "x_bal"]).fit(cohort_orders(spark, sf_dir))
+    return permutation_shift(cohort_orders(spark, sf_dir), "subject_id", m.risk, ["x_price", "x_bal"], repeats=2)
+
+
+@register("X5_sampled_shapley")
+def x5_shapley(spark, sf_dir):
+    """Rows-only: Monte Carlo Shapley of the fixed linear risk per order, summarised per feature
+    (for a linear model the mean equals beta_j (mean x_j - mean background x_j))."""
+    from tte.operators.explain import sampled_shapley
+    from tte.operators.models.linear import LinearRisk
+
+    co = cohort_orders(spark, sf_dir)
+    sh = sampled_shapley(co, "subject_id", LinearRisk({"x_price": 0.4, "x_bal": -0.1}).risk, ["x_price", "x_bal"], co, draws=8)
+    return sh.groupBy("feature").agg(F.avg("shapley").alias("mean_shapley"), F.avg(F.abs("shapley")).alias("mean_abs"))
+
+
+@register("X10_X11_counterfactuals")
+def x10_cf(spark, sf_dir):
+    """Rows-only: random-search counterfactuals towards risk 0 for orders above the median risk,
+    summarised (X11)."""
+    from tte.operators.explain import counterfactual_search, counterfactual_summary
+    from tte.operators.models.linear import LinearRisk
+
+    m = LinearRisk({"x_price": 0.4, "x_bal": -0.1})
+    cf = counterfactual_search(cohort_orders(spark, sf_dir).select("subject_id", "x_price", "x_bal"), "subject_id", m.risk,
+                               {"x_price": 5.0, "x_bal": 10.0}, target=0.0, n_draws=20, max_dist=0.3)
+    return counterfactual_summary(cf, ["x_price", "x_bal"])

@@ -267,3 +267,48 @@ ORDER BY 0.7 * rank / k + 0.3 * (1 - stability), model LIMIT 1""")
 def n19_select(spark, sf_dir):
     s = select_model(rank_models(history(spark, sf_dir), "concordance"), "balanced")
     return s.select("model", r6("score").alias("score"), "rank", r6("stability").alias("stability"))
+
+
+def _daily_reports(spark, sf_dir):
+    """Daily quality reports of the events stream: duplicate share of (user, type) pairs, missing
+    share, a score (Q10 form without outliers) and the number of issues."""
+    from tte.sources.tables import table
+
+    ev = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    d = ev.groupBy("day", "user_id", "event_type").agg(F.count(F.lit(1)).alias("k")).groupBy("day").agg(
+        (F.sum(F.col("k") - 1) * 100.0 / F.sum("k")).alias("dup_pct"))
+    m = ev.groupBy("day").agg((F.sum(F.col("props").isNull().cast("long")) * 100.0 / F.count(F.lit(1))).alias("miss_pct"))
+    r = d.join(m, "day")
+    score = (100 - F.col("miss_pct")) * 0.4 + (100 - F.least(F.col("dup_pct") * 2, F.lit(40.0))) * 0.2 + 40.0
+    issues = (F.col("dup_pct") > 1).cast("int") + (F.col("miss_pct") > 5).cast("int")
+    return r.select(F.col("day").cast("timestamp").alias("ts"), score.alias("score"), issues.alias("n_issues"))
+
+
+@register("N10_quality_report_trend", """
+WITH ev AS (SELECT CAST(ts AS DATE) AS day, user_id, event_type, props FROM events),
+d AS (SELECT day, sum(k - 1) * 100.0 / sum(k) AS dup_pct FROM (SELECT day, user_id, event_type, count(*) AS k FROM ev GROUP BY ALL) GROUP BY day),
+m AS (SELECT day, sum(CASE WHEN props IS NULL THEN 1 ELSE 0 END) * 100.0 / count(*) AS miss_pct FROM ev GROUP BY day),
+r AS (SELECT CAST(d.day AS TIMESTAMP) AS ts, (100 - miss_pct) * 0.4 + (100 - least(dup_pct * 2, 40.0)) * 0.2 + 40.0 AS score,
+             CAST(dup_pct > 1 AS INT) + CAST(miss_pct > 5 AS INT) AS n_issues FROM d JOIN m USING (day)),
+w AS (SELECT *, row_number() OVER (ORDER BY ts) AS i FROM r WHERE epoch(ts) > (SELECT max(epoch(ts)) FROM r) - 7 * 86400)
+SELECT count(*) AS n_reports, round(arg_min(score, ts), 6) AS first_score, round(arg_max(score, ts), 6) AS last_score,
+       arg_min(n_issues, ts) AS first_issues, arg_max(n_issues, ts) AS last_issues, round(regr_slope(score, i), 6) AS slope,
+       CASE WHEN count(*) < 2 THEN 'insufficient_data' WHEN regr_slope(score, i) < -1 THEN 'quality declining: investigate sources'
+            WHEN regr_slope(score, i) > 0.5 THEN 'quality improving' ELSE 'stable' END AS advice FROM w""")
+def n10_report_trend(spark, sf_dir):
+    from tte.operators.monitor import quality_report_trend
+
+    t = quality_report_trend(_daily_reports(spark, sf_dir))
+    return t.select("n_reports", r6("first_score").alias("first_score"), r6("last_score").alias("last_score"),
+                    "first_issues", "last_issues", r6("slope").alias("slope"), "advice")
+
+
+@register("N15_retrain_triggers", f"""WITH {HIST_CTE}
+SELECT ts, model, epoch(ts) - first_value(epoch(ts)) OVER w > 3600 AS scheduled,
+       coalesce(first_value(concordance) OVER w - concordance > 0.02, false) AS performance,
+       drift > 0.1 AS drift_trigger, sum(n_samples) OVER w >= 100 AS data_volume
+FROM hist WINDOW w AS (PARTITION BY model ORDER BY epoch(ts) ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def n15_retrain(spark, sf_dir):
+    from tte.operators.monitor import retrain_triggers
+
+    return retrain_triggers(history(spark, sf_dir))

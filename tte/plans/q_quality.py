@@ -279,3 +279,51 @@ f2 AS (SELECT quantile_cont(l_discount, 0.25) AS q1, quantile_cont(l_discount, 0
 SELECT s1.* FROM s1, f2 WHERE l_discount >= q1 - 1.5 * (q3 - q1) AND l_discount <= q3 + 1.5 * (q3 - q1)""")
 def q22_remove_outliers(spark, sf_dir):
     return remove_outliers(quality_frame(spark, sf_dir), ["l_quantity", "l_discount"])
+
+
+@register("Q8_isolation_scores")
+def q8_isolation(spark, sf_dir):
+    """Rows-only: isolation-forest flags on the quality frame's numeric columns (share flagged
+    is about the contamination, 10 %)."""
+    from tte.operators.quality import isolation_scores
+
+    s = isolation_scores(quality_frame(spark, sf_dir), ["l_quantity", "l_discount", "l_linenumber"], trees=50)
+    return s.groupBy("is_anomaly").agg(F.count(F.lit(1)).alias("n"), F.avg("anomaly_score").alias("mean_score"))
+
+
+@register("Q9_domain_checks", f"""WITH {QUALITY_FRAME}, q AS (SELECT l_quantity AS age, l_discount * 100 AS sofa, l_linestatus AS sex FROM qf)
+SELECT * FROM (
+  SELECT 'age_too_high' AS "check", 'age' AS "column", 'warning' AS level, CAST(sum(CASE WHEN age > 150 THEN 1 ELSE 0 END) AS BIGINT) AS n_rows FROM q
+  UNION ALL SELECT 'age_negative', 'age', 'error', CAST(sum(CASE WHEN age < 0 THEN 1 ELSE 0 END) AS BIGINT) FROM q
+  UNION ALL SELECT 'sofa_negative', 'sofa', 'error', CAST(sum(CASE WHEN sofa < 0 THEN 1 ELSE 0 END) AS BIGINT) FROM q
+  UNION ALL SELECT 'sofa_too_high', 'sofa', 'error', CAST(sum(CASE WHEN sofa > 24 THEN 1 ELSE 0 END) AS BIGINT) FROM q
+  UNION ALL SELECT 'values_sex', 'sex', 'warning', CAST(sum(CASE WHEN sex IS NOT NULL AND lower(sex) NOT IN ('male', 'female', 'm', 'f', '0', '1') THEN 1 ELSE 0 END) AS BIGINT) FROM q)
+WHERE n_rows > 0""")
+def q9_domain(spark, sf_dir):
+    """The reference's clinical checks on renamed columns: quantity as age, discount x 100 as SOFA,
+    line status as sex (O is not an accepted value)."""
+    from tte.operators.quality import domain_checks
+
+    q = quality_frame(spark, sf_dir).select(F.col("l_quantity").alias("age"), (F.col("l_discount") * 100).alias("sofa"),
+                                            F.col("l_linestatus").alias("sex"))
+    return domain_checks(q)
+
+
+@register("Q15_rule_normality", f"""WITH {QUALITY_FRAME},
+m AS (SELECT count(l_quantity) AS n, avg(l_quantity) AS mu FROM qf),
+c AS (SELECT n, avg(power(l_quantity - mu, 2)) AS m2, avg(power(l_quantity - mu, 3)) AS m3, avg(power(l_quantity - mu, 4)) AS m4 FROM qf, m GROUP BY n),
+j AS (SELECT n / 6.0 * (power(m3 / power(m2, 1.5), 2) + power(m4 / (m2 * m2) - 3, 2) / 4.0) AS jb FROM c)
+SELECT round(exp(-jb / 2.0), 6) AS p_value, exp(-jb / 2.0) > 0.05 AS passed FROM j""")
+def q15_normality(spark, sf_dir):
+    """Jarque-Bera from the population moments; p = exp(-JB / 2) (chi-square, 2 dof)."""
+    per, _ = validate(quality_frame(spark, sf_dir), [Rule("n", "normality", "l_quantity", "warning", {})])
+    return per.select(r6("value").alias("p_value"), (F.col("status") == "passed").alias("passed"))
+
+
+@register("Q23_cleanse")
+def q23_cleanse(spark, sf_dir):
+    """Rows-only: dedupe -> fill -> outlier removal with the step summary."""
+    from tte.operators.quality import cleanse
+
+    _, summary = cleanse(quality_frame(spark, sf_dir), ["l_quantity", "l_discount"])
+    return summary

@@ -96,3 +96,24 @@ def w6_gate(spark, sf_dir):
     """Rows-only: per event type, 'update due' once 50 rows are buffered."""
     out, _ = run_available_now(stream_update_gate(_events(spark, sf_dir), "event_type", 50, 1000), "w6")
     return out
+
+
+@register("W3_stream_alerts")
+def w3_alerts(spark, sf_dir):
+    """Rows-only: daily quality rules over the events stream; the stream is run twice on the same
+    checkpoint-free replay and the second run adds no alert (keys (rule, window))."""
+    import uuid
+
+    from tte.session import ensure_checkpoint_dir
+    from tte.streaming.stream import stream_alerts
+
+    rules = spark.createDataFrame(
+        [("props_complete", "column_completeness_props", "<", 100.0, "low", True),
+         ("value_complete", "column_completeness_value", "==", 100.0, "info", True)],
+        "rule_id string, metric string, condition string, threshold double, severity string, enabled boolean")
+    base = os.path.join(ensure_checkpoint_dir(spark), "streams", f"w3-{uuid.uuid4().hex[:10]}")
+    for run in range(2):
+        q = stream_alerts(_events(spark, sf_dir), rules, os.path.join(base, "alerts"), os.path.join(base, f"chk{run}"),
+                          ["value", "props"])
+        q.awaitTermination()
+    return spark.read.parquet(os.path.join(base, "alerts"))
