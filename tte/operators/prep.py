@@ -152,3 +152,65 @@ def fit_transform_split(pipe: Pipeline, train: DataFrame, test: DataFrame) -> tu
     """Constants from ``train`` only, applied to both."""
     pipe.fit(train)
     return pipe.transform(train), pipe.transform(test)
+
+
+@dataclass
+class IterativeImputer:
+    """Each gappy numeric column regressed on the others, in rounds (scikit-learn's idea with
+    a ridge instead of its Bayesian ridge: same fixed point idea, not equal digits).
+
+    Start from the column means (``initial="mean"``); in each round and for each column with gaps,
+    one aggregate pass gives the Gram matrix X'X and X'y over rows where the column is observed
+    (the other columns at their current fill), the small ridge system is solved on the driver and
+    the fill expression is updated. Only (p+1)^2 numbers per column reach the driver."""
+
+    columns: Sequence[str]
+    max_iter: int = 10
+    ridge: float = 1e-6
+    coef_: dict = field(default_factory=dict)
+    mean_: dict = field(default_factory=dict)
+
+    def _filled(self, df: DataFrame) -> dict[str, Column]:
+        cur = {c: F.coalesce(_q(c).cast("double"), F.lit(self.mean_[c])) for c in self.columns}
+        for c in self.columns:
+            if c in self.coef_:
+                b = self.coef_[c]
+                pred = F.lit(b[0])
+                for j, o in enumerate([x for x in self.columns if x != c]):
+                    pred = pred + F.lit(b[j + 1]) * cur[o]
+                cur[c] = F.coalesce(_q(c).cast("double"), pred)
+        return cur
+
+    def fit(self, df: DataFrame) -> "IterativeImputer":
+        import numpy as np
+
+        cols = list(self.columns)
+        row = df.agg(*[F.avg(c).alias(f"m_{c}") for c in cols], *[F.sum(_q(c).isNull().cast("long")).alias(f"n_{c}") for c in cols]).collect()[0]
+        self.mean_ = {c: row[f"m_{c}"] or 0.0 for c in cols}
+        gappy = [c for c in cols if row[f"n_{c}"] > 0]
+        for _ in range(self.max_iter):
+            changed = 0.0
+            for c in gappy:
+                cur = self._filled(df)
+                others = [o for o in cols if o != c]
+                xs = [F.lit(1.0)] + [cur[o] for o in others]
+                obs = df.where(_q(c).isNotNull())
+                aggs = [F.sum(xs[i] * xs[j]).alias(f"g{i}_{j}") for i in range(len(xs)) for j in range(i, len(xs))]
+                aggs += [F.sum(xs[i] * _q(c).cast("double")).alias(f"y{i}") for i in range(len(xs))]
+                r = obs.agg(*aggs).collect()[0]
+                k = len(xs)
+                g = np.zeros((k, k))
+                for i in range(k):
+                    for j in range(i, k):
+                        g[i, j] = g[j, i] = r[f"g{i}_{j}"] or 0.0
+                y = np.array([r[f"y{i}"] or 0.0 for i in range(k)])
+                b = np.linalg.solve(g + self.ridge * np.eye(k), y)
+                old = np.array(self.coef_.get(c, np.zeros(k)))
+                changed = max(changed, float(np.max(np.abs(b - old))))
+                self.coef_[c] = [float(v) for v in b]
+            if changed < 1e-6:
+                break
+        return self
+
+    def exprs(self, df: DataFrame) -> dict[str, Column]:
+        return self._filled(df)

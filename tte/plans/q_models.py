@@ -375,3 +375,15 @@ def x10_cf(spark, sf_dir):
     cf = counterfactual_search(cohort_orders(spark, sf_dir).select("subject_id", "x_price", "x_bal"), "subject_id", m.risk,
                                {"x_price": 5.0, "x_bal": 10.0}, target=0.0, n_draws=20, max_dist=0.3)
     return counterfactual_summary(cf, ["x_price", "x_bal"])
+
+
+@register("P2_iterative_imputer")
+def p2_iterative(spark, sf_dir):
+    """Rows-only: x_bal gaps (rule: subject_id % 5 = 0) filled from x_price and time by rounds of
+    ridge fits; the mean and count of the filled column."""
+    from tte.operators.prep import IterativeImputer
+
+    pf = prep_frame(spark, sf_dir).select("subject_id", "x_price", "x_bal", "time")
+    imp = IterativeImputer(["x_price", "x_bal", "time"], max_iter=5).fit(pf)
+    out = pf.select("subject_id", imp.exprs(pf)["x_bal"].alias("x_bal"))
+    return out.agg(F.count("x_bal").alias("n_filled"), F.avg("x_bal").alias("mean_x_bal"))
