@@ -69,3 +69,21 @@ def test_no_comparable_pair(frame):
     df = frame(time=[1.0, 2.0], event=[0, 0], risk=[0.1, 0.2])
     assert concordance(df).collect()[0].c_index is None
     assert concordance_events_only(df).collect() == [] or concordance_events_only(df).collect()[0].concordance == 0.0
+
+
+@pytest.mark.parametrize("hot", ["time", "risk"])
+def test_hot_key_third_of_rows(frame, hot):
+    """A third of the rows share one time (or one risk): still exact under banding; the hot value
+    gets its own single-valued band and is counted without a Python group."""
+    rng = np.random.default_rng(11)
+    n = 360
+    t = rng.integers(0, 50, n).astype(float)
+    e = rng.integers(0, 2, n)
+    r = rng.normal(size=n).round(2)
+    if hot == "time":
+        t[: n // 3] = 17.0
+    else:
+        r[: n // 3] = 0.5
+    df = frame(time=t, event=e, risk=r)
+    got = concordance(df, k=8).collect()[0]
+    assert (got.concordant, got.discordant, got.tied_risk, got.tied_time) == brute(t, e, r)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tte.operators.scan import SMALL_ROWS, band_of, plan_bands
+from tte.operators.scan import SMALL_ROWS, band_of, plan_bands, prefix_sum
 from tte.session import shuffle_partitions
 
 
@@ -129,23 +129,70 @@ def dominance(points: DataFrame, by: Sequence[str] = (), k: int | None = None, d
         cuts_t = plan_bands(points, "xv", k, small_rows=0)
     cuts_r = plan_bands(points, "y", k, small_rows=0)
     pts = points.withColumn("_tb", band_of("xv", cuts_t)).withColumn("_rb", band_of("y", cuts_r))
+    # A: pairs with different times inside one time band: exact kernel per band, strict in time.
+    # Single-valued (odd) bands have no such pair and are left out, so a hot time never forms a
+    # Python group. Same-time pairs (the tie rule) are counted by part A1 in Spark.
+    a_pts = pts.where(F.col("_tb") % 2 == 0).withColumn("tie", F.lit(0))
     schema_a = _out_schema(pts.select(*by, "_tb"), by + ["_tb"])
-    part_a = pts.groupBy(*by, "_tb").applyInPandas(_kernel(by + ["_tb"], keep_eq), schema_a).drop("_tb")
+    part_a = a_pts.groupBy(*by, "_tb").applyInPandas(_kernel(by + ["_tb"], keep_eq), schema_a).drop("_tb")
+    parts = [part_a]
+    if keep_eq and depth == 0:
+        parts.append(_same_time_pairs(points, by))
+    # B: later time band, same risk band: exact kernel per risk band (time compared by band);
+    # a single-valued (odd) risk band only has tied risks, counted in Spark.
     b_pts = pts.select(*by, F.col("_tb").cast("double").alias("xv"), F.lit(0).alias("tie"), "y", "w", "q", "_rb")
     schema_b = _out_schema(b_pts.select(*by, "_rb"), by + ["_rb"])
-    part_b = b_pts.groupBy(*by, "_rb").applyInPandas(_kernel(by + ["_rb"], keep_eq), schema_b).drop("_rb")
+    part_b = b_pts.where(F.col("_rb") % 2 == 0).groupBy(*by, "_rb").applyInPandas(_kernel(by + ["_rb"], keep_eq), schema_b) \
+        .drop("_rb")
+    parts.append(part_b)
+    if keep_eq:
+        parts.append(_single_risk_band_ties(pts.where(F.col("_rb") % 2 == 1), by))
+    # C: later time band, other risk band: decided by the bands; the cells are a smaller problem
     cells = pts.groupBy(*by, "_tb", "_rb").agg(F.sum("w").alias("w"), F.sum("q").alias("q")).select(
         *by, F.col("_tb").cast("double").alias("xv"), F.lit(0).alias("tie"),
         F.col("_rb").cast("double").alias("y"), "w", "q",
     )
     k2 = max(1, int(np.ceil(np.sqrt(k))))
-    part_c = dominance(cells, by, k2, depth + 1, keep_eq=False)
-    allp = part_a.unionByName(part_b).unionByName(part_c)
+    parts.append(dominance(cells, by, k2, depth + 1, keep_eq=False))
+    allp = parts[0]
+    for p_ in parts[1:]:
+        allp = allp.unionByName(p_)
     if by:
         return allp.groupBy(*by).agg(*[F.sum(c).alias(c) for c in ("less", "eq", "greater", "tied_x")])
     return allp.agg(*[F.sum(c).alias(c) for c in ("less", "eq", "greater", "tied_x")])
 
 
+def _same_time_pairs(points: DataFrame, by: list[str]) -> DataFrame:
+    """A1: query i and tie-flagged item j at the same time, split by y_j <, =, > y_i. Per
+    (time, y): query weight Q and tie weight C; a banded running sum of C over y within each time
+    gives the split, so a time holding a third of the rows is spread over tasks."""
+    g = points.groupBy(*by, "xv", "y").agg(F.sum("q").alias("Q"), F.sum(F.col("w") * F.col("tie")).alias("C"))
+    g = g.where((F.col("Q") > 0) | (F.col("C") > 0))
+    tot = g.groupBy(*by, "xv").agg(F.sum("C").alias("_totC"))
+    sc = prefix_sum(g, "y", ["C"], by=[*by, "xv"], exclusive=True).join(tot, [*by, "xv"])
+    less = F.col("Q") * F.col("cum_C")
+    eq = F.col("Q") * F.col("C")
+    greater = F.col("Q") * (F.col("_totC") - F.col("cum_C") - F.col("C"))
+    return sc.groupBy(*by).agg(F.sum(less).alias("less"), F.sum(eq).alias("eq"), F.sum(greater).alias("greater"),
+                               F.sum(less + eq + greater).alias("tied_x")) if by else \
+        sc.agg(F.sum(less).alias("less"), F.sum(eq).alias("eq"), F.sum(greater).alias("greater"),
+               F.sum(less + eq + greater).alias("tied_x"))
+
+
+def _single_risk_band_ties(pts: DataFrame, by: list[str]) -> DataFrame:
+    """Part B for single-valued risk bands: every pair is a tied risk; count query i against items
+    in later time bands with a running sum over the (few) time bands."""
+    g = pts.groupBy(*by, "_rb", "_tb").agg(F.sum("q").alias("Q"), F.sum("w").alias("W"))
+    tot = g.groupBy(*by, "_rb").agg(F.sum("W").alias("_totW"))
+    sc = prefix_sum(g, "_tb", ["W"], by=[*by, "_rb"]).join(tot, [*by, "_rb"])
+    eq = F.col("Q") * (F.col("_totW") - F.col("cum_W"))
+    zero = F.lit(0.0)
+    if by:
+        return sc.groupBy(*by).agg(F.sum(zero).alias("less"), F.sum(eq).alias("eq"),
+                                   F.sum(zero).alias("greater"), F.sum(zero).alias("tied_x"))
+    return sc.agg(F.sum(zero).alias("less"), F.sum(eq).alias("eq"), F.sum(zero).alias("greater"), F.sum(zero).alias("tied_x"))
+
+
 def concordance(df: DataFrame, risk: str = "risk", time: str = "time", event: str = "event",
                 by: Sequence[str] = (), k: int | None = None, weight: str | None = None) -> DataFrame:
     """M1: Harrell's concordance (scikit-survival's convention).

@@ -40,12 +40,14 @@ def plan_bands(df: DataFrame, order: str, k: int | None = None, small_rows: int
 
 
 def band_of(order: str, cuts: Sequence[float]) -> Column:
-    """Number of cut points strictly below the key: 0 .. len(cuts)."""
+    """Band id, monotone in the key: 2 x (cut points strictly below the key), plus 1 when the key
+    equals a cut point. A hot key spans several quantiles, so it is a cut point and gets an odd
+    band of its own (single-valued); keys between cut points share the even bands."""
     key = F.col(order).cast("double")
     if not cuts:
         return F.lit(0)
     arr = F.array(*[F.lit(float(c)) for c in cuts])
-    return F.size(F.filter(arr, lambda c: c < key))
+    return F.size(F.filter(arr, lambda c: c < key)) * 2 + F.array_contains(arr, key).cast("int")
 
 
 def with_band(df: DataFrame, order: str, k: int | None = None, name: str = BAND,
