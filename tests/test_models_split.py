@@ -67,3 +67,20 @@ def test_prep_fit_on_train_only(spark):
     with pytest.raises(ValueError):
         OneHot(["c"], max_levels=1).fit(train)
     assert SimpleImputer(["c"], "most_frequent").fit(train).fill_["c"] == "a"
+
+
+def test_fit_per_group_big_group_distributed(spark):
+    from tte.operators.models.ensemble import fit_per_group
+
+    rng = np.random.default_rng(9)
+    n = 600
+    g = np.where(np.arange(n) < 400, "big", np.where(np.arange(n) % 2 == 0, "s1", "s2"))
+    x = rng.normal(size=n)
+    t = np.round(rng.exponential(np.exp(-0.8 * x)) * 50) + 1
+    e = rng.integers(0, 2, n).astype(float)
+    import pandas as pd
+    df = spark.createDataFrame(pd.DataFrame(dict(g=g, x=x, time=t, event=e)))
+    a = {r.g: r.coef_x for r in fit_per_group(df, "g", ["x"], max_local_rows=10**9).collect()}
+    b = {r.g: r.coef_x for r in fit_per_group(df, "g", ["x"], max_local_rows=300).collect()}
+    assert a.keys() == b.keys() == {"big", "s1", "s2"}
+    assert all(abs(a[k] - b[k]) < 1e-6 for k in a)

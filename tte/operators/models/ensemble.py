@@ -100,10 +100,15 @@ def horizon_classifier(df: DataFrame, features: Sequence[str], tau: float, time:
 
 
 def fit_per_group(df: DataFrame, key: str, features: Sequence[str], time: str = "time", event: str = "event",
-                  alpha: float = 0.0) -> DataFrame:
-    """One Cox model per group with the local NumPy Newton in ``applyInPandas`` (groups are
-    bounded by design: one partition key, e.g. a site). All groups' coefficients are kept."""
+                  alpha: float = 0.0, max_local_rows: int = 500_000) -> DataFrame:
+    """One Cox model per group; all groups' coefficients are kept (the reference keeps the
+    first). Groups up to ``max_local_rows`` rows are fitted by the local NumPy Newton inside
+    ``applyInPandas``; larger groups (one key may hold a third of the rows) are fitted by the
+    distributed ``CoxPH`` on their filtered rows, so no task ever holds an unbounded group."""
     feats = list(features)
+    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    big = [r[key] for r in sizes.where(F.col("_n") > max_local_rows).select(key).collect()]  # few keys by construction
+    small_df = df.join(F.broadcast(sizes.where(F.col("_n") <= max_local_rows).select(key)), key, "left_semi") if big else df
     schema = T.StructType([df.schema[key], T.StructField("n", T.LongType())] +
                           [T.StructField(f"coef_{f}", T.DoubleType()) for f in feats])
 
@@ -118,7 +123,14 @@ def fit_per_group(df: DataFrame, key: str, features: Sequence[str], time: str =
             out[f"coef_{f}"] = [float(v)]
         return pd.DataFrame(out)
 
-    return df.select(key, *feats, time, event).groupBy(key).applyInPandas(fit_one, schema)
+    out = small_df.select(key, *feats, time, event).groupBy(key).applyInPandas(fit_one, schema)
+    for kv in big:
+        part = df.where(F.col(key) == F.lit(kv))
+        m = CoxPH(feats, alpha=alpha, time=time, event=event).fit(part)
+        n = part.count()
+        row = [(kv, int(n), *[float(b) for b in m.coef_])]
+        out = out.unionByName(df.sparkSession.createDataFrame(row, schema))
+    return out
 
 
 def update_model(model: CoxPH, history: DataFrame, new: DataFrame, strategy: str = "sliding", ts: str = "ts",

@@ -157,4 +157,6 @@ def stream_update_gate(stream: DataFrame, key: str, min_samples: int = 50, max_b
             state.update((count,))
         yield pd.DataFrame({key: [k[0]], "buffered": [count], "update_due": [due]})
 
-    return stream.groupBy(key).applyInPandasWithState(gate, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
+    # only the key travels to the stateful operator; the function counts rows batch by batch
+    return stream.select(key).groupBy(key).applyInPandasWithState(gate, out_schema, state_schema, "append",
+                                                                  GroupStateTimeout.NoTimeout)
