@@ -209,7 +209,29 @@ def q16_validate(spark, sf_dir):
     return per_rule.where(F.col("kind") != "normality").select("rule_id", "status", "severity", r6("value").alias("value"))
 
 
-@register("Q16_validate_summary")
+@register("Q16_validate_summary", f"""WITH {QUALITY_FRAME},
+a AS (SELECT count(*) AS n, sum(CASE WHEN l_discount IS NOT NULL THEN 1 ELSE 0 END) AS d_nn,
+        sum(CASE WHEN l_returnflag IS NOT NULL THEN 1 ELSE 0 END) AS f_nn,
+        sum(CASE WHEN l_quantity < 1 OR l_quantity > 49 THEN 1 ELSE 0 END) AS q_viol,
+        sum(CASE WHEN l_discount < 0.0 OR l_discount > 0.1 THEN 1 ELSE 0 END) AS d_viol,
+        sum(CASE WHEN coalesce(l_returnflag IN ('A', 'N', 'R'), false) THEN 0 ELSE 1 END) AS f_bad,
+        sum(CASE WHEN coalesce(l_linestatus IN ('O', 'F'), false) THEN 0 ELSE 1 END) AS s_bad,
+        count(l_quantity) AS qn, avg(l_quantity) AS mu FROM qf),
+mo AS (SELECT avg(power(l_quantity - mu, 2)) AS m2, avg(power(l_quantity - mu, 3)) AS m3, avg(power(l_quantity - mu, 4)) AS m4 FROM qf, a),
+r AS (
+  SELECT d_nn * 100.0 / n >= 95.0 AS ok, 'error' AS sev FROM a
+  UNION ALL SELECT f_nn * 100.0 / n >= 90.0, 'warning' FROM a
+  UNION ALL SELECT q_viol = 0, 'error' FROM a
+  UNION ALL SELECT d_viol = 0, 'error' FROM a
+  UNION ALL SELECT f_bad = 0, 'warning' FROM a
+  UNION ALL SELECT s_bad = 0, 'error' FROM a
+  UNION ALL SELECT exp(-(qn / 6.0 * (power(m3 / power(m2, 1.5), 2) + power(m4 / (m2 * m2) - 3, 2) / 4.0)) / 2.0) > 0.05, 'warning' FROM a, mo
+  UNION ALL SELECT false, 'error'),
+s AS (SELECT count(*) AS n_rules, CAST(sum(CASE WHEN ok THEN 1 ELSE 0 END) AS INT) AS n_passed,
+             CAST(sum(CASE WHEN ok THEN 0 ELSE 1 END) AS INT) AS n_failed,
+             CAST(sum(CASE WHEN NOT ok AND sev = 'error' THEN 1 ELSE 0 END) AS INT) AS n_errors,
+             CAST(sum(CASE WHEN NOT ok AND sev = 'warning' THEN 1 ELSE 0 END) AS INT) AS n_warnings FROM r)
+SELECT *, CASE WHEN n_errors > 0 THEN 'failed' WHEN n_warnings > 0 THEN 'passed_with_warnings' ELSE 'passed' END AS overall FROM s""")
 def q16_summary(spark, sf_dir):
     _, summary = validate(quality_frame(spark, sf_dir), QF_RULES)
     return summary

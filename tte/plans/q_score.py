@@ -162,7 +162,13 @@ def i10_summary(spark, sf_dir):
     return s.withColumn("average_risk", r6("average_risk"))
 
 
-@register("I11_cohort_flags")
+@register("I11_cohort_flags", f"""WITH {STRAT_CTE},
+f AS (SELECT 'x_price' AS factor FROM u WHERE c_price > 0.05 UNION ALL SELECT 'x_bal' FROM u WHERE c_bal > 0.05),
+top AS (SELECT factor, count(*) AS k FROM f GROUP BY factor ORDER BY k DESC, factor LIMIT 3),
+b AS (SELECT count(*) AS n, sum(CASE WHEN risk_category = 'very_high' THEN 1 ELSE 0 END) AS vh,
+             sum(CASE WHEN risk_category = 'high' THEN 1 ELSE 0 END) AS h, sum(CASE WHEN risk_category = 'moderate' THEN 1 ELSE 0 END) AS m FROM u)
+SELECT vh > 0 AS has_very_high, h > 0.5 * m AS high_exceeds_half_moderate,
+       coalesce(list_sort((SELECT list(factor) FROM top WHERE k > 0.2 * (SELECT n FROM b))), []) AS common_factors FROM b""")
 def i11_flags(spark, sf_dir):
     """Rows-only: cohort-level flags (array of common factors)."""
     return cohort_flags(_stratified(spark, sf_dir))

@@ -39,7 +39,7 @@ def _cached(builder):
 
     @functools.wraps(builder)
     def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (builder.__name__, id(spark.sparkContext._jsc), sf_dir)
+        key = (builder.__name__, spark.sparkContext.applicationId, sf_dir)
         df = _CACHE.get(key)
         if df is None:
             df = builder(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
