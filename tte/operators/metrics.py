@@ -87,21 +87,28 @@ def dynamic_auc(train: DataFrame, test: DataFrame, horizons: Sequence[float], ri
     Returns ``(per_horizon[horizon, auc], mean[mean_auc])``.
     """
     max_t = test.agg(F.max(time).alias("_max_t"))
-    hz = test.sparkSession.createDataFrame([(float(h),) for h in horizons], "horizon double")
-    hz = hz.crossJoin(F.broadcast(max_t)).where(F.col("horizon") < F.col("_max_t")).select("horizon")
+    hs = [float(h) for h in horizons]
     with_g = _g_at_times(train, test, time, event, same_times)
-    x = with_g.crossJoin(F.broadcast(hz))
-    t, e, h = F.col(time), F.col(event), F.col("horizon")
-    case_w = F.when((t <= h) & (e == 1) & (F.col("g_t") > 0), 1.0 / F.col("g_t")).otherwise(F.lit(0.0))
-    ctrl_w = F.when(t > h, F.lit(1.0)).otherwise(F.lit(0.0))
-    per_risk = x.groupBy("horizon", F.col(risk).cast("double").alias("risk")).agg(
-        F.sum(case_w).alias("cw"), F.sum(ctrl_w).alias("kw")
-    )
-    scanned = prefix_sum(per_risk, "risk", ["kw"], by=["horizon"], exclusive=True)
-    auc = scanned.groupBy("horizon").agg(
-        F.sum(F.col("cw") * (F.col("cum_kw") + 0.5 * F.col("kw"))).alias("_num"),
-        F.sum("cw").alias("_cw"), F.sum("kw").alias("_kw"),
-    ).select("horizon", F.when((F.col("_cw") > 0) & (F.col("_kw") > 0), F.col("_num") / (F.col("_cw") * F.col("_kw"))).alias("auc"))
+    t, e = F.col(time), F.col(event)
+    # one row per distinct risk with a (case weight, control count) pair per horizon: no cross
+    # join with the horizons, one running count over risk for all of them
+    aggs = []
+    for i, h in enumerate(hs):
+        aggs.append(F.sum(F.when((t <= h) & (e == 1) & (F.col("g_t") > 0), 1.0 / F.col("g_t")).otherwise(F.lit(0.0))).alias(f"cw{i}"))
+        aggs.append(F.sum(F.when(t > h, F.lit(1.0)).otherwise(F.lit(0.0))).alias(f"kw{i}"))
+    per_risk = with_g.groupBy(F.col(risk).cast("double").alias("risk")).agg(*aggs)
+    scanned = prefix_sum(per_risk, "risk", [f"kw{i}" for i in range(len(hs))], exclusive=True)
+    tot = []
+    for i in range(len(hs)):
+        tot += [F.sum(F.col(f"cw{i}") * (F.col(f"cum_kw{i}") + 0.5 * F.col(f"kw{i}"))).alias(f"_num{i}"),
+                F.sum(f"cw{i}").alias(f"_cw{i}"), F.sum(f"kw{i}").alias(f"_kw{i}")]
+    wide = scanned.agg(*tot)
+    rows = F.array(*[F.struct(F.lit(h).alias("horizon"), F.col(f"_num{i}").alias("_num"), F.col(f"_cw{i}").alias("_cw"),
+                              F.col(f"_kw{i}").alias("_kw")) for i, h in enumerate(hs)])
+    long = wide.select(F.explode(rows).alias("_r")).select("_r.*").crossJoin(F.broadcast(max_t)) \
+        .where(F.col("horizon") < F.col("_max_t"))
+    auc = long.select("horizon", F.when((F.col("_cw") > 0) & (F.col("_kw") > 0), F.col("_num") / (F.col("_cw") * F.col("_kw")))
+                      .alias("auc"))
     km = km_curves(test, time, event).select("time", "surv")
     s_at = curve_at(km, list(horizons), "surv", "step")
     j = auc.join(F.broadcast(s_at), "horizon")

@@ -25,18 +25,33 @@ BAND = "_tte_band"
 SMALL_ROWS = 200_000  # at most this many rows go through one window partition
 
 
+_PLANS: dict = {}
+
+
 def plan_bands(df: DataFrame, order: str, k: int | None = None, small_rows: int = SMALL_ROWS,
                accuracy: int = 10000) -> list[float] | None:
-    """One action: ``None`` when ``df`` has at most ``small_rows`` rows, else the cut points."""
+    """One action: ``None`` when ``df`` has at most ``small_rows`` rows, else the cut points.
+
+    Plans are remembered per (canonical plan, key, k) within the application: any cut points give
+    the same results (they only decide the partitioning), so reuse is always safe and spares the
+    repeated planning job when several operators scan the same aggregate."""
     k = k or max(2, shuffle_partitions(df.sparkSession))
+    try:
+        memo = (df.sparkSession.sparkContext.applicationId, df._jdf.queryExecution().analyzed().semanticHash(),
+                order, k, small_rows)
+    except Exception:  # pragma: no cover - e.g. Spark Connect: just plan again
+        memo = None
+    if memo is not None and memo in _PLANS:
+        return _PLANS[memo]
     probs = [i / k for i in range(1, k)]
     row = df.agg(
         F.count(F.lit(1)).alias("n"),
         F.percentile_approx(F.col(order).cast("double"), probs, accuracy).alias("cuts"),
     ).collect()[0]
-    if row["n"] <= small_rows:
-        return None
-    return sorted(set(float(c) for c in (row["cuts"] or []) if c is not None))
+    out = None if row["n"] <= small_rows else sorted(set(float(c) for c in (row["cuts"] or []) if c is not None))
+    if memo is not None:
+        _PLANS[memo] = out
+    return out
 
 
 def band_of(order: str, cuts: Sequence[float]) -> Column:

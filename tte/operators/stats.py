@@ -50,21 +50,22 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         *by, "column", "p", (F.col("p") * (F.col("_n") - 1)).alias("_pos"),
     ).select(*by, "column", "p", "_pos",
              F.floor("_pos").cast("long").alias("_r0"), F.ceil("_pos").cast("long").alias("_r1"))
-    # order statistic of 0-based rank r: the value with _lo_rank <= r < cum_cnt
-    r0 = want.alias("w").join(
+    # the order statistics of 0-based ranks r0 and r1 are the values whose rank interval
+    # [_lo_rank, cum_cnt) holds them; one range join picks both (at most two value rows per want)
+    # ``want`` is columns x probs rows (bounded): broadcast it, so the ranked values stay spread
+    # over their partitions instead of meeting in one task per column
+    j = F.broadcast(want).alias("w").join(
         ranked.alias("a"),
         [*[F.col(f"w.{b}") == F.col(f"a.{b}") for b in by], F.col("w.column") == F.col("a.column"),
-         F.col("a._lo_rank") <= F.col("w._r0"), F.col("w._r0") < F.col("a.cum_cnt")],
-    ).select(*[F.col(f"w.{b}") for b in by], F.col("w.column"), "w.p", "w._pos", "w._r0", "w._r1",
-             F.col("a.value").alias("_v0"))
-    r1 = want.alias("w").join(
-        ranked.alias("a"),
-        [*[F.col(f"w.{b}") == F.col(f"a.{b}") for b in by], F.col("w.column") == F.col("a.column"),
-         F.col("a._lo_rank") <= F.col("w._r1"), F.col("w._r1") < F.col("a.cum_cnt")],
-    ).select(*[F.col(f"w.{b}") for b in by], F.col("w.column"), "w.p", F.col("a.value").alias("_v1"))
-    j = r0.join(r1, [*by, "column", "p"])
+         F.col("a._lo_rank") <= F.col("w._r1"), F.col("w._r0") < F.col("a.cum_cnt")],
+    )
+    hit0 = (F.col("a._lo_rank") <= F.col("w._r0")) & (F.col("w._r0") < F.col("a.cum_cnt"))
+    hit1 = (F.col("a._lo_rank") <= F.col("w._r1")) & (F.col("w._r1") < F.col("a.cum_cnt"))
+    g = j.groupBy(*[F.col(f"w.{b}").alias(b) for b in by], F.col("w.column").alias("column"), F.col("w.p").alias("p"),
+                  F.col("w._pos").alias("_pos"), F.col("w._r0").alias("_r0")).agg(
+        F.max(F.when(hit0, F.col("a.value"))).alias("_v0"), F.max(F.when(hit1, F.col("a.value"))).alias("_v1"))
     frac = F.col("_pos") - F.col("_r0")
-    return j.select(*by, "column", "p", (F.col("_v0") + (F.col("_v1") - F.col("_v0")) * frac).alias("q"))
+    return g.select(*by, "column", "p", (F.col("_v0") + (F.col("_v1") - F.col("_v0")) * frac).alias("q"))
 
 
 def corrected_skew(g1, n):
