@@ -144,3 +144,12 @@ def d7_target(spark, sf_dir):
     co = cohort_orders(spark, sf_dir)
     r = target_drift(co.where(F.col("c_mktsegment") == "BUILDING"), co.where(F.col("c_mktsegment") != "BUILDING"))
     return r.select("column", *[r6(c).alias(c) for c in ("ks", "wasserstein", "psi", "js")])
+
+
+@register("D3_drift_categorical", f"""WITH {STATS_CTE}
+SELECT b.col AS "column", round(greatest(abs(c.top_category_rate - b.top_category_rate),
+       abs(c.unique_count - b.unique_count) / greatest(b.unique_count, 1.0)), 6) AS drift
+FROM st b JOIN st c ON b.col = c.col AND b.period = 'base' AND c.period = 'current' WHERE b.kind = 'categorical'""")
+def d3_categorical(spark, sf_dir):
+    b, c = _split(_stats(spark, sf_dir))
+    return drift_scores(b, c).where(F.col("kind") == "categorical").select("column", r6("drift").alias("drift"))

@@ -228,3 +228,34 @@ def m6_bootstrap(spark, sf_dir):
     """Rows-only: percentile interval of C over 50 hashed Poisson bootstrap replicates."""
     co = with_standin(cohort_orders(spark, sf_dir))
     return bootstrap_concordance(co, "subject_id", reps=50, seed=42)
+
+
+@register("E2_bin_equal", f"""WITH {COHORT_ORDERS}, {PRED_CTE}
+SELECT horizon, {_bin_sql('surv', BINS)} AS bin, count(*) AS n FROM pred GROUP BY 1, 2""")
+def e2_bins(spark, sf_dir):
+    """Equal-width bins on the literal numpy edges (1.0 falls outside: bin 10)."""
+    from tte.operators.calibration import bin_equal
+
+    lp = standin_long(cohort_orders(spark, sf_dir))
+    return lp.groupBy("horizon", bin_equal(F.col("surv"), BINS).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("E3_interp_curve", f"""WITH {COHORT_ORDERS}, {km_ctes()},
+hz AS (SELECT CAST(h AS DOUBLE) AS horizon FROM (VALUES (100.5), (365.25), (1000.75)) t(h))
+SELECT hz.horizon, round({_gh_linear_sql('surv')}, 6) AS surv FROM hz""")
+def e3_interp(spark, sf_dir):
+    """Piecewise-linear read of the KM survival curve between curve times."""
+    from tte.operators.curves import curve_at, km_curves
+
+    cur = km_curves(cohort_orders(spark, sf_dir))
+    return curve_at(cur, [100.5, 365.25, 1000.75], "surv", "linear", clip=True).select("horizon", r6("surv").alias("surv"))
+
+
+@register("V8_bootstrap_weights")
+def v8_bootstrap(spark, sf_dir):
+    """Rows-only: hashed Poisson(1) weights for 20 replicates; per replicate the weight sum is
+    about n and the share of zero weights about e^-1."""
+    from tte.operators.metrics import bootstrap_weights
+
+    w = bootstrap_weights(cohort_orders(spark, sf_dir), "subject_id", 20, 42)
+    return w.groupBy("rep").agg(F.sum("bw").alias("total_weight"), F.avg((F.col("bw") == 0).cast("double")).alias("zero_share"))

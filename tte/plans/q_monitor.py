@@ -312,3 +312,20 @@ def n15_retrain(spark, sf_dir):
     from tte.operators.monitor import retrain_triggers
 
     return retrain_triggers(history(spark, sf_dir))
+
+
+@register("N4_trend", f"""WITH {HIST_CTE}, h AS (SELECT *, row_number() OVER (PARTITION BY model ORDER BY ts) AS i FROM hist)
+SELECT model, CASE WHEN count(concordance) < 3 THEN 'insufficient_data' WHEN coalesce(abs(corr(i, concordance)), 0) < 0.3 THEN 'stable'
+                   WHEN regr_slope(concordance, i) > 0 THEN 'improving' ELSE 'degrading' END AS c_trend,
+       CASE WHEN count(drift) < 3 THEN 'insufficient_data' WHEN coalesce(abs(corr(i, drift)), 0) < 0.3 THEN 'stable'
+            WHEN regr_slope(drift, i) < 0 THEN 'improving' ELSE 'degrading' END AS drift_trend
+FROM h GROUP BY model""")
+def n4_trend(spark, sf_dir):
+    """Trend labels of C (higher is better) and drift (lower is better) over all batches."""
+    from pyspark.sql import Window
+
+    from tte.operators.monitor import trend_label
+
+    h = history(spark, sf_dir).withColumn("_i", F.row_number().over(Window.partitionBy("model").orderBy("ts")).cast("double"))
+    return h.groupBy("model").agg(trend_label(F.col("_i"), F.col("concordance"), F.count("concordance")).alias("c_trend"),
+                                  trend_label(F.col("_i"), F.col("drift"), F.count("drift"), higher_is_better=False).alias("drift_trend"))

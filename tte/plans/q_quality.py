@@ -349,3 +349,28 @@ def q23_cleanse(spark, sf_dir):
 
     _, summary = cleanse(quality_frame(spark, sf_dir), ["l_quantity", "l_discount"])
     return summary
+
+
+@register("Q12_rule_completeness", f"""WITH {QUALITY_FRAME}
+SELECT round(sum(CASE WHEN l_discount IS NOT NULL THEN 1 ELSE 0 END) * 100.0 / count(*), 6) AS value,
+       sum(CASE WHEN l_discount IS NOT NULL THEN 1 ELSE 0 END) * 100.0 / count(*) >= 85.0 AS passed FROM qf""")
+def q12_completeness(spark, sf_dir):
+    per, _ = validate(quality_frame(spark, sf_dir), [Rule("c", "completeness", "l_discount", "error", {"min_completeness": 85.0})])
+    return per.select(r6("value").alias("value"), (F.col("status") == "passed").alias("passed"))
+
+
+@register("Q13_rule_range", f"""WITH {QUALITY_FRAME}
+SELECT CAST(sum(CASE WHEN l_quantity < 5 THEN 1 ELSE 0 END) + sum(CASE WHEN l_quantity > 45 THEN 1 ELSE 0 END) AS BIGINT) AS violations FROM qf""")
+def q13_range(spark, sf_dir):
+    per, _ = validate(quality_frame(spark, sf_dir), [Rule("r", "range", "l_quantity", "error", {"min_value": 5, "max_value": 45})])
+    return per.select("violations")
+
+
+@register("Q14_rule_categorical", f"""WITH {QUALITY_FRAME}
+SELECT CAST(sum(CASE WHEN coalesce(l_returnflag IN ('A', 'R'), false) THEN 0 ELSE 1 END) AS BIGINT) AS violations,
+       list_sort(list(DISTINCT coalesce(l_returnflag, 'null')) FILTER (WHERE NOT coalesce(l_returnflag IN ('A', 'R'), false)))[1:5] AS examples
+FROM qf""")
+def q14_categorical(spark, sf_dir):
+    """Values outside {A, R}; null counts as bad; up to five sorted examples."""
+    per, _ = validate(quality_frame(spark, sf_dir), [Rule("k", "categorical", "l_returnflag", "error", {"allowed_values": ["A", "R"]})])
+    return per.select("violations", "examples")

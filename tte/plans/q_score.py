@@ -246,3 +246,31 @@ def x9_effect(spark, sf_dir):
     m = LinearRisk(COEF)
     t = treatment_effect(cohort_orders(spark, sf_dir), m.risk, "x_bal", [0.0, 5.0])
     return t.select("value", *[r6(c).alias(c) for c in ("mean_risk", "std_risk", "effect")])
+
+
+@register("I4_survival_wide", f"""WITH {COHORT_ORDERS}
+SELECT subject_id, {', '.join(f"round(exp(-exp({RISK} - 1.5) * {h} / 1000.0), 6) AS surv_prob_{int(h)}d" for h in HORIZONS)} FROM cohort""")
+def i4_wide(spark, sf_dir):
+    """Survival array to ``surv_prob_{h}d`` columns (stand-in survival)."""
+    co = with_standin(cohort_orders(spark, sf_dir)).select("subject_id", "surv")
+    w = survival_wide(co, HORIZONS)
+    return w.select("subject_id", *[r6(f"surv_prob_{int(h)}d").alias(f"surv_prob_{int(h)}d") for h in HORIZONS])
+
+
+@register("I8_urgency", f"""WITH {STRAT_CTE}
+SELECT urgency, count(*) AS n FROM u GROUP BY urgency""")
+def i8_urgency(spark, sf_dir):
+    return _stratified(spark, sf_dir).groupBy("urgency").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("K8_survival_from_baseline", f"""WITH {BASELINE_CTE},
+s0 AS (SELECT coalesce((SELECT exp(-hazard0) FROM bl WHERE bl.time <= 365.0 ORDER BY bl.time DESC LIMIT 1), 1.0) AS s0)
+SELECT c_mktsegment, round(avg(pow(s0, exp(risk))), 6) AS mean_s365 FROM sc CROSS JOIN s0 GROUP BY c_mktsegment""")
+def k8_from_baseline(spark, sf_dir):
+    """S0(365) ^ exp(risk) averaged per segment (Breslow baseline of the fixed linear model)."""
+    from tte.operators.models.cox import survival_from_baseline
+
+    co = with_standin(cohort_orders(spark, sf_dir)).drop("surv")
+    m = LinearRisk(COEF).fit(co)
+    s = survival_from_baseline(co, m.baseline_, [365.0], F.exp(F.col("risk")))
+    return s.groupBy("c_mktsegment").agg(r6(F.avg(F.element_at("surv", 1))).alias("mean_s365"))
