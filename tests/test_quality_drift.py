@@ -82,3 +82,16 @@ def test_drift_scores(frame):
     d = {r.column: r.drift for r in drift_scores(feature_stats(a, ["v"], ["c"]), feature_stats(b, ["v"], ["c"])).collect()}
     assert d["v"] == pytest.approx(2.0 / np.std([1, 2, 3, 4], ddof=1))
     assert d["c"] == pytest.approx(1 / 3)  # max(|0.75 - 0.5|, |2 - 3| / 3)
+
+
+def test_exact_quantiles_banded_path(spark, monkeypatch):
+    from tte.operators import scan
+
+    monkeypatch.setattr(scan, "SMALL_ROWS", 0)
+    rng = np.random.default_rng(4)
+    v = rng.normal(size=3001).round(3)
+    df = spark.createDataFrame([(float(x), int(i % 2)) for i, x in enumerate(v)], "x double, g int")
+    q = {(r.g, r.p): r.q for r in exact_quantiles(df, ["x"], [0.05, 0.5, 0.95], by=["g"]).collect()}
+    for g in (0, 1):
+        for p in (0.05, 0.5, 0.95):
+            assert q[(g, p)] == pytest.approx(float(np.quantile(v[np.arange(3001) % 2 == g], p)))

@@ -108,7 +108,7 @@ def _out_schema(df: DataFrame, by: list[str]) -> T.StructType:
 
 
 def dominance(points: DataFrame, by: Sequence[str] = (), k: int | None = None, depth: int = 0,
-              keep_eq: bool = True, small_rows: int = SMALL_ROWS) -> DataFrame:
+              keep_eq: bool = True, small_rows: int | None = None) -> DataFrame:
     """Weighted dominance totals per ``by`` group over ``points(by..., xv, tie, y, w, q)``.
 
     With ``k=None`` a table of at most ``small_rows`` points is solved in one group per ``by``

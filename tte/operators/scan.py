@@ -28,7 +28,7 @@ SMALL_ROWS = 200_000  # at most this many rows go through one window partition
 _PLANS: dict = {}
 
 
-def plan_bands(df: DataFrame, order: str, k: int | None = None, small_rows: int = SMALL_ROWS,
+def plan_bands(df: DataFrame, order: str, k: int | None = None, small_rows: int | None = None,
                accuracy: int = 10000) -> list[float] | None:
     """One action: ``None`` when ``df`` has at most ``small_rows`` rows, else the cut points.
 
@@ -36,6 +36,7 @@ def plan_bands(df: DataFrame, order: str, k: int | None = None, small_rows: int
     the same results (they only decide the partitioning), so reuse is always safe and spares the
     repeated planning job when several operators scan the same aggregate."""
     k = k or max(2, shuffle_partitions(df.sparkSession))
+    small_rows = SMALL_ROWS if small_rows is None else small_rows
     try:
         memo = (df.sparkSession.sparkContext.applicationId, df._jdf.queryExecution().analyzed().semanticHash(),
                 order, k, small_rows)
@@ -74,7 +75,7 @@ def with_band(df: DataFrame, order: str, k: int | None = None, name: str = BAND,
 
 def prefix_sum(df: DataFrame, order: str, values: Sequence[str], by: Sequence[str] = (),
                prefix: str = "cum_", k: int | None = None, exclusive: bool = False,
-               small_rows: int = SMALL_ROWS) -> DataFrame:
+               small_rows: int | None = None) -> DataFrame:
     """Running sums of ``values`` in ascending ``order`` within ``by``.
 
     Rows with equal ``order`` get the same (tie-inclusive) sum; ``exclusive=True`` gives the sum
@@ -108,7 +109,7 @@ def prefix_sum(df: DataFrame, order: str, values: Sequence[str], by: Sequence[st
 
 
 def prefix_product(df: DataFrame, order: str, factors: dict[str, Column], by: Sequence[str] = (),
-                   k: int | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
+                   k: int | None = None, small_rows: int | None = None) -> DataFrame:
     """Running products (building block B2) of factor expressions in [0, 1].
 
     Each product is ``exp(sum(log f))``; factors equal to 0 are counted separately, so once one has
@@ -129,7 +130,7 @@ def prefix_product(df: DataFrame, order: str, factors: dict[str, Column], by: Se
 
 
 def carry_forward(df: DataFrame, key: Sequence[str], order: str, value: str, out: str,
-                  k: int | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
+                  k: int | None = None, small_rows: int | None = None) -> DataFrame:
     """``out`` = last non-null ``value`` at a strictly smaller ``order`` within ``key``.
 
     ``order`` must be integral (e.g. ``unix_micros(ts)``). Banded like ``prefix_sum`` so one hot
@@ -153,7 +154,7 @@ def carry_forward(df: DataFrame, key: Sequence[str], order: str, value: str, out
 
 
 def next_value(df: DataFrame, key: Sequence[str], order: str, value: str, out: str,
-               k: int | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
+               k: int | None = None, small_rows: int | None = None) -> DataFrame:
     """``out`` = first non-null ``value`` at a strictly larger ``order`` within ``key``
     (``carry_forward`` on the negated key)."""
     neg = df.withColumn("_neg_order", -F.col(order))

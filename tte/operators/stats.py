@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tte.operators.scan import prefix_sum
+from tte.operators.scan import plan_bands, prefix_sum
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -42,6 +42,12 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     by = list(by)
     long = melt(df, cols, keep=by).where(F.col("value").isNotNull() & ~F.isnan("value"))
     counts = long.groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("cnt"))
+    if plan_bands(counts, "value") is None:
+        # at most SMALL_ROWS distinct values in all: Spark's exact ``percentile`` with the counts
+        # as frequencies holds a bounded value map per column
+        agg = counts.groupBy(*by, "column").agg(F.percentile("value", [float(p) for p in probs], F.col("cnt")).alias("_qs"))
+        pz = F.arrays_zip(F.array(*[F.lit(float(p)) for p in probs]).alias("p"), F.col("_qs").alias("q"))
+        return agg.select(*by, "column", F.explode(pz).alias("_z")).select(*by, "column", "_z.p", "_z.q")
     ranked = prefix_sum(counts, "value", ["cnt"], by=[*by, "column"])  # cum_cnt = rows <= value
     ranked = ranked.withColumn("_lo_rank", F.col("cum_cnt") - F.col("cnt"))  # rows < value
     n = counts.groupBy(*by, "column").agg(F.sum("cnt").alias("_n"))
