@@ -274,3 +274,20 @@ def k8_from_baseline(spark, sf_dir):
     m = LinearRisk(COEF).fit(co)
     s = survival_from_baseline(co, m.baseline_, [365.0], F.exp(F.col("risk")))
     return s.groupBy("c_mktsegment").agg(r6(F.avg(F.element_at("surv", 1))).alias("mean_s365"))
+
+
+@register("K10_aft_survival", f"""WITH {COHORT_ORDERS}, s AS (SELECT subject_id, 7.0 - ({RISK}) AS mu FROM cohort)
+SELECT subject_id,
+  {', '.join(f"round(least(greatest(1.0 - (1.0 - exp(-exp((ln({h}) - mu) / 1.2))), 0.0), 1.0), 6) AS w{int(h)}" for h in HORIZONS)},
+  {', '.join(f"round(least(greatest(1.0 - 1.0 / (1.0 + exp(-((ln({h}) - mu) / 1.2))), 0.0), 1.0), 6) AS l{int(h)}" for h in HORIZONS)}
+FROM s""")
+def k10_aft(spark, sf_dir):
+    """AFT survival at the horizons for mu = 7 - risk, sigma = 1.2: Weibull (extreme value) and
+    log-logistic forms, clipped and made non-increasing."""
+    from tte.operators.models.aft import aft_survival
+
+    co = with_standin(cohort_orders(spark, sf_dir)).drop("surv").withColumn("mu", 7.0 - F.col("risk"))
+    w = aft_survival(co, HORIZONS, "mu", 1.2, "extreme").withColumnRenamed("surv", "sw")
+    lg = aft_survival(w, HORIZONS, "mu", 1.2, "logistic")
+    return lg.select("subject_id", *[r6(F.element_at("sw", i + 1)).alias(f"w{int(h)}") for i, h in enumerate(HORIZONS)],
+                     *[r6(F.element_at("surv", i + 1)).alias(f"l{int(h)}") for i, h in enumerate(HORIZONS)])
