@@ -45,7 +45,7 @@ def batch_metrics(df: DataFrame, models: dict[str, tuple[Column, Column]], batch
         batch, F.when(F.col("_sd0") > 0, F.greatest(F.abs(F.col("_mu") - F.col("_mu0")) / F.col("_sd0"),
                                                    F.abs(F.col("_sd") - F.col("_sd0")) / F.col("_sd0"))).otherwise(F.lit(0.0)).alias("drift"))
     out = br.join(conc, ["model", batch], "left").join(drift, batch)
-    return out.select(F.col(batch).cast("timestamp").alias("ts"), "model", "n_samples",
+    return out.select(F.col(batch).cast("timestamp_ntz").alias("ts"), "model", "n_samples",
                       F.col("c_index").alias("concordance"), "brier", "drift")
 
 

@@ -27,7 +27,8 @@ WITH {COHORT_EPISODES}
 SELECT subject_id, user_id, round(time, 6) AS time, event, x1, start_ts FROM cohort""")
 def s9_episodes(spark, sf_dir):
     c = cohort_episodes(spark, sf_dir)
-    return c.select("subject_id", "user_id", r6("time").alias("time"), "event", "x1", "start_ts")
+    return c.select("subject_id", "user_id", r6("time").alias("time"), "event", "x1",
+                    F.col("start_ts").cast("timestamp_ntz").alias("start_ts"))
 
 
 @register("K1_risk_table", f"""

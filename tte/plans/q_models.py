@@ -107,8 +107,8 @@ def p6_split(spark, sf_dir):
 @register("V1_stratified_split", f"""WITH {COHORT_ORDERS},
 c AS (SELECT count(*) AS n, sum(event) AS pos FROM cohort),
 k AS (SELECT CAST(floor(n * 0.2) AS BIGINT) AS n_test, CAST(floor(pos * 0.2) AS BIGINT) AS n_pos, n, pos FROM c)
-SELECT 'test' AS split, 1 AS event, n_pos AS n FROM k UNION ALL SELECT 'test', 0, n_test - n_pos FROM k
-UNION ALL SELECT 'train', 1, pos - n_pos FROM k UNION ALL SELECT 'train', 0, n - pos - (n_test - n_pos) FROM k""")
+SELECT 'test' AS split, 1 AS event, CAST(n_pos AS BIGINT) AS n FROM k UNION ALL SELECT 'test', 0, CAST(n_test - n_pos AS BIGINT) FROM k
+UNION ALL SELECT 'train', 1, CAST(pos - n_pos AS BIGINT) FROM k UNION ALL SELECT 'train', 0, CAST(n - pos - (n_test - n_pos) AS BIGINT) FROM k""")
 def v1_split(spark, sf_dir):
     s = stratified_split(cohort_orders(spark, sf_dir), "subject_id", "event", 0.2, 42)
     return s.groupBy("split", "event").agg(F.count(F.lit(1)).alias("n"))

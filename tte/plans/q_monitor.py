@@ -84,7 +84,7 @@ def n2_alerts(spark, sf_dir):
 @register("N3_performance_summary", f"""WITH {HIST_CTE},
 h AS (SELECT *, row_number() OVER (PARTITION BY model ORDER BY ts) AS i FROM hist
       WHERE epoch(ts) > (SELECT max(epoch(ts)) FROM hist h2 WHERE h2.model = hist.model) - 30 * 86400)
-SELECT model, count(*) AS n_observations, sum(n_samples) AS total_samples, round(avg(concordance), 6) AS c_mean,
+SELECT model, count(*) AS n_observations, CAST(sum(n_samples) AS BIGINT) AS total_samples, round(avg(concordance), 6) AS c_mean,
   round(stddev_pop(concordance), 6) AS c_std, round(min(concordance), 6) AS c_min, round(max(concordance), 6) AS c_max,
   CASE WHEN count(concordance) < 3 THEN 'insufficient_data' WHEN coalesce(abs(corr(i, concordance)), 0) < 0.3 THEN 'stable'
        WHEN regr_slope(concordance, i) > 0 THEN 'improving' ELSE 'degrading' END AS c_trend,

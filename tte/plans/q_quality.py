@@ -227,10 +227,10 @@ r AS (
   UNION ALL SELECT s_bad = 0, 'error' FROM a
   UNION ALL SELECT exp(-(qn / 6.0 * (power(m3 / power(m2, 1.5), 2) + power(m4 / (m2 * m2) - 3, 2) / 4.0)) / 2.0) > 0.05, 'warning' FROM a, mo
   UNION ALL SELECT false, 'error'),
-s AS (SELECT count(*) AS n_rules, CAST(sum(CASE WHEN ok THEN 1 ELSE 0 END) AS INT) AS n_passed,
-             CAST(sum(CASE WHEN ok THEN 0 ELSE 1 END) AS INT) AS n_failed,
-             CAST(sum(CASE WHEN NOT ok AND sev = 'error' THEN 1 ELSE 0 END) AS INT) AS n_errors,
-             CAST(sum(CASE WHEN NOT ok AND sev = 'warning' THEN 1 ELSE 0 END) AS INT) AS n_warnings FROM r)
+s AS (SELECT count(*) AS n_rules, CAST(sum(CASE WHEN ok THEN 1 ELSE 0 END) AS BIGINT) AS n_passed,
+             CAST(sum(CASE WHEN ok THEN 0 ELSE 1 END) AS BIGINT) AS n_failed,
+             CAST(sum(CASE WHEN NOT ok AND sev = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS n_errors,
+             CAST(sum(CASE WHEN NOT ok AND sev = 'warning' THEN 1 ELSE 0 END) AS BIGINT) AS n_warnings FROM r)
 SELECT *, CASE WHEN n_errors > 0 THEN 'failed' WHEN n_warnings > 0 THEN 'passed_with_warnings' ELSE 'passed' END AS overall FROM s""")
 def q16_summary(spark, sf_dir):
     _, summary = validate(quality_frame(spark, sf_dir), QF_RULES)

@@ -58,7 +58,7 @@ x AS (SELECT CASE WHEN TRY_CAST(a AS DOUBLE) = floor(TRY_CAST(a AS DOUBLE)) THEN
              TRY_CAST(b AS DOUBLE) AS b,
              CASE WHEN TRY_CAST(c AS DOUBLE) = floor(TRY_CAST(c AS DOUBLE)) THEN CAST(TRY_CAST(c AS DOUBLE) AS BIGINT) END AS c,
              CASE WHEN TRY_CAST(d AS DOUBLE) = floor(TRY_CAST(d AS DOUBLE)) THEN CAST(TRY_CAST(d AS DOUBLE) AS BIGINT) END AS d FROM t)
-SELECT count(a) AS n_a, round(sum(b), 2) AS sum_b, count(c) AS n_c, count(d) AS n_d, sum(d) AS sum_d FROM x""")
+SELECT count(a) AS n_a, round(sum(b), 2) AS sum_b, count(c) AS n_c, count(d) AS n_d, CAST(sum(d) AS BIGINT) AS sum_d FROM x""")
 def s2_types(spark, sf_dir):
     """Text columns typed by metadata: flags are not numbers (all null), discount x 100 is an
     integer only where the product has no fraction."""
