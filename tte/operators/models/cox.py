@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tte.operators.curves import curve_at
-from tte.operators.scan import prefix_sum
+from tte.operators.scan import plan_bands, prefix_sum
 
 
 def breslow_baseline(df: DataFrame, rel_risk: Column | str, time: str = "time", event: str = "event",
@@ -94,6 +94,8 @@ class CoxPH:
         pen = self.alpha / sd ** 2  # ridge on the original-scale coefficients
         pairs = [(j, k) for j in range(p) for k in range(j, p)]
         prev_ll = None
+        # the per-time table has the same keys in every Newton step: plan its bands once
+        self._plan = plan_bands(data.groupBy("_t").agg(F.count(F.lit(1)).alias("_c")).withColumn("_nt", -F.col("_t")), "_nt")
         try:
             for it in range(self.n_iter):
                 ll, grad, hess = self._derivs(data, beta, z, pairs)
@@ -132,7 +134,7 @@ class CoxPH:
             F.sum(F.col("_e") * lp).alias("elp"),
         )
         vals = ["s0"] + [f"s1_{j}" for j in range(p)] + [f"s2_{j}_{k}" for j, k in pairs]
-        rev = prefix_sum(per_t.withColumn("_nt", -F.col("_t")), "_nt", vals)
+        rev = prefix_sum(per_t.withColumn("_nt", -F.col("_t")), "_nt", vals, plan=self._plan)
         ev = rev.where(F.col("d") > 0)
         S0 = F.col("cum_s0")
         aggs = [F.sum(F.col("elp") - F.col("d") * F.log(S0)).alias("ll")]

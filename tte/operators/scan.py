@@ -73,9 +73,12 @@ def with_band(df: DataFrame, order: str, k: int | None = None, name: str = BAND,
     return df.withColumn(name, band_of(order, cuts or []))
 
 
+AUTO = "auto"
+
+
 def prefix_sum(df: DataFrame, order: str, values: Sequence[str], by: Sequence[str] = (),
                prefix: str = "cum_", k: int | None = None, exclusive: bool = False,
-               small_rows: int | None = None) -> DataFrame:
+               small_rows: int | None = None, plan=AUTO) -> DataFrame:
     """Running sums of ``values`` in ascending ``order`` within ``by``.
 
     Rows with equal ``order`` get the same (tie-inclusive) sum; ``exclusive=True`` gives the sum
@@ -83,7 +86,9 @@ def prefix_sum(df: DataFrame, order: str, values: Sequence[str], by: Sequence[st
     """
     by = list(by)
     values = list(values)
-    cuts = plan_bands(df, order, k, small_rows)
+    # ``plan``: a result of ``plan_bands`` for a table of the same keys (e.g. the previous Newton
+    # step), reused instead of planning again
+    cuts = plan_bands(df, order, k, small_rows) if plan is AUTO else plan
     part = by if cuts is None else [*by, BAND]
     src = df if cuts is None else df.withColumn(BAND, band_of(order, cuts))
     w = Window.partitionBy(*part).orderBy(order).rangeBetween(Window.unboundedPreceding, 0)
