@@ -20,7 +20,17 @@ def register(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         if name in _QUERIES:
             raise ValueError(f"duplicate query {name}")
-        _QUERIES[name] = fn
+
+        def run(spark, sf_dir):
+            from tte.session import ensure_checkpoint_dir, ship_package
+
+            ensure_checkpoint_dir(spark)
+            ship_package(spark)
+            return fn(spark, sf_dir)
+
+        run.__name__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        _QUERIES[name] = run
         if sql is not None:
             _SQL[name] = sql
         return fn

@@ -30,6 +30,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -54,3 +55,31 @@ def shuffle_partitions(spark: SparkSession) -> int:
         return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     except Exception:  # pragma: no cover
         return 200
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tte`` importable in the Python workers (the operators that run pandas code inside
+    tasks pickle functions of this package by reference). Zips the package once per application
+    and adds it with ``addPyFile``, like ``--py-files``; a no-op when already done."""
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import tte
+
+    pkg = os.path.dirname(os.path.abspath(tte.__file__))
+    root = os.path.dirname(pkg)
+    path = os.path.join(tempfile.mkdtemp(prefix="tte-pyfiles-"), "tte.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for dirpath, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _SHIPPED.add(key)
