@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tte.operators.scan import prefix_product, prefix_sum
+from tte.operators.scan import AUTO, plan_bands, prefix_product, prefix_sum
 
 CLIP_LO = 1e-8  # fixed value: censoring curve lower clip used by the weighted metrics
 
@@ -30,15 +30,18 @@ def risk_table(df: DataFrame, time: str = "time", event: str = "event", by: Sequ
         F.sum(F.when(ev == 1, w).otherwise(0)).alias("d"),
         F.sum(F.when(ev == 1, 0).otherwise(w)).alias("c"),
     ).withColumn("m", F.col("d") + F.col("c"))
-    scanned = prefix_sum(agg, "time", ["m"], by=by, exclusive=True)
+    plan = plan_bands(agg, "time")
+    scanned = prefix_sum(agg, "time", ["m"], by=by, exclusive=True, plan=plan)
     totals = agg.groupBy(*by).agg(F.sum("m").alias("_total"))
     if by:
         scanned = scanned.join(totals, on=by, how="inner")
     else:
         scanned = scanned.crossJoin(F.broadcast(totals))
-    return scanned.select(
+    out = scanned.select(
         *by, "time", (F.col("_total") - F.col("cum_m")).alias("n_at_risk"), "d", "c"
     )
+    out._tte_plan = plan  # same (by, time) keys: later scans of this table reuse the band plan
+    return out
 
 
 def _km_factor(num: Column, den: Column) -> Column:
@@ -59,7 +62,7 @@ def km_curves(df: DataFrame, time: str = "time", event: str = "event", by: Seque
     cur = prefix_product(
         rt, "time",
         {"surv": _km_factor(F.col("d"), n), "cens": _km_factor(F.col("c"), cens_den)},
-        by=by,
+        by=by, plan=getattr(rt, "_tte_plan", AUTO),
     )
     return cur
 

@@ -114,7 +114,7 @@ def prefix_sum(df: DataFrame, order: str, values: Sequence[str], by: Sequence[st
 
 
 def prefix_product(df: DataFrame, order: str, factors: dict[str, Column], by: Sequence[str] = (),
-                   k: int | None = None, small_rows: int | None = None) -> DataFrame:
+                   k: int | None = None, small_rows: int | None = None, plan=AUTO) -> DataFrame:
     """Running products (building block B2) of factor expressions in [0, 1].
 
     Each product is ``exp(sum(log f))``; factors equal to 0 are counted separately, so once one has
@@ -126,7 +126,7 @@ def prefix_product(df: DataFrame, order: str, factors: dict[str, Column], by: Se
         tmp = tmp.withColumn(f"_lg_{name}", F.when(f > 0, F.log(f)).otherwise(F.lit(0.0)))
         tmp = tmp.withColumn(f"_z_{name}", F.when(f <= 0, F.lit(1)).otherwise(F.lit(0)))
         sums += [f"_lg_{name}", f"_z_{name}"]
-    scanned = prefix_sum(tmp, order, sums, by=by, k=k, small_rows=small_rows)
+    scanned = prefix_sum(tmp, order, sums, by=by, k=k, small_rows=small_rows, plan=plan)
     outs = [
         F.when(F.col(f"cum__z_{name}") > 0, F.lit(0.0)).otherwise(F.exp(F.col(f"cum__lg_{name}"))).alias(name)
         for name in factors
