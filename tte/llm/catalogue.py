@@ -11,6 +11,7 @@ from tte.llm.decontaminate import find_leaks
 from tte.llm.mixing import mix
 from tte.llm.quality_rules import quality_rules
 from tte.llm.registry import register
+from tte.llm.suffix_dedup import repeat_digest
 
 
 @register("op1_mix_sources", sqltext.MIX)
@@ -19,6 +20,12 @@ def op1_mix_sources(spark, sf_dir) -> DataFrame:
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@register("op3_suffix_dedup")
+def op3_suffix_dedup(spark, sf_dir) -> DataFrame:
+    """Every document without the bytes of repeated 200-byte strings, as a digest."""
+    return repeat_digest(documents(spark, sf_dir))
+
+
 @register("op4_quality_rules", sqltext.QUALITY)
 def op4_quality_rules(spark, sf_dir) -> DataFrame:
     """Measures and verdict of every document."""
