@@ -9,6 +9,7 @@ from tte.llm import sqltext
 from tte.llm.common import documents
 from tte.llm.decontaminate import find_leaks
 from tte.llm.mixing import mix
+from tte.llm.near_dedup import near_duplicates
 from tte.llm.quality_rules import quality_rules
 from tte.llm.registry import register
 from tte.llm.suffix_dedup import repeat_digest
@@ -37,3 +38,9 @@ def op4_quality_rules(spark, sf_dir) -> DataFrame:
 def op5_decontaminate(spark, sf_dir) -> DataFrame:
     """Every pair of a document and a benchmark item that the document contains."""
     return find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@register("op8_near_dedup")
+def op8_near_dedup(spark, sf_dir) -> DataFrame:
+    """Every document with the class of its near copies."""
+    return near_duplicates(documents(spark, sf_dir))
