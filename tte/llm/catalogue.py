@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tte.llm import sqltext
-from tte.llm.common import documents
+from tte.llm.common import documents, fold
 from tte.llm.decontaminate import find_leaks
+from tte.llm.language_id import identify, learn
 from tte.llm.mixing import mix
 from tte.llm.near_dedup import near_duplicates
+from tte.llm.quality_model import quality_scores
 from tte.llm.quality_rules import quality_rules
 from tte.llm.registry import register
 from tte.llm.suffix_dedup import repeat_digest
@@ -44,3 +46,18 @@ def op5_decontaminate(spark, sf_dir) -> DataFrame:
 def op8_near_dedup(spark, sf_dir) -> DataFrame:
     """Every document with the class of its near copies."""
     return near_duplicates(documents(spark, sf_dir))
+
+
+@register("op9_quality_model")
+def op9_quality_model(spark, sf_dir) -> DataFrame:
+    """Quality score of every document; every fifth fold is held out."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_scores(documents(spark, sf_dir), labels, lambda key: fold(key, 5) == 0)
+
+
+@register("op10_language_id")
+def op10_language_id(spark, sf_dir) -> DataFrame:
+    """Predicted language of every document; every third fold is held out."""
+    docs = documents(spark, sf_dir)
+    model = learn(docs.where(fold("doc_id", 3) != 1))
+    return identify(docs, model).select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
