@@ -9,6 +9,7 @@ from tte.llm import sqltext
 from tte.llm.common import documents, fold
 from tte.llm.decontaminate import find_leaks
 from tte.llm.language_id import identify, learn
+from tte.llm.lm_score import lm_scores
 from tte.llm.mixing import mix
 from tte.llm.near_dedup import near_duplicates
 from tte.llm.quality_model import quality_scores
@@ -42,6 +43,12 @@ def op5_decontaminate(spark, sf_dir) -> DataFrame:
     return find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@register("op7_lm_score")
+def op7_lm_score(spark, sf_dir) -> DataFrame:
+    """Kneser-Ney and add-0.1 scores of every document; every tenth fold is held out."""
+    return lm_scores(documents(spark, sf_dir), fold("doc_id", 10) == 0)
+
+
 @register("op8_near_dedup")
 def op8_near_dedup(spark, sf_dir) -> DataFrame:
     """Every document with the class of its near copies."""
