@@ -9,6 +9,7 @@ from tte.llm import sqltext
 from tte.llm.common import documents, fold
 from tte.llm.decontaminate import find_leaks
 from tte.llm.language_id import identify, learn
+from tte.llm.license_scan import scan_licenses
 from tte.llm.lm_score import lm_scores
 from tte.llm.mixing import mix
 from tte.llm.near_dedup import near_duplicates
@@ -16,6 +17,7 @@ from tte.llm.quality_model import quality_scores
 from tte.llm.quality_rules import quality_rules
 from tte.llm.registry import register
 from tte.llm.suffix_dedup import repeat_digest
+from tte.llm.warc import read_warc, write_warc
 
 
 @register("op1_mix_sources", sqltext.MIX)
@@ -24,6 +26,13 @@ def op1_mix_sources(spark, sf_dir) -> DataFrame:
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@register("op2_warc", sqltext.WARC)
+def op2_warc(spark, sf_dir) -> DataFrame:
+    """Every page written to WARC archives and read back through their index."""
+    index = write_warc(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return read_warc(index, with_payload=False).drop("payload", "url")
+
+
 @register("op3_suffix_dedup")
 def op3_suffix_dedup(spark, sf_dir) -> DataFrame:
     """Every document without the bytes of repeated 200-byte strings, as a digest."""
@@ -43,6 +52,12 @@ def op5_decontaminate(spark, sf_dir) -> DataFrame:
     return find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@register("op6_license_scan")
+def op6_license_scan(spark, sf_dir) -> DataFrame:
+    """License phrases, labels and template coverage of every document."""
+    return scan_licenses(documents(spark, sf_dir))
+
+
 @register("op7_lm_score")
 def op7_lm_score(spark, sf_dir) -> DataFrame:
     """Kneser-Ney and add-0.1 scores of every document; every tenth fold is held out."""

@@ -25,7 +25,7 @@ def write_arrays(uri: str, *arrays: np.ndarray) -> None:
     """The arrays one after the other as raw little-endian values."""
     system, path = store(uri)
     system.create_dir(path.rpartition("/")[0], recursive=True)
-    with system.open_output_stream(path) as out:
+    with system.open_output_stream(path, compression=None) as out:
         for a in arrays:
             out.write(np.ascontiguousarray(a).data.cast("B") if a.nbytes else b"")
 
@@ -41,7 +41,7 @@ def mapped_bytes(uri: str) -> np.ndarray:
         if isinstance(system, fs.LocalFileSystem):
             _MAPPED[uri] = np.memmap(path, np.uint8, "r") if os.path.getsize(path) else np.zeros(0, np.uint8)
         else:
-            with tempfile.TemporaryFile() as copy, system.open_input_stream(path) as source:
+            with tempfile.TemporaryFile() as copy, system.open_input_stream(path, compression=None) as source:
                 while chunk := source.read(8 << 20):
                     copy.write(chunk)
                 copy.flush()

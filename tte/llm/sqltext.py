@@ -99,3 +99,19 @@ with d as (
 select doc_id, item_id, max(n)::bigint n_shingles, max(m)::bigint n_shared, max(m / n::double) containment
 from shared join n on n.id = item_id where m >= 0.8 * n group by doc_id, item_id
 """
+
+WARC = r"""
+with p as (
+  select page_id, encode(coalesce(html, '')) b from pages
+), d as (
+  select page_id, octet_length(b)::bigint n, sha1(b) h, sha256(b) s from p
+), t as (
+  select *, max(page_id) over (partition by s) top from d
+)
+select page_id, n payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + ((('0x' || substr(h, (1 + 5 * (i // 4))::int, 5))::int >> (15 - 5 * (i % 4))::int) & 31), 1)), '') payload_digest,
+       case when page_id is not distinct from top then 'response' else 'revisit' end record_type,
+       case when page_id is distinct from top then top end refers_to
+from t
+"""
