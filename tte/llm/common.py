@@ -7,15 +7,28 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tte.session import ensure_checkpoint_dir
+from tte.session import ensure_checkpoint_dir, ship_package
 
 #: Rows up to which a side with a few fixed-width columns is broadcast (checked by a count before);
 #: beyond it the same join is a shuffle join.
 BROADCAST_ROWS = 500_000
 
+#: Rows in one Arrow batch of a Python task. Texts are long, and a batch is held by the JVM and by
+#: Python at once, so the default of 10,000 rows would take hundreds of megabytes a task.
+BATCH_ROWS = 500
+
 _SCRATCH: list[str] = []
 
 
+def ready(spark: SparkSession) -> None:
+    """Prepare a session for these operators: checkpoint folder, code on the workers, small batches."""
+    ensure_checkpoint_dir(spark)
+    ship_package(spark)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder that the cluster names in ``spark.checkpoint.dir``."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:16]}"

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tte.llm.textnum import LOWER, U64, binary_column, mix64, slices
+from tte.llm.textnum import LOWER, U64, binary_column, gathered, mix64, slices
 
 GRAM = 5
 HASHES = 3
@@ -68,7 +68,7 @@ def grams(buf: np.ndarray, bounds: np.ndarray, k: int = GRAM):
 def _count_batches(k: int):
     """Per batch and language the number of documents with each n-gram."""
     def run(batches):
-        for batch in batches:
+        for batch in gathered(batches, "text", 12 << 20):
             data, offs = binary_column(batch, "text")
             lang = batch.column(batch.schema.get_field_index("lang")).dictionary_encode()
             code, names = lang.indices.to_numpy(), lang.dictionary

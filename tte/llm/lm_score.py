@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tte.llm.common import drop_frame, scratch_path, written
 from tte.llm.files import mapped_arrays, unique_name, write_arrays
-from tte.llm.textnum import LOWER, U64, binary_column, mix64, prefix_hash, range_hash, slices, word_spans
+from tte.llm.textnum import LOWER, U64, binary_column, gathered, mix64, prefix_hash, range_hash, slices, word_spans
 
 #: Words per range of the vocabulary and bigrams (before merging) per shard: what one task holds.
 SHARD_WORDS = 1_000_000
@@ -96,8 +96,7 @@ def _texts(batches):
 
 
 def _word_counts(batches):
-    held = []
-    for batch in batches:
+    for batch in gathered(batches, "text", COUNT_BYTES):
         held = [np.unique(t, return_counts=True) for *_, t, _ in _texts([batch])]
         if held:
             h, n = _summed(np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]))

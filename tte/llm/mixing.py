@@ -117,25 +117,44 @@ def _small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
-        weights: tuple[int, ...] = (3, 1, 2), share: tuple[int, int] = (3, 2), cap: int = 2,
-        carry: tuple[str, ...] = ()) -> DataFrame:
-    """How often the mix takes each row.
+def _sized(docs: DataFrame, key: str, text: str, source: str) -> DataFrame:
+    return docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"),
+                       hash60(F.col(key)).alias("h"))
 
-    Returns one row per input row: ``key, size, source_size, target, taken, repeats`` and the columns
-    in ``carry``. ``size`` is the number of words, ``taken = size * repeats``. Null texts have size 0
-    and take nothing; null sources are one source, last in the order; null keys share a hash, and so
-    do repeated keys (they are taken together); an empty table gives an empty result. Only the
-    columns named are read, so further columns cannot clash. Reruns agree: hashes come from the key."""
-    sized = written(docs.select(
-        F.col(key).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"),
-        hash60(F.col(key)).alias("h"), *[F.col(c).alias(f"carry_{c}") for c in carry]), "mix-sized")
+
+def _plan(sized: DataFrame, weights, share, cap) -> DataFrame:
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = written(source_targets(totals, weights, share, cap), "mix-targets")
-    plan = written(thresholds(sized.select("source", "size", "h"), targets), "mix-plan")
+    return written(thresholds(sized.select("source", "size", "h"), targets), "mix-plan")
+
+
+def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
+        weights: tuple[int, ...] = (3, 1, 2), share: tuple[int, int] = (3, 2), cap: int = 2) -> DataFrame:
+    """How often the mix takes each row.
+
+    Returns one row per input row: ``key, size, source_size, target, taken, repeats``. ``size`` is the
+    number of words, ``taken = size * repeats``. Null texts have size 0 and take nothing; null sources
+    are one source, last in the order; null keys share a hash, and so do repeated keys (they are taken
+    together); an empty table gives an empty result. Only the columns named are read, so further
+    columns cannot clash. Reruns agree: hashes come from the key."""
+    sized = written(_sized(docs, key, text, source), "mix-sized")
+    plan = _plan(sized, weights, share, cap)
     repeats = F.col("repeats") + F.when(F.col("h") < F.col("below"), 1).otherwise(0)
     return (sized.alias("d").join(_small(plan.alias("p")), F.expr("d.source <=> p.source"))
             .withColumn("n", F.when(F.col("size") > 0, repeats).otherwise(0).cast("long"))
             .select(F.col("doc_id").alias(key), "size", "source_size", "target",
-                    (F.col("size") * F.col("n")).alias("taken"), F.col("n").alias("repeats"),
-                    *[F.col(f"carry_{c}").alias(c) for c in carry]))
+                    (F.col("size") * F.col("n")).alias("taken"), F.col("n").alias("repeats")))
+
+
+def take_mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
+             weights: tuple[int, ...] = (3, 1, 2), share: tuple[int, int] = (3, 2), cap: int = 2) -> DataFrame:
+    """The rows that the mix takes, whole, with ``repeats`` (how often; 1 or more) as the last column,
+    in place of one of that name. The rows are as for ``mix``; they are filtered where they lie, and
+    only their sizes and hashes were gathered before."""
+    plan = _plan(written(_sized(docs, key, text, source), "mix-sized"), weights, share, cap)
+    row = docs.select(F.struct("*").alias("row"), F.col(source).alias("source"), hash60(F.col(key)).alias("h"),
+                      F.coalesce(F.col(text).rlike(WORD), F.lit(False)).alias("worded"))
+    names = [c for c in docs.columns if c != "repeats"]
+    return (row.alias("d").join(_small(plan.select("source", "repeats", "below").alias("p")), F.expr("d.source <=> p.source"))
+            .withColumn("n", (F.col("repeats") + F.when(F.col("h") < F.col("below"), 1).otherwise(0)).cast("long"))
+            .where("worded and n > 0").select(*[F.col("row")[c].alias(c) for c in names], F.col("n").alias("repeats")))

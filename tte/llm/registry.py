@@ -7,6 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
+from tte.llm.common import ready
+
 QueryFn = Callable[..., DataFrame]
 
 _QUERIES: dict[str, QueryFn] = {}
@@ -18,10 +20,7 @@ def register(name: str, sql: str | None = None):
 
     def deco(fn: QueryFn) -> QueryFn:
         def run(spark, sf_dir):
-            from tte.session import ensure_checkpoint_dir, ship_package
-
-            ensure_checkpoint_dir(spark)
-            ship_package(spark)
+            ready(spark)
             return fn(spark, sf_dir)
 
         run.__name__, run.__doc__ = fn.__name__, fn.__doc__

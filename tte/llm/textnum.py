@@ -70,6 +70,21 @@ def binary_column(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndar
     return (np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)), offs.astype(np.int64)
 
 
+def gathered(batches, name: str, limit: int):
+    """Join consecutive batches until the named column holds about ``limit`` bytes."""
+    held, size = [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        size += int(np.diff(binary_column(batch, name)[1][[0, -1]])[0])
+        if size >= limit:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def slices(offs: np.ndarray, limit: int = SLICE_BYTES):
     """Cut rows into runs of about ``limit`` bytes (at least one row each): yields ``lo, hi``."""
     lo, n = 0, len(offs) - 1
