@@ -28,18 +28,9 @@ def test_partition_count_independent(spark, frame):
     e = rng.integers(0, 2, 3000)
     df = frame(time=t, event=e)
     ref = {r.time: r.surv for r in km_curves(df).collect()}
-    from tte.operators import scan
-
     for parts in (1, 4, 37):
         spark.conf.set("spark.sql.shuffle.partitions", str(parts))
-        old = scan.SMALL_ROWS
-        got = {}
-        try:
-            scan.SMALL_ROWS = 0  # force the banded path
-            from tte.operators import curves
-            got = {r.time: r.surv for r in curves.km_curves(df).collect()}
-        finally:
-            scan.SMALL_ROWS = old
+        got = {r.time: r.surv for r in km_curves(df).collect()}
         assert got.keys() == ref.keys()
         assert all(abs(got[k] - ref[k]) < 1e-12 for k in ref)
     spark.conf.set("spark.sql.shuffle.partitions", "8")

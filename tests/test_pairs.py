@@ -90,22 +90,17 @@ def test_hot_key_third_of_rows(frame, hot):
 
 
 def test_shuffle_partition_count_independent(spark, frame):
-    """Band count comes from spark.sql.shuffle.partitions when k is not given (banded path forced)."""
-    from tte.operators import scan
-
+    """Band count comes from spark.sql.shuffle.partitions when k is not given."""
     rng = np.random.default_rng(21)
     t = rng.integers(0, 100, 2000).astype(float)
     e = rng.integers(0, 2, 2000)
     r = rng.normal(size=2000).round(2)
     df = frame(time=t, event=e, risk=r)
     ref = brute(t, e, r)
-    old = scan.SMALL_ROWS
     try:
-        scan.SMALL_ROWS = 0
         for parts in (1, 4, 37):
             spark.conf.set("spark.sql.shuffle.partitions", str(parts))
             got = concordance(df).collect()[0]
             assert (got.concordant, got.discordant, got.tied_risk, got.tied_time) == ref
     finally:
-        scan.SMALL_ROWS = old
         spark.conf.set("spark.sql.shuffle.partitions", "8")

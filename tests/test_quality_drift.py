@@ -84,10 +84,7 @@ def test_drift_scores(frame):
     assert d["c"] == pytest.approx(1 / 3)  # max(|0.75 - 0.5|, |2 - 3| / 3)
 
 
-def test_exact_quantiles_banded_path(spark, monkeypatch):
-    from tte.operators import scan
-
-    monkeypatch.setattr(scan, "SMALL_ROWS", 0)
+def test_exact_quantiles_banded_path(spark):
     rng = np.random.default_rng(4)
     v = rng.normal(size=3001).round(3)
     df = spark.createDataFrame([(float(x), int(i % 2)) for i, x in enumerate(v)], "x double, g int")

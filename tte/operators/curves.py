@@ -168,36 +168,32 @@ def ipcw_weights(df: DataFrame, horizons: Sequence[float], time: str = "time", e
 def lookup_curve(df: DataFrame, curve: DataFrame, time: str, value: str, lookup: str = "step") -> DataFrame:
     """Read ``curve`` at each row's ``time`` when the times are not curve times (other table).
 
-    Range join done as a sort: the curve rows and the subject rows are unioned, ordered by time and
-    the last curve value at or before each subject is carried forward (banded scan). For
-    ``linear`` the next curve point is carried backward as well.
+    Range join done as a sort over the distinct times of both sides: the last curve value at or before
+    each time is carried forward (banded scan; for ``linear`` the next curve point is carried backward
+    as well), and the rows read their time's value by an equi-join, whose hot times the skew join
+    splits. A null time reads a null.
     """
     from tte.operators.scan import carry_forward, next_value
 
-    cur = curve.select(
-        F.col("time").cast("double").alias("_t"),
-        F.struct(F.col("time").cast("double").alias("_t"), F.col(value).cast("double").alias("_v")).alias("_vt"),
-        F.lit(1).alias("_is_curve"),
-    )
-    rows = df.withColumn("_t", F.col(time).cast("double")).withColumn("_is_curve", F.lit(0))
-    u = rows.unionByName(cur, allowMissingColumns=True)
-    # integer key: time in micro-units, x2, +1 for subject rows, so a curve point at the same
-    # time sorts strictly before the subject and is "at or before" it
-    u = u.withColumn("_ord", F.round(F.col("_t") * 1_000_000).cast("long") * 2 + (1 - F.col("_is_curve")))
-    u = u.withColumn("_k", F.lit(0))
-    prev = carry_forward(u, ["_k"], "_ord", "_vt", "_prev")
+    point = F.struct(F.col("time").cast("double").alias("_t"), F.col(value).cast("double").alias("_v"))
+    cur = curve.where(F.col("time").isNotNull()).select(F.col("time").cast("double").alias("_t"), point.alias("_vt"))
+    asked = df.select(F.col(time).cast("double").alias("_t")).where(F.col("_t").isNotNull()).distinct()
+    u = asked.withColumn("_asked", F.lit(True)).join(cur, "_t", "full").withColumn("_k", F.lit(0))
+    prev = carry_forward(u, ["_k"], "_t", "_vt", "_prev", unique=True)
     if lookup == "linear":
-        prev = next_value(prev, ["_k"], "_ord", "_vt", "_next")
-    subj = prev.where(F.col("_is_curve") == 0)
-    pv = F.col("_prev._v")
+        prev = next_value(prev, ["_k"], "_t", "_vt", "_next", unique=True)
+    at = prev.where(F.col("_asked"))
+    last = F.coalesce(F.col("_vt"), F.col("_prev"))
+    pv, pt = last["_v"], last["_t"]
     if lookup == "step":
         v = F.coalesce(pv, F.lit(1.0))
     else:
-        nt, nv, pt = F.col("_next._t"), F.col("_next._v"), F.col("_prev._t")
+        nt, nv = F.col("_next")["_t"], F.col("_next")["_v"]
         v = (
             F.when(pv.isNull(), F.lit(1.0))
             .when(nv.isNull() | (pt == F.col("_t")), pv)
             .otherwise(pv + (nv - pv) * (F.col("_t") - pt) / (nt - pt))
         )
         v = F.least(F.greatest(v, F.lit(CLIP_LO)), F.lit(1.0))
-    return subj.select(*df.columns, v.alias(value))
+    read = at.select(F.col("_t").alias("_read_t"), v.alias("_read_v"))
+    return df.join(read, F.col(time).cast("double") == F.col("_read_t"), "left").select(*df.columns, F.col("_read_v").alias(value))

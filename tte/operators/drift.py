@@ -97,13 +97,10 @@ def quality_drift(base_metrics: DataFrame, cur_metrics: DataFrame) -> DataFrame:
                     (F.abs(F.col("c_d") - F.col("b_d")) > 2).alias("duplicate_drift"))
 
 
-def _with_next_value(counts: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Add ``_next`` = the next larger ``value`` within ``by`` (banded lead)."""
+def _with_next_value(counts: DataFrame, by: Sequence[str], plan: list[float]) -> DataFrame:
+    """Add ``_next`` = the next larger ``value`` within ``by`` (lead within the bands of ``plan``)."""
     by = list(by)
-    cuts = plan_bands(counts, "value")
-    if cuts is None:
-        return counts.withColumn("_next", F.lead("value").over(Window.partitionBy(*by).orderBy("value")))
-    b = counts.withColumn(BAND, band_of("value", cuts))
+    b = counts.withColumn(BAND, band_of("value", plan))
     local = b.withColumn("_loc_next", F.lead("value").over(Window.partitionBy(*by, BAND).orderBy("value")))
     first = b.groupBy(*by, BAND).agg(F.min("value").alias("_bmin"))
     nxt = first.select(*by, BAND, F.lead("_bmin").over(Window.partitionBy(*by).orderBy(BAND)).alias("_band_next"))
@@ -121,8 +118,9 @@ def distribution_drift(ref: DataFrame, cur: DataFrame, cols: Sequence[str], bins
     counts = u.groupBy("column", "value").agg(F.sum((F.col("_side") == 0).cast("long")).alias("nr"),
                                               F.sum((F.col("_side") == 1).cast("long")).alias("nc"))
     tot = counts.groupBy("column").agg(F.sum("nr").alias("_Nr"), F.sum("nc").alias("_Nc"))
-    cdf = prefix_sum(counts, "value", ["nr", "nc"], by=["column"]).join(F.broadcast(tot), "column")
-    cdf = _with_next_value(cdf, ["column"])
+    plan = plan_bands(counts, "value")
+    cdf = prefix_sum(counts, "value", ["nr", "nc"], by=["column"], plan=plan).join(F.broadcast(tot), "column")
+    cdf = _with_next_value(cdf, ["column"], plan)
     d = F.col("cum_nr") / F.col("_Nr") - F.col("cum_nc") / F.col("_Nc")
     ks_w = cdf.groupBy("column").agg(F.max(F.abs(d)).alias("ks"),
                                      F.sum(F.when(F.col("_next").isNotNull(), F.abs(d) * (F.col("_next") - F.col("value")))

@@ -113,29 +113,34 @@ def permutation_shift(df: DataFrame, id_col: str, score_fn, features: Sequence[s
     return out.groupBy("feature").agg(F.avg("shift").alias("shift"))
 
 
-def counterfactual_search(df: DataFrame, id_col: str, score_fn, ranges: dict[str, float], target: float,
-                          n_draws: int = 50, max_dist: float = 1.0, metric: str = "l2", seed: int = 42) -> DataFrame:
-    """Random search per subject: each draw moves every feature by U(-.2, .2) x range (hashed
-    uniforms of (id, draw, feature, seed)); keep draws within ``max_dist`` (L2 or L1 over the
-    relative moves) and pick the one whose risk is closest to ``target`` (``min_by`` per subject).
-    Subjects with risk above the median are searched."""
+def counterfactual_search(df: DataFrame, id_col: str, score_fn, bounds: dict[str, tuple[float, float]], target: float,
+                          n_draws: int = 50, max_dist: float = 1.0, metric: str = "l2", seed: int = 42,
+                          n: int | None = None) -> DataFrame:
+    """Random search per subject: each draw moves every feature by U(-.2, .2) x its range (hashed
+    uniforms of (id, draw, feature, seed)) and stays within its ``bounds`` ``(lo, hi)``; keep draws
+    within ``max_dist`` (L2 or L1 over the relative moves made) and pick the one whose risk is closest
+    to ``target`` (``min_by`` per subject). Subjects with risk above the median are searched; ``n``
+    asks for that many of them, those with the smallest id hashes."""
     scored = score_fn(df)
     med = scored.agg(F.percentile_approx("risk", 0.5, 10000).alias("_med"))
     subj = scored.crossJoin(F.broadcast(med)).where(F.col("risk") > F.col("_med")).drop("_med", "risk")
+    if n is not None:
+        subj = subj.orderBy(F.xxhash64(F.col(id_col), F.lit(seed)), id_col).limit(n)
     x = subj.select("*", F.explode(F.sequence(F.lit(1), F.lit(n_draws))).alias("draw"))
-    moves = {}
-    for i, (f, rng) in enumerate(ranges.items()):
-        u = (F.pmod(F.xxhash64(F.col(id_col), F.col("draw"), F.lit(i), F.lit(seed)), F.lit(1 << 30)).cast("double") / float(1 << 30))
-        moves[f] = (u * 0.4 - 0.2)
-        x = x.withColumn(f"_orig_{f}", F.col(f)).withColumn(f, F.col(f) + moves[f] * float(rng))
+    moves = []
+    for i, (f, (lo, hi)) in enumerate(bounds.items()):
+        u = F.pmod(F.xxhash64(F.col(id_col), F.col("draw"), F.lit(i), F.lit(seed)), F.lit(1 << 30)).cast("double") / float(1 << 30)
+        moved = F.least(F.greatest(F.col(f) + (u * 0.4 - 0.2) * float(hi - lo), F.lit(float(lo))), F.lit(float(hi)))
+        x = x.withColumn(f"_orig_{f}", F.col(f)).withColumn(f, moved)
+        moves.append((F.col(f) - F.col(f"_orig_{f}")) / float(hi - lo))
     if metric == "l2":
-        dist = F.sqrt(sum((moves[f] * moves[f] for f in ranges), F.lit(0.0)))
+        dist = F.sqrt(sum((m * m for m in moves), F.lit(0.0)))
     else:
-        dist = sum((F.abs(moves[f]) for f in ranges), F.lit(0.0))
+        dist = sum((F.abs(m) for m in moves), F.lit(0.0))
     x = x.withColumn("distance", dist).where(F.col("distance") <= max_dist)
     s = score_fn(x).withColumn("_gap", F.abs(F.col("risk") - F.lit(float(target))))
-    best = s.groupBy(id_col).agg(F.min_by(F.struct("draw", "risk", "distance", *[f for f in ranges],
-                                                   *[f"_orig_{f}" for f in ranges]), F.struct("_gap", "draw")).alias("_b"))
+    best = s.groupBy(id_col).agg(F.min_by(F.struct("draw", "risk", "distance", *bounds, *[f"_orig_{f}" for f in bounds]),
+                                          F.struct("_gap", "draw")).alias("_b"))
     return best.select(id_col, "_b.*")
 
 

@@ -11,6 +11,7 @@ the p x p system is solved. Features are centred and scaled inside; the ridge pe
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 import numpy as np
@@ -71,6 +72,8 @@ class CoxPH:
         self.baseline_: DataFrame | None = None
         self.loglik_: float | None = None
         self.n_iter_: int = 0
+        self.converged_ = False
+        self.n_excluded_ = 0
 
     def _lp(self, coef: np.ndarray, cols: Sequence[str]) -> Column:
         expr = F.lit(0.0)
@@ -90,6 +93,8 @@ class CoxPH:
             F.col(self.time).cast("double").alias("_t"), F.col(self.event).cast("double").alias("_e"),
             *[((F.col(c).cast("double") - float(mu[i])) / float(sd[i])).alias(z[i]) for i, c in enumerate(self.features)],
         ).dropna().persist()
+        # rows without a time, event or feature cannot enter a risk set: their number is reported
+        self.n_excluded_ = df.count() - data.count()
         beta = (np.asarray(init, float) * sd) if init is not None else np.zeros(p)
         pen = self.alpha / sd ** 2  # ridge on the original-scale coefficients
         pairs = [(j, k) for j in range(p) for k in range(j, p)]
@@ -111,11 +116,14 @@ class CoxPH:
                 beta = beta + step
                 self.n_iter_ = it + 1
                 if prev_ll is not None and abs(ll - prev_ll) < self.tol * max(1.0, abs(ll)) and np.max(np.abs(step)) < 1e-6:
+                    self.converged_ = True
                     break
                 prev_ll = ll
             self.loglik_ = prev_ll
         finally:
             data.unpersist()
+        if not self.converged_:
+            warnings.warn(f"Cox fit stopped after {self.n_iter} steps without converging", stacklevel=2)
         self.coef_ = beta / sd
         self.intercept_shift_ = float(np.dot(self.coef_, mu))
         self.baseline_ = breslow_baseline(self.risk(df), F.exp(F.col("risk")), self.time, self.event)
@@ -124,6 +132,9 @@ class CoxPH:
     def _derivs(self, data: DataFrame, beta: np.ndarray, z: list[str], pairs):
         p = len(z)
         lp = self._lp(beta, z)
+        # the weights only enter as ratios within a risk set: shift the largest to 1, so none overflows
+        top = float(data.agg(F.max(lp)).first()[0] or 0.0) if np.any(beta) else 0.0
+        lp = lp - F.lit(top)
         w = F.exp(lp)
         per_t = data.groupBy("_t").agg(
             F.sum(w).alias("s0"),

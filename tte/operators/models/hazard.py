@@ -16,12 +16,13 @@ from pyspark.sql import functions as F
 def person_period(df: DataFrame, edges: Sequence[float], time: str = "time", event: str = "event") -> DataFrame:
     """L3: one row per subject and interval (edges[k-1], edges[k]] the subject is at risk in;
     ``target`` = 1 when the event falls in that interval. Adds ``interval`` (1-based) and
-    ``interval_start``. Rows per subject are bounded by the number of edges."""
+    ``interval_start``. A subject with time 0 is at risk at the start of the first interval and has one
+    row there. Rows per subject are bounded by the number of edges."""
     e = [float(x) for x in edges]
     starts = F.array(*[F.lit(v) for v in [0.0] + e[:-1]])
     ends = F.array(*[F.lit(v) for v in e])
     x = df.select("*", F.posexplode(F.arrays_zip(starts.alias("s"), ends.alias("e"))).alias("_k", "_iv"))
-    x = x.where(F.col(time) > F.col("_iv.s"))
+    x = x.where((F.col(time) > F.col("_iv.s")) | ((F.col(time) == 0) & (F.col("_k") == 0)))
     tgt = ((F.col(event) == 1) & (F.col(time) <= F.col("_iv.e"))).cast("double")
     return x.select(*df.columns, (F.col("_k") + 1).alias("interval"), F.col("_iv.s").alias("interval_start"), tgt.alias("target"))
 

@@ -126,6 +126,13 @@ def retain_last(history: DataFrame, n: int = 1000) -> DataFrame:
     return history.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
+def rule_is_met(v: Column) -> Column:
+    """Whether a value meets the rule's ``condition`` and ``threshold`` columns."""
+    c, t = F.col("condition"), F.col("threshold")
+    return (F.when(c == ">", v > t).when(c == "<", v < t).when(c == ">=", v >= t).when(c == "<=", v <= t)
+            .when(c == "==", F.abs(v - t) < 1e-6).when(c == "!=", F.abs(v - t) >= 1e-6).otherwise(F.lit(False)))
+
+
 def evaluate_rules(metrics: DataFrame, rules: DataFrame) -> DataFrame:
     """Rules ``(rule_id, metric, condition, threshold, severity, enabled)`` against long
     metrics ``(metric, value)``. ``==`` / ``!=`` compare within 1e-6; a metric that is missing gives
@@ -133,10 +140,7 @@ def evaluate_rules(metrics: DataFrame, rules: DataFrame) -> DataFrame:
     r = rules.where(F.col("enabled"))
     j = r.join(metrics, "metric", "left")
     v = F.when(F.col("value").isNull() & F.col("metric").startswith("outlier_count_"), F.lit(0.0)).otherwise(F.col("value"))
-    c, t = F.col("condition"), F.col("threshold")
-    met = (F.when(c == ">", v > t).when(c == "<", v < t).when(c == ">=", v >= t).when(c == "<=", v <= t)
-           .when(c == "==", F.abs(v - t) < 1e-6).when(c == "!=", F.abs(v - t) >= 1e-6).otherwise(F.lit(False)))
-    return j.where(v.isNotNull() & met).select("rule_id", "metric", v.alias("value"), "threshold", "severity",
+    return j.where(v.isNotNull() & rule_is_met(v)).select("rule_id", "metric", v.alias("value"), "threshold", "severity",
                                                F.lit("active").alias("status"))
 
 

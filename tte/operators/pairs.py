@@ -26,8 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tte.operators.scan import SMALL_ROWS, band_of, plan_bands, prefix_sum
-from tte.session import shuffle_partitions
+from tte.operators.scan import band_of, plan_bands, prefix_sum
 
 
 def dominance_counts(item_key: np.ndarray, item_y: np.ndarray, item_w: np.ndarray,
@@ -108,26 +107,21 @@ def _out_schema(df: DataFrame, by: list[str]) -> T.StructType:
 
 
 def dominance(points: DataFrame, by: Sequence[str] = (), k: int | None = None, depth: int = 0,
-              keep_eq: bool = True, small_rows: int | None = None) -> DataFrame:
+              keep_eq: bool = True) -> DataFrame:
     """Weighted dominance totals per ``by`` group over ``points(by..., xv, tie, y, w, q)``.
 
-    With ``k=None`` a table of at most ``small_rows`` points is solved in one group per ``by``
-    (bounded); larger tables, or an explicit ``k > 1``, use the three-part band split.
+    The points are split into bands of time and of risk at every size; the number of bands follows
+    the number of points (``plan_bands``), or is ``k``. The cells of the bands are split once more,
+    and theirs, at most about ``k`` times ``k``, are solved in one group per ``by``.
     """
     by = list(by)
-    cuts_t = None
-    if k is None and depth == 0:
-        cuts_t = plan_bands(points, "xv", None, small_rows)
-        k = 1 if cuts_t is None else max(2, shuffle_partitions(points.sparkSession))
-    k = k or 1
-    if k <= 1 or depth >= 2:
+    if depth >= 2:
         kb = by if by else ["_all"]
         src = points if by else points.withColumn("_all", F.lit(0))
         res = src.groupBy(*kb).applyInPandas(_kernel(kb, keep_eq), _out_schema(src, kb))
         return res if by else res.drop("_all")
-    if cuts_t is None:
-        cuts_t = plan_bands(points, "xv", k, small_rows=0)
-    cuts_r = plan_bands(points, "y", k, small_rows=0)
+    cuts_t, cuts_r = plan_bands(points, "xv", k), plan_bands(points, "y", k)
+    k = max(len(cuts_t), len(cuts_r)) + 1
     pts = points.withColumn("_tb", band_of("xv", cuts_t)).withColumn("_rb", band_of("y", cuts_r))
     # A: pairs with different times inside one time band: exact kernel per band, strict in time.
     # Single-valued (odd) bands have no such pair and are left out, so a hot time never forms a
@@ -152,7 +146,7 @@ def dominance(points: DataFrame, by: Sequence[str] = (), k: int | None = None, d
         *by, F.col("_tb").cast("double").alias("xv"), F.lit(0).alias("tie"),
         F.col("_rb").cast("double").alias("y"), "w", "q",
     )
-    k2 = max(1, int(np.ceil(np.sqrt(k))))
+    k2 = max(2, int(np.ceil(np.sqrt(k))))
     parts.append(dominance(cells, by, k2, depth + 1, keep_eq=False))
     allp = parts[0]
     for p_ in parts[1:]:

@@ -1,15 +1,13 @@
 """Ordered scans without an unbounded single-partition window (building blocks B1, B2).
 
 Spark has no distributed running sum: ``Window.orderBy`` with no ``partitionBy`` pulls every row
-into one task. Every scan here first runs one small action on its (usually pre-aggregated) input:
-the row count and ``k - 1`` approximate quantiles of the ordering key.
-
-* count <= ``SMALL_ROWS``: the table is proven small, so a plain window (partitioned by ``by``
-  only) runs it.
-* otherwise the key is cut into value bands (equal keys always share a band, and a retry gives
-  the same bands because the cut points are literals in the plan), the window runs inside each
-  ``(by, band)`` partition, and per-band offsets come from the band totals, a table of at most
-  ``|by| x k`` rows.
+into one task. Every scan here first runs one small action on its (usually pre-aggregated) input: the
+row count and approximate quantiles of the ordering key. The key is cut into value bands (equal keys
+always share a band, and a retry gives the same bands because the cut points are literals in the
+plan), the window runs inside each ``(by, band)`` partition, and per-band offsets come from the band
+totals, a table of at most ``|by| x k`` rows. The plan is the same at every size; only the number of
+bands follows the number of rows (``BAND_ROWS`` in each, and at least as many as the session has
+shuffle partitions).
 """
 
 from __future__ import annotations
@@ -22,63 +20,56 @@ from pyspark.sql import functions as F
 from tte.session import shuffle_partitions
 
 BAND = "_tte_band"
-SMALL_ROWS = 200_000  # at most this many rows go through one window partition
-
-
-_PLANS: dict = {}
-
-
-def plan_bands(df: DataFrame, order: str, k: int | None = None, small_rows: int | None = None,
-               accuracy: int = 10000) -> list[float] | None:
-    """One action: ``None`` when ``df`` has at most ``small_rows`` rows, else the cut points.
-
-    Plans are remembered per (canonical plan, key, k) within the application: any cut points give
-    the same results (they only decide the partitioning), so reuse is always safe and spares the
-    repeated planning job when several operators scan the same aggregate."""
-    k = k or max(2, shuffle_partitions(df.sparkSession))
-    small_rows = SMALL_ROWS if small_rows is None else small_rows
-    try:
-        memo = (df.sparkSession.sparkContext.applicationId, df._jdf.queryExecution().analyzed().semanticHash(),
-                order, k, small_rows)
-    except Exception:  # pragma: no cover - e.g. Spark Connect: just plan again
-        memo = None
-    if memo is not None and memo in _PLANS:
-        return _PLANS[memo]
-    probs = [i / k for i in range(1, k)]
-    row = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx(F.col(order).cast("double"), probs, accuracy).alias("cuts"),
-    ).collect()[0]
-    out = None if row["n"] <= small_rows else sorted(set(float(c) for c in (row["cuts"] or []) if c is not None))
-    if memo is not None:
-        _PLANS[memo] = out
-    return out
+BAND_ROWS = 100_000
+MAX_BANDS = 4096
+
+
+def plan_bands(df: DataFrame, order: str, k: int | None = None, accuracy: int = 10000) -> list[float]:
+    """Cut points of the bands, from one action (two when the table needs more bands than the session
+    has shuffle partitions). Scans of tables with the same keys can share a plan: pass it on."""
+    def cuts_for(bands: int):
+        row = df.agg(
+            F.count(F.lit(1)).alias("n"),
+            F.percentile_approx(F.col(order).cast("double"), [i / bands for i in range(1, bands)], accuracy).alias("cuts"),
+        ).collect()[0]
+        return row["n"], sorted({float(c) for c in (row["cuts"] or []) if c is not None})
+
+    bands = k or max(2, shuffle_partitions(df.sparkSession))
+    if bands < 2:
+        return []
+    n, cuts = cuts_for(bands)
+    wanted = min(MAX_BANDS, -(-n // BAND_ROWS))
+    return cuts_for(wanted)[1] if k is None and wanted > bands else cuts
 
 
 def band_of(order: str, cuts: Sequence[float]) -> Column:
     """Band id, monotone in the key: 2 x (cut points strictly below the key), plus 1 when the key
     equals a cut point. A hot key spans several quantiles, so it is a cut point and gets an odd
-    band of its own (single-valued); keys between cut points share the even bands."""
+    band of its own (single-valued); keys between cut points share the even bands.
+
+    Looked up in two steps, among every m-th cut point and then among the m that follow it, so a row
+    costs about twice the square root of the number of cut points."""
     key = F.col(order).cast("double")
     if not cuts:
         return F.lit(0)
-    arr = F.array(*[F.lit(float(c)) for c in cuts])
-    return F.size(F.filter(arr, lambda c: c < key)) * 2 + F.array_contains(arr, key).cast("int")
+    m = max(1, int(len(cuts) ** 0.5))
+    literals = lambda xs: F.array(*[F.lit(float(c)) for c in xs])
+    below = lambda xs: F.size(F.filter(xs, lambda c: c < key))
+    coarse = below(literals(cuts[m - 1:: m])) * m
+    near = F.slice(literals(cuts), coarse + 1, m)
+    return (coarse + below(near)) * 2 + F.array_contains(near, key).cast("int")
 
 
-def with_band(df: DataFrame, order: str, k: int | None = None, name: str = BAND,
-              small_rows: int = 0) -> DataFrame:
-    """Add a band column on ``order`` with about ``k`` value bands (always banded by default)."""
-    cuts = plan_bands(df, order, k, small_rows=small_rows)
-    return df.withColumn(name, band_of(order, cuts or []))
+def with_band(df: DataFrame, order: str, k: int | None = None, name: str = BAND) -> DataFrame:
+    """Add a band column on ``order`` with about ``k`` value bands."""
+    return df.withColumn(name, band_of(order, plan_bands(df, order, k)))
 
 
 AUTO = "auto"
 
 
 def prefix_sum(df: DataFrame, order: str, values: Sequence[str], by: Sequence[str] = (),
-               prefix: str = "cum_", k: int | None = None, exclusive: bool = False,
-               small_rows: int | None = None, plan=AUTO) -> DataFrame:
+               prefix: str = "cum_", k: int | None = None, exclusive: bool = False, plan=AUTO) -> DataFrame:
     """Running sums of ``values`` in ascending ``order`` within ``by``.
 
     Rows with equal ``order`` get the same (tie-inclusive) sum; ``exclusive=True`` gives the sum
@@ -88,25 +79,20 @@ def prefix_sum(df: DataFrame, order: str, values: Sequence[str], by: Sequence[st
     values = list(values)
     # ``plan``: a result of ``plan_bands`` for a table of the same keys (e.g. the previous Newton
     # step), reused instead of planning again
-    cuts = plan_bands(df, order, k, small_rows) if plan is AUTO else plan
-    part = by if cuts is None else [*by, BAND]
-    src = df if cuts is None else df.withColumn(BAND, band_of(order, cuts))
+    cuts = plan_bands(df, order, k) if plan is AUTO else plan
+    part = [*by, BAND]
+    src = df.withColumn(BAND, band_of(order, cuts))
     w = Window.partitionBy(*part).orderBy(order).rangeBetween(Window.unboundedPreceding, 0)
     wt = Window.partitionBy(*part, order)
     local = src.select("*", *[F.sum(v).over(w).alias(f"_loc_{v}") for v in values],
                        *([F.sum(v).over(wt).alias(f"_tie_{v}") for v in values] if exclusive else []))
-    if cuts is None:
-        out = local
-        off = {v: F.lit(0) for v in values}
-    else:
-        totals = src.groupBy(*part).agg(*[F.sum(v).alias(f"_tot_{v}") for v in values])
-        wb = Window.partitionBy(*by).orderBy(BAND).rowsBetween(Window.unboundedPreceding, -1)
-        offsets = totals.select(*part, *[F.sum(f"_tot_{v}").over(wb).alias(f"_off_{v}") for v in values])
-        out = local.join(offsets, on=part, how="inner")
-        off = {v: F.coalesce(F.col(f"_off_{v}"), F.lit(0)) for v in values}
+    totals = src.groupBy(*part).agg(*[F.sum(v).alias(f"_tot_{v}") for v in values])
+    wb = Window.partitionBy(*by).orderBy(BAND).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*part, *[F.sum(f"_tot_{v}").over(wb).alias(f"_off_{v}") for v in values])
+    out = local.join(offsets, on=part, how="inner")
     exprs = []
     for v in values:
-        running = F.col(f"_loc_{v}") + off[v]
+        running = F.col(f"_loc_{v}") + F.coalesce(F.col(f"_off_{v}"), F.lit(0))
         if exclusive:
             running = running - F.col(f"_tie_{v}")
         exprs.append(running.alias(prefix + v))
@@ -114,7 +100,7 @@ def prefix_sum(df: DataFrame, order: str, values: Sequence[str], by: Sequence[st
 
 
 def prefix_product(df: DataFrame, order: str, factors: dict[str, Column], by: Sequence[str] = (),
-                   k: int | None = None, small_rows: int | None = None, plan=AUTO) -> DataFrame:
+                   k: int | None = None, plan=AUTO) -> DataFrame:
     """Running products (building block B2) of factor expressions in [0, 1].
 
     Each product is ``exp(sum(log f))``; factors equal to 0 are counted separately, so once one has
@@ -126,7 +112,7 @@ def prefix_product(df: DataFrame, order: str, factors: dict[str, Column], by: Se
         tmp = tmp.withColumn(f"_lg_{name}", F.when(f > 0, F.log(f)).otherwise(F.lit(0.0)))
         tmp = tmp.withColumn(f"_z_{name}", F.when(f <= 0, F.lit(1)).otherwise(F.lit(0)))
         sums += [f"_lg_{name}", f"_z_{name}"]
-    scanned = prefix_sum(tmp, order, sums, by=by, k=k, small_rows=small_rows, plan=plan)
+    scanned = prefix_sum(tmp, order, sums, by=by, k=k, plan=plan)
     outs = [
         F.when(F.col(f"cum__z_{name}") > 0, F.lit(0.0)).otherwise(F.exp(F.col(f"cum__lg_{name}"))).alias(name)
         for name in factors
@@ -134,21 +120,19 @@ def prefix_product(df: DataFrame, order: str, factors: dict[str, Column], by: Se
     return scanned.select(*df.columns, *outs)
 
 
-def carry_forward(df: DataFrame, key: Sequence[str], order: str, value: str, out: str,
-                  k: int | None = None, small_rows: int | None = None) -> DataFrame:
+def carry_forward(df: DataFrame, key: Sequence[str], order: str, value: str, out: str, k: int | None = None,
+                  unique: bool = False) -> DataFrame:
     """``out`` = last non-null ``value`` at a strictly smaller ``order`` within ``key``.
 
-    ``order`` must be integral (e.g. ``unix_micros(ts)``). Banded like ``prefix_sum`` so one hot
+    ``order`` must be integral (e.g. ``unix_micros(ts)``), or, of any number type, ``unique`` in ``key``. Banded like ``prefix_sum`` so one hot
     key is spread over ``k`` tasks; the value carried into a band comes from the band-level table.
     """
     key = list(key)
-    cuts = plan_bands(df, order, k, small_rows)
-    part = key if cuts is None else [*key, BAND]
-    src = df if cuts is None else df.withColumn(BAND, band_of(order, cuts))
-    w = Window.partitionBy(*part).orderBy(order).rangeBetween(Window.unboundedPreceding, -1)
+    part = [*key, BAND]
+    src = df.withColumn(BAND, band_of(order, plan_bands(df, order, k)))
+    w = Window.partitionBy(*part).orderBy(order)
+    w = w.rowsBetween(Window.unboundedPreceding, -1) if unique else w.rangeBetween(Window.unboundedPreceding, -1)
     local = src.withColumn("_loc", F.last(value, ignorenulls=True).over(w))
-    if cuts is None:
-        return local.select(*df.columns, F.col("_loc").alias(out))
     band_last = src.groupBy(*part).agg(
         F.max_by(F.col(value), F.when(F.col(value).isNotNull(), F.col(order))).alias("_blast")
     )
@@ -158,10 +142,10 @@ def carry_forward(df: DataFrame, key: Sequence[str], order: str, value: str, out
     return res.select(*df.columns, F.coalesce(F.col("_loc"), F.col("_carry")).alias(out))
 
 
-def next_value(df: DataFrame, key: Sequence[str], order: str, value: str, out: str,
-               k: int | None = None, small_rows: int | None = None) -> DataFrame:
+def next_value(df: DataFrame, key: Sequence[str], order: str, value: str, out: str, k: int | None = None,
+               unique: bool = False) -> DataFrame:
     """``out`` = first non-null ``value`` at a strictly larger ``order`` within ``key``
     (``carry_forward`` on the negated key)."""
     neg = df.withColumn("_neg_order", -F.col(order))
-    res = carry_forward(neg, key, "_neg_order", value, out, k, small_rows)
+    res = carry_forward(neg, key, "_neg_order", value, out, k, unique)
     return res.drop("_neg_order")

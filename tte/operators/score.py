@@ -39,16 +39,16 @@ def score_batch(df: DataFrame, model, horizons: Sequence[float]) -> DataFrame:
 
 def risk_percentile(df: DataFrame, reference: DataFrame, risk: str = "risk") -> DataFrame:
     """``risk_percentile`` = 100 x share of reference risks <= the row's risk, and ``ecdf`` the
-    same share in [0, 1]. Both sides are unioned by risk and the reference rows are counted with
-    the banded running sum; no reference sample is collected."""
+    same share in [0, 1]. Both sides are reduced to their distinct risks first; the banded running sum
+    counts the reference rows over those, and each row reads its risk's share by an equi-join."""
     n_ref = reference.agg(F.count(F.lit(1)).alias("_nref"))
-    ref = reference.select(F.col(risk).cast("double").alias("_r"), F.lit(1).alias("_isref"))
-    rows = df.withColumn("_r", F.col(risk).cast("double")).withColumn("_isref", F.lit(0))
-    u = rows.unionByName(ref, allowMissingColumns=True)
-    scanned = prefix_sum(u, "_r", ["_isref"])
-    out = scanned.where(F.col("_isref") == 0).crossJoin(F.broadcast(n_ref))
-    ecdf = F.col("cum__isref") / F.col("_nref")
-    return out.select(*df.columns, ecdf.alias("ecdf"), (ecdf * 100.0).alias("risk_percentile"))
+    risks = (reference.select(F.col(risk).cast("double").alias("_r"), F.lit(1).alias("_isref"))
+             .unionByName(df.select(F.col(risk).cast("double").alias("_r"), F.lit(0).alias("_isref"))))
+    counts = risks.groupBy("_r").agg(F.sum("_isref").alias("_n"))
+    ecdf = F.col("cum__n") / F.col("_nref")
+    read = prefix_sum(counts, "_r", ["_n"]).crossJoin(F.broadcast(n_ref)).select("_r", ecdf.alias("ecdf"))
+    return (df.join(read, F.col(risk).cast("double").eqNullSafe(F.col("_r")))
+            .select(*df.columns, "ecdf", (F.col("ecdf") * 100.0).alias("risk_percentile")))
 
 
 def category_by_thresholds(value: Column, thresholds=INFERENCE_THRESHOLDS, otherwise: str = "very_high") -> Column:

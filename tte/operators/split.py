@@ -5,21 +5,31 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tte.operators.scan import prefix_sum
+from tte.operators.scan import BAND_ROWS, prefix_sum
+from tte.session import shuffle_partitions
 
 
 def hashed_rank(df: DataFrame, id_col: str, seed: int, by: Sequence[str] = ()) -> DataFrame:
-    """Adds ``_rank`` (1-based) of each row in the order of ``xxhash64(id, seed)`` within ``by``.
+    """Adds ``_rank``, 1 to n without gaps or repeats, in the order of ``xxhash64(id, seed)`` within
+    ``by``; equal hashes are ordered by the id, and rows that repeat an id by a hash of the whole row.
 
-    Exact ties of the 64-bit hash would share a rank; the id breaks them through a second hash.
-    """
-    h = df.withColumn("_h", F.xxhash64(F.col(id_col), F.lit(seed)).cast("double") +
-                      F.pmod(F.xxhash64(F.col(id_col), F.lit(seed + 1)), F.lit(1000)).cast("double") / 1e4)
-    r = prefix_sum(h.withColumn("_one", F.lit(1)), "_h", ["_one"], by=list(by))
-    return r.withColumnRenamed("cum__one", "_rank").drop("_one", "_h")
+    The hash stays a 64-bit number: its high bits cut the rows into buckets of about ``BAND_ROWS``, a
+    window numbers each bucket, and bucket offsets come from the bucket counts."""
+    by = list(by)
+    n = df.count()
+    bits = max(1, max(shuffle_partitions(df.sparkSession), -(-n // BAND_ROWS)).bit_length())
+    h = df.withColumn("_h", F.xxhash64(F.col(id_col), F.lit(seed))).withColumn("_hb", F.shiftright("_h", 64 - bits))
+    order = Window.partitionBy(*by, "_hb").orderBy("_h", id_col, F.xxhash64(*df.columns))
+    counts = h.groupBy(*by, "_hb").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*by).orderBy("_hb").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*[F.col(c).alias(f"_by_{i}") for i, c in enumerate(by)], F.col("_hb").alias("_ob"),
+                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    same = [F.col(c).eqNullSafe(F.col(f"_by_{i}")) for i, c in enumerate(by)] + [F.col("_hb") == F.col("_ob")]
+    numbered = h.withColumn("_row", F.row_number().over(order))
+    return numbered.join(offsets, same).select(*df.columns, (F.col("_row") + F.col("_before")).cast("long").alias("_rank"))
 
 
 def stratified_split(df: DataFrame, id_col: str, event: str = "event", test_size: float = 0.2,
@@ -46,11 +56,13 @@ def kfold(df: DataFrame, id_col: str, k: int = 5, seed: int = 42, stratify: str
 
 def contiguous_folds(df: DataFrame, order: str, k: int = 5) -> DataFrame:
     """V3: fold i holds the rows with 0-based rank in [i n / k, (i + 1) n / k) of ``order``
-    (ties in ``order`` share a rank, hence a fold)."""
-    n = df.count()
-    r = prefix_sum(df.withColumn("_one", F.lit(1)), order, ["_one"], exclusive=True)
-    return r.withColumn("fold", F.least(F.floor(F.col("cum__one") * k / F.lit(n)), F.lit(k - 1)).cast("int")) \
-        .drop("_one", "cum__one")
+    (ties in ``order`` share a rank, hence a fold). The scan runs over the distinct values."""
+    counts = df.groupBy(F.col(order).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    n = counts.agg(F.sum("_n")).first()[0] or 0
+    ranked = prefix_sum(counts, "_v", ["_n"], exclusive=True)
+    fold = F.least(F.floor(F.col("cum__n") * k / F.lit(max(n, 1))), F.lit(k - 1)).cast("int")
+    folds = ranked.select("_v", fold.alias("fold"))
+    return df.join(folds, F.col(order).eqNullSafe(F.col("_v"))).select(*df.columns, "fold")
 
 
 def cross_validate(df: DataFrame, fit: Callable[[DataFrame], object], score: Callable[[object, DataFrame], DataFrame],
@@ -134,26 +146,26 @@ def random_search(df: DataFrame, make_fit, score, space: dict[str, tuple], trial
     return out, max(out, key=lambda r: r[2])[1]
 
 
-def leakage_probe(df: DataFrame, make_fit, score, features: list[str], k: int = 3, id_col: str = "subject_id",
-                  seed: int = 42, time: str = "time", threshold: float = 0.1):
-    """Cross-validate twice, the second time with a leaked feature equal to -time on the
-    held-out fold only (0 on training rows). A pipeline that only uses training information must
-    not gain: fail when the mean score rises by more than ``threshold``.
-    Returns (score without, score with, leak detected)."""
-    folded = kfold(df, id_col, k, seed, "event").persist()
+def leakage_probe(df: DataFrame, prepare, make_fit, score, features: list[str], k: int = 3, id_col: str = "subject_id",
+                  seed: int = 42, time: str = "time", event: str = "event", threshold: float = 0.1):
+    """Does preparing the data see the held-out fold?
+
+    ``prepare(train, rows)`` returns ``rows`` prepared with what it learned from ``train``. Each fold
+    is scored twice: prepared honestly (learned from the training folds), and as the pipeline would if
+    it were fitted before splitting (learned from all rows, the held-out outcomes among them). A
+    preparation that only summarises features gains nothing from that; one that uses the outcome (for
+    example target means per group) does. Returns (honest mean score, leaky mean score, whether the
+    gain exceeds ``threshold``)."""
+    folded = kfold(df, id_col, k, seed, event).persist()
     try:
-        def cv(add_leak: bool):
-            ss = []
+        def cv(leaky: bool):
+            total = 0.0
             for f in range(k):
-                tr = folded.where(F.col("fold") != f)
-                te = folded.where(F.col("fold") == f)
-                feats = list(features)
-                if add_leak:
-                    tr = tr.withColumn("_leak", F.lit(0.0))
-                    te = te.withColumn("_leak", -F.col(time))
-                    feats = feats + ["_leak"]
-                ss.append(score(make_fit(feats)(tr), te))
-            return float(sum(ss) / len(ss))
+                train, test = folded.where(F.col("fold") != f), folded.where(F.col("fold") == f)
+                seen = folded if leaky else train
+                total += score(make_fit(list(features))(prepare(seen, train)), prepare(seen, test))
+            return float(total / k)
+
         base, leaked = cv(False), cv(True)
     finally:
         folded.unpersist()

@@ -84,36 +84,46 @@ def w5_sessions(spark, sf_dir):
                       F.col("session_end").cast("timestamp_ntz").alias("session_end"), "n_events")
 
 
-@register("W7_stream_dedup")
+@register("W7_stream_dedup", """
+SELECT event_id, user_id, event_type, value FROM events""")
 def w7_dedup(spark, sf_dir):
-    """Rows-only: events with repeats of (user_id, event_type) inside the watermark dropped."""
-    out, _ = run_available_now(stream_dedup(_events(spark, sf_dir), ["user_id", "event_type"]), "w7")
-    return out
-
-
-@register("W6_stream_update_gate")
+    """Every event once, though the stream repeats some (rule: every id divisible by 3 comes twice,
+    every id divisible by 7 once more)."""
+    events = _events(spark, sf_dir).select("event_id", "user_id", "event_type", "value", "ts")
+    times = 1 + (F.col("event_id") % 3 == 0).cast("int") + (F.col("event_id") % 7 == 0).cast("int")
+    repeated = events.withColumn("_copy", F.explode(F.sequence(F.lit(1), times))).drop("_copy")
+    out, _ = run_available_now(stream_dedup(repeated, ["event_id"]), "w7")
+    return out.drop("ts")
+
+
+@register("W6_stream_update_gate", """
+SELECT event_type, unnest(generate_series(1, n // 50)) AS signal, CAST(50 AS BIGINT) AS buffered
+FROM (SELECT event_type, count(*) AS n FROM events GROUP BY event_type)""")
 def w6_gate(spark, sf_dir):
-    """Rows-only: per event type, 'update due' once 50 rows are buffered."""
-    out, _ = run_available_now(stream_update_gate(_events(spark, sf_dir), "event_type", 50, 1000), "w6")
+    """Per event type, one 'update due' row per 50 rows."""
+    out, _ = run_available_now(stream_update_gate(_events(spark, sf_dir), "event_type", 50), "w6")
     return out
 
 
-@register("W3_stream_alerts")
+@register("W3_stream_alerts", f"""
+WITH w AS (SELECT date_trunc('day', ts) AS window_start, count(*) AS n, count(value) AS v, count(props) AS p
+           FROM events GROUP BY 1 HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= {CLOSED}),
+m AS (SELECT window_start, 'column_completeness_props' AS metric, (1 - (n - p) / n) * 100.0 AS value FROM w
+      UNION ALL SELECT window_start, 'column_completeness_value', (1 - (n - v) / n) * 100.0 FROM w
+      UNION ALL SELECT window_start, 'missing_values_percentage', (2 * n - v - p) * 100.0 / (2 * n) FROM w),
+r AS (SELECT * FROM (VALUES ('props_complete', 'column_completeness_props', '<', 100.0), ('value_complete', 'column_completeness_value', '==', 100.0),
+                            ('few_missing', 'missing_values_percentage', '<=', 20.0)) t(rule_id, metric, condition, threshold))
+SELECT window_start, rule_id, metric, round(value, 6) AS value FROM r JOIN m USING (metric)
+WHERE CASE condition WHEN '<' THEN value < threshold WHEN '<=' THEN value <= threshold ELSE abs(value - threshold) < 1e-6 END""")
 def w3_alerts(spark, sf_dir):
-    """Rows-only: daily quality rules over the events stream; the stream is run twice on the same
-    checkpoint-free replay and the second run adds no alert (keys (rule, window))."""
-    import uuid
-
-    from tte.session import ensure_checkpoint_dir
+    """Quality rules on each closed day of the events stream."""
     from tte.streaming.stream import stream_alerts
 
     rules = spark.createDataFrame(
         [("props_complete", "column_completeness_props", "<", 100.0, "low", True),
-         ("value_complete", "column_completeness_value", "==", 100.0, "info", True)],
+         ("value_complete", "column_completeness_value", "==", 100.0, "info", True),
+         ("few_missing", "missing_values_percentage", "<=", 20.0, "info", True),
+         ("switched_off", "missing_values_percentage", ">=", 0.0, "info", False)],
         "rule_id string, metric string, condition string, threshold double, severity string, enabled boolean")
-    base = os.path.join(ensure_checkpoint_dir(spark), "streams", f"w3-{uuid.uuid4().hex[:10]}")
-    for run in range(2):
-        q = stream_alerts(_events(spark, sf_dir), rules, os.path.join(base, "alerts"), os.path.join(base, f"chk{run}"),
-                          ["value", "props"])
-        q.awaitTermination()
-    return spark.read.parquet(os.path.join(base, "alerts"))
+    out, _ = run_available_now(stream_alerts(_events(spark, sf_dir), rules, ["value", "props"]), "w3")
+    return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "rule_id", "metric", r6("value").alias("value"))

@@ -51,7 +51,7 @@ def oracle_sql() -> dict[str, str]:
 def _load_all() -> None:
     # importing the modules runs their @register decorators
     from tte.plans import (  # noqa: F401
-        q_curves, q_metrics, q_prep, q_quality, q_drift, q_monitor, q_score, q_models, q_sources,
+        q_curves, q_metrics, q_quality, q_drift, q_monitor, q_score, q_models, q_sources,
         q_stream,
     )
 

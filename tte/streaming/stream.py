@@ -14,6 +14,7 @@ import uuid
 from collections.abc import Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -101,62 +102,61 @@ def stream_dedup(stream: DataFrame, keys: Sequence[str], watermark: str = "1 hou
     return stream.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(list(keys))
 
 
-def stream_alerts(stream: DataFrame, rules: DataFrame, alerts_path: str, checkpoint: str, columns: Sequence[str],
-                  ts: str = "ts"):
-    """Per micro-batch, quality metrics per day (missing %, completeness per column) are
-    checked against the rule table (N7) and the alerts appended keyed on (rule_id, window_start):
-    keys already in the alert table are skipped, so a replayed batch adds nothing."""
-    from tte.operators.monitor import evaluate_rules
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        day = F.date_trunc("day", F.col(ts)).alias("window_start")
-        aggs = [F.count(F.lit(1)).alias("_n")] + [F.sum(F.col(c).isNull().cast("long")).alias(f"{c}__miss") for c in columns]
-        g = batch.groupBy(day).agg(*aggs)
-        miss = sum((F.col(f"{c}__miss") for c in columns), F.lit(0).cast("long"))
-        long = g.select("window_start", F.explode(F.array(
-            F.struct(F.lit("missing_values_percentage").alias("metric"), (miss * 100.0 / (F.col("_n") * len(columns))).alias("value")),
-            *[F.struct(F.lit(f"column_completeness_{c}").alias("metric"),
-                       ((1 - F.col(f"{c}__miss") / F.col("_n")) * 100.0).alias("value")) for c in columns],
-        )).alias("_m")).select("window_start", "_m.*")
-        found = None
-        for w in [r["window_start"] for r in long.select("window_start").distinct().collect()]:  # days in this batch
-            a = evaluate_rules(long.where(F.col("window_start") == F.lit(w)).drop("window_start"), rules) \
-                .withColumn("window_start", F.lit(w))
-            found = a if found is None else found.unionByName(a)
-        if found is None:
-            return
-        try:
-            existing = spark.read.parquet(alerts_path).select("rule_id", "window_start")
-            found = found.join(existing, ["rule_id", "window_start"], "left_anti")
-        except Exception:  # first batch: no table yet
-            pass
-        found.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(alerts_path)
-
-    return stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def stream_update_gate(stream: DataFrame, key: str, min_samples: int = 50, max_buffer: int = 1000) -> DataFrame:
-    """Per key, count buffered rows (the buffer keeps at most ``max_buffer``); when the count
-    reaches ``min_samples`` emit an "update due" row and clear the buffer. Keyed state in
-    ``applyInPandasWithState`` (state = one count per key, never the rows themselves)."""
+def stream_alerts(stream: DataFrame, rules: DataFrame, columns: Sequence[str], window: str = "1 day",
+                  watermark: str = "1 hour", ts: str = "ts") -> DataFrame:
+    """The rule table (N7) against the quality of each closed window.
+
+    Counts run on per window (W1) and a window is judged once, when the watermark has passed its end,
+    whatever batches its rows came in. All windows meet the rules in one stream-static join; a rule on
+    a metric the windows do not have gives no alert, except ``outlier_count_*``, which counts as 0.
+    Written by a checkpointed append sink, each (rule, window) is stored once across restarts.
+    Metrics: ``missing_values_percentage`` and ``column_completeness_<column>``."""
+    from tte.operators.monitor import rule_is_met
+
+    q = stream_quality(stream, columns, window, watermark, ts)
+    cells = F.col("n_rows") * F.lit(len(columns))
+    metrics = F.map_from_arrays(
+        F.array(F.lit("missing_values_percentage"), *[F.lit(f"column_completeness_{c}") for c in columns]),
+        F.array(F.col("missing_cells") * 100.0 / cells, *[F.col(f"completeness_{c}") for c in columns]))
+    j = q.select("window_start", "window_end", metrics.alias("_m")).crossJoin(F.broadcast(rules.where(F.col("enabled"))))
+    j = j.withColumn("value", F.when(F.col("metric").startswith("outlier_count_"), F.lit(0.0)).otherwise(
+        F.try_element_at("_m", F.col("metric"))))
+    return j.where(F.col("value").isNotNull() & rule_is_met(F.col("value"))).select(
+        "window_start", "window_end", "rule_id", "metric", "value", "threshold", "severity", F.lit("active").alias("status"))
+
+
+def _partial_counts(batches):
+    """Rows per key of one task: what crosses the shuffle is a row per key and task."""
+    counts: dict = {}
+    for batch in batches:
+        for item in batch.column(0).value_counts().to_pylist():
+            counts[item["values"]] = counts.get(item["values"], 0) + item["counts"]
+    if counts:
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), type=batch.column(0).type), pa.array(list(counts.values()), pa.int64())],
+                                         names=[batch.schema.names[0], "n"])
+
+
+def stream_update_gate(stream: DataFrame, key: str, min_samples: int = 50) -> DataFrame:
+    """One "update due" row per ``min_samples`` rows of a key: ``key, signal`` (1, 2, ...) and
+    ``buffered``, the rows it stands for.
+
+    Each task sends its counts per key, so a key with a third of the rows costs no more than others.
+    The state is two numbers per key: rows not yet signalled and signals so far. No row is lost, and
+    the signals do not depend on how the rows fall into batches."""
     from pyspark.sql.streaming.state import GroupStateTimeout
 
-    out_schema = T.StructType([T.StructField(key, stream.schema[key].dataType), T.StructField("buffered", T.LongType()),
-                               T.StructField("update_due", T.BooleanType())])
-    state_schema = T.StructType([T.StructField("count", T.LongType())])
+    out_schema = T.StructType([T.StructField(key, stream.schema[key].dataType), T.StructField("signal", T.LongType()),
+                               T.StructField("buffered", T.LongType())])
+    state_schema = T.StructType([T.StructField("waiting", T.LongType()), T.StructField("signals", T.LongType())])
 
     def gate(k, pdfs, state):
-        count = state.get[0] if state.exists else 0
-        for pdf in pdfs:
-            count = min(count + len(pdf), max_buffer)
-        due = count >= min_samples
+        waiting, signals = state.get if state.exists else (0, 0)
+        waiting += sum(int(pdf["n"].sum()) for pdf in pdfs)
+        due, waiting = divmod(waiting, min_samples)
+        state.update((waiting, signals + due))
         if due:
-            state.remove()
-        else:
-            state.update((count,))
-        yield pd.DataFrame({key: [k[0]], "buffered": [count], "update_due": [due]})
-
-    # only the key travels to the stateful operator; the function counts rows batch by batch
-    return stream.select(key).groupBy(key).applyInPandasWithState(gate, out_schema, state_schema, "append",
-                                                                  GroupStateTimeout.NoTimeout)
+            yield pd.DataFrame({key: [k[0]] * due, "signal": range(signals + 1, signals + due + 1), "buffered": [min_samples] * due})
+
+    counts_schema = T.StructType([T.StructField(key, stream.schema[key].dataType), T.StructField("n", T.LongType())])
+    return (stream.select(key).mapInArrow(_partial_counts, counts_schema).groupBy(key)
+            .applyInPandasWithState(gate, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout))
