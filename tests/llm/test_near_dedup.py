@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from tte.llm import near_dedup
 from tte.llm.graph import components
 from tte.llm.near_dedup import near_duplicates, probability_jaccard, signatures, weighted_shingles
 
@@ -59,8 +60,11 @@ def corpus(seed):
     return rows
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_classes_are_those_of_all_pairs(spark, documents_of, seed):
+@pytest.mark.parametrize("seed,small,block", [(1, 32, 256), (2, 1, 256), (3, 0, 4)])
+def test_classes_are_those_of_all_pairs(spark, documents_of, monkeypatch, seed, small, block):
+    monkeypatch.setattr(near_dedup, "SMALL", small)
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    monkeypatch.setattr(near_dedup, "HUB_ROUNDS", 1 if small else 0)
     rows = corpus(seed)
     got = {r.doc_id: r.class_id for r in near_duplicates(documents_of(rows)).collect()}
     assert got == brute(rows)
