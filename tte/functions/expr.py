@@ -48,6 +48,34 @@ def normal_cdf(z: Column) -> Column:
     return _normal_cdf_udf(z)
 
 
+@F.pandas_udf(T.DoubleType())
+def _normal_hazard_udf(z: pd.Series) -> pd.Series:
+    def one(v):
+        tail = 0.5 * math.erfc(v / math.sqrt(2.0)) if v < 35 else 0.0
+        return math.exp(-0.5 * v * v) / math.sqrt(2 * math.pi) / tail if tail > 0 else v + 1.0 / v
+
+    return pd.Series([one(v) for v in z.to_numpy(dtype=float)])
+
+
+@F.pandas_udf(T.DoubleType())
+def _normal_log_survival_udf(z: pd.Series) -> pd.Series:
+    def one(v):
+        tail = 0.5 * math.erfc(v / math.sqrt(2.0)) if v < 35 else 0.0
+        return math.log(tail) if tail > 0 else -0.5 * v * v - math.log(v * math.sqrt(2 * math.pi))
+
+    return pd.Series([one(v) for v in z.to_numpy(dtype=float)])
+
+
+def normal_hazard(z: Column) -> Column:
+    """phi(z) / (1 - Phi(z)), by its asymptote far out."""
+    return _normal_hazard_udf(z)
+
+
+def normal_log_survival(z: Column) -> Column:
+    """log(1 - Phi(z)), by its asymptote far out."""
+    return _normal_log_survival_udf(z)
+
+
 def aft_cdf(z: Column, dist: str = "normal") -> Column:
     """E5: CDF of the AFT error distribution: ``normal``, ``logistic`` or ``extreme`` (Weibull)."""
     if dist == "normal":

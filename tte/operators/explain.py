@@ -5,10 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tte.operators.split import hashed_rank
+from tte.operators.stats import exact_quantiles
 
 
 def linear_contributions(df: DataFrame, coef: dict[str, float], means: dict[str, float] | None = None) -> DataFrame:
@@ -50,13 +51,23 @@ def explain_rows(contrib_df: DataFrame, contrib: str = "contrib") -> DataFrame:
                       F.when(total > 0.5, 0.9).when(total > 0.2, 0.7).otherwise(0.5).alias("confidence"))
 
 
-def population_insights(contrib_df: DataFrame, risk: str = "risk", contrib: str = "contrib", top: int = 5) -> DataFrame:
-    """Per feature the mean contribution, mean |contribution|, share of subjects with
-    |value| > .05, and a rank among the top ``top`` by mean |contribution|."""
+def population_insights(contrib_df: DataFrame, contrib: str = "contrib", top: int = 5) -> DataFrame:
+    """For every feature the mean contribution, mean |contribution|, share of subjects with
+    |value| > .05, its ``rank`` by mean |contribution| and whether it is among the ``top`` ones."""
     long = contrib_df.select(F.explode(contrib).alias("_c")).select("_c.name", "_c.value")
     g = long.groupBy("name").agg(F.avg("value").alias("mean_contribution"), F.avg(F.abs("value")).alias("mean_abs"),
                                  F.avg((F.abs("value") > 0.05).cast("double")).alias("share_relevant"))
-    return g.orderBy(F.col("mean_abs").desc(), "name").limit(top)
+    w = Window.orderBy(F.col("mean_abs").desc(), "name")  # one row per feature
+    return g.withColumn("rank", F.row_number().over(w)).withColumn("is_top", F.col("rank") <= top)
+
+
+def risk_distribution(df: DataFrame, risk: str = "risk", probs: Sequence[float] = (0.25, 0.5, 0.75, 0.9)) -> DataFrame:
+    """The population's risks: count, mean, std, min, max and exact quantiles, one row."""
+    q = exact_quantiles(df, [risk], probs).groupBy().pivot("p", [float(p) for p in probs]).agg(F.first("q"))
+    q = q.select(*[F.col(f"`{float(p)}`").alias(f"q{round(100 * p)}") for p in probs])
+    m = df.agg(F.count(risk).alias("n"), F.avg(risk).alias("mean"), F.stddev_samp(risk).alias("std"),
+               F.min(risk).alias("min"), F.max(risk).alias("max"))
+    return m.crossJoin(F.broadcast(q))  # one row each
 
 
 def partial_dependence(df: DataFrame, score_fn, feature: str, grid: Sequence[float]) -> DataFrame:
@@ -75,6 +86,25 @@ def treatment_effect(df: DataFrame, score_fn, feature: str, values: Sequence[flo
     return g.crossJoin(F.broadcast(first)).select("value", "mean_risk", "std_risk", (F.col("mean_risk") - F.col("_base")).alias("effect"))
 
 
+def treatment_effect_interval(df: DataFrame, id_col: str, score_fn, feature: str, values: Sequence[float], reps: int = 200,
+                              seed: int = 42, level: float = 0.95) -> DataFrame:
+    """X9 with a percentile bootstrap interval of each effect against the first value: every subject
+    has a hashed Poisson weight per replicate, and the replicates' weighted means need one grouped sum
+    (pre-aggregated, so only values x reps rows are shuffled)."""
+    from tte.operators.metrics import poisson_weight
+
+    x = df.select("*", F.explode(F.array(*[F.lit(float(v)) for v in values])).alias("value")).withColumn(feature, F.col("value"))
+    scored = score_fn(x).select(id_col, "value", "risk")
+    reps_of = scored.select("*", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("rep"))
+    w = poisson_weight(id_col, seed)
+    means = reps_of.groupBy("rep", "value").agg((F.sum(w * F.col("risk")) / F.sum(w)).alias("_m"))
+    base = means.where(F.col("value") == float(values[0])).select("rep", F.col("_m").alias("_b"))
+    effects = means.join(base, "rep").select("value", (F.col("_m") - F.col("_b")).alias("_e"))
+    lo, hi = (1 - level) / 2, 1 - (1 - level) / 2
+    ci = effects.groupBy("value").agg(F.percentile("_e", lo).alias("ci_lower"), F.percentile("_e", hi).alias("ci_upper"))
+    return treatment_effect(df, score_fn, feature, values).join(ci, "value")
+
+
 def permute_column(df: DataFrame, id_col: str, feature: str, seed: int) -> DataFrame:
     """Shuffle one column: the row with rank k in one hashed order takes the value of the row with
     rank k in a second hashed order (a join of two rank orders; no collect, retry-safe)."""

@@ -8,13 +8,14 @@ at tied times, ``ties="events_first"``, read as a step function).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tte.operators.curves import curve_at, km_curves
-from tte.operators.scan import prefix_sum
+from tte.operators.scan import plan_bands, prefix_sum
 
 
 def _g_at_times(train: DataFrame, test: DataFrame, time: str, event: str, same_times: bool = False) -> DataFrame:
@@ -31,26 +32,31 @@ def _g_at_times(train: DataFrame, test: DataFrame, time: str, event: str, same_t
     return lookup_curve(test, cens, time, "cens", "step").withColumnRenamed("cens", "g_t")
 
 
-def brier_score(train: DataFrame, test_long: DataFrame, horizons: Sequence[float], time: str = "time",
-                event: str = "event", by: Sequence[str] = (), same_times: bool = False) -> DataFrame:
-    """M3: Brier score per horizon.
-
-    mean over test rows of I(T <= h, event) S^2 / G(T) + I(T > h) (1 - S)^2 / G(h); censored
-    before h contribute 0. A zero G gives weight 0 (never 0/0). ``test_long`` has ``horizon`` and
-    ``surv`` columns; output ``by..., horizon, brier, n``.
-    """
-    by = list(by)
+def brier_parts(train: DataFrame, test_long: DataFrame, horizons: Sequence[float], time: str = "time", event: str = "event",
+                same_times: bool = False) -> DataFrame:
+    """Each test row with its ``contribution`` to the Brier score of its horizon."""
     cens = km_curves(train, time, event, ties="events_first").select("time", "cens")
     g_h = curve_at(cens, horizons, "cens", "step").withColumnRenamed("cens", "g_h")
     with_g = _g_at_times(train, test_long, time, event, same_times)
     j = with_g.join(F.broadcast(g_h), "horizon")
     t, e, h, s = F.col(time), F.col(event), F.col("horizon"), F.col("surv")
-    contrib = (
+    return j.withColumn("contribution", (
         F.when((t <= h) & (e == 1), F.when(F.col("g_t") > 0, s * s / F.col("g_t")).otherwise(F.lit(0.0)))
         .when(t > h, F.when(F.col("g_h") > 0, (1 - s) * (1 - s) / F.col("g_h")).otherwise(F.lit(0.0)))
         .otherwise(F.lit(0.0))
-    )
-    return j.groupBy(*by, "horizon").agg(F.avg(contrib).alias("brier"), F.count(F.lit(1)).alias("n"))
+    ))
+
+
+def brier_score(train: DataFrame, test_long: DataFrame, horizons: Sequence[float], time: str = "time",
+                event: str = "event", by: Sequence[str] = (), same_times: bool = False) -> DataFrame:
+    """M3: Brier score per horizon.
+
+    mean over test rows of I(T <= h, event) S^2 / G(T) + I(T > h) (1 - S)^2 / G(h); censored
+    before h contribute 0. A zero G gives weight 0 (never 0/0). ``test_long`` has ``horizon`` and
+    ``surv`` columns; output ``by..., horizon, brier, n``.
+    """
+    parts = brier_parts(train, test_long, horizons, time, event, same_times)
+    return parts.groupBy(*by, "horizon").agg(F.avg("contribution").alias("brier"), F.count(F.lit(1)).alias("n"))
 
 
 def integrated_brier(brier: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -120,17 +126,10 @@ def dynamic_auc(train: DataFrame, test: DataFrame, horizons: Sequence[float], ri
     return auc, mean
 
 
-def bootstrap_weights(df: DataFrame, id_col: str, reps: int, seed: int) -> DataFrame:
-    """V8 / M6: Poisson(1) bootstrap weight per (row, rep) from a hash of (id, rep, seed).
-
-    Deterministic under task retry. Poisson(1) by inversion of a hashed uniform.
-    """
-    rep = F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("rep")
-    x = df.select("*", rep)
-    u = (F.pmod(F.xxhash64(F.col(id_col), F.col("rep"), F.lit(seed)), F.lit(1 << 53)).cast("double")
+def poisson_weight(id_col: str, seed: int, rep: str = "rep") -> Column:
+    """Poisson(1) bootstrap weight (double) by inversion of a hashed uniform of (id, rep, seed)."""
+    u = (F.pmod(F.xxhash64(F.col(id_col), F.col(rep), F.lit(seed)), F.lit(1 << 53)).cast("double")
          + 0.5) / float(1 << 53)
-    # inverse CDF of Poisson(1): cumulative e^-1 * sum 1/k!
-    import math
     cdf, acc, term = [], 0.0, math.exp(-1.0)
     for k in range(0, 20):
         acc += term
@@ -139,7 +138,71 @@ def bootstrap_weights(df: DataFrame, id_col: str, reps: int, seed: int) -> DataF
     wexpr = F.lit(20)
     for k in reversed(range(20)):
         wexpr = F.when(u <= cdf[k], F.lit(k)).otherwise(wexpr)
-    return x.withColumn("bw", wexpr.cast("double"))
+    return wexpr.cast("double")
+
+
+def bootstrap_weights(df: DataFrame, id_col: str, reps: int, seed: int) -> DataFrame:
+    """V8 / M6: Poisson(1) bootstrap weight per (row, rep) from a hash of (id, rep, seed), so a retried
+    task draws the same."""
+    x = df.select("*", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("rep"))
+    return x.withColumn("bw", poisson_weight(id_col, seed))
+
+
+def _interval(per_rep: DataFrame, value: str, by: Sequence[str], level: float) -> DataFrame:
+    lo, hi = (1 - level) / 2, 1 - (1 - level) / 2
+    ci = per_rep.groupBy(*by).agg(F.percentile(value, lo).alias("ci_lower"), F.percentile(value, hi).alias("ci_upper"),
+                                  F.count(value).alias("reps"))
+    return ci.withColumn("std", (F.col("ci_upper") - F.col("ci_lower")) / 3.92)
+
+
+def bootstrap_brier(train: DataFrame, test_long: DataFrame, horizons: Sequence[float], id_col: str, reps: int = 200,
+                    seed: int = 42, level: float = 0.95, time: str = "time", event: str = "event",
+                    same_times: bool = False) -> tuple[DataFrame, DataFrame]:
+    """M6: percentile bootstrap intervals of the Brier score per horizon and of the integrated Brier
+    score. Test subjects are resampled, the censoring curve of ``train`` stays. A row's part in the
+    score does not depend on the replicate, so it is computed once; the replicates are weighted sums,
+    pre-aggregated to reps x horizons rows before the shuffle.
+    Returns ``(horizon, estimate, ci_lower, ci_upper, reps, std)`` and the same without horizon."""
+    parts = brier_parts(train, test_long, horizons, time, event, same_times).select(id_col, "horizon", "contribution")
+    drawn = bootstrap_weights(parts, id_col, reps, seed)
+    per_rep = drawn.groupBy("rep", "horizon").agg((F.sum(F.col("bw") * F.col("contribution")) / F.sum("bw")).alias("brier"))
+    point = parts.groupBy("horizon").agg(F.avg("contribution").alias("brier"))
+    brier = point.withColumnRenamed("brier", "estimate").join(_interval(per_rep, "brier", ["horizon"], level), "horizon")
+    ibs = integrated_brier(point).select(F.col("ibs").alias("estimate")).crossJoin(
+        _interval(integrated_brier(per_rep, by=["rep"]), "ibs", [], level))  # one row each
+    return brier, ibs
+
+
+def bootstrap_auc(train: DataFrame, test: DataFrame, horizons: Sequence[float], id_col: str, reps: int = 100, seed: int = 42,
+                  level: float = 0.95, risk: str = "risk", time: str = "time", event: str = "event",
+                  same_times: bool = False) -> DataFrame:
+    """M6: percentile bootstrap interval of the dynamic AUC (M5) per horizon.
+
+    The replicates' case and control weights are columns of the per-risk table, ``chunk`` replicates at
+    a time, so subjects are not multiplied and one running sum over the distinct risks serves them."""
+    hs = [float(h) for h in horizons]
+    g = _g_at_times(train, test, time, event, same_times).withColumn("_risk", F.col(risk).cast("double"))
+    t, e, rows, chunk = F.col(time), F.col(event), None, max(1, 60 // len(hs))
+    plan = plan_bands(g.select("_risk").distinct(), "_risk")
+    for start in range(0, reps, chunk):
+        mine = range(start, min(reps, start + chunk))
+        drawn = g
+        for r in mine:
+            drawn = drawn.withColumn("rep", F.lit(r)).withColumn(f"_w{r}", poisson_weight(id_col, seed))
+        keys = [(r, i, h) for r in mine for i, h in enumerate(hs)]
+        aggs = [F.sum(F.when((t <= h) & (e == 1) & (F.col("g_t") > 0), F.col(f"_w{r}") / F.col("g_t")).otherwise(0.0)).alias(f"c{r}_{i}") for r, i, h in keys]
+        aggs += [F.sum(F.when(t > h, F.col(f"_w{r}")).otherwise(0.0)).alias(f"k{r}_{i}") for r, i, h in keys]
+        scanned = prefix_sum(drawn.groupBy("_risk").agg(*aggs), "_risk", [f"k{r}_{i}" for r, i, _ in keys], exclusive=True, plan=plan)
+        sums = [x for r, i, _ in keys for x in (
+            F.sum(F.col(f"c{r}_{i}") * (F.col(f"cum_k{r}_{i}") + 0.5 * F.col(f"k{r}_{i}"))).alias(f"n{r}_{i}"),
+            F.sum(f"c{r}_{i}").alias(f"a{r}_{i}"), F.sum(f"k{r}_{i}").alias(f"b{r}_{i}"))]
+        wide = scanned.agg(*sums)
+        part = wide.select(F.explode(F.array(*[F.struct(F.lit(h).alias("horizon"), F.col(f"n{r}_{i}").alias("n"), F.col(f"a{r}_{i}").alias("a"),
+                                                        F.col(f"b{r}_{i}").alias("b")) for r, i, h in keys])).alias("x")).select("x.*")
+        rows = part if rows is None else rows.unionByName(part)
+    per_rep = rows.select("horizon", F.when((F.col("a") > 0) & (F.col("b") > 0), F.col("n") / (F.col("a") * F.col("b"))).alias("auc"))
+    point, _ = dynamic_auc(train, test, hs, risk, time, event, same_times)
+    return point.withColumnRenamed("auc", "estimate").join(_interval(per_rep, "auc", ["horizon"], level), "horizon")
 
 
 def bootstrap_concordance(df: DataFrame, id_col: str, reps: int = 200, seed: int = 42, level: float = 0.95,

@@ -147,7 +147,7 @@ class CoxPH:
         vals = ["s0"] + [f"s1_{j}" for j in range(p)] + [f"s2_{j}_{k}" for j, k in pairs]
         rev = prefix_sum(per_t.withColumn("_nt", -F.col("_t")), "_nt", vals, plan=self._plan)
         ev = rev.where(F.col("d") > 0)
-        S0 = F.col("cum_s0")
+        S0 = F.greatest(F.col("cum_s0"), F.lit(1e-300))  # a risk set far below the largest risk underflows
         aggs = [F.sum(F.col("elp") - F.col("d") * F.log(S0)).alias("ll")]
         aggs += [F.sum(F.col(f"ez_{j}") - F.col("d") * F.col(f"cum_s1_{j}") / S0).alias(f"g{j}") for j in range(p)]
         aggs += [F.sum(-F.col("d") * (F.col(f"cum_s2_{j}_{k}") / S0 - F.col(f"cum_s1_{j}") * F.col(f"cum_s1_{k}") / (S0 * S0)))

@@ -6,7 +6,9 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import (
+    DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, NaiveBayes, RandomForestClassifier,
+)
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tte.operators.curves import ipcw_weights
-from tte.operators.models.cox import CoxPH, cox_newton_local
+from tte.operators.models.cox import CoxPH, cox_newton_local, survival_exponential
 from tte.operators.pairs import concordance
 
 
@@ -59,6 +61,22 @@ class Bagging:
             expr = expr + lp / float(len(self.members_))
         return df.withColumn("risk", expr)
 
+    def survival(self, df: DataFrame, horizons: Sequence[float]) -> DataFrame:
+        """``risk`` and ``surv``, the mean of the members' survival arrays."""
+        out, names = self.risk(df).withColumnRenamed("risk", "_bagged"), []
+        for i, m in enumerate(self.members_):
+            out = m.survival(out, horizons).withColumnRenamed("surv", f"_surv_{i}").drop("risk")
+            names.append(f"_surv_{i}")
+        return average_arrays(out.withColumnRenamed("_bagged", "risk"), names)
+
+
+def average_arrays(df: DataFrame, arrays: Sequence[str], out: str = "surv") -> DataFrame:
+    """Element-wise mean of equally long array columns, which are dropped."""
+    total = F.col(arrays[0])
+    for a in arrays[1:]:
+        total = F.zip_with(total, F.col(a), lambda x, y: x + y)
+    return df.withColumn(out, F.transform(total, lambda x: x / float(len(arrays)))).drop(*arrays)
+
 
 def stacking(oof: DataFrame, base_risks: Sequence[str], event: str = "event") -> tuple[list[float], float]:
     """Linear meta model on out-of-fold base risks (one column per base model, T13) against
@@ -68,6 +86,25 @@ def stacking(oof: DataFrame, base_risks: Sequence[str], event: str = "event") ->
     return [float(c) for c in m.coefficients], float(m.intercept)
 
 
+def stacked_scores(df: DataFrame, base_risks: Sequence[str], weights: Sequence[float], intercept: float,
+                   horizons: Sequence[float], scale: float = 1000.0) -> DataFrame:
+    """The meta model's ``risk`` and the survival of a constant hazard ``max(risk, 0) / scale`` (K9)."""
+    risk = F.lit(float(intercept))
+    for w, r in zip(weights, base_risks, strict=True):
+        risk = risk + F.lit(float(w)) * F.col(r)
+    return _with_exponential(df.withColumn("risk", risk), horizons, scale)
+
+
+def dynamic_scores(df: DataFrame, kept: Sequence[str], horizons: Sequence[float], scale: float = 1000.0) -> DataFrame:
+    """Mean ``risk`` of the models kept and the survival of a constant hazard (K9)."""
+    return _with_exponential(combine(df, kept), horizons, scale)
+
+
+def _with_exponential(df: DataFrame, horizons: Sequence[float], scale: float) -> DataFrame:
+    hazard = df.withColumn("_hazard", F.greatest(F.col("risk"), F.lit(0.0)) / scale)
+    return survival_exponential(hazard, horizons, "_hazard").drop("_hazard")
+
+
 def dynamic_selection(oof: DataFrame, base_risks: Sequence[str], method: str = "top_half") -> list[str]:
     """Keep the better half of the base models by out-of-fold C-index (``top_half``), the
     first half (``first_half``) or all (``all``)."""
@@ -83,18 +120,34 @@ def dynamic_selection(oof: DataFrame, base_risks: Sequence[str], method: str = "
     return [r for _, r in sorted(scores)[:half]]
 
 
+CLASSIFIERS = {
+    "logistic": lambda **p: LogisticRegression(**p),
+    "svc": lambda **p: LinearSVC(**p),
+    "tree": lambda **p: DecisionTreeClassifier(**p),
+    "forest": lambda **p: RandomForestClassifier(**p),
+    "gbt": lambda **p: GBTClassifier(**p),
+    "naive_bayes": lambda **p: NaiveBayes(modelType="gaussian", **p),
+}
+
+
 def horizon_classifier(df: DataFrame, features: Sequence[str], tau: float, time: str = "time", event: str = "event",
-                       reg: float = 0.0):
-    """P(event by tau) from an MLlib logistic regression weighted by IPCW weights (censored
-    before tau get weight 0). Returns a function that adds ``risk`` = P(event by tau)."""
-    w = ipcw_weights(df, [tau], time, event).withColumn("_y", ((F.col(time) <= tau) & (F.col(event) == 1)).cast("double"))
-    v = VectorAssembler(inputCols=list(features), outputCol="_f", handleInvalid="skip").transform(w.where(F.col("weight") > 0))
-    model = LogisticRegression(featuresCol="_f", labelCol="_y", weightCol="weight", regParam=reg).fit(v)
+                       kind: str = "logistic", **params):
+    """P(event by tau) from an MLlib classifier (a key of ``CLASSIFIERS``) weighted by IPCW weights
+    (censored before tau get weight 0). Returns a function that adds ``risk`` = P(event by tau); the
+    support vector classifier has no probability, its risk is the sigmoid of the margin. Rows without a
+    feature value are not learned from and get a null risk."""
+    whole = F.lit(True)
+    for f in features:
+        whole = whole & F.col(f).isNotNull()
+    w = ipcw_weights(df.where(whole), [tau], time, event).withColumn("_y", ((F.col(time) <= tau) & (F.col(event) == 1)).cast("double"))
+    v = VectorAssembler(inputCols=list(features), outputCol="_f").transform(w.where(F.col("weight") > 0))
+    model = CLASSIFIERS[kind](featuresCol="_f", labelCol="_y", weightCol="weight", **params).fit(v)
 
     def score(x: DataFrame) -> DataFrame:
         vv = VectorAssembler(inputCols=list(features), outputCol="_f", handleInvalid="keep").transform(x)
-        return model.transform(vv).withColumn("risk", vector_to_array("probability")[1]) \
-            .drop("_f", "rawPrediction", "probability", "prediction")
+        scored = model.transform(vv)
+        p = vector_to_array("probability")[1] if "probability" in scored.columns else 1 / (1 + F.exp(-vector_to_array("rawPrediction")[1]))
+        return scored.withColumn("risk", F.when(whole, p)).drop("_f", "rawPrediction", "probability", "prediction")
 
     return score
 

@@ -189,6 +189,11 @@ def compare_runs(runs: DataFrame, metrics: Sequence[str], run_id: str = "run_id"
     )
 
 
+def experiment_means(runs: DataFrame, metrics: Sequence[str], experiment: str = "experiment") -> DataFrame:
+    """Per experiment the number of runs and the mean of each metric (``mean_<metric>``)."""
+    return runs.groupBy(experiment).agg(F.count(F.lit(1)).alias("n_runs"), *[F.avg(m).alias(f"mean_{m}") for m in metrics])
+
+
 def param_importance(runs: DataFrame, params: Sequence[str], metric: str, k: int = 5) -> DataFrame:
     """|Pearson correlation| of each numeric parameter with the metric, top ``k``."""
     wide = runs.agg(*[F.abs(F.corr(F.col(p).cast("double"), F.col(metric).cast("double"))).alias(p) for p in params])
@@ -208,12 +213,13 @@ def update_triggers(history: DataFrame, days: int = 7, c_drop: float = 0.02, dri
 
 
 def ab_assign(df: DataFrame, id_col: str, test_name: str, split: dict[str, float]) -> DataFrame:
-    """Variant per subject from ``pmod(xxhash64(id, test), 10000)`` against the cumulative
+    """Variant per subject from the first 32 bits of ``md5(id|test)`` modulo 10000 against the cumulative
     shares (which must sum to 1 +- .01); deterministic under retry."""
     total = sum(split.values())
     if abs(total - 1.0) > 0.01:
         raise ValueError(f"variant shares sum to {total}, not 1")
-    u = F.pmod(F.xxhash64(F.col(id_col), F.lit(test_name)), F.lit(10000))
+    digest = F.md5(F.concat_ws("|", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(test_name)).cast("binary"))
+    u = F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(10000))
     expr, acc = None, 0.0
     items = list(split.items())
     for i, (name, share) in enumerate(items):
@@ -269,6 +275,25 @@ def select_model(ranked: DataFrame, criterion: str = "best", by: Sequence[str] =
     return r.withColumn("_pick", F.row_number().over(w)).where(F.col("_pick") == 1).select(*by, "model", "score", "rank", "stability")
 
 
+def select_ensemble(ranked: DataFrame, k: int = 3, by: Sequence[str] = ()) -> DataFrame:
+    """N19, ensemble criterion: per segment the ``k`` best models by rank (ties by name) with equal
+    weights 1 / (number chosen)."""
+    by = list(by)
+    order = Window.partitionBy(*by).orderBy("rank", "model")
+    chosen = ranked.withColumn("_pick", F.row_number().over(order)).where(F.col("_pick") <= k)
+    return chosen.select(*by, "model", "score", "rank", (1.0 / F.count(F.lit(1)).over(Window.partitionBy(*by))).alias("weight"))
+
+
+def best_average(rankings: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """N19, best average over metrics: ``rankings`` holds N18 rows of several metrics (column
+    ``metric``); the model with the smallest mean rank wins, ties by name. Returns ``by..., model,
+    mean_rank, n_metrics``."""
+    by = list(by)
+    g = rankings.groupBy(*by, "model").agg(F.avg("rank").alias("mean_rank"), F.count(F.lit(1)).alias("n_metrics"))
+    order = Window.partitionBy(*by).orderBy("mean_rank", "model")
+    return g.withColumn("_pick", F.row_number().over(order)).where(F.col("_pick") == 1).drop("_pick")
+
+
 def quality_report_trend(reports: DataFrame, days: int = 7, ts: str = "ts") -> DataFrame:
     """Over the last ``days`` of quality reports ``(ts, score, n_issues)``: first and last
     score and issue count, the score slope per report, and advice when the slope is < -1

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from tte.operators.calibration import (
     bin_edges, calibration_mae, decision_curve_ipcw, decision_curve_naive, reliability_ipcw, reliability_naive,
 )
-from tte.operators.metrics import bootstrap_concordance, brier_score, dynamic_auc, integrated_brier
+from tte.operators.metrics import (
+    bootstrap_auc, bootstrap_brier, bootstrap_concordance, brier_score, dynamic_auc, integrated_brier,
+)
 from tte.operators.pairs import concordance, concordance_events_only
 from tte.plans.registry import r6, register
 from tte.plans.sqltext import COHORT_EPISODES, COHORT_ORDERS, RISK, km_ctes
@@ -259,3 +261,24 @@ def v8_bootstrap(spark, sf_dir):
 
     w = bootstrap_weights(cohort_orders(spark, sf_dir), "subject_id", 20, 42)
     return w.groupBy("rep").agg(F.sum("bw").alias("total_weight"), F.avg((F.col("bw") == 0).cast("double")).alias("zero_share"))
+
+
+@register("M6_bootstrap_brier")
+def m6_brier(spark, sf_dir):
+    """Rows-only: Brier per horizon over 50 hashed replicates; the estimate is M3's."""
+    co = cohort_orders(spark, sf_dir)
+    return bootstrap_brier(co, standin_long(co), HORIZONS, "subject_id", reps=50, same_times=True)[0]
+
+
+@register("M6_bootstrap_ibs")
+def m6_ibs(spark, sf_dir):
+    """Rows-only: integrated Brier over 50 hashed replicates."""
+    co = cohort_orders(spark, sf_dir)
+    return bootstrap_brier(co, standin_long(co), HORIZONS, "subject_id", reps=50, same_times=True)[1]
+
+
+@register("M6_bootstrap_auc")
+def m6_auc(spark, sf_dir):
+    """Rows-only: dynamic AUC per horizon over 20 hashed replicates."""
+    co = with_standin(cohort_orders(spark, sf_dir))
+    return bootstrap_auc(co, co, HORIZONS, "subject_id", reps=20, same_times=True)

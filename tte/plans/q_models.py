@@ -6,10 +6,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tte.operators.metrics import assemble_oof, check_regression, leaderboard
-from tte.operators.models.aft import WeibullAFT
+from tte.operators.models.aft import LocationScaleAFT, WeibullAFT
 from tte.operators.models.cox import CoxPH
 from tte.operators.models.ensemble import (
-    Bagging, combine, dynamic_selection, fit_per_group, horizon_classifier, stacking, update_model,
+    CLASSIFIERS, Bagging, combine, dynamic_scores, dynamic_selection, fit_per_group, horizon_classifier, stacked_scores, stacking,
+    update_model,
 )
 from tte.operators.models.hazard import DiscreteHazard, person_period
 from tte.operators.pairs import concordance
@@ -17,7 +18,7 @@ from tte.operators.prep import OneHot, SimpleImputer, StandardScaler, build_pipe
 from tte.operators.split import contiguous_folds, cross_validate, kfold, stratified_split
 from tte.plans.registry import r6, register
 from tte.plans.sqltext import COHORT_EPISODES, COHORT_LINES, COHORT_ORDERS, RISK
-from tte.sources.testdata import HORIZONS, cohort_episodes, cohort_lines, cohort_orders, with_standin
+from tte.sources.testdata import HORIZONS, cohort_episodes, cohort_lines, cohort_orders, standin_long, with_standin
 
 SEGMENTS = ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')
 DQ = '"'
@@ -188,8 +189,9 @@ def l6_combine(spark, sf_dir):
 @register("L7_bagging")
 def l7_bagging(spark, sf_dir):
     co = cohort_orders(spark, sf_dir)
-    b = Bagging(["x_price", "x_bal"], n=3, feat_frac=1.0, seed=7).fit(co, "subject_id")
-    return concordance(b.risk(co)).select("c_index")
+    b = Bagging(["x_price", "x_bal"], n=3, feat_frac=0.5, seed=7).fit(co, "subject_id")
+    scored = b.survival(co, HORIZONS)
+    return concordance(scored).select("c_index").crossJoin(scored.agg(F.avg(F.element_at("surv", 1)).alias("mean_s90")))
 
 
 def _oof(spark, sf_dir, k=3):
@@ -207,37 +209,73 @@ def v5_cv(spark, sf_dir):
     return concordance(oof).select("c_index", "comparable")
 
 
-@register("M13_assemble_oof")
+@register("M13_assemble_oof", f"""WITH {COHORT_ORDERS}, s AS (SELECT *, {RISK} AS risk, CAST(subject_id % 3 AS INT) AS fold FROM cohort)
+SELECT subject_id, fold, time, event, round(risk, 6) AS risk,
+       {', '.join(f"round(exp(-exp(risk - 1.5) * {h} / 1000.0), 6) AS surv_{int(h)}" for h in HORIZONS)} FROM s""")
 def m13_oof(spark, sf_dir):
-    oof, final = _oof(spark, sf_dir)
-    long = final.survival(oof, HORIZONS).select("subject_id", "fold", "time", "event", "risk",
-                                                F.posexplode("surv").alias("_i", "surv"))
-    hz = F.array(*[F.lit(float(h)) for h in HORIZONS])
-    long = long.withColumn("horizon", F.element_at(hz, F.col("_i") + 1)).drop("_i")
-    return assemble_oof(long, "subject_id", HORIZONS)
+    """Out-of-fold table of the stand-in model, folds by id modulo 3."""
+    long = standin_long(cohort_orders(spark, sf_dir)).withColumn("fold", (F.col("subject_id") % 3).cast("int"))
+    wide = assemble_oof(long.select("subject_id", "fold", "time", "event", "risk", "horizon", "surv"), "subject_id", HORIZONS)
+    return wide.select("subject_id", "fold", "time", "event", r6("risk").alias("risk"),
+                       *[r6(F.col(f"`surv@{int(h)}`")).alias(f"surv_{int(h)}") for h in HORIZONS])
+
+
+def _bases(spark, sf_dir):
+    oof, _ = _oof(spark, sf_dir)
+    return oof.withColumn("r_price", F.col("x_price")).withColumn("r_bal", -F.col("x_bal")), ["risk", "r_price", "r_bal"]
 
 
 @register("L8_stacking")
 def l8_stacking(spark, sf_dir):
-    oof, _ = _oof(spark, sf_dir)
-    o2 = oof.withColumn("r_price", F.col("x_price")).withColumn("r_bal", -F.col("x_bal"))
-    w, b = stacking(o2, ["risk", "r_price", "r_bal"])
-    return spark.createDataFrame([(w[0], w[1], w[2], b)], "w_cox double, w_price double, w_bal double, intercept double")
+    """Rows-only: a linear meta model on three out-of-fold risks; its weights, C-index and mean survival."""
+    o2, bases = _bases(spark, sf_dir)
+    o2 = o2.withColumnRenamed("risk", "r_cox")
+    bases[0] = "r_cox"
+    w, b = stacking(o2, bases)
+    scored = stacked_scores(o2, bases, w, b, HORIZONS)
+    c = concordance(scored).select("c_index").crossJoin(scored.agg(F.avg(F.element_at("surv", 1)).alias("mean_s90")))
+    return c.select(*[F.lit(x).alias(n) for x, n in zip([*w, b], ["w_cox", "w_price", "w_bal", "intercept"], strict=True)], "c_index", "mean_s90")
 
 
 @register("L9_dynamic_selection")
 def l9_dynamic(spark, sf_dir):
-    oof, _ = _oof(spark, sf_dir)
-    o2 = oof.withColumn("r_price", F.col("x_price")).withColumn("r_bal", -F.col("x_bal"))
-    keep = dynamic_selection(o2, ["risk", "r_price", "r_bal"])
-    return spark.createDataFrame([(m,) for m in keep], "model string")
+    """Rows-only: the better half of three out-of-fold risks, combined; C-index and mean survival."""
+    o2, bases = _bases(spark, sf_dir)
+    keep = dynamic_selection(o2, bases)
+    scored = dynamic_scores(o2, keep, HORIZONS)
+    c = concordance(scored).select("c_index").crossJoin(scored.agg(F.avg(F.element_at("surv", 1)).alias("mean_s90")))
+    return c.select(F.lit(",".join(keep)).alias("models"), "c_index", "mean_s90")
 
 
 @register("L10_horizon_classifier")
 def l10_horizon(spark, sf_dir):
+    """Rows-only: C-index of P(event within a year) by each classifier kind."""
+    co, out = cohort_orders(spark, sf_dir), None
+    params = {"forest": {"numTrees": 10, "seed": 1}, "gbt": {"maxIter": 5, "seed": 1}, "svc": {"maxIter": 20}}
+    for kind in CLASSIFIERS:
+        score = horizon_classifier(co, ["x_price", "x_bal"], 365.0, kind=kind, **params.get(kind, {}))
+        one = concordance(score(co)).select(F.lit(kind).alias("kind"), "c_index")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("L2_normal_aft")
+def l2_normal(spark, sf_dir):
+    return _location_scale(spark, sf_dir, "normal")
+
+
+@register("L2_logistic_aft")
+def l2_logistic(spark, sf_dir):
+    return _location_scale(spark, sf_dir, "logistic")
+
+
+def _location_scale(spark, sf_dir, dist):
+    """Rows-only: Newton fit of a log-time model; its scale, convergence and C-index."""
     co = cohort_orders(spark, sf_dir)
-    score = horizon_classifier(co, ["x_price", "x_bal"], 365.0)
-    return concordance(score(co)).select("c_index")
+    m = LocationScaleAFT(["x_price", "x_bal"], dist).fit(co)
+    return concordance(m.risk(co)).select(F.lit(m.intercept_).alias("intercept"), F.lit(float(m.coef_[0])).alias("coef_x_price"),
+                                          F.lit(float(m.coef_[1])).alias("coef_x_bal"), F.lit(m.sigma_).alias("sigma"),
+                                          F.lit(m.converged_).alias("converged"), "c_index")
 
 
 @register("L11_fit_per_group")

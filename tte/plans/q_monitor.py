@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tte.operators.monitor import (
-    ab_assign, ab_results, alert_state, alerts, batch_metrics, compare_runs, evaluate_rules, experiment_results,
-    metric_trend, param_importance, performance_summary, rank_models, recent, retain_last, select_model,
-    update_triggers,
+    ab_assign, ab_results, alert_state, alerts, batch_metrics, best_average, compare_runs, evaluate_rules, experiment_means,
+    experiment_results, metric_trend, param_importance, performance_summary, rank_models, recent, retain_last, select_ensemble,
+    select_model, update_triggers,
 )
 from tte.operators.quality import quality_metrics
 from tte.plans.registry import r6, register
@@ -235,18 +235,31 @@ def n14_triggers(spark, sf_dir):
     return update_triggers(history(spark, sf_dir))
 
 
-@register("N16_ab_assign")
+AB_CTE = f"""{COHORT_ORDERS},
+h AS (SELECT *, CAST('0x' || substr(md5(CAST(subject_id AS VARCHAR) || '|price-model-v2'), 1, 8) AS BIGINT) % 10000 AS u FROM cohort),
+ab AS (SELECT *, CASE WHEN u < 5000 THEN 'control' WHEN u < 8000 THEN 'a' ELSE 'b' END AS variant FROM h)"""
+
+
+@register("N16_ab_assign", f"""WITH {AB_CTE}
+SELECT subject_id, variant FROM ab""")
 def n16_ab_assign(spark, sf_dir):
-    """Rows-only: variant shares of the orders cohort under a 50/30/20 split."""
+    """Variant of every order under a 50/30/20 split."""
     a = ab_assign(cohort_orders(spark, sf_dir), "subject_id", "price-model-v2", {"control": 0.5, "a": 0.3, "b": 0.2})
-    return a.groupBy("variant").agg(F.count(F.lit(1)).alias("n"))
+    return a.select("subject_id", "variant")
 
 
-@register("N17_ab_results")
+@register("N17_ab_results", f"""WITH {AB_CTE},
+g AS (SELECT variant, count(*) AS n, avg(event) AS mean, stddev_samp(event) AS std FROM ab GROUP BY variant),
+z AS (SELECT g.*, g.mean - c.mean AS lift, c.n AS n0, CASE WHEN sqrt(g.std ** 2 / g.n + c.std ** 2 / c.n) > 0
+        THEN (g.mean - c.mean) / sqrt(g.std ** 2 / g.n + c.std ** 2 / c.n) END AS z
+      FROM g, (SELECT * FROM g WHERE variant = 'control') c)
+SELECT variant, n, round(mean, 6) AS mean, round(std, 6) AS std, round(lift, 6) AS lift, round(z, 6) AS z,
+       abs(z) > 1.959963984540054 AND n >= 1000 AND n0 >= 1000 AS significant FROM z""")
 def n17_ab_results(spark, sf_dir):
-    """Rows-only (normal p-value through the pandas UDF): event rate by variant vs control."""
+    """Event rate by variant vs control; p < .05 is |z| > 1.96 on the SQL side."""
     a = ab_assign(cohort_orders(spark, sf_dir), "subject_id", "price-model-v2", {"control": 0.5, "a": 0.3, "b": 0.2})
-    return ab_results(a.withColumn("y", F.col("event").cast("double")), "y", "control")
+    r = ab_results(a.withColumn("y", F.col("event").cast("double")), "y", "control")
+    return r.select("variant", "n", *[r6(c).alias(c) for c in ("mean", "std", "lift", "z")], "significant")
 
 
 @register("N18_rank_models", f"""WITH {HIST_CTE},
@@ -329,3 +342,35 @@ def n4_trend(spark, sf_dir):
     h = history(spark, sf_dir).withColumn("_i", F.row_number().over(Window.partitionBy("model").orderBy("ts")).cast("double"))
     return h.groupBy("model").agg(trend_label(F.col("_i"), F.col("concordance"), F.count("concordance")).alias("c_trend"),
                                   trend_label(F.col("_i"), F.col("drift"), F.count("drift"), higher_is_better=False).alias("drift_trend"))
+
+
+@register("N12_experiment_means", f"""WITH {HIST_CTE}
+SELECT model AS experiment, count(*) AS n_runs, round(avg(concordance), 6) AS mean_concordance, round(avg(brier), 6) AS mean_brier
+FROM hist GROUP BY model""")
+def n12_means(spark, sf_dir):
+    m = experiment_means(history(spark, sf_dir).withColumnRenamed("model", "experiment"), ["concordance", "brier"])
+    return m.select("experiment", "n_runs", r6("mean_concordance").alias("mean_concordance"), r6("mean_brier").alias("mean_brier"))
+
+
+RANKED_SQL = f"""{HIST_CTE},
+g AS (SELECT model, avg(concordance) AS c, avg(brier) AS b, avg(drift) AS d FROM hist GROUP BY model),
+rk AS (SELECT model, c, rank() OVER (ORDER BY c DESC, model) AS rc, rank() OVER (ORDER BY b, model) AS rb, rank() OVER (ORDER BY d, model) AS rd FROM g)"""
+
+
+@register("N19_best_average", f"""WITH {RANKED_SQL}
+SELECT model, round((rc + rb + rd) / 3.0, 6) AS mean_rank, CAST(3 AS BIGINT) AS n_metrics FROM rk ORDER BY (rc + rb + rd), model LIMIT 1""")
+def n19_best_average(spark, sf_dir):
+    """Best mean rank over concordance, Brier and drift."""
+    h = history(spark, sf_dir)
+    ranked = None
+    for metric, up in (("concordance", True), ("brier", False), ("drift", False)):
+        one = rank_models(h, metric, up).withColumn("metric", F.lit(metric))
+        ranked = one if ranked is None else ranked.unionByName(one)
+    return best_average(ranked).select("model", r6("mean_rank").alias("mean_rank"), "n_metrics")
+
+
+@register("N19_ensemble", f"""WITH {RANKED_SQL}
+SELECT model, round(c, 6) AS score, CAST(rc AS INT) AS rank, round(1.0 / (SELECT count(*) FROM rk WHERE rc <= 2), 6) AS weight FROM rk WHERE rc <= 2""")
+def n19_ensemble(spark, sf_dir):
+    e = select_ensemble(rank_models(history(spark, sf_dir), "concordance"), k=2)
+    return e.select("model", r6("score").alias("score"), "rank", r6("weight").alias("weight"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tte.operators.explain import (
-    explain_rows, linear_contributions, partial_dependence, population_insights, top_features, treatment_effect,
+    counterfactual_summary, explain_rows, linear_contributions, partial_dependence, population_insights, risk_distribution,
+    top_features, treatment_effect, treatment_effect_interval,
 )
 from tte.operators.models.cox import breslow_baseline, survival_exponential
 from tte.operators.models.linear import LinearRisk
@@ -216,13 +217,45 @@ def x7_explain(spark, sf_dir):
 
 
 @register("X8_population_insights", f"""WITH {STRAT_CTE},
-l AS (SELECT 'x_price' AS name, c_price AS v FROM s UNION ALL SELECT 'x_bal', c_bal FROM s)
-SELECT name, round(avg(v), 6) AS mean_contribution, round(avg(abs(v)), 6) AS mean_abs,
-       round(avg(CASE WHEN abs(v) > 0.05 THEN 1.0 ELSE 0.0 END), 6) AS share_relevant
-FROM l GROUP BY name ORDER BY avg(abs(v)) DESC, name LIMIT 5""")
+l AS (SELECT 'x_price' AS name, c_price AS v FROM s UNION ALL SELECT 'x_bal', c_bal FROM s),
+g AS (SELECT name, avg(v) AS mc, avg(abs(v)) AS ma, avg(CASE WHEN abs(v) > 0.05 THEN 1.0 ELSE 0.0 END) AS sr FROM l GROUP BY name)
+SELECT name, round(mc, 6) AS mean_contribution, round(ma, 6) AS mean_abs, round(sr, 6) AS share_relevant,
+       CAST(row_number() OVER (ORDER BY ma DESC, name) AS INT) AS rank, row_number() OVER (ORDER BY ma DESC, name) <= 1 AS is_top FROM g""")
 def x8_insights(spark, sf_dir):
-    p = population_insights(linear_contributions(cohort_orders(spark, sf_dir), COEF))
-    return p.select("name", *[r6(c).alias(c) for c in ("mean_contribution", "mean_abs", "share_relevant")])
+    """All features, the first marked as top."""
+    p = population_insights(linear_contributions(cohort_orders(spark, sf_dir), COEF), top=1)
+    return p.select("name", *[r6(c).alias(c) for c in ("mean_contribution", "mean_abs", "share_relevant")], "rank", "is_top")
+
+
+@register("X8_risk_distribution", f"""WITH {COHORT_ORDERS}, s AS (SELECT {RISK} AS risk FROM cohort)
+SELECT count(*) AS n, round(avg(risk), 6) AS mean, round(stddev_samp(risk), 6) AS std, round(min(risk), 6) AS min, round(max(risk), 6) AS max,
+       round(quantile_cont(risk, 0.25), 6) AS q25, round(quantile_cont(risk, 0.5), 6) AS q50, round(quantile_cont(risk, 0.75), 6) AS q75,
+       round(quantile_cont(risk, 0.9), 6) AS q90 FROM s""")
+def x8_distribution(spark, sf_dir):
+    d = risk_distribution(with_standin(cohort_orders(spark, sf_dir)))
+    return d.select("n", *[r6(c).alias(c) for c in ("mean", "std", "min", "max", "q25", "q50", "q75", "q90")])
+
+
+@register("X11_counterfactual_summary", f"""WITH {COHORT_ORDERS},
+m AS (SELECT x_price AS o_price, x_bal AS o_bal, least(greatest(x_price - 0.5, 0), 5) AS n_price, least(greatest(x_bal + 1.0, -1), 9) AS n_bal FROM cohort),
+d AS (SELECT *, sqrt(((n_price - o_price) / 5.0) ** 2 + ((n_bal - o_bal) / 10.0) ** 2) AS distance FROM m)
+SELECT count(*) AS n, round(avg(distance), 6) AS mean_distance, round(min(distance), 6) AS min_distance, round(max(distance), 6) AS max_distance,
+       round(avg(n_price - o_price), 6) AS mean_change_x_price, round(avg(n_bal - o_bal), 6) AS mean_change_x_bal FROM d""")
+def x11_summary(spark, sf_dir):
+    """Summary of a fixed change of every order (price down by .5, balance up by 1, within bounds)."""
+    co = cohort_orders(spark, sf_dir).select(F.col("x_price").alias("_orig_x_price"), F.col("x_bal").alias("_orig_x_bal"))
+    clip = lambda c, lo, hi: F.least(F.greatest(c, F.lit(lo)), F.lit(hi))
+    cf = co.withColumn("x_price", clip(F.col("_orig_x_price") - 0.5, 0.0, 5.0)).withColumn("x_bal", clip(F.col("_orig_x_bal") + 1.0, -1.0, 9.0))
+    a, b = (F.col("x_price") - F.col("_orig_x_price")) / 5.0, (F.col("x_bal") - F.col("_orig_x_bal")) / 10.0
+    s = counterfactual_summary(cf.withColumn("distance", F.sqrt(a * a + b * b)), ["x_price", "x_bal"])
+    return s.select("n", *[r6(c).alias(c) for c in ("mean_distance", "min_distance", "max_distance", "mean_change_x_price", "mean_change_x_bal")])
+
+
+@register("X9_treatment_interval")
+def x9_interval(spark, sf_dir):
+    """Rows-only: effect of the balance with a bootstrap interval over 50 hashed replicates."""
+    m = LinearRisk(COEF)
+    return treatment_effect_interval(cohort_orders(spark, sf_dir), "subject_id", m.risk, "x_bal", [0.0, 5.0], reps=50)
 
 
 PD_GRID = (0.5, 1.0, 2.0, 3.0, 4.0)
