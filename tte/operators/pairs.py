@@ -91,13 +91,18 @@ def _solve(pdf: pd.DataFrame):
     return less, eq, greater, tied
 
 
-def _kernel(by: list[str], keep_eq: bool):
-    def fn(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        less, eq, greater, tied = _solve(pdf)
-        row = {c: [key[i]] for i, c in enumerate(by)}
-        row.update(less=[less], eq=[eq if keep_eq else 0.0], greater=[greater], tied_x=[tied if keep_eq else 0.0])
-        return pd.DataFrame(row)
-    return fn
+def _solve_groups(df: DataFrame, keys: list[str], keep_eq: bool, parts: int) -> DataFrame:
+    """The kernel for each group of ``keys``. Small groups travel together: a Python call takes all
+    groups whose keys hash to one of ``parts`` parts, and solves them one after the other."""
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        for key, group in pdf.groupby(keys, sort=False, dropna=False):
+            less, eq, greater, tied = _solve(group)
+            rows.append((*key, less, eq if keep_eq else 0.0, greater, tied if keep_eq else 0.0))
+        return pd.DataFrame(rows, columns=[*keys, "less", "eq", "greater", "tied_x"])
+
+    part = F.pmod(F.xxhash64(*keys), F.lit(parts))
+    return df.withColumn("_part", part).groupBy("_part").applyInPandas(lambda pdf: fn(pdf), _out_schema(df.select(*keys), keys))
 
 
 def _out_schema(df: DataFrame, by: list[str]) -> T.StructType:
@@ -118,7 +123,7 @@ def dominance(points: DataFrame, by: Sequence[str] = (), k: int | None = None, d
     if depth >= 2:
         kb = by if by else ["_all"]
         src = points if by else points.withColumn("_all", F.lit(0))
-        res = src.groupBy(*kb).applyInPandas(_kernel(kb, keep_eq), _out_schema(src, kb))
+        res = _solve_groups(src, kb, keep_eq, k or 1)
         return res if by else res.drop("_all")
     cuts_t, cuts_r = plan_bands(points, "xv", k), plan_bands(points, "y", k)
     k = max(len(cuts_t), len(cuts_r)) + 1
@@ -127,17 +132,14 @@ def dominance(points: DataFrame, by: Sequence[str] = (), k: int | None = None, d
     # Single-valued (odd) bands have no such pair and are left out, so a hot time never forms a
     # Python group. Same-time pairs (the tie rule) are counted by part A1 in Spark.
     a_pts = pts.where(F.col("_tb") % 2 == 0).withColumn("tie", F.lit(0))
-    schema_a = _out_schema(pts.select(*by, "_tb"), by + ["_tb"])
-    part_a = a_pts.groupBy(*by, "_tb").applyInPandas(_kernel(by + ["_tb"], keep_eq), schema_a).drop("_tb")
+    part_a = _solve_groups(a_pts, by + ["_tb"], keep_eq, k).drop("_tb")
     parts = [part_a]
     if keep_eq and depth == 0:
         parts.append(_same_time_pairs(points, by))
     # B: later time band, same risk band: exact kernel per risk band (time compared by band);
     # a single-valued (odd) risk band only has tied risks, counted in Spark.
     b_pts = pts.select(*by, F.col("_tb").cast("double").alias("xv"), F.lit(0).alias("tie"), "y", "w", "q", "_rb")
-    schema_b = _out_schema(b_pts.select(*by, "_rb"), by + ["_rb"])
-    part_b = b_pts.where(F.col("_rb") % 2 == 0).groupBy(*by, "_rb").applyInPandas(_kernel(by + ["_rb"], keep_eq), schema_b) \
-        .drop("_rb")
+    part_b = _solve_groups(b_pts.where(F.col("_rb") % 2 == 0), by + ["_rb"], keep_eq, k).drop("_rb")
     parts.append(part_b)
     if keep_eq:
         parts.append(_single_risk_band_ties(pts.where(F.col("_rb") % 2 == 1), by))
