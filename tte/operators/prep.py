@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tte.operators.stats import exact_quantiles
+from tte.operators.stats import exact_quantiles, most_frequent
 
 
 def _q(c: str) -> Column:
@@ -39,8 +39,7 @@ class SimpleImputer:
             rows = exact_quantiles(df, cols, [0.5]).collect()
             self.fill_ = {r["column"]: r["q"] for r in rows}
         elif self.strategy == "most_frequent":
-            row = df.agg(*[F.mode(_q(c), deterministic=True).alias(c) for c in cols]).collect()[0]
-            self.fill_ = {c: row[c] for c in cols}
+            self.fill_ = most_frequent(df, cols)
         else:
             raise ValueError(f"unknown strategy {self.strategy!r}")
         return self

@@ -11,12 +11,12 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tte.operators.stats import (
-    corrected_kurt, corrected_skew, exact_quantiles, melt, numeric_columns, text_columns,
+    corrected_kurt, corrected_skew, exact_quantiles, melt, most_frequent, numeric_columns, text_columns,
 )
 
 
@@ -259,26 +259,38 @@ def _rule_aggs(df: DataFrame, rules: Sequence[Rule]) -> list[Column]:
             allowed = list(r.params.get("allowed_values", []))
             bad = ~F.coalesce(c.cast("string").isin(allowed), F.lit(False))
             aggs.append(F.sum(bad.cast("long")).alias(p + "bad"))
-            # up to five distinct offending values, smallest first: a bounded sorted sample
-            aggs.append(F.slice(F.array_sort(F.collect_set(F.when(bad, F.coalesce(c.cast("string"), F.lit("null"))))), 1, 5)
-                        .alias(p + "examples"))
         elif r.kind == "normality":
             x = c.cast("double")
             aggs += [F.count(x).alias(p + "n"), F.skewness(x).alias(p + "g1"), F.kurtosis(x).alias(p + "g2")]
     return aggs
 
 
+def _bad_examples(df: DataFrame, rules: Sequence[Rule], k: int = 5) -> DataFrame:
+    """``rule_id, _examples``: the ``k`` smallest distinct offending values of each categorical rule. The
+    values are made distinct and ranked in Spark, which keeps the first ``k`` before the shuffle."""
+    found = []
+    for r in rules:
+        if r.kind == "categorical" and r.column in df.columns:
+            c = _q(r.column).cast("string")
+            bad = ~F.coalesce(c.isin(list(r.params.get("allowed_values", []))), F.lit(False))
+            found.append(F.struct(F.lit(r.rule_id).alias("rule_id"), F.when(bad, F.coalesce(c, F.lit("null"))).alias("value")))
+    if not found:
+        return df.sparkSession.createDataFrame([], "rule_id string, _examples array<string>")
+    values = df.select(F.explode(F.array(*found)).alias("x")).select("x.*").where(F.col("value").isNotNull()).distinct()
+    first = Window.partitionBy("rule_id").orderBy("value")
+    kept = values.withColumn("_rn", F.row_number().over(first)).where(F.col("_rn") <= k)
+    return kept.groupBy("rule_id").agg(F.array_sort(F.collect_list("value")).alias("_examples"))
+
+
 def validate(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
-    """Q12-Q16: every rule evaluated from ONE aggregate pass; returns (per-rule rows, summary).
+    """Q12-Q16: every rule evaluated from ONE aggregate pass (and one more for the examples of categorical
+    rules); returns (per-rule rows, summary).
 
     completeness: pass if % non-null >= min_completeness (default 95). range: counts below/above,
     nulls pass. categorical: values outside the allowed list, null counts as bad, up to five
     examples. normality: Jarque-Bera p = exp(-JB/2) > 0.05 (the reference's Shapiro-Wilk needs
     the whole column in one place). A missing column or unknown kind fails with severity error.
     Summary: failed if any failed rule has severity error, passed_with_warnings if only warnings.
-
-    Note: the categorical example list uses ``collect_set`` of offending values (at most the
-    distinct bad values, sliced to five after a sort).
     """
     wide = df.agg(*_rule_aggs(df, rules))
     rows = []
@@ -305,7 +317,7 @@ def validate(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame
             viol = F.col(p + "bad`")
             val = viol.cast("double")
             ok = viol == 0
-            ex = F.col(p + "examples`")
+            ex = F.array().cast("array<string>")
         else:
             n = F.col(p + "n`").cast("double")
             jb = n / 6.0 * (F.col(p + "g1`") ** 2 + (F.col(p + "g2`") ** 2) / 4.0)
@@ -320,6 +332,9 @@ def validate(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame
             val.cast("double").alias("value"), viol.cast("long").alias("violations"), ex.alias("examples"),
         ))
     per_rule = wide.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
+    if any(r.kind == "categorical" for r in rules):
+        per_rule = (per_rule.join(_bad_examples(df, rules), "rule_id", "left")
+                    .withColumn("examples", F.coalesce("_examples", "examples")).drop("_examples"))
     summary = per_rule.agg(
         F.count(F.lit(1)).alias("n_rules"),
         F.sum((F.col("status") == "passed").cast("int")).alias("n_passed"),
@@ -416,41 +431,32 @@ def cleanse_missing(df: DataFrame, median_cols: Sequence[str] = MEDIAN_FILL_COLU
     other numbers, most frequent value (smallest on ties) or "unknown" for text.
     Constants come from one aggregate pass (plus exact medians), then one ``select``."""
     num = set(numeric_columns(df))
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    for c in df.columns:
-        aggs.append(F.sum(_q(c).isNull().cast("long")).alias(f"{c}__miss"))
-        if c in num and c not in median_cols:
-            aggs.append(F.avg(_q(c)).alias(f"{c}__fill"))
-        elif c not in num:
-            aggs.append(F.mode(_q(c), deterministic=True).alias(f"{c}__fill"))
-    consts = df.agg(*aggs)
-    med = [c for c in df.columns if c in num and c in median_cols]
-    if med:
-        qt = _quantile_table(df, med, [0.5], exact).groupBy().pivot("column", med).agg(F.first("q"))
-        qt = qt.select(*[F.col(f"`{c}`").alias(f"{c}__fill") for c in med])
-        consts = consts.crossJoin(qt)
-    j = df.crossJoin(F.broadcast(consts))
-    keep = []
-    for c in df.columns:
-        pct = F.col(f"`{c}__miss`") * 100.0 / F.col("_n")
-        fill = F.col(f"`{c}__fill`")
-        if c not in num:
-            fill = F.coalesce(fill, F.lit("unknown"))
-        keep.append((c, pct, F.coalesce(_q(c), fill.cast(df.schema[c].dataType))))
-    # which columns survive is a property of the data: decide it from the one-row constants
-    dropped = consts.select(*[(F.col(f"`{c}__miss`") * 100.0 / F.col("_n") > drop_above_pct).alias(c) for c, _, _ in keep]) \
-        .collect()[0].asDict()
-    return j.select(*[expr.alias(c) for c, _, expr in keep if not dropped[c]])
+    means = [c for c in df.columns if c in num and c not in median_cols]
+    row = df.agg(F.count(F.lit(1)).alias("_n"), *[F.sum(_q(c).isNull().cast("long")).alias(f"{c}__miss") for c in df.columns],
+                 *[F.avg(_q(c)).alias(f"{c}__fill") for c in means]).first()
+    kept = [c for c in df.columns if not row["_n"] or (row[f"{c}__miss"] or 0) * 100.0 / row["_n"] <= drop_above_pct]
+    fill = {c: row[f"{c}__fill"] for c in means}
+    gaps = [c for c in kept if row[f"{c}__miss"]]
+    medians = [c for c in gaps if c in num and c in median_cols]
+    if medians:
+        fill |= {r["column"]: r["q"] for r in _quantile_table(df, medians, [0.5], exact).collect()}
+    fill |= {c: "unknown" if v is None else v for c, v in most_frequent(df, [c for c in gaps if c not in num]).items()}
+    # the constants are numbers and short texts of the driver: literals, so the plan is one projection
+    return df.select(*[F.coalesce(_q(c), F.lit(fill[c]).cast(df.schema[c].dataType)).alias(c)
+                       if c in gaps and fill.get(c) is not None else _q(c).alias(c) for c in kept])
 
 
 def remove_outliers(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
     """Q22: keep rows inside the IQR fences, column by column with the fences recomputed on what is
-    left (rows with a null in the column go too, as the comparison drops them)."""
+    left (rows with a null in the column go too, as the comparison drops them). Each column's two
+    fences come to the driver and enter the next plan as literals, so the plan is a chain of filters
+    over one scan, however many columns there are."""
     out = df
     for c in cols:
-        f = iqr_fences(out, [c], exact).select("lower", "upper")
-        out = out.crossJoin(F.broadcast(f)).where((_q(c) >= F.col("lower")) & (_q(c) <= F.col("upper"))) \
-            .drop("lower", "upper")
+        f = iqr_fences(out, [c], exact).select("lower", "upper").first()
+        if f is None or f["lower"] is None:
+            return out.limit(0)
+        out = out.where((_q(c) >= F.lit(f["lower"])) & (_q(c) <= F.lit(f["upper"])))
     return out
 
 
@@ -528,13 +534,15 @@ def isolation_scores(df: DataFrame, cols: Sequence[str], trees: int = 100, sampl
     sd = {c: (st[f"s_{c}"] or 1.0) or 1.0 for c in cols}
     n = max(int(st["_n"]), 1)
     z = df.select("*", *[((F.coalesce(_q(c).cast("double"), F.lit(mu[c])) - mu[c]) / sd[c]).alias(f"_z_{c}") for c in cols])
-    # one hashed uniform per row; rows with u < trees * p fall into tree floor(u / p), p ~ 2 x
-    # sample / n, so the candidates are O(trees x sample) rows and only they are shuffled
-    p_tree = min(1.0 / trees, 2.0 * sample / n)
-    u = (F.pmod(F.xxhash64(*[_q(c) for c in df.columns], F.lit(seed)), F.lit(1 << 53)).cast("double") / float(1 << 53))
-    cand = z.select(*[f"_z_{c}" for c in cols], u.alias("_u")).where(F.col("_u") < trees * p_tree) \
-        .withColumn("_t", F.floor(F.col("_u") / p_tree).cast("int"))
-    from pyspark.sql import Window
+    # each tree draws with its own hash of (row, tree): about 2 x sample candidates per tree, of which
+    # those with the smallest hashes stay, so every tree has min(sample, n) rows at any n
+    share = min(1.0, 2.0 * sample / n)
+    row = F.xxhash64(*[_q(c) for c in df.columns])
+    draw = lambda t: F.pmod(F.xxhash64(row, t, F.lit(seed)), F.lit(1 << 53)).cast("double") / float(1 << 53)
+    drawn = F.filter(F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(t.alias("t"), draw(t).alias("u"))),
+                     lambda x: x["u"] < share)
+    cand = z.select(*[f"_z_{c}" for c in cols], F.explode(drawn).alias("_d")).select(
+        *[f"_z_{c}" for c in cols], F.col("_d.t").alias("_t"), F.col("_d.u").alias("_u"))
     w = Window.partitionBy("_t").orderBy("_u")
     picked = cand.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= sample).drop("_rn", "_u")
     pdf = picked.toPandas()  # trees x sample rows: bounded by the parameters, not by the data
@@ -553,7 +561,7 @@ def isolation_scores(df: DataFrame, cols: Sequence[str], trees: int = 100, sampl
 
     zc = [f"_z_{c}" for c in cols]
     forest = [grow(g[zc].to_numpy(float), 0) for _, g in pdf.groupby("_t")]
-    m = min(sample, len(pdf) // max(trees, 1) or 1)
+    m = min(sample, n)
 
     def c_of(n):
         return 2.0 * (np.log(n - 1) + 0.5772156649) - 2.0 * (n - 1) / n if n > 2 else (1.0 if n == 2 else 0.0)
@@ -586,6 +594,6 @@ def isolation_scores(df: DataFrame, cols: Sequence[str], trees: int = 100, sampl
             yield b
 
     schema = z.drop(*zc).schema.add("anomaly_score", "double")
-    scored = z.mapInPandas(score, schema)
+    scored = z.mapInPandas(score, schema).persist()  # scored once, for the cut and for the result
     cut = scored.agg(F.percentile_approx("anomaly_score", 1 - contamination, 10000).alias("_cut"))
     return scored.crossJoin(F.broadcast(cut)).withColumn("is_anomaly", F.col("anomaly_score") >= F.col("_cut")).drop("_cut")

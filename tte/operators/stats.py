@@ -33,6 +33,22 @@ def melt(df: DataFrame, cols: Sequence[str], value_type: str = "double", keep: S
     return df.select(*keep, F.explode(arr).alias("_kv")).select(*keep, "_kv.column", "_kv.value")
 
 
+def most_frequent(df: DataFrame, cols: Sequence[str]) -> dict:
+    """The most frequent non-null value of each column (the smallest on a tie; None without values).
+
+    Counted per distinct value, so no task holds a column's values; one row per column reaches the
+    driver. Numbers are compared as doubles, everything else as text."""
+    number = set(numeric_columns(df))
+    out: dict = dict.fromkeys(cols)
+    for names, kind in (([c for c in cols if c in number], "double"), ([c for c in cols if c not in number], "string")):
+        if names:
+            counts = (melt(df, names, kind).where(F.col("value").isNotNull()).groupBy("column", "value")
+                      .agg(F.count(F.lit(1)).alias("n")))
+            best = counts.groupBy("column").agg(F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("value"))
+            out |= {r["column"]: r["value"] for r in best.collect()}
+    return out
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """Exact linear-interpolation quantiles per (by..., column): output ``by..., column, p, q``.
 
