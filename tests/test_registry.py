@@ -16,4 +16,4 @@ def test_registry_shape():
     q, s = entry.queries(), entry.oracle_sql()
     assert len(q) >= 100 and set(s) <= set(q)
     for name in q:
-        assert re.match(r"^[A-Z][0-9]+_", name), name
+        assert re.match(r"^([A-Z][0-9]+_|op[0-9]+_|pipeline$)", name), name
