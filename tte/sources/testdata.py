@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tte.operators.scan import carry_forward, next_value
+from tte.operators.episodes import episodes
 from tte.sources.tables import table
 
 # Fixed values of the stand-in risk model used before fitted models exist (FIXTURES.md):
@@ -123,55 +123,13 @@ def cohort_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     last timestamp of the table). Otherwise the episode is censored at that end. Time in hours
     from whole-second timestamps; ``x1`` is the signup's ``value``.
 
-    Plan (no pair join): signups and purchases are unioned; each purchase takes the id of the last
-    signup before it (banded carry-forward, so a hot user is split over tasks); the first purchase
-    per episode is a ``min`` grouped by episode. The next signup is the mirror scan.
+    Built by the generic ``episodes`` operator.
     """
-    ev = table(spark, sf_dir, "events").select(
-        "event_id", "user_id", "event_type", "value",
-        F.col("ts").cast("timestamp").alias("ts"),
-    )
-    ev = ev.where(F.col("event_type").isin("signup", "purchase"))
-    ev = ev.withColumn("_us", F.unix_micros("ts"))
-    study_end = table(spark, sf_dir, "events").agg(F.max(F.col("ts").cast("timestamp")).alias("study_end"))
-    marked = ev.withColumn(
-        "_signup_id", F.when(F.col("event_type") == "signup", F.col("event_id"))
-    ).withColumn("_signup_us", F.when(F.col("event_type") == "signup", F.col("_us")))
-    # episode of each purchase = last signup strictly before it
-    purchases = carry_forward(marked, ["user_id"], "_us", "_signup_id", "episode_id").where(
-        (F.col("event_type") == "purchase") & F.col("episode_id").isNotNull()
-    )
-    # end of each episode = next signup strictly after it
-    signups = next_value(marked, ["user_id"], "_us", "_signup_us", "_next_us").where(
-        F.col("event_type") == "signup"
-    )
-    signups = signups.crossJoin(F.broadcast(study_end)).select(
-        F.col("event_id").alias("episode_id"),
-        "user_id",
-        F.col("value").alias("x1"),
-        F.col("ts").alias("start_ts"),
-        F.unix_seconds("ts").alias("_start_s"),
-        F.coalesce(
-            F.floor(F.col("_next_us") / 1_000_000).cast("bigint"), F.unix_seconds("study_end")
-        ).alias("_end_s"),
-        F.col("_next_us"),
-        F.unix_micros("study_end").alias("_end_us"),
-    )
-    first_purchase = purchases.groupBy("episode_id").agg(
-        F.min("_us").alias("_p_us"), F.min(F.unix_seconds("ts")).alias("_p_s")
-    )
-    j = signups.join(first_purchase, "episode_id", "left")
-    # a purchase at the next signup's instant still belongs to this episode (not after it)
-    hit = F.col("_p_us").isNotNull() & (F.col("_p_us") <= F.coalesce(F.col("_next_us"), F.col("_end_us")))
-    end_s = F.when(hit, F.col("_p_s")).otherwise(F.col("_end_s"))
-    return j.select(
-        F.col("episode_id").alias("subject_id"),
-        "user_id",
-        ((end_s - F.col("_start_s")) / 3600.0).alias("time"),
-        hit.cast("int").alias("event"),
-        "x1",
-        "start_ts",
-    )
+    events = table(spark, sf_dir, "events")
+    e = episodes(events, "user_id", "ts", "event_id", F.col("event_type") == "signup", F.col("event_type") == "purchase",
+                 carry=["value"])
+    return e.select(F.col("episode_id").alias("subject_id"), "user_id", ((F.col("end_s") - F.col("start_s")) / 3600.0).alias("time"),
+                    "event", F.col("value").alias("x1"), "start_ts")
 
 
 def standin_risk() -> F.Column:
