@@ -109,3 +109,12 @@ def test_choice_of_models(frame):
     assert best_average(both).first().model == "b"
     means = {r.experiment: (r.n_runs, r.mean_m) for r in experiment_means(frame(experiment=["x", "x", "y"], m=[1.0, 2.0, 5.0]), ["m"]).collect()}
     assert means == {"x": (2, 1.5), "y": (1, 5.0)}
+
+
+def test_group_fits_do_not_depend_on_the_solver(cohort):
+    from tte.operators.models.ensemble import fit_per_group
+
+    df = cohort.withColumn("g", F.when(F.col("id") % 3 == 0, "small").otherwise("large"))
+    local = {r.g: r.coef_x for r in fit_per_group(df, "g", ["x"], alpha=0.1).collect()}
+    spread = {r.g: r.coef_x for r in fit_per_group(df, "g", ["x"], alpha=0.1, max_local_rows=600).collect()}
+    assert local.keys() == spread.keys() and all(local[g] == pytest.approx(spread[g], abs=1e-8) for g in local)

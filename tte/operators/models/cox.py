@@ -98,28 +98,11 @@ class CoxPH:
         beta = (np.asarray(init, float) * sd) if init is not None else np.zeros(p)
         pen = self.alpha / sd ** 2  # ridge on the original-scale coefficients
         pairs = [(j, k) for j in range(p) for k in range(j, p)]
-        prev_ll = None
         # the per-time table has the same keys in every Newton step: plan its bands once
         self._plan = plan_bands(data.groupBy("_t").agg(F.count(F.lit(1)).alias("_c")).withColumn("_nt", -F.col("_t")), "_nt")
         try:
-            for it in range(self.n_iter):
-                ll, grad, hess = self._derivs(data, beta, z, pairs)
-                ll -= 0.5 * float(np.sum(pen * beta ** 2))
-                grad = grad - pen * beta
-                hess = hess - np.diag(pen)
-                if prev_ll is not None and ll < prev_ll - 1e-12 and it > 0:
-                    # step halving back towards the previous point
-                    beta = (beta + self._prev_beta) / 2.0
-                    continue
-                step = np.linalg.solve(-hess + 1e-12 * np.eye(p), grad)
-                self._prev_beta = beta.copy()
-                beta = beta + step
-                self.n_iter_ = it + 1
-                if prev_ll is not None and abs(ll - prev_ll) < self.tol * max(1.0, abs(ll)) and np.max(np.abs(step)) < 1e-6:
-                    self.converged_ = True
-                    break
-                prev_ll = ll
-            self.loglik_ = prev_ll
+            beta, self.loglik_, self.n_iter_, self.converged_ = newton(
+                lambda b: self._derivs(data, b, z, pairs), beta, pen, self.n_iter, self.tol)
         finally:
             data.unpersist()
         if not self.converged_:
@@ -178,28 +161,42 @@ def cox_newton_local(x: np.ndarray, t: np.ndarray, e: np.ndarray, alpha: float =
     zz = (x - mu) / sd
     order = np.argsort(-t, kind="stable")
     zz, t, e = zz[order], t[order], e[order]
-    beta = np.zeros(p)
-    pen = alpha / sd ** 2
     # last index of each tie group in descending time: the risk set of time t is rows[: last]
     _, first_idx = np.unique(-t, return_index=True)
     last = np.r_[first_idx[1:], n] - 1
-    prev = None
-    for _ in range(n_iter):
+
+    def derivatives(beta):
         lp = zz @ beta
         w = np.exp(lp - lp.max())
-        s0 = np.cumsum(w)[last]
+        s0 = np.maximum(np.cumsum(w)[last], 1e-300)
         s1 = np.cumsum(w[:, None] * zz, 0)[last]
         s2 = np.cumsum(w[:, None, None] * zz[:, :, None] * zz[:, None, :], 0)[last]
         d = np.add.reduceat(e, first_idx)
         ez = np.add.reduceat(e[:, None] * zz, first_idx, axis=0)
         m = d > 0
-        ll = float(np.sum((e * lp)) - np.sum(d[m] * (np.log(s0[m]) + lp.max()))) - 0.5 * float(np.sum(pen * beta ** 2))
-        g = (ez[m] - d[m, None] * s1[m] / s0[m, None]).sum(0) - pen * beta
+        ll = float(np.sum((e * lp)) - np.sum(d[m] * (np.log(s0[m]) + lp.max())))
+        g = (ez[m] - d[m, None] * s1[m] / s0[m, None]).sum(0)
         h = -(d[m, None, None] * (s2[m] / s0[m, None, None] - s1[m][:, :, None] * s1[m][:, None, :] / (s0[m] ** 2)[:, None, None])).sum(0)
-        h -= np.diag(pen)
-        step = np.linalg.solve(-h + 1e-12 * np.eye(p), g)
-        beta = beta + step
-        if prev is not None and abs(ll - prev) < tol * max(1.0, abs(ll)):
-            break
-        prev = ll
-    return beta / sd
+        return ll, g, h
+
+    return newton(derivatives, np.zeros(p), alpha / sd ** 2, n_iter, tol)[0] / sd
+
+
+def newton(derivatives, beta: np.ndarray, pen: np.ndarray, n_iter: int, tol: float):
+    """Newton steps with halving on the penalised log-likelihood, the same for the distributed and the
+    local fit. ``derivatives(beta)`` gives value, gradient and Hessian without the penalty
+    ``0.5 * sum(pen * beta ** 2)``. Returns (beta, log-likelihood, steps, converged)."""
+    before = before_beta = None
+    steps, p = 0, len(beta)
+    for _ in range(n_iter):
+        ll, grad, hess = derivatives(beta)
+        ll -= 0.5 * float(np.sum(pen * beta ** 2))
+        if before is not None and ll < before - 1e-12:
+            beta = (beta + before_beta) / 2.0  # back towards the previous point
+            continue
+        step = np.linalg.solve(-(hess - np.diag(pen)) + 1e-12 * np.eye(p), grad - pen * beta)
+        before_beta, beta, steps = beta.copy(), beta + step, steps + 1
+        if before is not None and abs(ll - before) < tol * max(1.0, abs(ll)) and np.max(np.abs(step)) < 1e-6:
+            return beta, ll, steps, True
+        before = ll
+    return beta, before, steps, False

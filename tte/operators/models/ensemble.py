@@ -157,7 +157,9 @@ def fit_per_group(df: DataFrame, key: str, features: Sequence[str], time: str =
     """One Cox model per group; all groups' coefficients are kept (the reference keeps the
     first). Groups up to ``max_local_rows`` rows are fitted by the local NumPy Newton inside
     ``applyInPandas``; larger groups (one key may hold a third of the rows) are fitted by the
-    distributed ``CoxPH`` on their filtered rows, so no task ever holds an unbounded group."""
+    distributed ``CoxPH`` on their filtered rows, so no task ever holds an unbounded group. Both take the
+    same Newton steps (``newton``) on the same likelihood with the same stop test; they differ only in
+    where the sums are made."""
     feats = list(features)
     sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     big = [r[key] for r in sizes.where(F.col("_n") > max_local_rows).select(key).collect()]  # few keys by construction
