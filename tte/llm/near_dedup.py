@@ -15,10 +15,13 @@ Banding: 25 bands of 5 registers; documents that agree in a band are candidates
 0.8 is missed with a probability of 5e-5, at 0.9 with 1e-10).
 
 Verification: candidates are compared by their exact similarity. Documents in one bucket are not
-paired with each other: in each round every bucket's members are compared with one hub, and links
-merge classes. What matters afterwards are only pairs whose ends are still in different classes; those
-are compared exhaustively once the rounds no longer pay, so no link between classes is lost, while a
-bucket of thousands of near copies costs its size and not its square.
+paired with each other: in each round every bucket's members are compared with one hub (first the
+member with the most company), and links merge classes. What matters afterwards are only pairs whose
+ends are still in different classes, and none of those is left out: in buckets of up to ``SMALL``
+members they are compared pair by pair; larger buckets are cut into blocks, and each pair of blocks is
+one group of at most about ``2 * BLOCK`` documents, compared by matrix products that hand on only the
+links that join classes. So a bucket of thousands of near copies makes rows in proportion to its size
+and not to its square.
 """
 
 from __future__ import annotations
@@ -30,14 +33,16 @@ from pyspark.sql import functions as F
 
 from tte.llm.common import written
 from tte.llm.graph import components
-from tte.llm.textnum import (LOWER, U64, binary_column, list_column, mix64, prefix_hash, range_hash, run_hash, slices,
-                             word_spans)
+from tte.llm.textnum import (LOWER, U64, binary_column, gathered, list_column, mix64, prefix_hash, range_hash, run_hash,
+                             slices, word_spans)
 
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS = 25
 ROWS = 5
-HUB_ROUNDS = 3
+HUB_ROUNDS = 2
+SMALL = 32
+BLOCK = 256
 _GOLD = U64(0x9E3779B97F4A7C15)
 
 
@@ -87,23 +92,22 @@ def signatures(doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray, docs: i
 
 def _signature_batches(k: int):
     def run(batches):
-        for batch in batches:
+        # a short text takes hundreds of turns, which all texts of a batch share
+        for batch in gathered(batches, "text", 4 << 20):
             data, offs = binary_column(batch, "text")
-            out = []
-            for lo, hi in slices(offs, 4 << 20):  # a short text takes hundreds of turns; large slices share them
-                buf, bounds = data[offs[lo]: offs[hi]], offs[lo: hi + 1] - offs[lo]
-                doc, shingle, weight, n_words, whole = weighted_shingles(buf, bounds, k)
-                held = signatures(doc, shingle, weight, hi - lo).reshape(hi - lo, BANDS, ROWS)
-                band = np.zeros((hi - lo, BANDS), dtype=U64) + np.arange(1, BANDS + 1, dtype=U64)
-                for r in range(ROWS):
-                    band = mix64(band * _GOLD + held[:, :, r])
-                out.append((whole[0], whole[1], n_words, band))
-            if not out:
-                continue
-            a, b, n, bands = (np.concatenate([o[i] for o in out]) for i in range(4))
+            parts = []
+            for lo, hi in slices(offs):
+                doc, *rest = weighted_shingles(data[offs[lo]: offs[hi]], offs[lo: hi + 1] - offs[lo], k)
+                parts.append((doc + lo, *rest))
+            doc, shingle, weight, n_words = (np.concatenate([p[i] for p in parts]) for i in range(4))
+            a, b = (np.concatenate([p[4][i] for p in parts]) for i in range(2))
+            held = signatures(doc, shingle, weight, batch.num_rows).reshape(-1, BANDS, ROWS)
+            bands = np.zeros(held.shape[:2], dtype=U64) + np.arange(1, BANDS + 1, dtype=U64)
+            for r in range(ROWS):
+                bands = mix64(bands * _GOLD + held[:, :, r])
             yield pa.RecordBatch.from_arrays([
                 batch.column(batch.schema.get_field_index("doc")), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)),
-                pa.array(n.astype(np.int64)), list_column(bands.ravel().view(np.int64), np.full(len(a), BANDS), pa.int64())],
+                pa.array(n_words.astype(np.int64)), list_column(bands.ravel().view(np.int64), np.full(len(a), BANDS), pa.int64())],
                 names=["doc", "a", "b", "n_words", "bands"])
     return run
 
@@ -154,6 +158,65 @@ def _compare(threshold: float):
     return run
 
 
+def block_links(node: np.ndarray, root: np.ndarray, left: np.ndarray, right: np.ndarray, sets: list, weights: list,
+                threshold: float) -> list[tuple[int, int]]:
+    """Links between documents of the left and of the right side that have different roots: enough of
+    them to join all roots that links join.
+
+    With ``m`` the part of one document's weight that lies on the other's shingles, the similarity is
+    at most the smaller ``m`` of the two, so only pairs with both at ``threshold`` go further."""
+    rows = np.repeat(np.arange(len(node)), [len(x) for x in sets])
+    kinds, column = np.unique(np.concatenate(sets), return_inverse=True)
+    shared = np.flatnonzero(np.bincount(column) > 1)
+    place = np.full(len(kinds), -1)
+    place[shared] = np.arange(len(shared))
+    column, total = place[column], np.array([w.sum() for w in weights], dtype=np.float64)
+    mass = np.concatenate(weights) / total[rows]
+    common, on = np.zeros((len(node), len(node)), np.float32), np.zeros((len(node), len(node)), np.float32)
+    step = 4096
+    for c in range(0, len(shared), step):
+        mine = np.flatnonzero((column >= c) & (column < c + step))
+        has, heavy = (np.zeros((len(node), min(step, len(shared) - c)), np.float32) for _ in range(2))
+        has[rows[mine], column[mine] - c] = 1
+        heavy[rows[mine], column[mine] - c] = mass[mine]
+        common += has @ has.T
+        on += heavy @ has.T
+    near = np.minimum(on, on.T) >= threshold - 1e-3
+    near &= left[:, None] & right[None, :] & (root[:, None] != root[None, :]) & (node[:, None] != node[None, :])
+    plain, size = np.array([w.max() == 1 for w in weights]), np.array([len(x) for x in sets])
+    parent: dict[int, int] = {}
+
+    def find(x):
+        while parent.get(x, x) != x:
+            x = parent[x]
+        return x
+
+    links = []
+    for i, j in zip(*np.nonzero(near), strict=True):
+        x, y = find(int(root[i])), find(int(root[j]))
+        if x == y:
+            continue
+        n = round(float(common[i, j]))
+        if plain[i] and plain[j]:
+            alike = n / (size[i] + size[j] - n)
+        else:
+            alike = probability_jaccard(sets[i], weights[i], sets[j], weights[j])
+        if alike >= threshold - 1e-12:
+            parent[max(x, y)] = min(x, y)
+            links.append((int(min(node[i], node[j])), int(max(node[i], node[j]))))
+    return links
+
+
+def _compare_blocks(threshold: float):
+    def run(table: pa.Table) -> pa.Table:
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        block = table.column("block").to_numpy()
+        lists = [[np.array(x, dtype=np.int64) for x in table.column(c).to_pylist()] for c in ("s", "w")]
+        links = block_links(table.column("node").to_numpy(), table.column("root").to_numpy(), block == i, block == j, *lists, threshold)
+        return pa.table({"a": pa.array([x[0] for x in links], pa.int64()), "b": pa.array([x[1] for x in links], pa.int64())})
+    return run
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHINGLE,
                     threshold: float = THRESHOLD) -> DataFrame:
     """One row per input row: ``key`` and ``class_id``, the smallest id of the documents linked with it,
@@ -187,32 +250,52 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
         return written(pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "wa", "sb", "wb").mapInArrow(
             _compare(threshold), "a bigint, b bigint, linked boolean"), "near-compared")
 
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
+    sized = members.join(sizes, "bucket")
+    company = sized.groupBy("node").agg(F.sum("size").alias("company"))
+    members = written(sized.join(company, "node"), "near-sized")
     tested = links = None
     roots = active.select("node", F.col("node").alias("root"))
-    for turn in range(HUB_ROUNDS + 1):
-        placed = members.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
-        split = placed.groupBy("bucket").agg(
-            F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("size"),
-            F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("hub"), F.col("root").alias("hub_root"))).alias("x"))
-        split = split.where("r0 < r1").select("bucket", "x.hub", "x.hub_root")
-        if turn < HUB_ROUNDS:
-            pairs = placed.join(split, "bucket").where("root <> hub_root").select(
-                F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-        else:
-            rest = placed.join(split.select("bucket"), "bucket")
-            pairs = (rest.alias("p").join(rest.alias("q"), F.expr("p.bucket = q.bucket and p.node < q.node and p.root <> q.root"))
-                     .select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct())
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, "near-pairs")
-        if pairs.isEmpty():
-            if turn < HUB_ROUNDS:
-                continue
-            break
-        judged = verified(pairs)
+
+    def unsettled(turn: int) -> tuple[DataFrame, DataFrame]:
+        """Members with their roots, and the buckets that hold several roots with a hub for the turn."""
+        placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        first = F.col("company") if turn == 0 else F.lit(0)
+        hub = F.max(F.struct(first.alias("c"), F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("hub"), F.col("root").alias("hub_root")))
+        split = placed.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), hub.alias("x"))
+        return placed, split.where("r0 < r1").select("bucket", "x.hub", "x.hub_root")
+
+    def settle(pairs: DataFrame) -> None:
+        """Compare pairs not compared before and merge what they link."""
+        nonlocal tested, links, roots
+        new = written(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "near-pairs")
+        if new.isEmpty():
+            return
+        judged = verified(new)
         tested = judged.select("a", "b") if tested is None else tested.unionByName(judged.select("a", "b"))
-        links = judged.where("linked") if links is None else links.unionByName(judged.where("linked"))
+        found = judged.where("linked").select("a", "b")
+        links = found if links is None else links.unionByName(found)
         roots = written(components(links), "near-roots")
+
+    for turn in range(HUB_ROUNDS):
+        placed, split = unsettled(turn)
+        settle(placed.join(split, "bucket").where("root <> hub_root").select(
+            F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct())
+    placed, split = unsettled(HUB_ROUNDS)
+    rest = placed.join(split.select("bucket"), "bucket")
+    few = rest.where(F.col("size") <= SMALL)
+    settle(few.alias("p").join(few.alias("q"), F.expr("p.bucket = q.bucket and p.node < q.node and p.root <> q.root"))
+           .select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct())
+    placed, split = unsettled(HUB_ROUNDS)
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    many = (placed.where(F.col("size") > SMALL).join(split.select("bucket"), "bucket")
+            .withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+            .select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "root"))
+    if not many.isEmpty():
+        found = written(many.join(sets, "node").groupBy("bucket", "i", "j").applyInArrow(_compare_blocks(threshold), "a bigint, b bigint"),
+                        "near-block-links").distinct()
+        links = found if links is None else links.unionByName(found)
     # rows that repeat an id tie the word sequences of their texts together
     ties = member_of.where("doc <> node").select(F.col("doc").alias("a"), F.col("node").alias("b"))
     edges = ties if links is None else ties.unionByName(links.select("a", "b"))
