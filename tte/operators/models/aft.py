@@ -45,6 +45,8 @@ class WeibullAFT:
         return VectorAssembler(inputCols=self.features, outputCol="_features", handleInvalid="keep").transform(df)
 
     def fit(self, df: DataFrame) -> "WeibullAFT":
+        # a log-time model has no place for times that are not positive: their number is reported
+        self.n_excluded_ = df.where(~F.coalesce(F.col(self.time) > 0, F.lit(False))).count()
         d = self._vec(df.where(F.col(self.time) > 0)).withColumn("_label", F.col(self.time).cast("double")) \
             .withColumn("_censor", F.col(self.event).cast("double"))
         aft = AFTSurvivalRegression(featuresCol="_features", labelCol="_label", censorCol="_censor",

@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tte.functions.expr import clip, monotone_survival, normal_cdf, sigmoid
+from tte.functions.expr import aft_cdf, clip, monotone_survival, sigmoid
 from tte.plans.registry import r6, register
 from tte.plans.sqltext import COHORT_ORDERS, RISK
 from tte.session import ensure_checkpoint_dir
@@ -16,7 +16,7 @@ from tte.sources.cohort import (
     subject_filter, write_table,
 )
 from tte.sources.tables import table
-from tte.sources.testdata import cohort_orders, with_standin
+from tte.sources.testdata import cohort_exclusions, cohort_orders, with_standin
 
 
 @register("S1_read_cohort", """
@@ -128,10 +128,28 @@ def e6_monotone(spark, sf_dir):
     return m.select("subject_id", *[r6(F.element_at("m", i + 1)).alias(f"s{i + 1}") for i in range(3)])
 
 
-@register("E5_normal_cdf")
-def e5_normal(spark, sf_dir):
-    """Rows-only: Phi of the standardised order price through the Arrow-batched pandas UDF."""
+@register("E5_aft_cdf", f"""WITH {COHORT_ORDERS},
+st AS (SELECT avg(x_price) AS m, stddev_pop(x_price) AS s FROM cohort),
+z AS (SELECT subject_id, (x_price - m) / s AS z FROM cohort, st)
+SELECT subject_id, round(z, 6) AS z,
+       round(0.5 + list_sum(list_transform(range(80), lambda n: (CASE WHEN n % 2 = 0 THEN 1.0 ELSE -1.0 END)
+             * pow(z / sqrt(2.0), 2 * n + 1) / (gamma(n + 1) * (2 * n + 1)))) / sqrt(pi()), 6) AS normal,
+       round(1.0 / (1.0 + exp(-z)), 6) AS logistic, round(1.0 - exp(-exp(z)), 6) AS extreme FROM z""")
+def e5_cdf(spark, sf_dir):
+    """The three log-time distribution functions at every standardised order price; the SQL side sums
+    the power series of the error function."""
     co = cohort_orders(spark, sf_dir)
     st = co.agg(F.avg("x_price").alias("m"), F.stddev_pop("x_price").alias("s"))
     z = co.crossJoin(F.broadcast(st)).select("subject_id", ((F.col("x_price") - F.col("m")) / F.col("s")).alias("z"))
-    return z.withColumn("phi", normal_cdf(F.col("z")))
+    return z.select("subject_id", r6("z").alias("z"), *[r6(aft_cdf(F.col("z"), d)).alias(d) for d in ("normal", "logistic", "extreme")])
+
+
+@register("S9_exclusions", """
+SELECT count(*) AS n_lines, CAST(sum(CASE WHEN o_orderkey IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS no_order,
+       CAST(sum(CASE WHEN l_shipdate <= o_orderdate THEN 1 ELSE 0 END) AS BIGINT) AS shipped_before,
+       CAST(sum(CASE WHEN l_shipdate <= o_orderdate AND l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS returned_before
+FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey""")
+def s9_exclusions(spark, sf_dir):
+    """Lines that the line and order cohorts leave out: those of no order, and those shipped on or before
+    the order date (a returned one among them does not count as the order's event)."""
+    return cohort_exclusions(spark, sf_dir)

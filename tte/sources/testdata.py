@@ -114,6 +114,18 @@ def cohort_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def cohort_exclusions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row: lines in all, without an order, shipped on or before the order date, and returned ones
+    among the latter. ``cohort_lines`` and ``cohort_orders`` leave these out by their rule."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate", "l_returnflag")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    early = F.coalesce(F.col("l_shipdate") <= F.col("o_orderdate"), F.lit(False))
+    return li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum(F.col("o_orderkey").isNull().cast("long")).alias("no_order"),
+        F.sum(early.cast("long")).alias("shipped_before"),
+        F.sum((early & (F.col("l_returnflag") == "R")).cast("long")).alias("returned_before"))
+
+
 @_cached
 def cohort_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Episodes from the ``events`` stream (bridge S9).
