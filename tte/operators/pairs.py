@@ -111,8 +111,14 @@ def _out_schema(df: DataFrame, by: list[str]) -> T.StructType:
     return T.StructType(fields)
 
 
+def _even_cuts(top: int, k: int) -> list[float]:
+    """About ``k`` bands of the whole numbers from 0 to ``top``."""
+    step = max(1, -(-top // k))
+    return [float(c) for c in range(step, top + 1, step)]
+
+
 def dominance(points: DataFrame, by: Sequence[str] = (), k: int | None = None, depth: int = 0,
-              keep_eq: bool = True) -> DataFrame:
+              keep_eq: bool = True, cuts: tuple[list[float], list[float]] | None = None) -> DataFrame:
     """Weighted dominance totals per ``by`` group over ``points(by..., xv, tie, y, w, q)``.
 
     The points are split into bands of time and of risk at every size; the number of bands follows
@@ -125,7 +131,7 @@ def dominance(points: DataFrame, by: Sequence[str] = (), k: int | None = None, d
         src = points if by else points.withColumn("_all", F.lit(0))
         res = _solve_groups(src, kb, keep_eq, k or 1)
         return res if by else res.drop("_all")
-    cuts_t, cuts_r = plan_bands(points, "xv", k), plan_bands(points, "y", k)
+    cuts_t, cuts_r = cuts or (plan_bands(points, "xv", k), plan_bands(points, "y", k))
     k = max(len(cuts_t), len(cuts_r)) + 1
     pts = points.withColumn("_tb", band_of("xv", cuts_t)).withColumn("_rb", band_of("y", cuts_r))
     # A: pairs with different times inside one time band: exact kernel per band, strict in time.
@@ -135,21 +141,23 @@ def dominance(points: DataFrame, by: Sequence[str] = (), k: int | None = None, d
     part_a = _solve_groups(a_pts, by + ["_tb"], keep_eq, k).drop("_tb")
     parts = [part_a]
     if keep_eq and depth == 0:
-        parts.append(_same_time_pairs(points, by))
+        parts.append(_same_time_pairs(points, by, cuts_r))
     # B: later time band, same risk band: exact kernel per risk band (time compared by band);
     # a single-valued (odd) risk band only has tied risks, counted in Spark.
     b_pts = pts.select(*by, F.col("_tb").cast("double").alias("xv"), F.lit(0).alias("tie"), "y", "w", "q", "_rb")
     part_b = _solve_groups(b_pts.where(F.col("_rb") % 2 == 0), by + ["_rb"], keep_eq, k).drop("_rb")
     parts.append(part_b)
     if keep_eq:
-        parts.append(_single_risk_band_ties(pts.where(F.col("_rb") % 2 == 1), by))
+        parts.append(_single_risk_band_ties(pts.where(F.col("_rb") % 2 == 1), by, _even_cuts(2 * len(cuts_t), k)))
     # C: later time band, other risk band: decided by the bands; the cells are a smaller problem
     cells = pts.groupBy(*by, "_tb", "_rb").agg(F.sum("w").alias("w"), F.sum("q").alias("q")).select(
         *by, F.col("_tb").cast("double").alias("xv"), F.lit(0).alias("tie"),
         F.col("_rb").cast("double").alias("y"), "w", "q",
     )
     k2 = max(2, int(np.ceil(np.sqrt(k))))
-    parts.append(dominance(cells, by, k2, depth + 1, keep_eq=False))
+    # the cells' keys are band numbers: their bands need no look at the data
+    even = _even_cuts(2 * len(cuts_t), k2), _even_cuts(2 * len(cuts_r), k2)
+    parts.append(dominance(cells, by, k2, depth + 1, keep_eq=False, cuts=even))
     allp = parts[0]
     for p_ in parts[1:]:
         allp = allp.unionByName(p_)
@@ -158,14 +166,14 @@ def dominance(points: DataFrame, by: Sequence[str] = (), k: int | None = None, d
     return allp.agg(*[F.sum(c).alias(c) for c in ("less", "eq", "greater", "tied_x")])
 
 
-def _same_time_pairs(points: DataFrame, by: list[str]) -> DataFrame:
+def _same_time_pairs(points: DataFrame, by: list[str], cuts: list[float]) -> DataFrame:
     """A1: query i and tie-flagged item j at the same time, split by y_j <, =, > y_i. Per
     (time, y): query weight Q and tie weight C; a banded running sum of C over y within each time
     gives the split, so a time holding a third of the rows is spread over tasks."""
     g = points.groupBy(*by, "xv", "y").agg(F.sum("q").alias("Q"), F.sum(F.col("w") * F.col("tie")).alias("C"))
     g = g.where((F.col("Q") > 0) | (F.col("C") > 0))
     tot = g.groupBy(*by, "xv").agg(F.sum("C").alias("_totC"))
-    sc = prefix_sum(g, "y", ["C"], by=[*by, "xv"], exclusive=True).join(tot, [*by, "xv"])
+    sc = prefix_sum(g, "y", ["C"], by=[*by, "xv"], exclusive=True, plan=cuts).join(tot, [*by, "xv"])
     less = F.col("Q") * F.col("cum_C")
     eq = F.col("Q") * F.col("C")
     greater = F.col("Q") * (F.col("_totC") - F.col("cum_C") - F.col("C"))
@@ -175,12 +183,12 @@ def _same_time_pairs(points: DataFrame, by: list[str]) -> DataFrame:
                F.sum(less + eq + greater).alias("tied_x"))
 
 
-def _single_risk_band_ties(pts: DataFrame, by: list[str]) -> DataFrame:
+def _single_risk_band_ties(pts: DataFrame, by: list[str], cuts: list[float]) -> DataFrame:
     """Part B for single-valued risk bands: every pair is a tied risk; count query i against items
     in later time bands with a running sum over the (few) time bands."""
     g = pts.groupBy(*by, "_rb", "_tb").agg(F.sum("q").alias("Q"), F.sum("w").alias("W"))
     tot = g.groupBy(*by, "_rb").agg(F.sum("W").alias("_totW"))
-    sc = prefix_sum(g, "_tb", ["W"], by=[*by, "_rb"]).join(tot, [*by, "_rb"])
+    sc = prefix_sum(g, "_tb", ["W"], by=[*by, "_rb"], plan=cuts).join(tot, [*by, "_rb"])
     eq = F.col("Q") * (F.col("_totW") - F.col("cum_W"))
     zero = F.lit(0.0)
     if by:
