@@ -32,14 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tte.llm.common import drop_frame, written
+from tte.llm.common import drop_frame, small_side, written
 from tte.llm.suffix_sort import sorted_neighbours
 from tte.llm.textnum import U64, binary_column, list_column, mix64, powers, prefix_hash, slices
 
 LENGTH = 200
 GRAM = 40
-BLOCK_BYTES = 6 << 20
-HOT_SEGMENTS = 100_000
+BLOCK_BYTES = 3 << 20
+HOT_SEGMENTS = 20_000
 #: Longer texts are read in pieces of this many windows, so that a position fits the tie-break bits.
 PIECE = 4 << 20
 _LOW = U64((1 << 24) - 1)
@@ -145,12 +145,13 @@ def repeated_in_block(pieces: list, windows: np.ndarray, length: int = LENGTH) -
     text[:-1] = raw.astype(np.uint16) + 2
     text[starts[1:] - 1] = 1
     text[-1] = 0
-    codes = np.unique(text)
-    if len(codes) > 256:
+    used = np.bincount(text, minlength=258) > 0
+    alphabet = int(used.sum())
+    if alphabet > 256:
         raise ValueError("more than 254 distinct bytes in a block: not UTF-8")
-    text = np.searchsorted(codes, text).astype(np.uint8)
+    text = (np.cumsum(used) - 1).astype(np.uint8)[text]
     repeated = np.zeros(len(text), dtype=bool)
-    for pos, lcp in sorted_neighbours(text, len(codes), length):
+    for pos, lcp in sorted_neighbours(text, alphabet, length):
         hit = np.flatnonzero(lcp[1:] >= length) + 1
         repeated[pos[hit]] = True
         repeated[pos[hit - 1]] = True
@@ -179,16 +180,28 @@ def _sort_shards(length: int, block_bytes: int):
         return pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(content, pa.binary()), pa.array(first, pa.int32()),
                                            pa.array(count, pa.int32())], names=["h", "content", "off", "m"])
 
-    def run(batches):
-        held, size = [], 0
+    def anchors(batches):
+        """The rows of one anchor at a time."""
+        group = []
         for batch in batches:
             for row in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist()
                              for c in ("h", "content", "n", "places", "bytes")), strict=True):
-                if size >= block_bytes and row[0] != held[-1][0]:
-                    yield flush(held)
-                    held, size = [], 0
-                held.append(row)
-                size += len(row[4])
+                if group and row[0] != group[-1][0]:
+                    yield group
+                    group = []
+                group.append(row)
+        if group:
+            yield group
+
+    def run(batches):
+        held, size = [], 0
+        for group in anchors(batches):
+            more = sum(len(row[4]) for row in group)
+            if held and size + more > block_bytes:
+                yield flush(held)
+                held, size = [], 0
+            held += group
+            size += more
         if held:
             yield flush(held)
     return run
@@ -242,12 +255,13 @@ def cut_texts(docs: DataFrame, text: str = "text", length: int = LENGTH, block_b
     runs = written(own.mapInArrow(_anchors_of(length), "key binary, h array<bigint>, first array<int>, n array<int>")
                    .selectExpr("key", "inline(arrays_zip(h, first, n))"), "rep-anchors")
     place = F.xxhash64("key", "first")
-    twice = (runs.groupBy("h").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a < b").select("h"))
-    candidates = (runs.join(twice, "h").groupBy("key", "first", "n", "h").agg(F.lit(1).alias("one"))
-                  .groupBy("key").agg(F.collect_list(F.struct("first", "n", "h")).alias("runs")))
+    # written, so that the join below reads two plain shuffles, whose hot anchors the skew join splits
+    twice = written(runs.groupBy("h").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a < b").select("h"), "rep-twice")
+    candidates = runs.join(twice, "h").groupBy("key").agg(F.collect_set(F.struct("first", "n", "h")).alias("runs"))
     whole = own.groupBy("key").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
     texts = written(whole.join(candidates, "key"), "rep-texts")
     drop_frame(runs)
+    drop_frame(twice)
     segments = written(texts.select("key", "text", "runs")
                        .mapInArrow(_segments_of(length), "key binary, h bigint, first int, n int, content binary, bytes binary"),
                        "rep-segments")
@@ -265,14 +279,18 @@ def cut_texts(docs: DataFrame, text: str = "text", length: int = LENGTH, block_b
         single = single.join(distinct.select("h", "content", "places"), ["h", "content"])
         often = single.groupBy("window").agg(F.sum("places").alias("k")).where("k > 1").select("window")
         found = found.unionByName(single.join(often, "window").select("h", "content", "off", F.lit(1).alias("m")))
-    spans = (segments.select("key", "h", "first", "content").join(written(found, "rep-found"), ["h", "content"])
+    found = written(found, "rep-found")
+    spans = (segments.select("key", "h", "first", "content").join(found, ["h", "content"])
              .groupBy("key").agg(F.collect_list(F.struct((F.col("first") + F.col("off")).alias("first"), F.col("m").alias("n")))
                                  .alias("runs")))
     cut = (texts.where("copies = 1").select("key", "text").join(spans, "key").select("key", "text", "runs")
            .mapInArrow(_cut(length), "key binary, n_removed bigint, n_spans bigint, kept binary"))
     copied = (own.groupBy("key").agg(F.max(F.octet_length("text")).cast("long").alias("n_removed"), F.count(F.lit(1)).alias("k"))
               .where("k > 1").select("key", "n_removed", F.lit(1).cast("long").alias("n_spans"), F.lit(b"").alias("kept")))
-    return cut.unionByName(copied)
+    out = written(cut.unionByName(copied), "rep-cut")
+    for table in (texts, segments, distinct, found):
+        drop_frame(table)
+    return out
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, **how) -> DataFrame:
@@ -280,21 +298,23 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, **
     (binary): the text's UTF-8 bytes without those that repeat.
 
     Null texts count as empty. Repeated rows are copies of each other and lose everything if long
-    enough. An empty table gives an empty result. The four added columns must not exist already."""
-    changed = written(cut_texts(docs, text, length, **how), "rep-cut")
-    raw = F.coalesce(F.col(text).cast("binary"), F.lit(b""))
-    return (docs.withColumn("_rep_key", F.unhex(F.md5(raw))).join(
-        changed.withColumnsRenamed({c: f"_rep_{c}" for c in changed.columns}), "_rep_key", "left")
-        .withColumns({"n_bytes": F.octet_length(raw).cast("long"), "n_removed": F.coalesce("_rep_n_removed", F.lit(0)),
-                      "n_spans": F.coalesce("_rep_n_spans", F.lit(0)), "kept": F.coalesce("_rep_kept", raw)})
-        .drop("_rep_key", *[f"_rep_{c}" for c in changed.columns if c != "key"]))
+    enough. An empty table gives an empty result. The four added columns come last; a table that has
+    columns of these names gets them twice, so pack its rows in a struct first. Only texts that change
+    are shuffled, unless they are too many for their keys to be broadcast."""
+    changed = cut_texts(docs, text, length, **how)
+    raw = F.coalesce(F.col("_rep_row")[text].cast("binary"), F.lit(b""))
+    rows = docs.select(F.struct("*").alias("_rep_row")).withColumn("key", F.unhex(F.md5(raw)))
+    keys = small_side(written(changed.select("key"), "rep-keys"))
+    cut = rows.join(keys, "key", "left_semi").join(changed, "key")
+    whole = (rows.join(keys, "key", "left_anti")
+             .select("key", "_rep_row", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), raw.alias("kept")))
+    return cut.unionByName(whole).select("_rep_row.*", F.octet_length(raw).cast("long").alias("n_bytes"), "n_removed", "n_spans", "kept")
 
 
 def repeat_digest(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, **how) -> DataFrame:
     """Per row ``key, n_bytes, n_removed, n_spans`` and the SHA-256 of the bytes kept; as
     ``remove_repeats``, but no text is shuffled for it."""
-    changed = written(cut_texts(docs, text, length, **how)
-                      .select("key", "n_removed", "n_spans", F.sha2("kept", 256).alias("sha")), "rep-digest")
+    changed = cut_texts(docs, text, length, **how).select("key", "n_removed", "n_spans", F.sha2("kept", 256).alias("sha"))
     raw = F.coalesce(F.col(text).cast("binary"), F.lit(b""))
     own = docs.select(F.col(key).alias("doc"), F.unhex(F.md5(raw)).alias("key"),
                       F.octet_length(raw).cast("long").alias("n_bytes"), F.sha2(raw, 256).alias("whole"))

@@ -18,6 +18,7 @@ import tempfile
 import numpy as np
 
 QUEUE_BYTES = 128 << 20
+SCAN = 1 << 20  # suffixes scanned at a time
 
 
 class BucketQueues:
@@ -127,15 +128,17 @@ class _Induction:
 
     def bucket(self, char: int):
         """The sorted suffixes of one character; a run of the character induces into its own queue."""
-        got = [(np.zeros(0, np.int32), np.zeros(0, np.int16))]
+        got_pos, got_lcp = [np.zeros(0, np.int32)], [np.zeros(0, np.int16)]
         while self.queues.blocks[char]:
-            for pos, lcp in list(self.queues.pop(char)):
-                if len(got) == 1:
-                    lcp = lcp.copy()
-                    lcp[0] = 0  # what was scanned before begins with another character
-                got.append((pos, lcp))
-                self.scan(pos, lcp)
-        return np.concatenate([p for p, _ in got]), np.concatenate([v for _, v in got])
+            waiting = list(self.queues.pop(char))
+            pos, lcp = (np.concatenate([block[i] for block in waiting]) for i in range(2))
+            if len(got_pos) == 1:
+                lcp[0] = 0  # what was scanned before begins with another character
+            got_pos.append(pos)
+            got_lcp.append(lcp)
+            for at in range(0, len(pos), SCAN):
+                self.scan(pos[at: at + SCAN], lcp[at: at + SCAN])
+        return np.concatenate(got_pos), np.concatenate(got_lcp)
 
 
 def _induce(text, padded, s_type, alphabet, lms, lms_lcp, depth, carry, limit):
@@ -166,23 +169,31 @@ def _induce(text, padded, s_type, alphabet, lms, lms_lcp, depth, carry, limit):
         large[c] = None
 
 
-def _order_names(names: np.ndarray, rounds: int) -> np.ndarray:
-    """Order of the suffixes of a sequence of names, told apart by their first ``2 ** rounds`` names:
-    pairs of names become names, again and again."""
-    rank, step, n = names.astype(np.int64), 1, len(names)
-    order = np.argsort(rank, kind="stable")
-    for _ in range(rounds):
-        if n == 0 or rank[order[-1]] == n - 1:
-            break
-        key = rank * (n + 1)
-        key[:-step or None] += rank[step:] + 1 if step < n else 0
-        order = np.argsort(key, kind="stable")
-        ordered = key[order]
-        fresh = np.empty(n, dtype=np.int64)
-        fresh[order] = np.cumsum(np.concatenate(([0], ordered[1:] != ordered[:-1])))
-        rank, step = fresh, 2 * step
+def _order_names(names: np.ndarray, reach: np.ndarray, depth: int) -> np.ndarray:
+    """Order of the suffixes of a sequence of names that begin at the characters ``reach``, told apart
+    by at least ``depth`` characters: pairs of names become names, again and again.
+
+    A rank is the first slot of its group of equals; only groups that are neither single nor equal
+    for ``depth`` characters already are sorted again."""
+    n = len(names)
+    order = np.argsort(names, kind="stable")
+    rank = np.empty(n, dtype=np.int64)
+    slots, key, step = np.arange(n), names[order], 1
+    while len(slots):
+        fresh = np.concatenate(([True], key[1:] != key[:-1]))
+        heads = np.flatnonzero(fresh)
+        sizes = np.diff(np.append(heads, len(slots)))
+        mine = order[slots]
+        rank[mine] = np.repeat(slots[heads], sizes)
+        end = np.minimum(mine + step, n - 1)
+        tied = np.repeat(sizes > 1, sizes) & (reach[end] - reach[mine] < depth)
+        slots, mine = slots[tied], mine[tied]
         if step >= n:
             break
+        after = np.where(mine + step < n, rank[np.minimum(mine + step, n - 1)] + 1, 0)
+        key = rank[mine] * (n + 1) + after
+        by = np.argsort(key)
+        key, order[slots], step = key[by], mine[by], 2 * step
     return order
 
 
@@ -200,22 +211,24 @@ def sorted_neighbours(text: np.ndarray, alphabet: int, depth: int, limit: int =
     parts = []
     for _, _, (small, _) in _induce(text, padded, s_type, alphabet, by_char, none, depth, False, limit):
         parts.append(small[is_lms[small]])
-    by_name = np.concatenate(parts)[::-1].astype(np.int64)
-    length = np.zeros(len(text), dtype=np.int64)
-    length[lms[:-1]] = np.diff(lms) + 1
-    length[lms[-1:]] = 1
-    a, b = by_name[:-1], by_name[1:]
-    same = length[a] == length[b]
-    active, k = np.flatnonzero(same), 0
+    number = np.zeros(len(text), dtype=np.int32)
+    number[lms] = np.arange(len(lms), dtype=np.int32)
+    length = np.append(np.diff(lms) + 1, 1).astype(np.int32)
+    by_name = number[np.concatenate(parts)[::-1]]  # LMS numbers in order of their substrings
+    del parts, number, is_lms
+    a, b = lms[by_name[:-1]], lms[by_name[1:]]
+    size = length[by_name[:-1]]
+    same = size == length[by_name[1:]]
+    active, k = np.flatnonzero(same).astype(np.int32), 0
     while len(active):
-        active = active[length[a[active]] > k]
+        active = active[size[active] > k]
         equal = text[a[active] + k] == text[b[active] + k]
         same[active[~equal]] = False
         active, k = active[equal], k + 1
-    names = np.zeros(len(text), dtype=np.int64)
+    names = np.zeros(len(lms), dtype=np.int64)
     names[by_name] = np.concatenate(([0], np.cumsum(~same)))[: len(by_name)]
-    rounds = max(1, int(np.ceil(np.log2(max(2, depth)))))  # a name spans two characters or more
-    ordered = lms[_order_names(names[lms], rounds)]
+    del a, b, size, same, length, by_name
+    ordered = lms[_order_names(names, lms.astype(np.int64), depth)]
     lcp = np.zeros(len(ordered), dtype=np.int16)
     lcp[1:] = common_prefix(padded, ordered[:-1], ordered[1:], depth)
     for _, (pos, values), (small, small_values) in _induce(
