@@ -28,8 +28,10 @@ from tte.llm.common import scratch_path, small_side, written
 from tte.llm.files import store, unique_name
 
 #: Bytes that one stretch of records spans, and gaps that are read rather than skipped.
-STRETCH = 8 << 20
+STRETCH = 4 << 20
 GAP = 64 << 10
+#: Archive bytes that one reading task takes on average.
+READ_BYTES = 16 << 20
 DATE = "2000-01-01T00:00:00Z"  # records carry a fixed date, so that reruns write equal archives
 
 INDEX = "path string, offset bigint, length bigint, page_id bigint, url string, digest string, record_type string"
@@ -183,5 +185,7 @@ def read_warc(index: DataFrame, with_payload: bool = True) -> DataFrame:
 
     Revisits have a null payload; their size and digest are those of the payload they refer to."""
     stretch = F.floor(F.col("offset") / STRETCH)
-    return (index.select("path", "offset", "length").repartition("path", stretch).sortWithinPartitions("path", "offset")
+    # by number: the index rows are small, so sized by them all archives would fall to a few tasks
+    tasks = -(-(index.agg(F.sum("length")).first()[0] or 1) // READ_BYTES)
+    return (index.select("path", "offset", "length").repartition(int(tasks), "path", stretch).sortWithinPartitions("path", "offset")
             .mapInArrow(_read_ranges(with_payload), RECORDS))
