@@ -83,7 +83,7 @@ class CoxPH:
 
     def fit(self, df: DataFrame, init: np.ndarray | None = None) -> "CoxPH":
         p = len(self.features)
-        stats = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(self.features)],
+        stats = df.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(self.features)],
                        *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(self.features)]).collect()[0]
         mu = np.array([stats[f"m{i}"] for i in range(p)], dtype=float)
         sd = np.array([stats[f"s{i}"] or 1.0 for i in range(p)], dtype=float)
@@ -94,7 +94,9 @@ class CoxPH:
             *[((F.col(c).cast("double") - float(mu[i])) / float(sd[i])).alias(z[i]) for i, c in enumerate(self.features)],
         ).dropna().persist()
         # rows without a time, event or feature cannot enter a risk set: their number is reported
-        self.n_excluded_ = df.count() - data.count()
+        kept = data.agg(F.count(F.lit(1)).alias("n"), *[F.max(F.abs(F.col(c))).alias(c) for c in z]).first()
+        self.n_excluded_ = stats["n"] - kept["n"]
+        self._reach = np.array([kept[c] or 0.0 for c in z])
         beta = (np.asarray(init, float) * sd) if init is not None else np.zeros(p)
         pen = self.alpha / sd ** 2  # ridge on the original-scale coefficients
         pairs = [(j, k) for j in range(p) for k in range(j, p)]
@@ -115,9 +117,10 @@ class CoxPH:
     def _derivs(self, data: DataFrame, beta: np.ndarray, z: list[str], pairs):
         p = len(z)
         lp = self._lp(beta, z)
-        # the weights only enter as ratios within a risk set: shift the largest to 1, so none overflows
-        top = float(data.agg(F.max(lp)).first()[0] or 0.0) if np.any(beta) else 0.0
-        lp = lp - F.lit(top)
+        # the weights only enter as ratios within a risk set: where they could overflow, the largest is
+        # shifted to 1 (most fits are far from it, by the largest value of each feature)
+        if np.abs(beta) @ self._reach > 300:
+            lp = lp - F.lit(float(data.agg(F.max(lp)).first()[0] or 0.0))
         w = F.exp(lp)
         per_t = data.groupBy("_t").agg(
             F.sum(w).alias("s0"),

@@ -365,7 +365,7 @@ def v7_random(spark, sf_dir):
 @register("V10_leakage_probe")
 def v10_leak(spark, sf_dir):
     """Rows-only: two preparations are probed, centring the features (which must pass) and replacing
-    the price by the mean follow-up of its decile (which sees outcomes and gains when fitted early)."""
+    the price by the subject's mean follow-up (which sees outcomes and gains when fitted early)."""
     from tte.operators.split import leakage_probe
 
     def centred(train, rows):
@@ -377,11 +377,19 @@ def v10_leak(spark, sf_dir):
         known = rows.join(means, rows["subject_id"] == means["_id"], "left")
         return known.withColumn("x_price", -F.coalesce("_m", F.lit(0.0))).drop("_id", "_m")
 
+    from tte.operators.models.linear import LinearRisk
+
     co = cohort_orders(spark, sf_dir)
-    fit = lambda feats: (lambda d: CoxPH(feats, alpha=0.01).fit(d))
-    rows = [(name, *leakage_probe(co, prepare, fit, _c_of, ["x_price", "x_bal"], k=2))
+    fit = lambda feats: (lambda d: LinearRisk(dict.fromkeys(feats, 1.0)))  # noqa: E731  nothing to fit: only the preparation can leak
+
+    def score(model, rows):
+        """Correlation of the risk with an early time (0 for a constant risk)."""
+        r = model.risk(rows).agg(F.covar_pop("risk", "time"), F.stddev_pop("risk"), F.stddev_pop("time")).first()
+        return -r[0] / (r[1] * r[2]) if r[1] and r[2] else 0.0
+
+    rows = [(name, *leakage_probe(co, prepare, fit, score, ["x_price"], k=2))
             for name, prepare in (("centred", centred), ("target_mean", target_mean))]
-    return spark.createDataFrame(rows, "preparation string, c_honest double, c_early double, leak_detected boolean")
+    return spark.createDataFrame(rows, "preparation string, honest double, early double, leak_detected boolean")
 
 
 @register("X1_permutation_importance")
