@@ -11,7 +11,8 @@ all languages that contain it (or look so); one lookup serves every language.
 
 A text is a bag of n-grams. Per language the set bits of the masks are counted; with ``c`` of ``n``
 n-grams found and the filter's false-positive rate ``f``, ``(c - f * n) / (1 - f)`` are truly there.
-The language with the most wins (the smallest name on a tie), and the score is its share of ``n``.
+The language with the most wins (on a tie the one with more training documents, then the smaller
+name), and the score is its share of ``n``.
 
 N-grams are five bytes of the text with A-Z as a-z and every run of bytes that are not letters of any
 kind as one space, so words count with their ends.
@@ -142,7 +143,7 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", min_share
     driver is one row per n-gram in a filter, bounded by ``min_share`` as described above."""
     rows = labelled.select(F.col(lang).alias("lang"), F.col(text).cast("binary").alias("text")).where("lang is not null and text is not null")
     totals = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    names = sorted(totals)
+    names = sorted(totals, key=lambda n: (-totals[n], n))  # the first of equals wins: the more frequent one
     if len(names) > MAX_LANGUAGES:
         raise ValueError(f"{len(names)} languages; the masks hold {MAX_LANGUAGES}")
     if not names:
@@ -160,8 +161,8 @@ def identify(docs: DataFrame, model: LanguageFilters, text: str = "text") -> Dat
     """Every row with all its columns, plus ``lang_pred`` and ``score`` (0 to 1).
 
     A null text, or one without a letter, is ``und`` with score 0; so is any text when nothing was
-    learned. A text too short for an n-gram but with a letter gets the first learned language and
-    score 0. The columns ``lang_pred`` and ``score`` must not exist already."""
+    learned. A text too short for an n-gram but with a letter gets the language with the most training
+    documents and score 0. The columns ``lang_pred`` and ``score`` must not exist already."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("struct<lang_pred string, score double>")
