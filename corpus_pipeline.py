@@ -21,16 +21,19 @@ from tte.llm.suffix_dedup import remove_repeats
 
 #: A document stays if this share of its n-grams is found in its language.
 MIN_LANGUAGE_SCORE = 0.3
+#: Texts of fewer bytes have too few n-grams to be called foreign; they stay if they have a letter.
+SHORT_TEXT = 12
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language the labelled ones teach: a null text, one without a letter, and one whose
-    n-grams are foreign to every language go. Learns from the texts with a language of two thirds of the
+    n-grams are foreign to every language go (a very short one stays). Learns from the texts with a language of two thirds of the
     ids."""
     ready(spark)
     model = learn(docs.where(fold("doc_id", 3) != 1))
     found = identify(docs.select(F.struct("*").alias("row"), F.col("text").alias("text")), model)
-    return (found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select("row.*"))
+    known = (F.col("score") >= MIN_LANGUAGE_SCORE) | (F.octet_length("text") < SHORT_TEXT)
+    return found.where((F.col("lang_pred") != UNKNOWN) & known).select("row.*")
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
