@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -62,10 +63,17 @@ def drop_frame(df: DataFrame) -> None:
         drop_written(df.sparkSession, path)
 
 
-def drop_all_scratch(spark: SparkSession) -> None:
-    """Delete every scratch table of this session; call it only when all results that read them
-    have been written."""
-    drop_written(spark, *list(_SCRATCH))
+def scratch_now() -> set[str]:
+    """Paths of the scratch tables that exist now; the difference of two calls is what was written
+    between them."""
+    return set(_SCRATCH)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files of finished queries now. It does so when the driver's JVM finds
+    their plans unused, which it may not notice for long, as plans are small and their files are not."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def fold(doc_id: str | Column, n: int) -> Column:

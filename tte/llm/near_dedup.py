@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tte.llm.common import written
+from tte.llm.common import drop_written, scratch_now, written
 from tte.llm.graph import components
 from tte.llm.textnum import (LOWER, U64, binary_column, gathered, list_column, mix64, prefix_hash, range_hash, run_hash,
                              slices, word_spans)
@@ -227,6 +227,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     document for the classes; if their texts differ, links of the texts' exact copies add up, and
     near copies are sought for the text whose shingles sort first. Rows without an id keep a null class. An empty table gives an empty
     result. Only ``key`` (a whole number) and ``text`` are read."""
+    spark, before = docs.sparkSession, scratch_now()
     own = docs.select(F.col(key).cast("long").alias("doc"), F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("text"))
     signed = written(own.where("doc is not null").mapInArrow(
         _signature_batches(k), "doc bigint, a bigint, b bigint, n_words bigint, bands array<bigint>"), "near-signatures")
@@ -299,7 +300,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     # rows that repeat an id tie the word sequences of their texts together
     ties = member_of.where("doc <> node").select(F.col("doc").alias("a"), F.col("node").alias("b"))
     edges = ties if links is None else ties.unionByName(links.select("a", "b"))
-    final = components(edges)
+    final, spent = components(edges), scratch_now() - before
+    final = written(final, "near-final")
+    drop_written(spark, *spent)
     return (docs.select(F.col(key)).withColumn("_doc", F.col(key).cast("long"))
             .join(final, F.col("_doc") == F.col("node"), "left")
             .select(key, F.coalesce("root", "_doc").alias("class_id")))
