@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -69,13 +68,6 @@ def scratch_now() -> set[str]:
     return set(_SCRATCH)
 
 
-def free_shuffles(spark: SparkSession) -> None:
-    """Have Spark delete the shuffle files of finished queries now. It does so when the driver's JVM finds
-    their plans unused, which it may not notice for long, as plans are small and their files are not."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def fold(doc_id: str | Column, n: int) -> Column:
     """crc32 of the id's decimal text modulo ``n`` (null ids count as the empty text)."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id
