@@ -94,6 +94,27 @@ def test_leaks_are_those_of_all_pairs(spark, documents_of, seed):
     assert all(want[k][0] <= 2 for k in missed) and len(missed) <= 0.05 * len(want)
 
 
+@pytest.mark.parametrize("threshold", [0.8, 0.5, 1.0])
+def test_leaks_of_short_items_are_all_found(spark, documents_of, threshold):
+    rng = random.Random(3)
+    vocabulary = [f"v{i}" for i in range(400)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=5 + i % 15))) for i in range(60)]
+    docs = []
+    for i in range(120):
+        words = rng.choices(vocabulary, k=rng.choice([0, 30, 700]))
+        for _, item in rng.sample(items, 4):
+            part = item.split()[rng.choice([0, 0, 1]):]
+            at = rng.randint(0, len(words))
+            words[at:at] = part
+        docs.append((i, " ".join(words)))
+    sets = [(j, shingle_set(t)) for j, t in items]
+    held = [(i, shingle_set(t)) for i, t in docs]
+    want = {(i, j): (len(s), len(s & d)) for i, d in held for j, s in sets if s & d and len(s & d) >= threshold * len(s)}
+    found = find_leaks(documents_of(docs), spark.createDataFrame(items, "item_id long, text string"), threshold=threshold)
+    assert {(r.doc_id, r.item_id): (r.n_shingles, r.n_shared) for r in found.collect()} == want
+    assert sum(n <= 2 for n, _ in want.values()) >= 30
+
+
 def test_leaks_odd_rows(spark, documents_of, odd_rows):
     items = [(None, None), (None, "some words without an id stand here"), (1, ""), (2, "two words"), (3, "same tie text of five words"),
              (3, "same tie text of five words"), (4, "The quick, brown FOX jumps over the lazy dog")]

@@ -1,18 +1,15 @@
-"""Benchmark decontamination: size-partitioned MinHash containment search.
+"""Benchmark decontamination: containment search by prefixes of shingle sets.
 
 Short test items hide inside long documents, so the Jaccard similarity of the two is tiny and a
-MinHash signature of fixed length would miss them. Documents are therefore partitioned by size (the
-power of two above their number of distinct shingles), and each partition has its own one-permutation
-MinHash with ``BINS_PER_SHINGLE`` bins per shingle of its largest document: every shingle is hashed
-once, the hash's top bits choose the bin, and the smallest hash of each bin is the signature. An item
-is signed once for each size partition. A shared shingle makes a bin of the two agree unless another
-shingle of the document has a smaller hash in the same bin, which at two bins a shingle happens to
-about a fifth of them; an item of ``q`` shingles at containment ``t`` is missed with a probability of
-about ``0.21 ** (t * q)``. Documents and items that agree in a bin are candidates, and the exact
-containment of the item's shingle set in the document's decides.
-
-Signatures are arrays inside the document's row: nothing is shuffled to build them, and what is
-exploded meets the item signatures in a join that needs no shuffle while the benchmark is small
+signature of the document would have to hold most of its shingles not to miss them. Every shingle of a
+document is looked up instead, and the items are cut down: an item of ``n`` shingles is contained at
+``threshold`` only if at least ``ceil(threshold * n)`` of them are shared, so of any ``n -
+ceil(threshold * n) + 1`` of its shingles one is. The items' smallest hashes, so many of each, are their
+prefixes. A document and an item that meet in a prefix are candidates, and the exact containment of the
+item's shingle set in the document's decides. No pair is missed, whatever the item's length.
+
+Shingle sets are arrays inside the document's row: nothing is shuffled to build them, and what is
+exploded meets the item prefixes in a join that needs no shuffle while the benchmark is small
 (checked by a count); beyond that it is an ordinary shuffle join.
 """
 
@@ -25,9 +22,6 @@ from tte.llm.common import small_side, written
 
 SHINGLE = 5
 THRESHOLD = 0.8
-BINS_PER_SHINGLE = 2
-#: Size partitions go up to documents of 2 ** 30 distinct shingles.
-MAX_CLASS = 30
 
 
 def _shingles_of(words: Column, k: int) -> Column:
@@ -46,26 +40,12 @@ def with_shingles(df: DataFrame, text: str, k: int = SHINGLE) -> DataFrame:
             .drop("_words", text))
 
 
-def size_class(n: Column) -> Column:
-    """0 for one shingle, else the exponent of the next power of two. Never null, and declared so: a
-    join on a nullable expression gets a filter that repeats the array expressions below it."""
-    return F.coalesce(F.ceil(F.log2(F.greatest(n, F.lit(1)).cast("double"))).cast("int"), F.lit(0))
-
-
-def bin_minima(ordered: str, cls: Column) -> Column:
-    """One-permutation MinHash of a sorted array of hashes: the first (smallest) hash of each bin.
-    Bins are equal ranges of the hash, ``BINS_PER_SHINGLE * 2 ** cls`` of them, so the array is in
-    order of bins already."""
-    shift = F.lit(64 - BINS_PER_SHINGLE.bit_length() + 1).cast("int") - cls
-    bin_of = lambda h: F.call_function("shiftright", h, shift)
-    return F.filter(ordered, lambda h, i: (i == 0) | (bin_of(h) != bin_of(F.get(ordered, i - 1))))
-
-
-def item_signatures(items: DataFrame, classes: int = MAX_CLASS) -> DataFrame:
-    """``(cls, value, item_id)`` for every size partition; ``items`` has ``item_id, _set``."""
-    each = items.withColumn("cls", F.explode(F.sequence(F.lit(0), F.lit(classes))))
-    return (each.withColumn("_sig", bin_minima("_set", F.col("cls")))
-            .select("item_id", F.col("cls"), F.explode("_sig").alias("value")))
+def item_prefixes(items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``(value, item_id)``: of each item so many of its smallest hashes that a document which holds none
+    of them is below ``threshold``; ``items`` has ``item_id, _set``, none of them empty."""
+    n = F.size("_set")
+    needed = F.greatest(F.ceil(F.lit(threshold) * n).cast("int"), F.lit(1))
+    return items.where(needed <= n).select("item_id", F.explode(F.slice("_set", 1, n - needed + 1)).alias("value")).distinct()
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
@@ -82,15 +62,11 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str
     tests = written(
         with_shingles(items.select(F.col(item_key).alias("item_id"), F.col(item_text).alias("_text"))
                       .where("item_id is not null"), "_text", k).where(F.size("_set") > 0).distinct(), "leak-items")
-    signatures = written(item_signatures(tests), "leak-signatures")
+    prefixes = written(item_prefixes(tests, threshold), "leak-prefixes")
     # explode_outer: for a plain explode the optimizer adds a filter on the array's size, which repeats
     # the whole array expression; the nulls of empty arrays meet nothing in the join
-    signed = (with_shingles(own, "_text", k)
-              .withColumn("cls", size_class(F.size("_set")))
-              .withColumn("_sig", bin_minima("_set", F.col("cls")))
-              .select("doc", "cls", F.explode_outer("_sig").alias("value")))
-    candidates = written(signed.join(small_side(signatures), ["cls", "value"])
-                         .select("doc", "item_id").distinct(), "leak-candidates")
+    held = with_shingles(own, "_text", k).select("doc", F.explode_outer("_set").alias("value"))
+    candidates = written(held.join(small_side(prefixes), "value").select("doc", "item_id").distinct(), "leak-candidates")
     per_doc = candidates.groupBy("doc").agg(F.collect_set("item_id").alias("_items"))
     per_doc = small_side(written(per_doc, "leak-docs"))
     pairs = (with_shingles(own.join(per_doc, "doc"), "_text", k)
