@@ -70,5 +70,42 @@ def test_spans(spark):
     assert got[2, 40] == 40 + len(words(LONG)) - 1
 
 
+NEAR = [
+    ("The album was released under the title X", ""),
+    ("He was released under the Mental Health Act of that year", ""),
+    ("Licensed under the Mozilla Public License, Version 2.0", ""),
+    ("Licensed under the Mozilla Public License, Version 2.0; not the Apache License", "apache"),
+    ("Licensed under the Apache License, Version 1.1", "apache"),
+    ("Licensed under the Apache License, Version 2.0", "apache,apache-2.0"),
+    ("Licensed under the Apache License 2.0", "apache,apache-2.0"),
+    ("Licensed under Apache License, Version 2.0", "apache,apache-2.0"),
+    ("Licensed under CC BY-SA 4.0", "cc-by"),
+    ("Licensed under CC BY 4.0", "cc-by"),
+    ("Licensed under CC BY-NC-SA 4.0", "cc-by"),
+    ("Licensed under CC BY-NC 3.0", "cc-by"),
+    ("Licensed under CC BY-NC version 4.0", "cc-by,cc-by-nc-4.0"),
+    ("This work is licensed under a Creative Commons Attribution 4.0 International License", "cc-by-4.0"),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License", ""),
+    ("This work is licensed under a Creative Commons Attribution 3.0 Unported License", ""),
+    ("This work is licensed under the GNU General Public License, version 2", "gpl"),
+    ("This work is licensed under the GNU General Public License, version 3", "gpl,gpl-3.0"),
+    (TEMPLATES[5][1], "gpl,gpl-3.0"),
+    (TEMPLATES[6][1], "gpl,gpl-2.0"),
+    (TEMPLATES[5][1].replace("General", "Lesser General"), ""),
+    (LONG, "mit"),
+    (LONG[:LONG.index("The above copyright")], ""),
+    (TEMPLATES[8][1], "isc"),
+    (TEMPLATES[7][1], "bsd"),
+    (TEMPLATES[1][1], "apache,apache-2.0"),
+]
+
+
+def test_other_licenses_and_plain_sentences(documents_of):
+    docs = documents_of([(i, f"Some words before. {t}. And some words after it.") for i, (t, _) in enumerate(NEAR)])
+    got = {r.doc_id: r for r in scan_licenses(docs).collect()}
+    assert {t: got[i].labels for i, (t, _) in enumerate(NEAR)} == dict(NEAR)
+    assert all((got[i].score > 0) == (got[i].labels != got[i].base_labels) for i in got)
+
+
 def test_empty_table(documents_of):
     assert scan_licenses(documents_of(ROWS).limit(0)).count() == 0

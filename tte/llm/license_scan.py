@@ -5,7 +5,9 @@ runs in the license templates. A copied license puts its matches on one diagonal
 document less position in the template); votes are summed by document, template and diagonal, and
 diagonals at most ``DRIFT`` words apart are merged, since a changed or missing word shifts the rest.
 Each merged span is then verified word by word against the template: the share of the template's words
-that stand at a place the span's diagonals allow is its coverage.
+that stand at a place the span's diagonals allow is its coverage. Licenses share most of their wording,
+and a short notice shares it with plain sentences, so the words that tell a license apart (``TELLING``:
+its name, its version) must stand in the span too, at most ``DRIFT`` words from their place.
 
 The templates are a fixed table of this module, so the side that is broadcast never grows. Votes are
 keyed by the text's hash, so copies of a text are scanned once and one text's hits meet in one group
@@ -61,6 +63,19 @@ TEMPLATES = (
     ("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0"),
 )
 
+# fixed values: what a notice must say besides, per label; one alternative of each group
+TELLING = {
+    "apache-2.0": (("apache license 2", "apache license v2"),),
+    "mit": (("mit license", "mit licence", "this permission notice shall be included in all copies"),),
+    "gpl-3.0": (("gnu general public license",), ("version 3", "v3")),
+    "gpl-2.0": (("gnu general public license",), ("version 2", "v2")),
+    "isc": (("this permission notice appear in all copies",),),
+    "cc-by-4.0": (("creative commons attribution 4", "creative commons attribution v4"),),
+    "cc-by-nc-4.0": (("cc by nc 4", "cc by nc v4"),),
+}
+#: Words that may stand between those of ``TELLING``: they name no other license.
+FILL = ("license", "licence", "version", "v", "international", "public", "software")
+
 
 def _words(buf: np.ndarray, bounds: np.ndarray):
     """Word hashes (letters and digits in lower case, and everything beyond ASCII) and their texts."""
@@ -118,9 +133,43 @@ def _scan_batches(phrases: dict[str, str]):
     return run
 
 
+def _stands(words: np.ndarray, at: int, phrase: np.ndarray, fill: np.ndarray) -> bool:
+    """Whether the phrase begins at a place, with nothing but ``fill`` words between its own."""
+    if not 0 <= at < len(words) or words[at] != phrase[0]:
+        return False
+    for h in phrase[1:]:
+        at += 1
+        while at < len(words) and words[at] != h and words[at] in fill:
+            at += 1
+        if at >= len(words) or words[at] != h:
+            return False
+    return True
+
+
+def _telling(templates):
+    """Per template the groups of ``TELLING``, each with its place in the template and its phrases."""
+    fill = _hashes(" ".join(FILL))
+    out = []
+    for label, text in templates:
+        side, groups = _hashes(text), []
+        for group in TELLING.get(label, ()):
+            phrases = [_hashes(p) for p in group]
+            place = next((i for i in range(len(side)) if any(_stands(side, i, p, fill) for p in phrases)), None)
+            if place is not None:
+                groups.append((place, phrases))
+        out.append(groups)
+    return out, fill
+
+
 def _verify_batches(templates):
-    """Coverage of each span: the share of the template's words found on the span's diagonals."""
+    """Coverage of each span: the share of the template's words found on the span's diagonals; 0 if the
+    words that tell the license apart are not there."""
     sides = [_hashes(t) for _, t in templates]
+    telling, fill = _telling(templates)
+
+    def told(mine, span):
+        return all(any(_stands(mine, at, p, fill) for at in range(place + span["low"] - DRIFT, place + span["high"] + DRIFT + 1) for p in phrases)
+                   for place, phrases in telling[span["template"]])
 
     def run(batches):
         for batch in batches:
@@ -140,7 +189,7 @@ def _verify_batches(templates):
                             a, b = max(0, -d), min(len(side), len(mine) - d)
                             if a < b:
                                 seen[a:b] |= side[a:b] == mine[a + d: b + d]
-                        out.append((row, s["template"], s["first"], s["last"], float(seen.mean())))
+                        out.append((row, s["template"], s["first"], s["last"], float(seen.mean()) if told(mine, s) else 0.0))
             yield pa.RecordBatch.from_arrays(
                 [keys.take(pa.array([o[0] for o in out], pa.int64())), *(pa.array([o[i] for o in out], t) for i, t in (
                     (1, pa.int32()), (2, pa.int64()), (3, pa.int64()), (4, pa.float64())))],
@@ -168,7 +217,7 @@ def find_spans(texts: DataFrame, runs: DataFrame, templates=TEMPLATES, min_cover
         F.col("first").cast("long").alias("first"), F.col("last").cast("long").alias("last"))).alias("spans")), "license-spans")
     verified = (texts.join(small_side(found), "key").select("key", "text", "spans")
                 .mapInArrow(_verify_batches(templates), "key binary, template int, first bigint, last bigint, coverage double"))
-    return verified.where(F.col("coverage") >= min_coverage).distinct()
+    return verified.where((F.col("coverage") >= min_coverage) & (F.col("coverage") > 0)).distinct()
 
 
 def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text", templates=TEMPLATES, phrases=PHRASES,
