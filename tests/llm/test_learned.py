@@ -45,6 +45,17 @@ def test_language_odd_rows(languages, documents_of, odd_rows):
     assert {r.lang_pred for r in identify(docs.limit(5), nothing).collect()} == {"und"}
 
 
+def test_more_languages_than_bits_in_a_word(documents_of):
+    rng = random.Random(5)
+    words = {f"l{i:03}": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(5)] for i in range(150)}
+    rows = [(i, " ".join(rng.choices(words[lang], k=12)), lang) for i, lang in enumerate(sorted(words) * 5)]
+    docs = documents_of(rows)
+    model = learn(docs.where("doc_id >= 150"))
+    assert sorted(model.names) == sorted(words) and model.rows.shape[0] == 3
+    got = {r.doc_id: r for r in identify(docs, model).collect()}
+    assert all(got[i].lang_pred == lang and got[i].score > 0.5 for i, _, lang in rows)
+
+
 def test_filters_hold_every_gram_and_rates_are_measured():
     rng = np.random.default_rng(1)
     value = np.unique(rng.integers(0, 1 << 40, 5000).astype(np.uint64))

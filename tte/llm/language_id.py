@@ -6,8 +6,9 @@ n-gram occurs. An n-gram belongs to a language if it occurs in at least ``min_sh
 number of distinct n-grams per document divided by ``min_share`` of them, however large the corpus.
 
 The filters of all languages lie across each other: the table has one row of bits per Bloom position
-and one column per language. The rows at an n-gram's ``HASHES`` positions, and-ed, give the mask of
-all languages that contain it (or look so); one lookup serves every language.
+and one column per language, 64 of them in a word and as many words as the languages need. The rows at
+an n-gram's ``HASHES`` positions, and-ed, give the mask of all languages that contain it (or look so);
+one lookup serves every language of a word.
 
 A text is a bag of n-grams. Per language the set bits of the masks are counted; with ``c`` of ``n``
 n-grams found and the filter's false-positive rate ``f``, ``(c - f * n) / (1 - f)`` are truly there.
@@ -27,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tte.llm.common import small_side
 from tte.llm.textnum import LOWER, U64, binary_column, gathered, mix64, slices
 
 GRAM = 5
@@ -34,8 +36,8 @@ HASHES = 3
 BITS_PER_GRAM = 12
 MIN_SHARE = 0.001
 UNKNOWN = "und"
-#: Languages beyond this many would need a wider mask; more raise an error.
-MAX_LANGUAGES = 64
+#: Languages in one word of a mask.
+WORD = 64
 
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
@@ -92,7 +94,8 @@ def _count_batches(k: int):
 
 @dataclass
 class LanguageFilters:
-    """Bit-sliced Bloom filters: ``rows[i]`` holds bit ``i`` of every language's filter."""
+    """Bit-sliced Bloom filters: ``rows[w, i]`` holds bit ``i`` of the filters of the languages from
+    ``64 * w`` on."""
 
     names: list[str]
     rows: np.ndarray
@@ -101,19 +104,22 @@ class LanguageFilters:
 
     @classmethod
     def build(cls, names: list[str], value: np.ndarray, mask: np.ndarray, gram: int = GRAM) -> LanguageFilters:
-        """From distinct n-grams and the masks of the languages that contain them."""
+        """From distinct n-grams and the masks of the languages that contain them: one word each, or a
+        column per 64 languages."""
+        mask = mask.reshape(len(value), -1) if len(value) else np.zeros((0, 1), U64)
         size = 1 << max(10, int(np.ceil(np.log2(max(1, len(value)) * BITS_PER_GRAM))))
-        rows = np.zeros(size, dtype=U64)
+        rows = np.zeros((max(1, -(-len(names) // WORD)), size), dtype=U64)
         for at in _positions(value, size):
-            np.bitwise_or.at(rows, at, mask)
-        filled = np.array([((rows >> U64(i)) & U64(1)).mean() for i in range(len(names))])
+            for w in range(mask.shape[1]):
+                np.bitwise_or.at(rows[w], at, mask[:, w])
+        filled = np.array([((rows[i // WORD] >> U64(i % WORD)) & U64(1)).mean() for i in range(len(names))])
         return cls(names, rows, filled ** HASHES, gram)
 
-    def masks(self, value: np.ndarray) -> np.ndarray:
-        """For each n-gram the mask of all languages whose filter contains it."""
+    def masks(self, value: np.ndarray, word: int = 0) -> np.ndarray:
+        """For each n-gram the mask of all languages of a word whose filter contains it."""
         out = np.full(len(value), np.iinfo(np.uint64).max, dtype=U64)
-        for at in _positions(value, len(self.rows)):
-            out &= self.rows[at]
+        for at in _positions(value, self.rows.shape[1]):
+            out &= self.rows[word][at]
         return out
 
     def decide(self, buf: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -123,13 +129,15 @@ class LanguageFilters:
         total = np.bincount(doc, minlength=docs).astype(np.float64)
         if not self.names:
             return np.full(docs, -1), np.zeros(docs)
-        mask = self.masks(value)
-        share = np.zeros((len(self.names), docs))
+        best, top = np.zeros(docs, np.int64), np.full(docs, -np.inf)
         for i, f in enumerate(self.false_rate):
-            found = np.bincount(doc, weights=((mask >> U64(i)) & U64(1)).astype(np.float64), minlength=docs)
-            share[i] = (found - f * total) / max(1e-9, 1 - f) / np.maximum(total, 1)
-        best = share.argmax(axis=0)
-        return np.where(total > 0, best, -1), np.clip(share[best, np.arange(docs)], 0.0, 1.0)
+            if i % WORD == 0:
+                mask = self.masks(value, i // WORD)
+            found = np.bincount(doc, weights=((mask >> U64(i % WORD)) & U64(1)).astype(np.float64), minlength=docs)
+            share = (found - f * total) / max(1e-9, 1 - f) / np.maximum(total, 1)
+            best[share > top] = i
+            np.maximum(top, share, out=top)
+        return np.where(total > 0, best, -1), np.clip(top, 0.0, 1.0)
 
 
 def _positions(value: np.ndarray, size: int):
@@ -140,21 +148,23 @@ def _positions(value: np.ndarray, size: int):
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", min_share: float = MIN_SHARE,
           k: int = GRAM) -> LanguageFilters:
     """Filters from the labelled rows; those without a text or language are left out. What reaches the
-    driver is one row per n-gram in a filter, bounded by ``min_share`` as described above."""
+    driver is one row per n-gram in a filter and word of its mask, bounded by ``min_share`` as described above."""
     rows = labelled.select(F.col(lang).alias("lang"), F.col(text).cast("binary").alias("text")).where("lang is not null and text is not null")
     totals = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     names = sorted(totals, key=lambda n: (-totals[n], n))  # the first of equals wins: the more frequent one
-    if len(names) > MAX_LANGUAGES:
-        raise ValueError(f"{len(names)} languages; the masks hold {MAX_LANGUAGES}")
     if not names:
-        return LanguageFilters([], np.zeros(1024, U64), np.zeros(0), k)
-    table = F.create_map(*[F.lit(x) for n in names for x in (n, max(min(2, totals[n]), min_share * totals[n]))])
-    number = F.create_map(*[F.lit(x) for i, n in enumerate(names) for x in (n, i)])
+        return LanguageFilters([], np.zeros((1, 1024), U64), np.zeros(0), k)
+    table = rows.sparkSession.createDataFrame(
+        [(n, i, float(max(min(2, totals[n]), min_share * totals[n]))) for i, n in enumerate(names)], "lang string, number int, least double")
     counts = rows.mapInArrow(_count_batches(k), "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    kept = (counts.where(F.col("n") >= table[F.col("lang")])
-            .groupBy("gram").agg(F.collect_list(number[F.col("lang")]).alias("langs"))
-            .selectExpr("gram", "aggregate(langs, 0L, (m, i) -> m | shiftleft(1L, i)) as mask").toPandas())
-    return LanguageFilters.build(names, kept["gram"].to_numpy().view(np.uint64), kept["mask"].to_numpy().view(np.uint64), k)
+    kept = (counts.join(small_side(table, len(names)), "lang").where("n >= least")
+            .groupBy("gram", F.expr(f"number div {WORD}").cast("int").alias("word"))
+            .agg(F.collect_list(F.expr(f"number % {WORD}")).alias("bits"))
+            .selectExpr("gram", "word", "aggregate(bits, 0L, (m, i) -> m | shiftleft(1L, i)) as mask").toPandas())
+    value, at = np.unique(kept["gram"].to_numpy().view(np.uint64), return_inverse=True)
+    mask = np.zeros((len(value), -(-len(names) // WORD)), U64)
+    mask[at, kept["word"].to_numpy()] = kept["mask"].to_numpy().view(np.uint64)
+    return LanguageFilters.build(names, value, mask, k)
 
 
 def identify(docs: DataFrame, model: LanguageFilters, text: str = "text") -> DataFrame:
