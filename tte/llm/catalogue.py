@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from tte.llm import sqltext
 from tte.llm.common import documents, fold
+from tte.llm.conversation_repair import repair_digest
 from tte.llm.decontaminate import find_leaks
 from tte.llm.language_id import identify, learn
 from tte.llm.license_scan import scan_licenses
 from tte.llm.lm_score import lm_scores
 from tte.llm.mixing import mix
 from tte.llm.near_dedup import near_duplicates
+from tte.llm.packing import pack_documents
 from tte.llm.quality_model import quality_scores
 from tte.llm.quality_rules import quality_rules
 from tte.llm.registry import register
@@ -83,3 +85,17 @@ def op10_language_id(spark, sf_dir) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = learn(docs.where(fold("doc_id", 3) != 1))
     return identify(docs, model).select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+@register("op11_repair_conversations")
+def op11_repair_conversations(spark, sf_dir) -> DataFrame:
+    """Every conversation, damaged by rule: its faults, the cheapest repair and a hash of the result."""
+    return repair_digest(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+@register("op12_pack_sequences")
+def op12_pack_sequences(spark, sf_dir) -> DataFrame:
+    """All documents, tokenized, in sequences of at most 2048 tokens."""
+    import public_tokenizers
+
+    return pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
