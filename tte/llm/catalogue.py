@@ -18,6 +18,7 @@ from tte.llm.packing import pack_documents
 from tte.llm.quality_model import quality_scores
 from tte.llm.quality_rules import quality_rules
 from tte.llm.registry import register
+from tte.llm.spelling import document_variants
 from tte.llm.suffix_dedup import repeat_digest
 from tte.llm.warc import read_warc, write_warc
 
@@ -87,7 +88,7 @@ def op10_language_id(spark, sf_dir) -> DataFrame:
     return identify(docs, model).select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
-@register("op11_repair_conversations")
+@register("op11_repair_conversations", sqltext.REPAIR)
 def op11_repair_conversations(spark, sf_dir) -> DataFrame:
     """Every conversation, damaged by rule: its faults, the cheapest repair and a hash of the result."""
     return repair_digest(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
@@ -99,3 +100,9 @@ def op12_pack_sequences(spark, sf_dir) -> DataFrame:
     import public_tokenizers
 
     return pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+
+
+@register("op13_spelling_variants", sqltext.VARIANTS)
+def op13_spelling_variants(spark, sf_dir) -> DataFrame:
+    """Words of all documents, damaged by rule, with the spelling each is a variant of."""
+    return document_variants(documents(spark, sf_dir))
