@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tte.operators.explain import treatment_effect_interval
-from tte.operators.metrics import bootstrap_auc, bootstrap_brier, bootstrap_weights, brier_score, dynamic_auc
+from tte.operators.metrics import bootstrap_auc, bootstrap_brier, brier_score, dynamic_auc
+from tte.operators.replicates import bootstrap_weights
 from tte.operators.models.aft import LocationScaleAFT
 from tte.operators.models.ensemble import CLASSIFIERS, Bagging, average_arrays, dynamic_scores, horizon_classifier, stacked_scores
 from tte.operators.models.linear import LinearRisk

@@ -89,15 +89,14 @@ def treatment_effect(df: DataFrame, score_fn, feature: str, values: Sequence[flo
 def treatment_effect_interval(df: DataFrame, id_col: str, score_fn, feature: str, values: Sequence[float], reps: int = 200,
                               seed: int = 42, level: float = 0.95) -> DataFrame:
     """X9 with a percentile bootstrap interval of each effect against the first value: every subject
-    has a hashed Poisson weight per replicate, and the replicates' weighted means need one grouped sum
-    (pre-aggregated, so only values x reps rows are shuffled)."""
-    from tte.operators.metrics import poisson_weight
+    has a hashed Poisson weight per replicate, and the replicates' weighted means are one matrix product a
+    batch of rows (``replicate_sums``)."""
+    from tte.operators.replicates import replicate_sums
 
     x = df.select("*", F.explode(F.array(*[F.lit(float(v)) for v in values])).alias("value")).withColumn(feature, F.col("value"))
     scored = score_fn(x).select(id_col, "value", "risk")
-    reps_of = scored.select("*", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("rep"))
-    w = poisson_weight(id_col, seed)
-    means = reps_of.groupBy("rep", "value").agg((F.sum(w * F.col("risk")) / F.sum(w)).alias("_m"))
+    means = replicate_sums(scored, id_col, ["risk"], reps, seed, ["value"]).select(
+        "value", F.posexplode(F.zip_with("risk", "w", lambda r, w: F.when(w > 0, r / w))).alias("rep", "_m"))
     base = means.where(F.col("value") == float(values[0])).select("rep", F.col("_m").alias("_b"))
     effects = means.join(base, "rep").select("value", (F.col("_m") - F.col("_b")).alias("_e"))
     lo, hi = (1 - level) / 2, 1 - (1 - level) / 2

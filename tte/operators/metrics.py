@@ -8,14 +8,17 @@ at tied times, ``ties="events_first"``, read as a step function).
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tte.operators.curves import curve_at, km_curves
-from tte.operators.scan import plan_bands, prefix_sum
+from tte.operators.pairs import concordance, dominance, plan_points
+from tte.operators.replicates import coefficients, id_hash, interval, replicate_sums, weight_matrix
+from tte.operators.scan import prefix_sum
+from tte.operators.vector_scan import Band, Offsets, band_offsets, band_sums, ranged, running
 
 
 def _g_at_times(train: DataFrame, test: DataFrame, time: str, event: str, same_times: bool = False) -> DataFrame:
@@ -126,100 +129,95 @@ def dynamic_auc(train: DataFrame, test: DataFrame, horizons: Sequence[float], ri
     return auc, mean
 
 
-def poisson_weight(id_col: str, seed: int, rep: str = "rep") -> Column:
-    """Poisson(1) bootstrap weight (double) by inversion of a hashed uniform of (id, rep, seed)."""
-    u = (F.pmod(F.xxhash64(F.col(id_col), F.col(rep), F.lit(seed)), F.lit(1 << 53)).cast("double")
-         + 0.5) / float(1 << 53)
-    cdf, acc, term = [], 0.0, math.exp(-1.0)
-    for k in range(0, 20):
-        acc += term
-        cdf.append(acc)
-        term /= (k + 1)
-    wexpr = F.lit(20)
-    for k in reversed(range(20)):
-        wexpr = F.when(u <= cdf[k], F.lit(k)).otherwise(wexpr)
-    return wexpr.cast("double")
-
-
-def bootstrap_weights(df: DataFrame, id_col: str, reps: int, seed: int) -> DataFrame:
-    """V8 / M6: Poisson(1) bootstrap weight per (row, rep) from a hash of (id, rep, seed), so a retried
-    task draws the same."""
-    x = df.select("*", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("rep"))
-    return x.withColumn("bw", poisson_weight(id_col, seed))
-
-
-def _interval(per_rep: DataFrame, value: str, by: Sequence[str], level: float) -> DataFrame:
-    lo, hi = (1 - level) / 2, 1 - (1 - level) / 2
-    ci = per_rep.groupBy(*by).agg(F.percentile(value, lo).alias("ci_lower"), F.percentile(value, hi).alias("ci_upper"),
-                                  F.count(value).alias("reps"))
-    return ci.withColumn("std", (F.col("ci_upper") - F.col("ci_lower")) / 3.92)
-
-
 def bootstrap_brier(train: DataFrame, test_long: DataFrame, horizons: Sequence[float], id_col: str, reps: int = 200,
                     seed: int = 42, level: float = 0.95, time: str = "time", event: str = "event",
                     same_times: bool = False) -> tuple[DataFrame, DataFrame]:
     """M6: percentile bootstrap intervals of the Brier score per horizon and of the integrated Brier
     score. Test subjects are resampled, the censoring curve of ``train`` stays. A row's part in the
     score does not depend on the replicate, so it is computed once; the replicates are weighted sums,
-    pre-aggregated to reps x horizons rows before the shuffle.
+    one matrix product a batch of rows.
     Returns ``(horizon, estimate, ci_lower, ci_upper, reps, std)`` and the same without horizon."""
     parts = brier_parts(train, test_long, horizons, time, event, same_times).select(id_col, "horizon", "contribution")
-    drawn = bootstrap_weights(parts, id_col, reps, seed)
-    per_rep = drawn.groupBy("rep", "horizon").agg((F.sum(F.col("bw") * F.col("contribution")) / F.sum("bw")).alias("brier"))
+    sums = replicate_sums(parts, id_col, ["contribution"], reps, seed, ["horizon"])
+    per_rep = sums.select("horizon", F.posexplode(F.arrays_zip("w", "contribution")).alias("rep", "x")).select(
+        "horizon", "rep", F.when(F.col("x.w") > 0, F.col("x.contribution") / F.col("x.w")).alias("brier"))
     point = parts.groupBy("horizon").agg(F.avg("contribution").alias("brier"))
-    brier = point.withColumnRenamed("brier", "estimate").join(_interval(per_rep, "brier", ["horizon"], level), "horizon")
+    brier = point.withColumnRenamed("brier", "estimate").join(interval(per_rep, "brier", ["horizon"], level), "horizon")
     ibs = integrated_brier(point).select(F.col("ibs").alias("estimate")).crossJoin(
-        _interval(integrated_brier(per_rep, by=["rep"]), "ibs", [], level))  # one row each
+        interval(integrated_brier(per_rep, by=["rep"]), "ibs", [], level))  # one row each
     return brier, ibs
 
 
-def bootstrap_auc(train: DataFrame, test: DataFrame, horizons: Sequence[float], id_col: str, reps: int = 100, seed: int = 42,
+def bootstrap_auc(train: DataFrame, test: DataFrame, horizons: Sequence[float], id_col: str, reps: int = 200, seed: int = 42,
                   level: float = 0.95, risk: str = "risk", time: str = "time", event: str = "event",
                   same_times: bool = False) -> DataFrame:
     """M6: percentile bootstrap interval of the dynamic AUC (M5) per horizon.
 
-    The replicates' case and control weights are columns of the per-risk table, ``chunk`` replicates at
-    a time, so subjects are not multiplied and one running sum over the distinct risks serves them."""
-    hs = [float(h) for h in horizons]
-    g = _g_at_times(train, test, time, event, same_times).withColumn("_risk", F.col(risk).cast("double"))
-    t, e, rows, chunk = F.col(time), F.col(event), None, max(1, 60 // len(hs))
-    plan = plan_bands(g.select("_risk").distinct(), "_risk")
-    for start in range(0, reps, chunk):
-        mine = range(start, min(reps, start + chunk))
-        drawn = g
-        for r in mine:
-            drawn = drawn.withColumn("rep", F.lit(r)).withColumn(f"_w{r}", poisson_weight(id_col, seed))
-        keys = [(r, i, h) for r in mine for i, h in enumerate(hs)]
-        aggs = [F.sum(F.when((t <= h) & (e == 1) & (F.col("g_t") > 0), F.col(f"_w{r}") / F.col("g_t")).otherwise(0.0)).alias(f"c{r}_{i}") for r, i, h in keys]
-        aggs += [F.sum(F.when(t > h, F.col(f"_w{r}")).otherwise(0.0)).alias(f"k{r}_{i}") for r, i, h in keys]
-        scanned = prefix_sum(drawn.groupBy("_risk").agg(*aggs), "_risk", [f"k{r}_{i}" for r, i, _ in keys], exclusive=True, plan=plan)
-        sums = [x for r, i, _ in keys for x in (
-            F.sum(F.col(f"c{r}_{i}") * (F.col(f"cum_k{r}_{i}") + 0.5 * F.col(f"k{r}_{i}"))).alias(f"n{r}_{i}"),
-            F.sum(f"c{r}_{i}").alias(f"a{r}_{i}"), F.sum(f"k{r}_{i}").alias(f"b{r}_{i}"))]
-        wide = scanned.agg(*sums)
-        part = wide.select(F.explode(F.array(*[F.struct(F.lit(h).alias("horizon"), F.col(f"n{r}_{i}").alias("n"), F.col(f"a{r}_{i}").alias("a"),
-                                                        F.col(f"b{r}_{i}").alias("b")) for r, i, h in keys])).alias("x")).select("x.*")
-        rows = part if rows is None else rows.unionByName(part)
-    per_rep = rows.select("horizon", F.when((F.col("a") > 0) & (F.col("b") > 0), F.col("n") / (F.col("a") * F.col("b"))).alias("auc"))
+    The rows are ranged by risk once; a vector scan carries the control weights of all replicates and
+    horizons, so one pass over the bands gives every replicate's rank sum. Rows without a risk are left out."""
+    hs, polynomials = [float(h) for h in horizons], coefficients(seed, reps)
+    g = _g_at_times(train, test, time, event, same_times).select(
+        F.col(risk).cast("double").alias("risk"), F.col(time).cast("double").alias("t"), (F.col(event) == 1).cast("double").alias("e"),
+        F.coalesce(F.col("g_t"), F.lit(0.0)).alias("g"), id_hash(id_col).alias("x")).where("risk is not null and t is not null and e is not null")
+    bands = ranged(g, "risk", test.count())
+    slices = [polynomials[lo: lo + 32] for lo in range(0, reps, 32)]
+
+    def controls(band: Band) -> np.ndarray:
+        return (band["t"][:, None] > np.array(hs)).astype(np.float64)
+
+    def sums(band: Band):
+        out = [[], [], []]
+        held, key = controls(band), band["risk"]
+        for some in slices:
+            w = weight_matrix(band["x"], some)
+            for i, rows in enumerate((slice(None), key == key[0], key == key[-1])):
+                out[i].append((held[rows].T @ w[rows]).ravel())
+        return tuple(np.concatenate(x) for x in out)
+
+    def part(number: int, band: Band) -> np.ndarray:
+        held, key, off, out, at = controls(band), band["risk"], offsets[number], [], 0
+        ends = (band["t"][:, None] <= np.array(hs)) & (band["e"] == 1)[:, None] & (band["g"] > 0)[:, None]
+        case = np.where(ends, 1.0 / np.where(band["g"] > 0, band["g"], 1.0)[:, None], 0.0)
+        for some in slices:
+            w = weight_matrix(band["x"], some)
+            for i in range(len(hs)):
+                mine = Offsets(*(x[at: at + len(some)] for x in off))
+                at += len(some)
+                k = held[:, i, None] * w
+                below, upto = running(key, k, mine, exclusive=True), running(key, k, mine)
+                c = case[:, i, None] * w
+                out.append(np.concatenate(((c * (below + upto) / 2).sum(axis=0), c.sum(axis=0), k.sum(axis=0))))
+        return np.concatenate(out)
+
+    try:
+        offsets = band_offsets(bands, "risk", sums=sums)
+        total, at, rows = band_sums(bands, part), 0, []
+        for some in slices if len(total) else []:
+            for h in hs:
+                num, cases, held = total[at: at + 3 * len(some)].reshape(3, -1)
+                at += 3 * len(some)
+                rows += [(h, float(a / (b * c))) for a, b, c in zip(num, cases, held, strict=True) if b > 0 and c > 0]
+    finally:
+        bands.unpersist()
+    per_rep = test.sparkSession.createDataFrame(rows, "horizon double, auc double")
     point, _ = dynamic_auc(train, test, hs, risk, time, event, same_times)
-    return point.withColumnRenamed("auc", "estimate").join(_interval(per_rep, "auc", ["horizon"], level), "horizon")
+    return point.withColumnRenamed("auc", "estimate").join(interval(per_rep, "auc", ["horizon"], level), "horizon")
 
 
 def bootstrap_concordance(df: DataFrame, id_col: str, reps: int = 200, seed: int = 42, level: float = 0.95,
                           risk: str = "risk", time: str = "time", event: str = "event") -> DataFrame:
-    """M6: percentile bootstrap interval of Harrell's C; all replicates in one pass grouped by rep
-    (weighted B3), std = (hi - lo) / 3.92."""
-    from tte.operators.pairs import concordance
-
-    bw = bootstrap_weights(df, id_col, reps, seed).where(F.col("bw") > 0)
-    per_rep = concordance(bw, risk, time, event, by=["rep"], weight="bw")
-    lo, hi = (1 - level) / 2, 1 - (1 - level) / 2
+    """M6: percentile bootstrap interval of Harrell's C, std = (hi - lo) / 3.92. One count (B3) whose kernels
+    carry the weights of all replicates. Rows with a null time, event or risk are left out."""
+    polynomials = coefficients(seed, reps)
+    pts = df.where(F.col(time).isNotNull() & F.col(event).isNotNull() & F.col(risk).isNotNull()).select(
+        F.col(time).cast("double").alias("xv"), F.when(F.col(event).cast("int") == 1, 0).otherwise(1).alias("tie"),
+        F.col(risk).cast("double").alias("y"), id_hash(id_col).alias("w"))
+    total = dominance(pts, weights=lambda w: weight_matrix(w.to_numpy(), polynomials), plan=plan_points(pts, rows=True))
+    x = total.select(F.explode(F.arrays_zip("less", "eq", "greater")).alias("x")).select("x.*")
+    pairs = F.col("less") + F.col("eq") + F.col("greater")
+    per_rep = x.select(F.when(pairs > 0, (F.col("less") + 0.5 * F.col("eq")) / pairs).alias("c_index"))
     point = concordance(df, risk, time, event).select(F.col("c_index").alias("estimate"))
-    ci = per_rep.agg(
-        F.percentile("c_index", lo).alias("ci_lower"), F.percentile("c_index", hi).alias("ci_upper"),
-        F.count(F.lit(1)).alias("reps"),
-    )
-    return point.crossJoin(ci).withColumn("std", (F.col("ci_upper") - F.col("ci_lower")) / 3.92)
+    return point.crossJoin(interval(per_rep, "c_index", [], level))  # one row each
 
 
 def leaderboard(metrics: DataFrame, model: str = "model", metric: str = "metric", value: str = "value",

@@ -1,11 +1,11 @@
 """Cox proportional hazards on Spark (L1) with the Breslow baseline (K7-K9) and a local NumPy
 form for per-group fits (L11).
 
-Newton-Raphson on the Breslow partial likelihood. Each iteration is one Spark job: per distinct
-time the sums of w = exp(x b), w x and w x x' (and the event sums), then reverse running sums over
-time (banded scan, never a single-partition window over subjects), then one aggregate of the
-gradient and Hessian terms at the event times. Only p + p(p+1)/2 numbers reach the driver, where
-the p x p system is solved. Features are centred and scaled inside; the ridge penalty
+Newton-Raphson on the Breslow partial likelihood. The rows are ranged by descending time once; each step
+is a vector scan of w = exp(x b) and w x over the bands (``vector_scan``), a scalar scan of the hazard, and
+one pass that adds up the gradient and the Hessian as matrix products. The plans have the same size for
+2 and for 100 features. Besides p + p x p sums only p + 1 numbers a band reach the driver, where the
+p x p system is solved. Features are centred and scaled inside; the ridge penalty
 0.5 alpha |b|^2 applies to the coefficients on the original scale.
 """
 
@@ -15,11 +15,13 @@ import warnings
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tte.operators.curves import curve_at
-from tte.operators.scan import plan_bands, prefix_sum
+from tte.operators.scan import prefix_sum
+from tte.operators.vector_scan import Band, band_of_batches, band_offsets, band_sums, ranged, running
 
 
 def breslow_baseline(df: DataFrame, rel_risk: Column | str, time: str = "time", event: str = "event",
@@ -85,26 +87,17 @@ class CoxPH:
         p = len(self.features)
         stats = df.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(self.features)],
                        *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(self.features)]).collect()[0]
-        mu = np.array([stats[f"m{i}"] for i in range(p)], dtype=float)
+        mu = np.array([stats[f"m{i}"] or 0.0 for i in range(p)], dtype=float)
         sd = np.array([stats[f"s{i}"] or 1.0 for i in range(p)], dtype=float)
         sd[sd == 0] = 1.0
-        z = [f"_z{i}" for i in range(p)]
-        data = df.where(F.col(self.time).isNotNull() & F.col(self.event).isNotNull()).select(
-            F.col(self.time).cast("double").alias("_t"), F.col(self.event).cast("double").alias("_e"),
-            *[((F.col(c).cast("double") - float(mu[i])) / float(sd[i])).alias(z[i]) for i, c in enumerate(self.features)],
-        ).dropna().persist()
-        # rows without a time, event or feature cannot enter a risk set: their number is reported
-        kept = data.agg(F.count(F.lit(1)).alias("n"), *[F.max(F.abs(F.col(c))).alias(c) for c in z]).first()
-        self.n_excluded_ = stats["n"] - kept["n"]
-        self._reach = np.array([kept[c] or 0.0 for c in z])
-        beta = (np.asarray(init, float) * sd) if init is not None else np.zeros(p)
-        pen = self.alpha / sd ** 2  # ridge on the original-scale coefficients
-        pairs = [(j, k) for j in range(p) for k in range(j, p)]
-        # the per-time table has the same keys in every Newton step: plan its bands once
-        self._plan = plan_bands(data.groupBy("_t").agg(F.count(F.lit(1)).alias("_c")).withColumn("_nt", -F.col("_t")), "_nt")
+        data = ranged(cox_rows(df, self.features, mu, sd, self.time, self.event), "t", stats["n"], descending=True)
         try:
+            # rows without a time, event or feature cannot enter a risk set: their number is reported
+            self.n_excluded_ = stats["n"] - data.count()
+            beta = (np.asarray(init, float) * sd) if init is not None else np.zeros(p)
+            pen = self.alpha / sd ** 2  # ridge on the original-scale coefficients
             beta, self.loglik_, self.n_iter_, self.converged_ = newton(
-                lambda b: self._derivs(data, b, z, pairs), beta, pen, self.n_iter, self.tol)
+                lambda b: cox_derivatives(data, b), beta, pen, self.n_iter, self.tol)
         finally:
             data.unpersist()
         if not self.converged_:
@@ -114,37 +107,6 @@ class CoxPH:
         self.baseline_ = breslow_baseline(self.risk(df), F.exp(F.col("risk")), self.time, self.event)
         return self
 
-    def _derivs(self, data: DataFrame, beta: np.ndarray, z: list[str], pairs):
-        p = len(z)
-        lp = self._lp(beta, z)
-        # the weights only enter as ratios within a risk set: where they could overflow, the largest is
-        # shifted to 1 (most fits are far from it, by the largest value of each feature)
-        if np.abs(beta) @ self._reach > 300:
-            lp = lp - F.lit(float(data.agg(F.max(lp)).first()[0] or 0.0))
-        w = F.exp(lp)
-        per_t = data.groupBy("_t").agg(
-            F.sum(w).alias("s0"),
-            *[F.sum(w * F.col(z[j])).alias(f"s1_{j}") for j in range(p)],
-            *[F.sum(w * F.col(z[j]) * F.col(z[k])).alias(f"s2_{j}_{k}") for j, k in pairs],
-            F.sum("_e").alias("d"),
-            *[F.sum(F.col("_e") * F.col(z[j])).alias(f"ez_{j}") for j in range(p)],
-            F.sum(F.col("_e") * lp).alias("elp"),
-        )
-        vals = ["s0"] + [f"s1_{j}" for j in range(p)] + [f"s2_{j}_{k}" for j, k in pairs]
-        rev = prefix_sum(per_t.withColumn("_nt", -F.col("_t")), "_nt", vals, plan=self._plan)
-        ev = rev.where(F.col("d") > 0)
-        S0 = F.greatest(F.col("cum_s0"), F.lit(1e-300))  # a risk set far below the largest risk underflows
-        aggs = [F.sum(F.col("elp") - F.col("d") * F.log(S0)).alias("ll")]
-        aggs += [F.sum(F.col(f"ez_{j}") - F.col("d") * F.col(f"cum_s1_{j}") / S0).alias(f"g{j}") for j in range(p)]
-        aggs += [F.sum(-F.col("d") * (F.col(f"cum_s2_{j}_{k}") / S0 - F.col(f"cum_s1_{j}") * F.col(f"cum_s1_{k}") / (S0 * S0)))
-                 .alias(f"h{j}_{k}") for j, k in pairs]
-        row = ev.agg(*aggs).collect()[0]
-        grad = np.array([row[f"g{j}"] for j in range(p)], dtype=float)
-        hess = np.zeros((p, p))
-        for j, k in pairs:
-            hess[j, k] = hess[k, j] = row[f"h{j}_{k}"]
-        return float(row["ll"]), grad, hess
-
     def risk(self, df: DataFrame) -> DataFrame:
         """I1 (linear): ``risk`` = x b on the original scale."""
         return df.withColumn("risk", self._lp(self.coef_, self.features))
@@ -155,6 +117,99 @@ class CoxPH:
         return survival_from_baseline(scored, self.baseline_, horizons, F.exp(F.col("risk")))
 
 
+def cox_rows(df: DataFrame, features: Sequence[str], mu: np.ndarray, sd: np.ndarray, time: str, event: str) -> DataFrame:
+    """Rows ``t, e, z`` with a time, an event and all features, the features centred and scaled in one array."""
+    z = F.array(*[(F.col(c).cast("double") - float(m)) / float(s) for c, m, s in zip(features, mu, sd, strict=True)])
+    whole = " and ".join(["t is not null", "e is not null", *[f"z[{i}] is not null and not isnan(z[{i}])" for i in range(len(features))]])
+    return df.select(F.col(time).cast("double").alias("t"), F.col(event).cast("double").alias("e"), z.alias("z")).where(whole)
+
+
+def cox_derivatives(data: DataFrame, beta: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Log-likelihood, gradient and Hessian of the Breslow partial likelihood at ``beta`` over the bands of ``data``
+    (``cox_rows`` in descending order of time).
+
+    With S0(t), S1(t) the sums of w and w z over the risk set (a vector scan of length p + 1) and A(t) the sum of
+    d / S0 over event times up to t, the sum over event times of d S2 / S0 is the sum over subjects of
+    w A(t) z z', so the scan never carries p x p numbers; those are summed once, as matrix products of a band."""
+    p = len(beta)
+
+    def weights(band: Band) -> tuple[np.ndarray, np.ndarray]:
+        lp = band["z"] @ beta
+        return lp, np.exp(np.minimum(lp - shift, 700.0))
+
+    shift = 0.0
+
+    def scanned(band: Band) -> np.ndarray:
+        _, w = weights(band)
+        return np.column_stack((w, w[:, None] * band["z"]))
+
+    offsets = band_offsets(data, "t", scanned)
+    if any(not np.isfinite(o.before).all() or o.before[0] > 1e250 for o in offsets.values()):
+        # weights only enter as ratios within a risk set: far out, the largest is shifted to 1
+        top = data.mapInArrow(lambda batches: _largest(batches, beta), "x double").agg(F.max("x")).first()[0]
+        shift = float(top)
+        offsets = band_offsets(data, "t", scanned)
+
+    def hazard(number: int, band: Band) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        v = scanned(band)
+        sums = running(band["t"], v, offsets[number])
+        s0 = np.maximum(sums[:, 0], 1e-300)  # a risk set far below the largest risk underflows
+        return v, sums, s0
+
+    # events before a time lie behind it in this order, so what a band does not hold of A comes from the bands after it
+    share = _band_hazards(data, offsets, hazard)
+
+    def part(number: int, band: Band) -> np.ndarray:
+        t, e, z = band["t"], band["e"], band["z"]
+        v, sums, s0 = hazard(number, band)
+        later, above = share[number]
+        mine = e / s0
+        # A(t): events at times up to t; this band's rows from t's first row on, the bands after, and the rows
+        # of t in the bands before
+        first = np.searchsorted(-t, -t, side="left")
+        a = np.cumsum(mine[::-1])[::-1][first] + later
+        a[t == t[0]] += above
+        lp, w = weights(band)
+        dead = e > 0
+        s1 = sums[dead, 1:] / s0[dead, None]
+        ll = float((e * (lp - shift)).sum() - (e[dead] * np.log(s0[dead])).sum())
+        grad = (e[:, None] * z).sum(axis=0) - (e[dead, None] * s1).sum(axis=0)
+        hess = (s1 * e[dead, None]).T @ s1 - (z * (w * a)[:, None]).T @ z
+        return np.concatenate(([ll], grad, hess.ravel()))
+
+    out = band_sums(data, part)
+    if not len(out):
+        return 0.0, np.zeros(p), np.zeros((p, p))
+    return float(out[0]), out[1: p + 1], out[p + 1:].reshape(p, p)
+
+
+def _largest(batches, beta: np.ndarray):
+    _, band = band_of_batches(batches)
+    if band:
+        yield pa.RecordBatch.from_arrays([pa.array([float((band["z"] @ beta).max())])], names=["x"])
+
+
+def _band_hazards(data: DataFrame, offsets, hazard) -> dict[int, tuple[float, float]]:
+    """Per band: the hazard of the events in the bands after it, and of those at its first time in the bands before."""
+
+    def run(batches):
+        number, band = band_of_batches(batches)
+        if band:
+            t, (_, _, s0) = band["t"], hazard(number, band)
+            mine = band["e"] / s0
+            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([float(t[0])]), pa.array([float(t[-1])]), pa.array([float(mine.sum())]),
+                                              pa.array([float(mine[t == t[-1]].sum())])], names=["band", "first", "last", "total", "tail"])
+
+    rows = data.mapInArrow(run, "band int, first double, last double, total double, tail double").toPandas().sort_values("band")
+    band, first, last, total, tail = (rows[c].to_numpy() for c in ("band", "first", "last", "total", "tail"))
+    later = np.cumsum(total[::-1])[::-1] - total
+    above = np.zeros(len(band))
+    for i in range(1, len(band)):
+        if last[i - 1] == first[i]:
+            above[i] = tail[i - 1] + (above[i - 1] if first[i - 1] == last[i - 1] else 0.0)
+    return {int(b): (float(later[i]), float(above[i])) for i, b in enumerate(band)}
+
+
 def cox_newton_local(x: np.ndarray, t: np.ndarray, e: np.ndarray, alpha: float = 0.0, n_iter: int = 50,
                      tol: float = 1e-9) -> np.ndarray:
     """NumPy Breslow Cox for one bounded group (L11): same likelihood as ``CoxPH``."""

@@ -41,7 +41,7 @@ class Bagging:
         self.members_: list[CoxPH] = []
 
     def fit(self, df: DataFrame, id_col: str) -> "Bagging":
-        from tte.operators.metrics import bootstrap_weights
+        from tte.operators.replicates import bootstrap_weights
 
         rng = np.random.default_rng(self.seed)
         k = max(1, int(round(self.feat_frac * len(self.features))))

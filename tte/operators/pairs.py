@@ -1,42 +1,54 @@
 """Exact pair counts without an n^2 pair join (building block B3).
 
 Harrell's C needs, for every event subject i, the number of subjects j with a later time (or the
-same time and censored) and a lower / equal / higher risk: a weighted 2-D dominance count.
+same time and censored) and a lower / equal / higher risk: a weighted 2-D dominance count. Ordered by
+(time, censored after events) the time rule is a strict comparison of one key.
 
-Plan: points are cut into time bands ``tb`` and risk bands ``rb`` (value cut points, so ties share a
-band). A pair (i, j) is counted in exactly one of three parts:
+Plan: the points get a time band and a risk band (value cut points, so ties share a band; a hot value is
+a band of its own). A pair (i, j) is counted in exactly one place:
 
-* same time band: exact count inside the ``tb`` group (times and risks compared exactly);
-* later time band, same risk band: exact count inside the ``rb`` group (time compared by band);
-* later time band, other risk band: decided by the bands alone, so the cells
-  ``(tb, rb)`` with summed weights are a much smaller dominance problem, solved the same way.
+* same risk band: by an exact kernel over the risk band's points;
+* same time band, other risk band: by an exact kernel over the time band's points, risks compared by band;
+* other time band and other risk band: decided by the bands. One pass over the cells in order of risk
+  keeps a vector of the weights below by time band, so a query meets all lower risks at once.
 
-Each group is solved in ``applyInPandas`` by a vectorised divide-and-conquer count
-(O(m log^2 m) NumPy work, no Python loop over rows). Group sizes are about n / k for k bands
-(``spark.sql.shuffle.partitions`` by default), never the whole table.
+A band of a single hot time has no pair in it. The pairs of one single hot risk are all ties: they are
+counted like those of different risk bands, by time band kernels and by the pass, and never form a group.
+So one shuffle deals every point to the kernels of its two bands, each of bounded size, and the pass
+reads cells only.
+
+A point's weight may be a vector of replicate weights: all replicates go through the same sorts, and
+subjects are not multiplied by the number of replicates.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tte.operators.scan import band_of, plan_bands, prefix_sum
+from tte.operators.scan import BAND_ROWS, MAX_BANDS, band_of
+from tte.session import shuffle_partitions
+
+#: Replicates whose weights are in a kernel's matrices at once.
+REPLICATES_AT_ONCE = 32
 
 
 def dominance_counts(item_key: np.ndarray, item_y: np.ndarray, item_w: np.ndarray,
                      query_key: np.ndarray, query_y: np.ndarray, query_w: np.ndarray):
     """Sum over queries q and items j with key_j > key_q of w_j * w_q, split by y_j <, =, > y_q.
 
-    Keys of items and queries must never be equal (callers use even / odd integer keys).
+    Keys of items and queries must never be equal (callers use even / odd integer keys). Weights are
+    one number a row or a row of replicate weights; the sums have the shape of one row.
     """
+    one = np.zeros(item_w.shape[1:])
     if len(item_key) == 0 or len(query_key) == 0:
-        return 0.0, 0.0, 0.0
+        return one, one, one
     keys = np.concatenate([item_key, query_key]).astype(np.int64)
     isq = np.concatenate([np.zeros(len(item_key), bool), np.ones(len(query_key), bool)])
     yy = np.concatenate([item_y, query_y])
@@ -47,7 +59,7 @@ def dominance_counts(item_key: np.ndarray, item_y: np.ndarray, item_w: np.ndarra
     n = len(keys)
     m = int(yr.max()) + 2
     pos = np.arange(n, dtype=np.int64)
-    less = eq = greater = 0.0
+    less, eq, greater = one, one, one
     s = 1
     while s < n:
         blk = pos // (2 * s)
@@ -58,7 +70,7 @@ def dominance_counts(item_key: np.ndarray, item_y: np.ndarray, item_w: np.ndarra
             lk = blk[L] * m + yr[L]
             o = np.argsort(lk, kind="stable")
             lk = lk[o]
-            cw = np.concatenate([[0.0], np.cumsum(ww[L][o])])
+            cw = np.concatenate([one[None], np.cumsum(ww[L][o], axis=0)])
             qb = blk[R] * m
             qk = qb + yr[R]
             qw = ww[R]
@@ -66,135 +78,185 @@ def dominance_counts(item_key: np.ndarray, item_y: np.ndarray, item_w: np.ndarra
             a = np.searchsorted(lk, qk, "left")
             b = np.searchsorted(lk, qk, "right")
             hi = np.searchsorted(lk, qb + m, "left")
-            less += float(np.dot(qw, cw[a] - cw[lo]))
-            eq += float(np.dot(qw, cw[b] - cw[a]))
-            greater += float(np.dot(qw, cw[hi] - cw[b]))
+            less = less + (qw * (cw[a] - cw[lo])).sum(axis=0)
+            eq = eq + (qw * (cw[b] - cw[a])).sum(axis=0)
+            greater = greater + (qw * (cw[hi] - cw[b])).sum(axis=0)
         s *= 2
     return less, eq, greater
 
 
-def _solve(pdf: pd.DataFrame):
-    """Items: every point (weight w); queries: points with q > 0. Item j counts for query i when
-    x_j > x_i, or x_j == x_i and j carries the tie flag. Returns (less, eq, greater, tied_x)."""
-    xr = np.unique(pdf["xv"].to_numpy(np.float64), return_inverse=True)[1].astype(np.int64)
-    tie = pdf["tie"].to_numpy(np.int64)
-    y = pdf["y"].to_numpy(np.float64)
-    w = pdf["w"].to_numpy(np.float64)
-    q = pdf["q"].to_numpy(np.float64)
-    it = w > 0
-    qs = q > 0
-    less, eq, greater = dominance_counts(4 * xr[it] + 2 * tie[it], y[it], w[it], 4 * xr[qs] + 1, y[qs], q[qs])
-    # pairs of a query with a tie-flagged item at the same x
-    tw = np.bincount(xr, weights=w * tie, minlength=xr.max() + 1 if len(xr) else 0)
-    qw = np.bincount(xr, weights=q, minlength=xr.max() + 1 if len(xr) else 0)
-    tied = float(np.dot(tw, qw)) if len(xr) else 0.0
-    return less, eq, greater, tied
-
-
-def _solve_groups(df: DataFrame, keys: list[str], keep_eq: bool, parts: int) -> DataFrame:
-    """The kernel for each group of ``keys``. Small groups travel together: a Python call takes all
-    groups whose keys hash to one of ``parts`` parts, and solves them one after the other."""
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for key, group in pdf.groupby(keys, sort=False, dropna=False):
-            less, eq, greater, tied = _solve(group)
-            rows.append((*key, less, eq if keep_eq else 0.0, greater, tied if keep_eq else 0.0))
-        return pd.DataFrame(rows, columns=[*keys, "less", "eq", "greater", "tied_x"])
-
-    part = F.pmod(F.xxhash64(*keys), F.lit(parts))
-    return df.withColumn("_part", part).groupBy("_part").applyInPandas(lambda pdf: fn(pdf), _out_schema(df.select(*keys), keys))
+def _solve(xv: np.ndarray, tie: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """(less, eq, greater) by replicate of queries (points without the tie flag) and items (all points) with
+    a later key (time, tie flag)."""
+    key = 2 * np.unique(xv, return_inverse=True)[1].astype(np.int64) + tie
+    asks = tie == 0
+    parts = [np.stack(dominance_counts(2 * key, y, w[:, lo: lo + REPLICATES_AT_ONCE],
+                                       2 * key[asks] + 1, y[asks], w[asks, lo: lo + REPLICATES_AT_ONCE]))
+             for lo in range(0, w.shape[1], REPLICATES_AT_ONCE)]
+    return np.concatenate(parts, axis=1)
 
 
-def _out_schema(df: DataFrame, by: list[str]) -> T.StructType:
-    fields = [df.schema[c] for c in by]
-    fields += [T.StructField(c, T.DoubleType()) for c in ("less", "eq", "greater", "tied_x")]
-    return T.StructType(fields)
+Weights = Callable[[pd.Series], np.ndarray]
 
 
-def _even_cuts(top: int, k: int) -> list[float]:
-    """About ``k`` bands of the whole numbers from 0 to ``top``."""
-    step = max(1, -(-top // k))
-    return [float(c) for c in range(step, top + 1, step)]
+def plain_weights(w: pd.Series) -> np.ndarray:
+    return w.to_numpy(np.float64)[:, None]
 
 
-def dominance(points: DataFrame, by: Sequence[str] = (), k: int | None = None, depth: int = 0,
-              keep_eq: bool = True, cuts: tuple[list[float], list[float]] | None = None) -> DataFrame:
-    """Weighted dominance totals per ``by`` group over ``points(by..., xv, tie, y, w, q)``.
+def _kernels(by: list[str], weights: Weights):
+    """Points dealt by band (kind r: risk band, t: time band, c: cells only) to sums and cells."""
 
-    The points are split into bands of time and of risk at every size; the number of bands follows
-    the number of points (``plan_bands``), or is ``k``. The cells of the bands are split once more,
-    and theirs, at most about ``k`` times ``k``, are solved in one group per ``by``.
-    """
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        for key, g in pdf.groupby([*by, "kind", "gid"], sort=False, dropna=False):
+            kind = key[len(by)]
+            xv, tie, y, rb, tb = (g[c].to_numpy() for c in ("xv", "tie", "y", "rb", "tb"))
+            w = weights(g["w"])
+            if kind != "c":
+                total = _solve(xv, tie, y if kind == "r" else rb.astype(np.float64), w)
+                if kind == "t":  # the same risk band has its own kernel, unless it is a single risk
+                    single = rb % 2 == 1
+                    total[1] = _solve(xv[single], tie[single], rb[single].astype(np.float64), w[single])[1] if single.any() else 0.0
+                rows.append((*key[: len(by)], None, None, *(x.tolist() for x in total)))
+            if kind != "t":
+                cells, at = np.unique(np.column_stack((rb, tb)), axis=0, return_inverse=True)
+                at = at.ravel()
+                sums = np.zeros((2, len(cells), w.shape[1]))
+                np.add.at(sums[0], at, w)
+                np.add.at(sums[1], at[tie == 0], w[tie == 0])
+                rows += [(*key[: len(by)], int(r), int(t), sums[0, i].tolist(), sums[1, i].tolist(), None) for i, (r, t) in enumerate(cells)]
+        return pd.DataFrame(rows, columns=[*by, "rb", "tb", "a", "b", "c"]).astype({"rb": "Int64", "tb": "Int64"})
+
+    return fn
+
+
+def _across(by: list[str], schema: pa.Schema):
+    """Cells in order (by, risk band, time band) to the sums over pairs that differ in time band, and in risk
+    band unless that is a single risk."""
+
+    def run(batches):
+        now = low = None  # group; weights of lower risk bands by time band
+        band: dict[int, list[np.ndarray]] = {}
+        at_band = None
+
+        def ordered(cells: dict[int, list[np.ndarray]]):
+            times = sorted(cells)
+            return times, np.array([cells[t][0] for t in times]), np.array([cells[t][1] for t in times])
+
+        def close_band():
+            nonlocal less, eq, same
+            if not band:
+                return
+            times, w, q = ordered(band)
+            later = lambda m: np.concatenate((np.cumsum(m[::-1], axis=0)[::-1], 0 * m[:1]))  # noqa: E731  sums from each place on
+            if low:
+                lt = sorted(low)
+                lw = later(np.array([low[t] for t in lt]))
+                less = less + (q * lw[np.searchsorted(lt, times, side="right")]).sum(axis=0)
+            own = (q * later(w)[1:]).sum(axis=0)
+            same = same + own
+            if at_band % 2:
+                eq = eq + own
+            for t, x, z in zip(times, w, q, strict=True):
+                low[t] = low[t] + x if t in low else x
+                asked[t] = asked[t] + z if t in asked else z
+
+        def close_group():
+            close_band()
+            times = sorted(low)
+            w, q = np.array([low[t] for t in times]), np.array([asked[t] for t in times])
+            after = np.concatenate((np.cumsum(w[::-1], axis=0)[::-1], 0 * w[:1]))[1:]
+            return (*now, less.tolist(), eq.tolist(), ((q * after).sum(axis=0) - less - same).tolist())
+
+        out = []
+        for batch in batches:
+            cols = [c.to_pylist() for c in batch.columns]
+            for *key, rb, tb, w, q in zip(*cols, strict=True):
+                if key != now:
+                    if now is not None:
+                        out.append(close_group())
+                    now, low, asked, band, at_band = key, {}, {}, {}, rb
+                    less = eq = same = np.zeros(len(w))
+                if rb != at_band:
+                    close_band()
+                    band, at_band = {}, rb
+                have = band.get(tb)
+                band[tb] = [np.array(w), np.array(q)] if have is None else [have[0] + w, have[1] + q]
+        if now is not None:
+            out.append(close_group())
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+
+    return run
+
+
+def dominance(points: DataFrame, by: Sequence[str] = (), k: int | None = None, weights: Weights = plain_weights,
+              plan: tuple[int, list[float], list[float]] | None = None) -> DataFrame:
+    """Dominance totals ``less, eq, greater`` (arrays, one number a replicate) per ``by`` group over
+    ``points(by..., xv, tie, y, w)``: queries are the points with ``tie`` 0, items all points; an item counts
+    for the queries with a smaller ``(xv, tie)``. ``weights`` turns the column ``w`` into a matrix."""
     by = list(by)
-    if depth >= 2:
-        kb = by if by else ["_all"]
-        src = points if by else points.withColumn("_all", F.lit(0))
-        res = _solve_groups(src, kb, keep_eq, k or 1)
-        return res if by else res.drop("_all")
-    cuts_t, cuts_r = cuts or (plan_bands(points, "xv", k), plan_bands(points, "y", k))
-    k = max(len(cuts_t), len(cuts_r)) + 1
-    pts = points.withColumn("_tb", band_of("xv", cuts_t)).withColumn("_rb", band_of("y", cuts_r))
-    # A: pairs with different times inside one time band: exact kernel per band, strict in time.
-    # Single-valued (odd) bands have no such pair and are left out, so a hot time never forms a
-    # Python group. Same-time pairs (the tie rule) are counted by part A1 in Spark.
-    a_pts = pts.where(F.col("_tb") % 2 == 0).withColumn("tie", F.lit(0))
-    part_a = _solve_groups(a_pts, by + ["_tb"], keep_eq, k).drop("_tb")
-    parts = [part_a]
-    if keep_eq and depth == 0:
-        parts.append(_same_time_pairs(points, by, cuts_r))
-    # B: later time band, same risk band: exact kernel per risk band (time compared by band);
-    # a single-valued (odd) risk band only has tied risks, counted in Spark.
-    b_pts = pts.select(*by, F.col("_tb").cast("double").alias("xv"), F.lit(0).alias("tie"), "y", "w", "q", "_rb")
-    part_b = _solve_groups(b_pts.where(F.col("_rb") % 2 == 0), by + ["_rb"], keep_eq, k).drop("_rb")
-    parts.append(part_b)
-    if keep_eq:
-        parts.append(_single_risk_band_ties(pts.where(F.col("_rb") % 2 == 1), by, _even_cuts(2 * len(cuts_t), k)))
-    # C: later time band, other risk band: decided by the bands; the cells are a smaller problem
-    cells = pts.groupBy(*by, "_tb", "_rb").agg(F.sum("w").alias("w"), F.sum("q").alias("q")).select(
-        *by, F.col("_tb").cast("double").alias("xv"), F.lit(0).alias("tie"),
-        F.col("_rb").cast("double").alias("y"), "w", "q",
-    )
-    k2 = max(2, int(np.ceil(np.sqrt(k))))
-    # the cells' keys are band numbers: their bands need no look at the data
-    even = _even_cuts(2 * len(cuts_t), k2), _even_cuts(2 * len(cuts_r), k2)
-    parts.append(dominance(cells, by, k2, depth + 1, keep_eq=False, cuts=even))
-    allp = parts[0]
-    for p_ in parts[1:]:
-        allp = allp.unionByName(p_)
-    if by:
-        return allp.groupBy(*by).agg(*[F.sum(c).alias(c) for c in ("less", "eq", "greater", "tied_x")])
-    return allp.agg(*[F.sum(c).alias(c) for c in ("less", "eq", "greater", "tied_x")])
-
-
-def _same_time_pairs(points: DataFrame, by: list[str], cuts: list[float]) -> DataFrame:
-    """A1: query i and tie-flagged item j at the same time, split by y_j <, =, > y_i. Per
-    (time, y): query weight Q and tie weight C; a banded running sum of C over y within each time
-    gives the split, so a time holding a third of the rows is spread over tasks."""
-    g = points.groupBy(*by, "xv", "y").agg(F.sum("q").alias("Q"), F.sum(F.col("w") * F.col("tie")).alias("C"))
-    g = g.where((F.col("Q") > 0) | (F.col("C") > 0))
-    tot = g.groupBy(*by, "xv").agg(F.sum("C").alias("_totC"))
-    sc = prefix_sum(g, "y", ["C"], by=[*by, "xv"], exclusive=True, plan=cuts).join(tot, [*by, "xv"])
-    less = F.col("Q") * F.col("cum_C")
-    eq = F.col("Q") * F.col("C")
-    greater = F.col("Q") * (F.col("_totC") - F.col("cum_C") - F.col("C"))
-    return sc.groupBy(*by).agg(F.sum(less).alias("less"), F.sum(eq).alias("eq"), F.sum(greater).alias("greater"),
-                               F.sum(less + eq + greater).alias("tied_x")) if by else \
-        sc.agg(F.sum(less).alias("less"), F.sum(eq).alias("eq"), F.sum(greater).alias("greater"),
-               F.sum(less + eq + greater).alias("tied_x"))
-
-
-def _single_risk_band_ties(pts: DataFrame, by: list[str], cuts: list[float]) -> DataFrame:
-    """Part B for single-valued risk bands: every pair is a tied risk; count query i against items
-    in later time bands with a running sum over the (few) time bands."""
-    g = pts.groupBy(*by, "_rb", "_tb").agg(F.sum("q").alias("Q"), F.sum("w").alias("W"))
-    tot = g.groupBy(*by, "_rb").agg(F.sum("W").alias("_totW"))
-    sc = prefix_sum(g, "_tb", ["W"], by=[*by, "_rb"], plan=cuts).join(tot, [*by, "_rb"])
-    eq = F.col("Q") * (F.col("_totW") - F.col("cum_W"))
-    zero = F.lit(0.0)
-    if by:
-        return sc.groupBy(*by).agg(F.sum(zero).alias("less"), F.sum(eq).alias("eq"),
-                                   F.sum(zero).alias("greater"), F.sum(zero).alias("tied_x"))
-    return sc.agg(F.sum(zero).alias("less"), F.sum(eq).alias("eq"), F.sum(zero).alias("greater"), F.sum(zero).alias("tied_x"))
+    n, cuts_t, cuts_r = plan or plan_points(points, k)
+    spark = points.sparkSession
+    time_band = band_of("xv", cuts_t)
+    # the two halves of a hot time, events and censored, are bands of their own
+    pts = points.withColumn("rb", band_of("y", cuts_r)).withColumn("_b", time_band).withColumn(
+        "tb", 2 * F.col("_b") + F.when(F.col("_b") % 2 == 1, F.col("tie")).otherwise(0))
+    group = lambda kind, gid: F.struct(F.lit(kind).alias("kind"), gid.cast("int").alias("gid"))
+    hot = F.pmod(F.xxhash64("xv", "tie", "w"), F.lit(max(1, -(-n // BAND_ROWS))))
+    dealt = pts.withColumn("_to", F.filter(F.array(
+        F.when(F.col("rb") % 2 == 0, group("r", F.col("rb"))).otherwise(group("c", hot)),
+        F.when(F.col("_b") % 2 == 0, group("t", F.col("tb")))), lambda x: x.isNotNull()))
+    dealt = dealt.select(*by, "xv", "tie", "y", "w", "rb", "tb", F.explode("_to").alias("_to")).select(
+        *by, "xv", "tie", "y", "w", "rb", "tb", "_to.kind", "_to.gid")
+    # small groups share a Python call
+    parts = max(shuffle_partitions(spark), -(-2 * n // BAND_ROWS), k or 1)
+    dealt = dealt.withColumn("_part", F.pmod(F.xxhash64(*by, "kind", "gid"), F.lit(parts)))
+    sums = [T.StructField(c, T.ArrayType(T.DoubleType())) for c in ("a", "b", "c")]
+    own = [points.schema[c] for c in by]
+    solved = dealt.groupBy("_part").applyInPandas(
+        _kernels(by, weights), T.StructType([*own, T.StructField("rb", T.LongType()), T.StructField("tb", T.LongType()), *sums]))
+    schema = T.StructType([*own, *(T.StructField(c, T.ArrayType(T.DoubleType())) for c in ("less", "eq", "greater"))])
+    arrow = pa.schema([*(pa.field(c.name, _arrow_type(c.dataType)) for c in own), *(pa.field(c, pa.list_(pa.float64())) for c in ("less", "eq", "greater"))])
+    cells = solved.where("rb is not null").select(*by, "rb", "tb", F.col("a"), F.col("b"))
+    cells = (cells.repartition(*by) if by else cells.repartition(1)).sortWithinPartitions(*by, "rb", "tb")
+    across = cells.mapInArrow(_across(by, arrow), schema)
+    inside = solved.where("rb is null").select(*by, F.col("a").alias("less"), F.col("b").alias("eq"), F.col("c").alias("greater"))
+    return add_arrays(inside.unionByName(across), by, ("less", "eq", "greater"))
+
+
+def _arrow_type(kind: T.DataType) -> pa.DataType:
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    return to_arrow_type(kind)
+
+
+def add_arrays(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Sums of array columns of equal length, place by place."""
+    rows = df.select(*by, F.posexplode(F.arrays_zip(*columns)).alias("_i", "_x"))
+    summed = rows.groupBy(*by, "_i").agg(*[F.sum(F.col("_x")[c]).alias(c) for c in columns])
+    ordered = summed.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("_i", *columns))).alias("_x"))
+    return ordered.select(*by, *[F.col(f"_x.{c}").alias(c) for c in columns])
+
+
+def plan_points(points: DataFrame, k: int | None = None, rows: bool = False) -> tuple[int, list[float], list[float]]:
+    """About how many distinct points there are (``rows``: how many rows), and the cut points of the time and
+    risk bands, from one action (two where there are more than ``BAND_ROWS`` for each shuffle partition)."""
+    def cuts_for(bands: int):
+        shares = [i / bands for i in range(1, bands)]
+        n = F.count(F.lit(1)) if rows else F.approx_count_distinct(F.struct("xv", "tie", "y"))
+        row = points.agg(n.alias("n"), *(
+            F.percentile_approx(F.col(c), shares, 10_000).alias(c) for c in ("xv", "y"))).first()
+        return row, [sorted({float(c) for c in row[x] or []}) for x in ("xv", "y")]
+
+    bands = k or max(2, shuffle_partitions(points.sparkSession))
+    if bands < 2:
+        return 1, [], []
+    row, (cuts_t, cuts_r) = cuts_for(bands)
+    wanted = min(MAX_BANDS, -(-row["n"] // BAND_ROWS))
+    if k is None and wanted > bands:
+        row, (cuts_t, cuts_r) = cuts_for(wanted)
+    return row["n"], cuts_t, cuts_r
 
 
 def concordance(df: DataFrame, risk: str = "risk", time: str = "time", event: str = "event",
@@ -210,12 +272,19 @@ def concordance(df: DataFrame, risk: str = "risk", time: str = "time", event: st
     by = list(by)
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
     base = df.where(F.col(time).isNotNull() & F.col(event).isNotNull() & F.col(risk).isNotNull())
-    ev = F.col(event).cast("int")
-    pts = base.groupBy(*by, F.col(time).cast("double").alias("xv"), ev.alias("_e"),
-                       F.col(risk).cast("double").alias("y")).agg(F.sum(w).alias("w"))
-    pts = pts.select(*by, "xv", (1 - F.col("_e")).alias("tie"), "y", "w",
-                     F.when(F.col("_e") == 1, F.col("w")).otherwise(F.lit(0.0)).alias("q"))
-    tot = dominance(pts, by, k)
+    rows = base.select(*by, F.col(time).cast("double").alias("xv"), F.when(F.col(event).cast("int") == 1, 0).otherwise(1).alias("tie"),
+                       F.col(risk).cast("double").alias("y"), w.alias("w"))
+    pts = rows.groupBy(*by, "xv", "tie", "y").agg(F.sum("w").alias("w"))
+    tot = dominance(pts, by, k, plan=plan_points(rows, k))
+    tied = pts.groupBy(*by, "xv").agg(F.sum(F.when(F.col("tie") == 0, F.col("w")).otherwise(0.0)).alias("_q"),
+                                      F.sum(F.when(F.col("tie") == 1, F.col("w")).otherwise(0.0)).alias("_c"))
+    tied = tied.groupBy(*by).agg(F.sum(F.col("_q") * F.col("_c")).alias("tied_x"))
+    if by:
+        same = [F.col(f"_l.{c}").eqNullSafe(F.col(f"_r.{c}")) for c in by]
+        tot = tied.alias("_r").join(tot.alias("_l"), same, "left").select(*[F.col(f"_r.{c}") for c in by], "less", "eq", "greater", "tied_x")
+    else:
+        tot = tied.join(tot, F.lit(True), "left")
+    tot = tot.select(*by, *[F.coalesce(F.get(c, F.lit(0)), F.lit(0.0)).alias(c) for c in ("less", "eq", "greater")], F.coalesce("tied_x", F.lit(0.0)).alias("tied_x"))
     comparable = F.col("less") + F.col("eq") + F.col("greater")
     return tot.select(
         *by,
@@ -237,10 +306,12 @@ def concordance_events_only(df: DataFrame, risk: str = "risk", time: str = "time
     """
     by = list(by)
     base = df.where(F.col(time).isNotNull() & F.col(risk).isNotNull() & (F.col(event) == 1))
-    pts = base.groupBy(*by, F.col(time).cast("double").alias("xv"), F.col(risk).cast("double").alias("y")).agg(
-        F.count(F.lit(1)).cast("double").alias("w"))
-    pts = pts.select(*by, "xv", F.lit(0).alias("tie"), "y", "w", F.col("w").alias("q"))
-    tot = dominance(pts, by, k)
+    rows = base.select(*by, F.col(time).cast("double").alias("xv"), F.lit(0).alias("tie"), F.col(risk).cast("double").alias("y"))
+    pts = rows.groupBy(*by, "xv", "tie", "y").agg(F.count(F.lit(1)).cast("double").alias("w"))
+    tot = dominance(pts, by, k, plan=plan_points(rows, k))
+    if not by:  # a table without pairs has no totals
+        tot = df.sparkSession.range(1).select().join(tot, F.lit(True), "left")
+    tot = tot.select(*by, *[F.coalesce(F.get(c, F.lit(0)), F.lit(0.0)).alias(c) for c in ("less", "eq", "greater")])
     pairs = F.col("less") + F.col("eq") + F.col("greater")
     return tot.select(
         *by,

@@ -12,7 +12,7 @@ from tte.operators.metrics import (
 )
 from tte.operators.pairs import concordance, concordance_events_only
 from tte.plans.registry import r6, register
-from tte.plans.sqltext import COHORT_EPISODES, COHORT_ORDERS, RISK, km_ctes
+from tte.plans.sqltext import COHORT_EPISODES, COHORT_ORDERS, RISK, draws_cte, km_ctes
 from tte.sources.testdata import BINS, HORIZONS, THRESHOLDS, cohort_episodes, cohort_orders, standin_long, with_standin
 
 HZ_SQL = ", ".join(f"(CAST({h} AS DOUBLE))" for h in HORIZONS)
@@ -225,11 +225,42 @@ def m11_decision_naive(spark, sf_dir):
     return d.select("time", "threshold", r6("net_benefit").alias("net_benefit"))
 
 
+REPS = 200
+
+
+def _interval(df, *keys):
+    return df.select(*keys, *[r6(c).alias(c) for c in ("estimate", "ci_lower", "ci_upper", "std")], "reps")
+
+
+def _interval_sql(source: str, value: str, keys: str = "", estimate: str = "") -> str:
+    group = f"GROUP BY {keys}" if keys else ""
+    sep = f"{keys}, " if keys else ""
+    return f"""
+ci AS (SELECT {sep}quantile_cont({value}, 0.025) AS lo, quantile_cont({value}, 0.975) AS hi, count({value}) AS reps FROM {source} {group})
+SELECT {sep}round(e.estimate, 6) AS estimate, round(lo, 6) AS ci_lower, round(hi, 6) AS ci_upper, round((hi - lo) / 3.92, 6) AS std, reps
+FROM ci {f"JOIN {estimate} e USING ({keys})" if keys else f"CROSS JOIN {estimate} e"}"""
+
+
 @register("M6_bootstrap_concordance")
 def m6_bootstrap(spark, sf_dir):
-    """Rows-only: percentile interval of C over 50 hashed Poisson bootstrap replicates."""
+    """Percentile interval of C over 200 replicates; the same over episodes has SQL (all pairs of orders are too many)."""
     co = with_standin(cohort_orders(spark, sf_dir))
-    return bootstrap_concordance(co, "subject_id", reps=50, seed=42)
+    return _interval(bootstrap_concordance(co, "subject_id", reps=REPS, seed=42))
+
+
+@register("M6_bootstrap_concordance_episodes", f"""
+WITH {COHORT_EPISODES}, {draws_cte(42, REPS)},
+pairs AS (
+  SELECT a.subject_id AS i, b.subject_id AS j, CASE WHEN b.x1 < a.x1 THEN 1.0 WHEN b.x1 = a.x1 THEN 0.5 ELSE 0.0 END AS s
+  FROM cohort a JOIN cohort b ON a.event = 1 AND (b.time > a.time OR (b.time = a.time AND b.event = 0))),
+per_i AS (
+  SELECT p.i, w.rep, sum(w.bw * s) AS good, sum(w.bw) AS n FROM pairs p JOIN draws w ON w.subject_id = p.j GROUP BY p.i, w.rep),
+per_rep AS (
+  SELECT q.rep, sum(w.bw * good) / nullif(sum(w.bw * n), 0) AS c FROM per_i q JOIN draws w ON w.subject_id = q.i AND w.rep = q.rep GROUP BY q.rep),
+point AS (SELECT sum(s) / count(*) AS estimate FROM pairs), {_interval_sql("per_rep", "c", estimate="point")}""")
+def m6_bootstrap_episodes(spark, sf_dir):
+    co = cohort_episodes(spark, sf_dir).withColumn("risk", F.col("x1"))
+    return _interval(bootstrap_concordance(co, "subject_id", reps=REPS, seed=42))
 
 
 @register("E2_bin_equal", f"""WITH {COHORT_ORDERS}, {PRED_CTE}
@@ -253,32 +284,43 @@ def e3_interp(spark, sf_dir):
     return curve_at(cur, [100.5, 365.25, 1000.75], "surv", "linear", clip=True).select("horizon", r6("surv").alias("surv"))
 
 
-@register("V8_bootstrap_weights")
+@register("V8_bootstrap_weights", f"""WITH {COHORT_ORDERS}, {draws_cte(42, 20)}
+SELECT rep, sum(bw) AS total_weight, round(avg(CASE WHEN bw = 0 THEN 1.0 ELSE 0.0 END), 6) AS zero_share FROM draws GROUP BY rep""")
 def v8_bootstrap(spark, sf_dir):
-    """Rows-only: hashed Poisson(1) weights for 20 replicates; per replicate the weight sum is
-    about n and the share of zero weights about e^-1."""
-    from tte.operators.metrics import bootstrap_weights
+    """Hashed Poisson(1) weights for 20 replicates; per replicate the weight sum is about n and the share of
+    zero weights about e^-1."""
+    from tte.operators.replicates import bootstrap_weights
 
     w = bootstrap_weights(cohort_orders(spark, sf_dir), "subject_id", 20, 42)
-    return w.groupBy("rep").agg(F.sum("bw").alias("total_weight"), F.avg((F.col("bw") == 0).cast("double")).alias("zero_share"))
+    return w.groupBy("rep").agg(F.sum("bw").alias("total_weight"), r6(F.avg((F.col("bw") == 0).cast("double"))).alias("zero_share"))
+
+
+BOOT_BRIER_CTE = f"""
+{BRIER_SQL_CTE.replace("p.horizon,", "p.subject_id, p.horizon,", 1)}, {draws_cte(42, REPS)},
+per_rep AS (SELECT horizon, rep, sum(bw * c) / nullif(sum(bw), 0) AS b FROM contrib JOIN draws USING (subject_id) GROUP BY horizon, rep)"""
 
 
-@register("M6_bootstrap_brier")
+@register("M6_bootstrap_brier", f"""WITH {BOOT_BRIER_CTE}, point AS (SELECT horizon, brier AS estimate FROM brier),
+{_interval_sql("per_rep", "b", "horizon", "point")}""")
 def m6_brier(spark, sf_dir):
-    """Rows-only: Brier per horizon over 50 hashed replicates; the estimate is M3's."""
+    """Brier per horizon over 200 replicates; the estimate is M3's."""
     co = cohort_orders(spark, sf_dir)
-    return bootstrap_brier(co, standin_long(co), HORIZONS, "subject_id", reps=50, same_times=True)[0]
+    return _interval(bootstrap_brier(co, standin_long(co), HORIZONS, "subject_id", reps=REPS, same_times=True)[0], "horizon")
 
 
-@register("M6_bootstrap_ibs")
+@register("M6_bootstrap_ibs", f"""WITH {BOOT_BRIER_CTE},
+seg AS (SELECT rep, horizon, b, lag(horizon) OVER w AS h0, lag(b) OVER w AS b0 FROM
+        (SELECT * FROM per_rep UNION ALL SELECT horizon, -1, brier FROM brier) WINDOW w AS (PARTITION BY rep ORDER BY horizon)),
+area AS (SELECT rep, sum((horizon - h0) * (b + b0) / 2.0) / (max(horizon) - min(horizon)) AS ibs FROM seg GROUP BY rep),
+reps AS (SELECT ibs FROM area WHERE rep >= 0), point AS (SELECT ibs AS estimate FROM area WHERE rep = -1), {_interval_sql("reps", "ibs", estimate="point")}""")
 def m6_ibs(spark, sf_dir):
-    """Rows-only: integrated Brier over 50 hashed replicates."""
+    """Integrated Brier over 200 replicates."""
     co = cohort_orders(spark, sf_dir)
-    return bootstrap_brier(co, standin_long(co), HORIZONS, "subject_id", reps=50, same_times=True)[1]
+    return _interval(bootstrap_brier(co, standin_long(co), HORIZONS, "subject_id", reps=REPS, same_times=True)[1])
 
 
 @register("M6_bootstrap_auc")
 def m6_auc(spark, sf_dir):
-    """Rows-only: dynamic AUC per horizon over 20 hashed replicates."""
+    """Dynamic AUC per horizon over 200 replicates (tested against the AUC of repeated rows)."""
     co = with_standin(cohort_orders(spark, sf_dir))
-    return bootstrap_auc(co, co, HORIZONS, "subject_id", reps=20, same_times=True)
+    return _interval(bootstrap_auc(co, co, HORIZONS, "subject_id", reps=REPS, same_times=True), "horizon")
