@@ -16,7 +16,7 @@ from tte.llm.common import documents, drop_written, fold, ready, scratch_path, s
 from tte.llm.decontaminate import find_leaks
 from tte.llm.language_id import UNKNOWN, identify, learn
 from tte.llm.mixing import take_mix
-from tte.llm.near_dedup import near_duplicates
+from tte.llm.near_dedup import near_classes, text_digest
 from tte.llm.suffix_dedup import remove_repeats
 
 #: A document stays if this share of its n-grams is found in its language.
@@ -37,17 +37,24 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies: the one with the smallest id. Of rows that repeat an
-    id, the smallest row stays; rows without an id all stay."""
+    """One document of each class of near copies: the one with the smallest id (rows without an id come last; ties:
+    the text of the smallest digest; of rows that repeat id and text the smallest row). Classes are of texts, so
+    different texts under one id are documents of their own. Null, empty and blank texts are in no class and
+    stay. Very long texts are compared whole; an empty table gives an empty one; other columns, whatever their
+    names, stay as they are."""
     ready(spark)
-    classes = written(near_duplicates(docs), "stage-classes")
-    copies = small_side(written(classes.where("doc_id <> class_id").select("doc_id").distinct(), "stage-copies"))
-    kept = docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
-    repeated = small_side(written(classes.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-                                  .where("n > 1").select("doc_id"), "stage-repeated"))
-    once = (kept.join(repeated, "doc_id", "left_semi").select(*docs.columns).groupBy("doc_id")
-            .agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*"))
-    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+    key = lambda doc, digest: F.concat(F.coalesce(doc.cast("string"), F.lit("")), F.lit(":"), digest)
+    classes = written(near_classes(docs).where("class_key is not null").groupBy("class_key", "doc", "digest").agg(
+        F.count(F.lit(1)).alias("rows")), "stage-classes")
+    first = F.min(F.struct(F.col("doc").isNull().alias("last"), "doc", "digest", "rows")).alias("x")
+    best = classes.groupBy("class_key").agg(first, F.count(F.lit(1)).alias("n")).where("n > 1 or x.rows > 1")
+    best = small_side(written(best.select("class_key", key(F.col("x.doc"), F.col("x.digest")).alias("best"), F.col("x.rows").alias("again")), "stage-best"))
+    gone = classes.select("class_key", key(F.col("doc"), F.col("digest")).alias("k")).join(best, "class_key").where("k <> best").select("k")
+    gone = small_side(written(gone, "stage-copies"))
+    keyed = docs.select(F.struct("*").alias("row"), key(F.col("doc_id"), text_digest(F.col("text"))).alias("k")).join(gone, "k", "left_anti")
+    again = small_side(written(best.where("again > 1").select(F.col("best").alias("k")), "stage-repeated"))
+    once = keyed.join(again, "k", "left_semi").groupBy("k").agg(F.min("row").alias("row"))
+    return keyed.join(again, "k", "left_anti").select("row.*").unionByName(once.select("row.*"))
 
 
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

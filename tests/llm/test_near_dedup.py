@@ -64,7 +64,6 @@ def corpus(seed):
 def test_classes_are_those_of_all_pairs(spark, documents_of, monkeypatch, seed, small, block):
     monkeypatch.setattr(near_dedup, "SMALL", small)
     monkeypatch.setattr(near_dedup, "BLOCK", block)
-    monkeypatch.setattr(near_dedup, "HUB_ROUNDS", 1 if small else 0)
     rows = corpus(seed)
     got = {r.doc_id: r.class_id for r in near_duplicates(documents_of(rows)).collect()}
     assert got == brute(rows)
@@ -78,6 +77,18 @@ def test_odd_rows(spark, documents_of, odd_rows):
     assert near_duplicates(documents_of(odd_rows).limit(0)).count() == 0
 
 
+def test_different_texts_of_one_id_and_rows_without_id(documents_of):
+    """Texts are compared: no text is lost because its id repeats or is missing."""
+    base = [f"w{i}" for i in range(60)]
+    text = lambda *changes: " ".join("x" if i in changes else w for i, w in enumerate(base))
+    other = " ".join(f"v{i}" for i in range(40))
+    rows = [(7, text()), (7, other), (None, text(3)), (9, text(59)), (None, "alone without id at all here"), (8, other + " end"), (12, "quite another text of words")]
+    got = sorted((str(r.doc_id), str(r.class_id)) for r in near_duplicates(documents_of(rows)).collect())
+    assert got == sorted([("7", "7"), ("7", "7"), ("None", "7"), ("9", "7"), ("None", "None"), ("8", "7"), ("12", "12")])
+    classes = near_dedup.near_classes(documents_of(rows)).collect()
+    assert len({r.class_key for r in classes}) == 4
+
+
 def test_similarity_by_definition():
     rng = random.Random(4)
     for _ in range(50):

@@ -60,13 +60,13 @@ def languages(rows):
 
 
 def near(rows):
-    root = brute_classes([(r[0], r[1]) for r in rows])
-    seen, out = set(), []
-    for r in rows:
-        if r[0] is None or (root[r[0]] == r[0] and r[0] not in seen):
-            seen.add(r[0])
-            out.append(r)
-    return out
+    """Classes of texts, whatever their ids; the smallest id of each stays, of equal ids the smallest digest."""
+    numbered = brute_classes(list(enumerate(r[1] for r in rows)))
+    classes = {}
+    for i, r in enumerate(rows):
+        classes.setdefault(numbered[i], []).append(r)
+    best = {c: min(own, key=lambda r: (r[0] is None, r[0] or 0, hashlib.md5((r[1] or "").encode()).hexdigest())) for c, own in classes.items()}
+    return [best[c] for c in classes]
 
 
 def repeats(rows):

@@ -55,11 +55,15 @@ def drop_written(spark: SparkSession, *paths: str) -> None:
             _SCRATCH.remove(path)
 
 
+def paths_of(df: DataFrame) -> list[str]:
+    """The scratch tables that a frame reads."""
+    roots = {f.rpartition("/")[0] for f in df.inputFiles()}
+    return [p for p in _SCRATCH if any(r.rstrip("/").endswith(p.rpartition("/")[2]) for r in roots)]
+
+
 def drop_frame(df: DataFrame) -> None:
     """Delete the scratch table a frame made by ``written`` reads."""
-    roots = {f.rpartition("/")[0] for f in df.inputFiles()}
-    for path in [p for p in _SCRATCH if any(r.rstrip("/").endswith(p.rpartition("/")[2]) for r in roots)]:
-        drop_written(df.sparkSession, path)
+    drop_written(df.sparkSession, *paths_of(df))
 
 
 def scratch_now() -> set[str]:

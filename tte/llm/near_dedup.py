@@ -14,24 +14,27 @@ same shingle in a register with a probability equal to their probability Jaccard
 Banding: 25 bands of 5 registers; documents that agree in a band are candidates (a pair at similarity
 0.8 is missed with a probability of 5e-5, at 0.9 with 1e-10).
 
-Verification: candidates are compared by their exact similarity. Documents in one bucket are not
-paired with each other: in each round every bucket's members are compared with one hub (first the
-member with the most company), and links merge classes. What matters afterwards are only pairs whose
-ends are still in different classes, and none of those is left out: in buckets of up to ``SMALL``
-members they are compared pair by pair; larger buckets are cut into blocks, and each pair of blocks is
-one group of at most about ``2 * BLOCK`` documents, compared by matrix products that hand on only the
-links that join classes. So a bucket of thousands of near copies makes rows in proportion to its size
-and not to its square.
+Verification: candidates are compared by their exact similarity. Nodes are word sequences, so exact copies
+are one node. Documents in one bucket are not paired with each other: every bucket's members are compared
+with one hub (the member with the most company), and the links merge classes. What matters afterwards are
+only pairs whose ends are still in different classes, and none of those is left out: in buckets of up to
+``SMALL`` members they are compared pair by pair; larger buckets are cut into blocks, and each pair of
+blocks is one group of bounded size, compared by matrix products that hand on only the links that join
+classes. Links between classes are contracted with the classes as nodes, not with all links again.
+
+A bucket whose members the hub joins, as those of near copies mostly are, makes one row a member. One with ``s``
+members that stay apart costs what comparing them all costs: each of its sets goes to ``s / BLOCK`` groups.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tte.llm.common import drop_written, scratch_now, written
+from tte.llm.common import drop_written, paths_of, scratch_now, small_side, written
 from tte.llm.graph import components
 from tte.llm.textnum import (LOWER, U64, binary_column, gathered, list_column, mix64, prefix_hash, range_hash, run_hash,
                              slices, word_spans)
@@ -40,9 +43,9 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS = 25
 ROWS = 5
-HUB_ROUNDS = 2
 SMALL = 32
 BLOCK = 256
+BLOCK_SHINGLES = 200_000
 _GOLD = U64(0x9E3779B97F4A7C15)
 
 
@@ -90,8 +93,12 @@ def signatures(doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray, docs: i
     return held.reshape(docs, size)
 
 
+_SIGNED = "row bigint, doc bigint, digest string, a bigint, b bigint, n_words bigint, bands array<bigint>"
+
+
 def _signature_batches(k: int):
     def run(batches):
+        row = TaskContext.get().partitionId() << 40
         # a short text takes hundreds of turns, which all texts of a batch share
         for batch in gathered(batches, "text", 4 << 20):
             data, offs = binary_column(batch, "text")
@@ -105,10 +112,11 @@ def _signature_batches(k: int):
             bands = np.zeros(held.shape[:2], dtype=U64) + np.arange(1, BANDS + 1, dtype=U64)
             for r in range(ROWS):
                 bands = mix64(bands * _GOLD + held[:, :, r])
+            row += batch.num_rows
             yield pa.RecordBatch.from_arrays([
-                batch.column(batch.schema.get_field_index("doc")), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)),
+                pa.array(np.arange(row - batch.num_rows, row)), batch.column("doc"), batch.column("digest"), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)),
                 pa.array(n_words.astype(np.int64)), list_column(bands.ravel().view(np.int64), np.full(len(a), BANDS), pa.int64())],
-                names=["doc", "a", "b", "n_words", "bands"])
+                names=["row", "doc", "digest", "a", "b", "n_words", "bands"])
     return run
 
 
@@ -160,7 +168,7 @@ def _compare(threshold: float):
 
 def block_links(node: np.ndarray, root: np.ndarray, left: np.ndarray, right: np.ndarray, sets: list, weights: list,
                 threshold: float) -> list[tuple[int, int]]:
-    """Links between documents of the left and of the right side that have different roots: enough of
+    """Pairs of roots of the left and of the right side that links between their documents join: enough of
     them to join all roots that links join.
 
     With ``m`` the part of one document's weight that lies on the other's shingles, the similarity is
@@ -203,7 +211,7 @@ def block_links(node: np.ndarray, root: np.ndarray, left: np.ndarray, right: np.
             alike = probability_jaccard(sets[i], weights[i], sets[j], weights[j])
         if alike >= threshold - 1e-12:
             parent[max(x, y)] = min(x, y)
-            links.append((int(min(node[i], node[j])), int(max(node[i], node[j]))))
+            links.append((min(x, y), max(x, y)))
     return links
 
 
@@ -217,92 +225,98 @@ def _compare_blocks(threshold: float):
     return run
 
 
+def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
+    """``doc, digest, class_key, class_id`` of every row: its id, its text's digest (``text_digest``), a number that
+    all rows of one class share (null: a text without words, which is never linked) and the smallest id in
+    the class (null if none of its rows has an id)."""
+    spark, before = docs.sparkSession, scratch_now()
+    own = docs.select(F.col(key).cast("long").alias("doc"), text_digest(F.col(text)).alias("digest"),
+                      F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("text"))
+    signed = written(own.mapInArrow(_signature_batches(k), _SIGNED), "near-signatures")
+    # nodes are word sequences: all rows that share one are linked
+    groups = signed.where("n_words > 0").groupBy("a", "b").agg(
+        F.min(F.struct("row", "digest")).alias("x"), F.first("bands").alias("bands"), F.min("doc").alias("least"))
+    nodes = written(groups.select("a", "b", F.col("x.row").alias("node"), F.col("x.digest").alias("digest"), "bands", "least"), "near-nodes")
+    buckets = nodes.select("node", F.explode("bands").alias("bucket"))
+    shared = written(buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "near-shared")
+    members = written(buckets.join(small_side(shared), "bucket"), "near-members")
+    # the hub of a bucket is the member with the most company in all its buckets
+    company = written(members.groupBy("node").agg(F.sum("size").alias("company")), "near-company")
+    active = nodes.join(company, "node", "left_semi").select("node", "digest")
+    sets = written(own.select("digest", "text").join(small_side(written(active, "near-active")), "digest").mapInArrow(
+        _shingle_batches(k), "node bigint, s array<bigint>, w array<int>")
+        .groupBy("node").agg(F.first(F.struct("s", "w")).alias("x")).select("node", "x.s", "x.w"), "near-sets")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Those of the pairs (a < b) that are similar."""
+        left = sets.select(F.col("node").alias("a"), F.col("s").alias("sa"), F.col("w").alias("wa"))
+        right = sets.select(F.col("node").alias("b"), F.col("s").alias("sb"), F.col("w").alias("wb"))
+        judged = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "wa", "sb", "wb").mapInArrow(
+            _compare(threshold), "a bigint, b bigint, linked boolean")
+        return written(judged.where("linked").select("a", "b"), "near-links")
+
+    hub = F.max(F.struct("company", (-F.col("node")).alias("h")))
+    hubs = members.join(small_side(company), "node").groupBy("bucket").agg(hub.alias("x")).select("bucket", (-F.col("x.h")).alias("hub"))
+    pairs = members.join(small_side(written(hubs, "near-hubs")), "bucket").where("node <> hub").select(
+        F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    roots = small_side(written(components(linked(pairs)), "near-roots"))
+
+    # what is left to compare: members of one bucket that are not in one class yet
+    placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    split = placed.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("bucket")
+    rest = written(placed.join(small_side(written(split, "near-split")), "bucket"), "near-rest")
+    edges = members.sparkSession.createDataFrame([], "a bigint, b bigint")
+    few = rest.where(F.col("size") <= SMALL).select("bucket", "node", "root")
+    pairs = written(few.alias("p").join(few.alias("q"), F.expr("p.bucket = q.bucket and p.node < q.node and p.root <> q.root"))
+                    .select(F.col("p.node").alias("a"), F.col("q.node").alias("b"), F.col("p.root").alias("ra"), F.col("q.root").alias("rb")).distinct(), "near-pairs")
+    if not pairs.isEmpty():
+        edges = linked(pairs.select("a", "b")).join(pairs, ["a", "b"]).select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+    many = rest.where(F.col("size") > SMALL)
+    if not many.isEmpty():
+        edges = edges.unionByName(_large_buckets(many, sets, threshold))
+    # roots are joined by the links between their members
+    upper = written(components(edges), "near-upper").select(F.col("node").alias("root"), F.col("root").alias("top"))
+    of = signed.where("n_words > 0").join(nodes.select("a", "b", "node", "least"), ["a", "b"])
+    of = of.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).join(small_side(upper), "root", "left").select(
+        "row", F.coalesce("top", "root").alias("class_key"), "doc")
+    of = written(of, "near-rows")
+    ids = of.groupBy("class_key").agg(F.min("doc").alias("class_id"))
+    classes = of.select("row", "class_key").join(ids, "class_key")
+    final = written(signed.select("row", "doc", "digest").join(classes, "row", "left").select("doc", "digest", "class_key", "class_id"), "near-final")
+    drop_written(spark, *(scratch_now() - before - set(paths_of(final))))
+    return final
+
+
+def _large_buckets(many: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links between the roots of buckets with more than ``SMALL`` members, every pair of members of different
+    roots compared: a bucket is cut into blocks by hash, so many that a block has about ``BLOCK`` documents and
+    ``BLOCK_SHINGLES`` shingles, and each pair of blocks is one group. A set goes to as many groups as its
+    bucket has blocks."""
+    heavy = many.join(sets.select("node", "s", "w"), "node")
+    total = heavy.groupBy("bucket").agg(F.sum(F.size("s")).alias("shingles"), F.count(F.lit(1)).alias("members"))
+    blocks = F.ceil(F.greatest(F.col("members") / BLOCK, F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    cut = many.join(total, "bucket").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "root")
+    return written(dealt.join(sets, "node").groupBy("bucket", "i", "j").applyInArrow(_compare_blocks(threshold), "a bigint, b bigint"),
+                   "near-block-links").distinct()
+
+
+def text_digest(text: Column) -> Column:
+    """Digest by which rows of one text are found again (null counts as empty)."""
+    return F.md5(F.coalesce(text.cast("binary"), F.lit(b"")))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHINGLE,
                     threshold: float = THRESHOLD) -> DataFrame:
     """One row per input row: ``key`` and ``class_id``, the smallest id of the documents linked with it,
     directly or through others; an unlinked document is its own class.
 
     Documents are linked if their similarity is ``threshold`` or more; equal word sequences always are.
-    Null, empty and blank texts have no shingles and are never linked. Rows that repeat an id are one
-    document for the classes; if their texts differ, links of the texts' exact copies add up, and
-    near copies are sought for the text whose shingles sort first. Rows without an id keep a null class. An empty table gives an empty
+    Null, empty and blank texts have no shingles and are never linked. Texts are compared, not ids: rows that repeat
+    an id with different texts each get the class of their own text, and rows without an id take part; a class none of
+    whose rows has an id has a null ``class_id``. An empty table gives an empty
     result. Only ``key`` (a whole number) and ``text`` are read."""
-    spark, before = docs.sparkSession, scratch_now()
-    own = docs.select(F.col(key).cast("long").alias("doc"), F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("text"))
-    signed = written(own.where("doc is not null").mapInArrow(
-        _signature_batches(k), "doc bigint, a bigint, b bigint, n_words bigint, bands array<bigint>"), "near-signatures")
-    worded = signed.where("n_words > 0")
-    same = worded.groupBy("a", "b").agg(F.min("doc").alias("node"))
-    member_of = written(worded.join(same, ["a", "b"]).select("doc", "node").distinct(), "near-copies")
-    nodes = signed.join(member_of.where("doc = node").select("doc").distinct(), "doc", "left_semi").select(
-        F.col("doc").alias("node"), F.explode("bands").alias("bucket")).distinct()
-    nodes = written(nodes, "near-buckets")
-    shared = nodes.groupBy("bucket").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x < y").select("bucket")
-    members = written(nodes.join(shared, "bucket"), "near-members")
-    active = members.select("node").distinct()
-    sets = written(own.withColumnRenamed("doc", "node").join(active, "node", "left_semi").mapInArrow(
-        _shingle_batches(k), "node bigint, s array<bigint>, w array<int>")
-        .groupBy("node").agg(F.min(F.struct("s", "w")).alias("x")).select("node", "x.s", "x.w"), "near-sets")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        """The pairs (a < b) with whether they are linked."""
-        left = sets.select(F.col("node").alias("a"), F.col("s").alias("sa"), F.col("w").alias("wa"))
-        right = sets.select(F.col("node").alias("b"), F.col("s").alias("sb"), F.col("w").alias("wb"))
-        return written(pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "wa", "sb", "wb").mapInArrow(
-            _compare(threshold), "a bigint, b bigint, linked boolean"), "near-compared")
-
-    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
-    sized = members.join(sizes, "bucket")
-    company = sized.groupBy("node").agg(F.sum("size").alias("company"))
-    members = written(sized.join(company, "node"), "near-sized")
-    tested = links = None
-    roots = active.select("node", F.col("node").alias("root"))
-
-    def unsettled(turn: int) -> tuple[DataFrame, DataFrame]:
-        """Members with their roots, and the buckets that hold several roots with a hub for the turn."""
-        placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        first = F.col("company") if turn == 0 else F.lit(0)
-        hub = F.max(F.struct(first.alias("c"), F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("hub"), F.col("root").alias("hub_root")))
-        split = placed.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), hub.alias("x"))
-        return placed, split.where("r0 < r1").select("bucket", "x.hub", "x.hub_root")
-
-    def settle(pairs: DataFrame) -> None:
-        """Compare pairs not compared before and merge what they link."""
-        nonlocal tested, links, roots
-        new = written(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "near-pairs")
-        if new.isEmpty():
-            return
-        judged = verified(new)
-        tested = judged.select("a", "b") if tested is None else tested.unionByName(judged.select("a", "b"))
-        found = judged.where("linked").select("a", "b")
-        links = found if links is None else links.unionByName(found)
-        roots = written(components(links), "near-roots")
-
-    for turn in range(HUB_ROUNDS):
-        placed, split = unsettled(turn)
-        settle(placed.join(split, "bucket").where("root <> hub_root").select(
-            F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct())
-    placed, split = unsettled(HUB_ROUNDS)
-    rest = placed.join(split.select("bucket"), "bucket")
-    few = rest.where(F.col("size") <= SMALL)
-    settle(few.alias("p").join(few.alias("q"), F.expr("p.bucket = q.bucket and p.node < q.node and p.root <> q.root"))
-           .select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct())
-    placed, split = unsettled(HUB_ROUNDS)
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    many = (placed.where(F.col("size") > SMALL).join(split.select("bucket"), "bucket")
-            .withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-            .select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "root"))
-    if not many.isEmpty():
-        found = written(many.join(sets, "node").groupBy("bucket", "i", "j").applyInArrow(_compare_blocks(threshold), "a bigint, b bigint"),
-                        "near-block-links").distinct()
-        links = found if links is None else links.unionByName(found)
-    # rows that repeat an id tie the word sequences of their texts together
-    ties = member_of.where("doc <> node").select(F.col("doc").alias("a"), F.col("node").alias("b"))
-    edges = ties if links is None else ties.unionByName(links.select("a", "b"))
-    final, spent = components(edges), scratch_now() - before
-    final = written(final, "near-final")
-    drop_written(spark, *spent)
-    return (docs.select(F.col(key)).withColumn("_doc", F.col(key).cast("long"))
-            .join(final, F.col("_doc") == F.col("node"), "left")
-            .select(key, F.coalesce("root", "_doc").alias("class_id")))
+    found = near_classes(docs, key, text, k, threshold)
+    return found.select(F.col("doc").cast(docs.schema[key].dataType).alias(key),
+                        F.when(F.col("class_key").isNull(), F.col("doc")).otherwise(F.col("class_id")).alias("class_id"))
