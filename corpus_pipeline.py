@@ -13,26 +13,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tte.llm.common import documents, drop_written, fold, ready, scratch_path, small_side, written
-from tte.llm.decontaminate import find_leaks
-from tte.llm.language_id import UNKNOWN, identify, learn
+from tte.llm.decontaminate import SHINGLE, find_leaks
+from tte.llm.language_id import GRAM, UNKNOWN, identify, learn
 from tte.llm.mixing import take_mix
 from tte.llm.near_dedup import near_classes, text_digest
 from tte.llm.suffix_dedup import remove_repeats
 
 #: A document stays if this share of its n-grams is found in its language.
 MIN_LANGUAGE_SCORE = 0.3
-#: Texts of fewer bytes have too few n-grams to be called foreign; they stay if they have a letter.
-SHORT_TEXT = 12
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language the labelled ones teach: a null text, one without a letter, and one whose
-    n-grams are foreign to every language go (a very short one stays). Learns from the texts with a language of two thirds of the
-    ids."""
+    """Documents in a language the labelled ones teach: a null or empty text, one without a letter, and one whose
+    n-grams are foreign to every language go. A score is a share of n-grams, so a text of few n-grams may score
+    low by chance: it goes only if its score is below the bound by more than its uncertainty, the inverse root of
+    their number. Learns from the texts with a language of two thirds of the ids. Repeated rows are judged alike, very long
+    texts whole; an empty table gives an empty one; other columns, whatever their names, stay as they are."""
     ready(spark)
     model = learn(docs.where(fold("doc_id", 3) != 1))
     found = identify(docs.select(F.struct("*").alias("row"), F.col("text").alias("text")), model)
-    known = (F.col("score") >= MIN_LANGUAGE_SCORE) | (F.octet_length("text") < SHORT_TEXT)
+    grams = F.greatest(F.octet_length("text") - (GRAM - 1), F.lit(1))
+    known = F.col("score") + 1.0 / F.sqrt(grams) >= MIN_LANGUAGE_SCORE
     return found.where((F.col("lang_pred") != UNKNOWN) & known).select("row.*")
 
 
@@ -60,7 +61,8 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document without the bytes of 200-byte strings that stand more than once. Where a cut falls
     inside a character, its remaining bytes go too (and, in a text that is cut, any U+FFFD). ``n_chars``
-    follows the text."""
+    follows the text. Null and empty texts stay as they are; rows that repeat a text lose what they share; an empty table
+    gives an empty one; other columns, whatever their names, stay as they are."""
     ready(spark)
     cut = remove_repeats(docs.select(F.struct("*").alias("row"), F.col("text").alias("text")))
     text = F.when(F.col("n_removed") > 0, F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "�", "")).otherwise(F.col("text"))
@@ -73,17 +75,20 @@ def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def leak_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item. A text is judged, not an id, so rows without an id and
-    rows that share one are judged each by their own text."""
+    """Documents that contain no benchmark item of at least ``SHINGLE`` words (a shorter one, such as a single common
+    word, is in many clean documents). A text is judged, not an id, so rows without an id and
+    rows that share one are judged each by their own text. Null and empty texts stay; an empty table gives an empty one."""
     ready(spark)
     keyed = docs.select(F.struct("*").alias("row"), F.col("text").alias("text"), F.md5(F.coalesce(F.col("text"), F.lit(""))).alias("key"))
     leaks = find_leaks(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), key="key")
-    found = small_side(written(leaks.select("key").distinct(), "stage-leaks"))
+    found = small_side(written(leaks.where(F.col("n_words") >= SHINGLE).select("key").distinct(), "stage-leaks"))
     return keyed.join(found, "key", "left_anti").select("row.*")
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix by source weight takes, with ``repeats``, how often each counts."""
+    """The documents that the mix by source weight takes, with ``repeats``, how often each counts. Null and empty texts
+    have no words and take no part in the budget; equal ids hash alike; an empty table gives an empty one; a column
+    ``repeats`` of the table is replaced."""
     ready(spark)
     return take_mix(docs)
 

@@ -4,8 +4,9 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
-from tte.llm.decontaminate import find_leaks
+from tte.llm.decontaminate import bin_minima, find_leaks, item_hashes
 from tte.llm.quality_rules import MAX_REPEAT_PERCENT, MIN_WORDS, measures, quality_rules
 
 
@@ -52,9 +53,26 @@ def test_verdict_and_odd_rows(documents_of, odd_rows):
         measures(docs.selectExpr("text", "1 as _qr_words"))
 
 
-def shingle_set(text):
-    w = [x for x in re.split(r"[\W_]+", (text or "").lower()) if x]
-    return {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+def word_list(text):
+    return [x for x in re.split(r"[\W_]+", (text or "").lower()) if x]
+
+
+def shingle_set(text, k=5):
+    w = word_list(text)
+    return {tuple(w[i:i + k]) for i in range(len(w) - k + 1)}
+
+
+def all_leaks(docs, items, threshold=0.8):
+    """Every pair by definition; an item of fewer than five words is one shingle, all its words."""
+    want = {}
+    sets = [(j, len(word_list(t)), shingle_set(t, min(5, len(word_list(t))))) for j, t in items if word_list(t)]
+    for i, t in docs:
+        held = {k: shingle_set(t, k) for k in {min(5, n) for _, n, _ in sets}}
+        for j, n, s in sets:
+            m = len(s & held[min(5, n)])
+            if m >= threshold * len(s):
+                want[i, j] = (n, len(s), m)
+    return want
 
 
 def leak_rows(seed):
@@ -79,19 +97,33 @@ def leak_rows(seed):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_leaks_are_those_of_all_pairs(spark, documents_of, seed):
     docs, items = leak_rows(seed)
-    got = {(r.doc_id, r.item_id): (r.n_shingles, r.n_shared) for r in
+    got = {(r.doc_id, r.item_id): (r.n_words, r.n_shingles, r.n_shared) for r in
            find_leaks(documents_of(docs), spark.createDataFrame(items, "item_id long, text string")).collect()}
-    want = {}
-    sets = [(j, shingle_set(t)) for j, t in items]
-    for i, t in docs:
-        d = shingle_set(t)
-        for j, s in sets:
-            if s and len(s & d) >= 0.8 * len(s):
-                want[i, j] = (len(s), len(s & d))
-    missed = set(want) - set(got)
-    assert not set(got) - set(want) and all(got[k] == want[k] for k in got)
-    # an item of so few shingles may miss every bin; longer ones are found
-    assert all(want[k][0] <= 2 for k in missed) and len(missed) <= 0.05 * len(want)
+    want = all_leaks(docs, items)
+    assert got == want
+    assert {n for n, *_ in want.values()} >= {3, 6, 9, 14, 40}
+
+
+def test_bins_alone_find_long_items(spark, documents_of, monkeypatch):
+    """Without the exact search the size partitions and their bins still find all but the shortest items."""
+    import tte.llm.decontaminate as decontaminate
+
+    monkeypatch.setattr(decontaminate, "exact_items", lambda items, threshold: F.lit(False))
+    docs, items = leak_rows(3)
+    got = {(r.doc_id, r.item_id) for r in find_leaks(documents_of(docs), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = all_leaks(docs, items)
+    assert got <= set(want) and not {k for k in set(want) - got if want[k][2] > 6}
+    assert got and any(want[k][2] >= 10 for k in got)
+
+
+def test_a_hash_is_a_bins_minimum_from_its_partition_on(spark):
+    rng = random.Random(8)
+    sets = [sorted(rng.getrandbits(64) - 2 ** 63 for _ in range(rng.randrange(1, 60))) for _ in range(20)]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(sets)], "item_id long, _set array<long>")
+    first = {(r.item_id, r.value): r.from_cls for r in item_hashes(df).collect()}
+    for cls in (0, 1, 4, 9):
+        for r in df.select("item_id", bin_minima("_set", F.lit(cls)).alias("m")).collect():
+            assert r.m == [h for h in sets[r.item_id] if first[r.item_id, h] <= cls]
 
 
 @pytest.mark.parametrize("threshold", [0.8, 0.5, 1.0])
@@ -107,9 +139,7 @@ def test_leaks_of_short_items_are_all_found(spark, documents_of, threshold):
             at = rng.randint(0, len(words))
             words[at:at] = part
         docs.append((i, " ".join(words)))
-    sets = [(j, shingle_set(t)) for j, t in items]
-    held = [(i, shingle_set(t)) for i, t in docs]
-    want = {(i, j): (len(s), len(s & d)) for i, d in held for j, s in sets if s & d and len(s & d) >= threshold * len(s)}
+    want = {p: (n, m) for p, (_, n, m) in all_leaks(docs, items, threshold).items()}
     found = find_leaks(documents_of(docs), spark.createDataFrame(items, "item_id long, text string"), threshold=threshold)
     assert {(r.doc_id, r.item_id): (r.n_shingles, r.n_shared) for r in found.collect()} == want
     assert sum(n <= 2 for n, _ in want.values()) >= 30

@@ -112,10 +112,24 @@ def test_choice_of_models(frame):
     assert means == {"x": (2, 1.5), "y": (1, 5.0)}
 
 
-def test_group_fits_do_not_depend_on_the_solver(cohort):
+def test_group_fits_are_those_of_each_group_alone(spark, cohort):
+    from tte.operators.models.cox import cox_newton_local
     from tte.operators.models.ensemble import fit_per_group
 
-    df = cohort.withColumn("g", F.when(F.col("id") % 3 == 0, "small").otherwise("large"))
-    local = {r.g: r.coef_x for r in fit_per_group(df, "g", ["x"], alpha=0.1).collect()}
-    spread = {r.g: r.coef_x for r in fit_per_group(df, "g", ["x"], alpha=0.1, max_local_rows=600).collect()}
-    assert local.keys() == spread.keys() and all(local[g] == pytest.approx(spread[g], abs=1e-8) for g in local)
+    # one group in several bands, small ones inside a band, a null key, a group without an event and one of unusable rows
+    g = (F.when(F.col("id") % 10 < 7, "large").when(F.col("id") % 10 == 7, F.lit(None)).when(F.col("id") % 50 == 8, "none").when(F.col("id") % 50 == 9, "bad")
+         .otherwise(F.concat(F.lit("s"), F.col("id") % 5)))
+    df = (cohort.withColumn("g", g).withColumn("event", F.when(F.col("g") == "none", 0).otherwise(F.col("event")))
+          .withColumn("x", F.when((F.col("g") == "bad") | (F.col("id") % 97 == 0), F.lit(None)).otherwise(F.col("x"))))
+    got = {r.g: (r.n, r.coef_x) for r in fit_per_group(df, "g", ["x"], alpha=0.1).collect()}
+    rows = df.toPandas()
+    assert set(got) == set(rows.g.unique())
+    for key, part in rows.groupby("g", dropna=False):
+        part = part.dropna(subset=["x"])
+        n, coef = got[None if key != key else key]
+        assert n == len(part)
+        if key in ("none", "bad"):
+            assert coef is None
+        else:
+            want = cox_newton_local(part[["x"]].to_numpy(float), part.time.to_numpy(float), part.event.to_numpy(float), 0.1)[0]
+            assert coef == pytest.approx(want, abs=1e-8)

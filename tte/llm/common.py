@@ -85,5 +85,11 @@ def small_side(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if n <= BROADCAST_ROWS else df
 
 
+def small_lists(df: DataFrame, column: str) -> DataFrame:
+    """Like ``small_side`` for a written table with an array column: by the number of all its elements."""
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size(column).cast("long")).alias("m")).first()
+    return small_side(df, row["n"] + (row["m"] or 0) // 4)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

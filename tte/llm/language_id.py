@@ -172,7 +172,8 @@ def identify(docs: DataFrame, model: LanguageFilters, text: str = "text") -> Dat
 
     A null text, or one without a letter, is ``und`` with score 0; so is any text when nothing was
     learned. A text too short for an n-gram but with a letter gets the language with the most training
-    documents and score 0. The columns ``lang_pred`` and ``score`` must not exist already."""
+    documents and score 0. Repeated rows are judged alike; very long texts are read whole; an empty table gives an empty
+    result. Columns ``lang_pred`` and ``score`` of the table are replaced; no other name matters."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("struct<lang_pred string, score double>")
@@ -190,8 +191,7 @@ def identify(docs: DataFrame, model: LanguageFilters, text: str = "text") -> Dat
         return pd.DataFrame({"lang_pred": names[np.where(best < 0, 0 if filters.names else -1, best)], "score": score})
 
     has_letter = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
-    found = predict(F.coalesce(F.col(text).cast("binary"), F.lit(b"")))
-    return (docs.withColumn("_found", found).withColumn("_letter", has_letter)
-            .withColumn("lang_pred", F.when(F.col("_letter"), F.col("_found.lang_pred")).otherwise(F.lit(UNKNOWN)))
-            .withColumn("score", F.when(F.col("_letter"), F.col("_found.score")).otherwise(F.lit(0.0)))
-            .drop("_found", "_letter"))
+    found = docs.select(F.struct("*").alias("row"), has_letter.alias("letter"), predict(F.coalesce(F.col(text).cast("binary"), F.lit(b""))).alias("found"))
+    kept = [F.col("row")[c].alias(c) for c in docs.columns if c not in ("lang_pred", "score")]
+    return found.select(*kept, F.when(F.col("letter"), F.col("found.lang_pred")).otherwise(F.lit(UNKNOWN)).alias("lang_pred"),
+                        F.when(F.col("letter"), F.col("found.score")).otherwise(F.lit(0.0)).alias("score"))

@@ -34,8 +34,8 @@ END_ID = 0
 #: Open bins that one task of the second round packs.
 BINS_A_TASK = 200_000
 #: Bytes of text whose tokens a task holds at once; a longer text is held alone.
-TEXT_BYTES = 4 << 20
-#: Parts of texts that a task remembers the ids of; then it forgets all of them.
+TEXT_BYTES = 2 << 20
+#: Parts of texts that a worker remembers the ids of; then it forgets all of them.
 MEMO_RUNS = 400_000
 _MEMO_BYTES = 64
 
@@ -169,9 +169,19 @@ class RunTokens:
         return out, upto[np.concatenate(([0], ends + np.arange(1, docs + 1)))]
 
 
+_TOKENS: dict[str, RunTokens] = {}
+
+
+def worker_tokens(tokenizer_path: str) -> RunTokens:
+    """The parts that this worker knows, kept for its next task."""
+    if tokenizer_path not in _TOKENS:
+        _TOKENS[tokenizer_path] = RunTokens(tokenizer_path)
+    return _TOKENS[tokenizer_path]
+
+
 def _pack_batches(tokenizer_path: str, capacity: int, open_bins: int, with_ids: bool):
     def run(batches):
-        tokens, task = RunTokens(tokenizer_path), TaskContext.get().partitionId()
+        tokens, task = worker_tokens(tokenizer_path), TaskContext.get().partitionId()
         # 2 ** 40 bins a task and 2 ** 23 tasks
         bins = Bins(capacity, open_bins, task << 40)
         for batch in gathered(batches, "text", TEXT_BYTES):

@@ -87,17 +87,20 @@ with d as (
 ), b as (
   select item_id id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') w
   from benchmark where item_id is not null
-), ds as (
-  select distinct rid, id, list_slice(w, i, i + 4) s from (select rid, id, w, unnest(generate_series(1, len(w) - 4)) i from d where len(w) >= 5)
 ), bs as (
-  select distinct id, list_slice(w, i, i + 4) s from (select id, w, unnest(generate_series(1, len(w) - 4)) i from b where len(w) >= 5)
+  select distinct id, len(w) n_words, list_slice(w, i, i + least(len(w), 5) - 1) s
+  from (select id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) i from b where len(w) > 0)
+), lengths as (
+  select distinct len(s) m from bs
+), ds as (
+  select distinct rid, id, list_slice(w, i, i + m - 1) s from (select rid, id, w, m, unnest(generate_series(1, len(w) - m + 1)) i from d, lengths where len(w) >= m)
 ), n as (
-  select id, count(*) n from bs group by id
+  select id, n_words, count(*) n from bs group by id, n_words
 ), shared as (
-  select ds.rid, ds.id doc_id, bs.id item_id, count(*) m from ds join bs using (s) group by all
+  select ds.rid, ds.id doc_id, bs.id item_id, bs.n_words, count(*) m from ds join bs using (s) group by all
 )
-select doc_id, item_id, max(n)::bigint n_shingles, max(m)::bigint n_shared, max(m / n::double) containment
-from shared join n on n.id = item_id where m >= 0.8 * n group by doc_id, item_id
+select doc_id, item_id, shared.n_words::bigint n_words, max(n)::bigint n_shingles, max(m)::bigint n_shared, max(m / n::double) containment
+from shared join n on n.id = item_id and n.n_words = shared.n_words where m >= 0.8 * n group by doc_id, item_id, shared.n_words
 """
 
 WARC = r"""

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tte.operators.split import hashed_rank
+from tte.operators.permute import drawn_numbers, permutation_keys, permuted, row_numbers
 from tte.operators.stats import exact_quantiles
 
 
@@ -104,28 +104,31 @@ def treatment_effect_interval(df: DataFrame, id_col: str, score_fn, feature: str
     return treatment_effect(df, score_fn, feature, values).join(ci, "value")
 
 
-def permute_column(df: DataFrame, id_col: str, feature: str, seed: int) -> DataFrame:
-    """Shuffle one column: the row with rank k in one hashed order takes the value of the row with
-    rank k in a second hashed order (a join of two rank orders; no collect, retry-safe)."""
-    a = hashed_rank(df, id_col, seed).withColumnRenamed("_rank", "_k")
-    b = hashed_rank(df.select(id_col, feature), id_col, seed + 7919).select(F.col("_rank").alias("_k"), F.col(feature).alias("_perm"))
-    return a.join(b, "_k").drop(feature, "_k").withColumnRenamed("_perm", feature)
+def permuted_copies(df: DataFrame, id_col: str, features: Sequence[str], repeats: int, seed: int) -> DataFrame:
+    """All rows once per (``permuted``, ``rep``): the named feature's values are those of the rows that a keyed permutation of
+    the row numbers leads to, all else is the row's own. The rows are numbered once, and one join by number
+    reads the values of all features and repeats; each value is used as often as it occurs."""
+    feats = list(features)
+    numbered, n = row_numbers(df, id_col)
+    tasks = F.array(*[F.struct(F.lit(f).alias("permuted"), F.lit(r).alias("rep"), F.array(*[F.lit(k) for k in permutation_keys(seed, f"{f}:{r}")])
+                               .cast("array<bigint>").alias("_keys")) for f in feats for r in range(repeats)])
+    asked = numbered.select("*", F.explode(tasks).alias("_t")).select("*", "_t.*").drop("_t")
+    asked = asked.withColumn("_from", permuted(F.col("_row"), F.col("_keys"), n))
+    values = numbered.select(F.col("_row").alias("_from"), *[F.col(f).alias(f"_v_{f}") for f in feats])
+    new = [F.when(F.col("permuted") == f, F.col(f"_v_{f}")).otherwise(F.col(f)).alias(f) for f in feats]
+    return asked.join(values, "_from").select(*[c for c in df.columns if c not in feats], *new, "permuted", "rep")
 
 
 def permutation_importance(df: DataFrame, id_col: str, score_fn, features: Sequence[str], repeats: int = 3,
                            seed: int = 42, time: str = "time", event: str = "event") -> DataFrame:
     """Drop in Harrell's C when a feature is permuted, mean and std over repeats, sorted desc.
-    Each (feature, repeat) is one banded concordance job."""
+    All features and repeats are scored as one table and counted by one grouped concordance."""
     from tte.operators.pairs import concordance
 
-    base = concordance(score_fn(df), time=time, event=event).collect()[0]["c_index"]
-    rows = []
-    for f in features:
-        for r in range(repeats):
-            c = concordance(score_fn(permute_column(df, id_col, f, seed + r)), time=time, event=event).collect()[0]["c_index"]
-            rows.append((f, r, float(base - c)))
-    res = df.sparkSession.createDataFrame(rows, "feature string, rep int, drop double")
-    return res.groupBy("feature").agg(F.avg("drop").alias("importance"), F.stddev_samp("drop").alias("std")) \
+    base = concordance(score_fn(df), time=time, event=event).select(F.col("c_index").alias("_base"))
+    each = concordance(score_fn(permuted_copies(df, id_col, features, repeats, seed)), time=time, event=event, by=["permuted", "rep"])
+    drops = each.crossJoin(F.broadcast(base)).select(F.col("permuted").alias("feature"), (F.col("_base") - F.col("c_index")).alias("drop"))  # one base row
+    return drops.groupBy("feature").agg(F.avg("drop").alias("importance"), F.stddev_samp("drop").alias("std")) \
         .orderBy(F.col("importance").desc(), "feature")
 
 
@@ -133,13 +136,9 @@ def permutation_shift(df: DataFrame, id_col: str, score_fn, features: Sequence[s
     """|change of mean risk| when a feature is permuted. For a linear model this is about 0 by
     construction (a permutation keeps the column mean)."""
     base = score_fn(df).agg(F.avg("risk").alias("_b"))
-    out = None
-    for f in features:
-        for r in range(repeats):
-            m = score_fn(permute_column(df, id_col, f, seed + r)).agg(F.avg("risk").alias("_m"))
-            row = m.crossJoin(base).select(F.lit(f).alias("feature"), F.lit(r).alias("rep"), F.abs(F.col("_m") - F.col("_b")).alias("shift"))
-            out = row if out is None else out.unionByName(row)
-    return out.groupBy("feature").agg(F.avg("shift").alias("shift"))
+    means = score_fn(permuted_copies(df, id_col, features, repeats, seed)).groupBy("permuted", "rep").agg(F.avg("risk").alias("_m"))
+    shifts = means.crossJoin(F.broadcast(base)).select(F.col("permuted").alias("feature"), F.abs(F.col("_m") - F.col("_b")).alias("shift"))  # one base row
+    return shifts.groupBy("feature").agg(F.avg("shift").alias("shift"))
 
 
 def counterfactual_search(df: DataFrame, id_col: str, score_fn, bounds: dict[str, tuple[float, float]], target: float,
@@ -183,33 +182,24 @@ def counterfactual_summary(cf: DataFrame, features: Sequence[str]) -> DataFrame:
 def sampled_shapley(df: DataFrame, id_col: str, score_fn, features: Sequence[str], background: DataFrame,
                     draws: int = 32, seed: int = 42) -> DataFrame:
     """Monte Carlo Shapley values for any scoring function (a Column-expression model or one
-    scored in ``mapInPandas``). For each (subject, draw): a hashed feature order and a background
-    row picked by hashed rank (``background`` needs ``id_col``); for each feature j the marginal
-    contribution f(x with j and the features before it) - f(the same without j), averaged over
-    draws. Work: subjects x draws x features scorings in exploded DataFrames (no pair join)."""
+    scored in ``mapInPandas``). For each (subject, draw) a hashed feature order and a drawn background row
+    (``background`` needs ``id_col``); the walk from the background row to the subject's takes over one
+    feature after the other, and every step's change of risk belongs to its feature.
+
+    All points of all walks are scored as one table. A point counts for the feature that led to it and
+    against the one that leads on, so the steps are a grouped sum: no join of scores, and a subject's values
+    add up to f(x) minus the mean of f over its background rows."""
     feats = list(features)
-    nb = background.count()
-    bg = hashed_rank(background.select(id_col, *feats), id_col, seed + 1).select(
-        F.col("_rank").alias("_bg_rank"), *[F.col(f).alias(f"_bg_{f}") for f in feats])
-    x = df.select(id_col, *feats, F.explode(F.sequence(F.lit(1), F.lit(draws))).alias("draw"))
-    x = x.withColumn("_bg_rank", F.pmod(F.xxhash64(F.col(id_col), F.col("draw"), F.lit(seed)), F.lit(nb)) + 1)
-    x = x.join(bg, "_bg_rank")
-    for i, f in enumerate(feats):
-        x = x.withColumn(f"_pos_{f}", F.xxhash64(F.col(id_col), F.col("draw"), F.lit(i), F.lit(seed + 2)))
-
-    def mix(f: str, include_self: bool):
-        cols = []
-        for g in feats:
-            take = F.lit(include_self) if g == f else (F.col(f"_pos_{g}") < F.col(f"_pos_{f}"))
-            cols.append(F.when(take, F.col(g)).otherwise(F.col(f"_bg_{g}")).alias(g))
-        return cols
-
-    parts = []
-    for f in feats:
-        a = score_fn(x.select(id_col, "draw", *mix(f, True))).select(id_col, "draw", F.col("risk").alias("_a"))
-        b = score_fn(x.select(id_col, "draw", *mix(f, False))).select(id_col, "draw", F.col("risk").alias("_b"))
-        parts.append(a.join(b, [id_col, "draw"]).select(id_col, F.lit(f).alias("feature"), (F.col("_a") - F.col("_b")).alias("_d")))
-    allr = parts[0]
-    for r in parts[1:]:
-        allr = allr.unionByName(r)
-    return allr.groupBy(id_col, "feature").agg(F.avg("_d").alias("shapley"))
+    numbered, nb = row_numbers(background.select(id_col, *feats), id_col)
+    bg = numbered.select(F.col("_row").alias("_bg"), *[F.col(f).alias(f"_bg_{f}") for f in feats])
+    x = df.select(id_col, *feats, F.explode(F.sequence(F.lit(0), F.lit(draws - 1))).alias("_draw"))
+    x = x.withColumn("_bg", drawn_numbers(id_col, F.col("_draw"), draws, nb, seed)).join(bg, "_bg")
+    order = F.array_sort(F.array(*[F.struct(F.xxhash64(F.col(id_col), F.col("_draw"), F.lit(i), F.lit(seed + 2)).alias("h"), F.lit(f).alias("f"))
+                                   for i, f in enumerate(feats)]))
+    x = x.withColumn("_order", F.transform(order, lambda o: o["f"])).withColumn("_at", F.explode(F.sequence(F.lit(0), F.lit(len(feats)))))
+    taken = lambda f: F.array_position("_order", F.lit(f)) <= F.col("_at")
+    points = x.select(F.col(id_col), "_order", "_at", *[F.when(taken(f), F.col(f)).otherwise(F.col(f"_bg_{f}")).alias(f) for f in feats])
+    parts = F.array(F.when(F.col("_at") > 0, F.struct(F.get("_order", F.col("_at") - 1).alias("feature"), F.col("risk").alias("d"))),
+                    F.when(F.col("_at") < len(feats), F.struct(F.get("_order", F.col("_at")).alias("feature"), (-F.col("risk")).alias("d"))))
+    steps = score_fn(points).select(id_col, F.explode(F.filter(parts, lambda p: p.isNotNull())).alias("p"))
+    return steps.groupBy(id_col, "p.feature").agg((F.sum("p.d") / draws).alias("shapley"))

@@ -165,7 +165,7 @@ def bootstrap_auc(train: DataFrame, test: DataFrame, horizons: Sequence[float],
     def controls(band: Band) -> np.ndarray:
         return (band["t"][:, None] > np.array(hs)).astype(np.float64)
 
-    def sums(band: Band):
+    def sums(_: int, band: Band):
         out = [[], [], []]
         held, key = controls(band), band["risk"]
         for some in slices:
@@ -174,8 +174,8 @@ def bootstrap_auc(train: DataFrame, test: DataFrame, horizons: Sequence[float],
                 out[i].append((held[rows].T @ w[rows]).ravel())
         return tuple(np.concatenate(x) for x in out)
 
-    def part(number: int, band: Band) -> np.ndarray:
-        held, key, off, out, at = controls(band), band["risk"], offsets[number], [], 0
+    def part(number: int, problem: int, band: Band) -> np.ndarray:
+        held, key, off, out, at = controls(band), band["risk"], offsets[number, problem], [], 0
         ends = (band["t"][:, None] <= np.array(hs)) & (band["e"] == 1)[:, None] & (band["g"] > 0)[:, None]
         case = np.where(ends, 1.0 / np.where(band["g"] > 0, band["g"], 1.0)[:, None], 0.0)
         for some in slices:
@@ -191,7 +191,7 @@ def bootstrap_auc(train: DataFrame, test: DataFrame, horizons: Sequence[float],
 
     try:
         offsets = band_offsets(bands, "risk", sums=sums)
-        total, at, rows = band_sums(bands, part), 0, []
+        total, at, rows = band_sums(bands, part).get(0, ()), 0, []
         for some in slices if len(total) else []:
             for h in hs:
                 num, cases, held = total[at: at + 3 * len(some)].reshape(3, -1)

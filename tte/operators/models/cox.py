@@ -12,7 +12,7 @@ p x p system is solved. Features are centred and scaled inside; the ridge penalt
 from __future__ import annotations
 
 import warnings
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tte.operators.curves import curve_at
 from tte.operators.scan import prefix_sum
-from tte.operators.vector_scan import Band, band_of_batches, band_offsets, band_sums, ranged, running
+from tte.operators.vector_scan import Band, band_of_batches, band_offsets, band_sums, ranged, rows_where, running, whole
 
 
 def breslow_baseline(df: DataFrame, rel_risk: Column | str, time: str = "time", event: str = "event",
@@ -87,9 +87,7 @@ class CoxPH:
         p = len(self.features)
         stats = df.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(self.features)],
                        *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(self.features)]).collect()[0]
-        mu = np.array([stats[f"m{i}"] or 0.0 for i in range(p)], dtype=float)
-        sd = np.array([stats[f"s{i}"] or 1.0 for i in range(p)], dtype=float)
-        sd[sd == 0] = 1.0
+        mu, sd = _scales(stats, p)
         data = ranged(cox_rows(df, self.features, mu, sd, self.time, self.event), "t", stats["n"], descending=True)
         try:
             # rows without a time, event or feature cannot enter a risk set: their number is reported
@@ -97,13 +95,17 @@ class CoxPH:
             beta = (np.asarray(init, float) * sd) if init is not None else np.zeros(p)
             pen = self.alpha / sd ** 2  # ridge on the original-scale coefficients
             beta, self.loglik_, self.n_iter_, self.converged_ = newton(
-                lambda b: cox_derivatives(data, b), beta, pen, self.n_iter, self.tol)
+                lambda b: cox_derivatives(data, {0: b})[0], beta, pen, self.n_iter, self.tol)
         finally:
             data.unpersist()
         if not self.converged_:
             warnings.warn(f"Cox fit stopped after {self.n_iter} steps without converging", stacklevel=2)
         self.coef_ = beta / sd
         self.intercept_shift_ = float(np.dot(self.coef_, mu))
+        return self.with_baseline(df)
+
+    def with_baseline(self, df: DataFrame) -> "CoxPH":
+        """Set the Breslow baseline of the rows ``df``."""
         self.baseline_ = breslow_baseline(self.risk(df), F.exp(F.col("risk")), self.time, self.event)
         return self
 
@@ -117,97 +119,161 @@ class CoxPH:
         return survival_from_baseline(scored, self.baseline_, horizons, F.exp(F.col("risk")))
 
 
-def cox_rows(df: DataFrame, features: Sequence[str], mu: np.ndarray, sd: np.ndarray, time: str, event: str) -> DataFrame:
-    """Rows ``t, e, z`` with a time, an event and all features, the features centred and scaled in one array."""
+def cox_rows(df: DataFrame, features: Sequence[str], mu: np.ndarray, sd: np.ndarray, time: str, event: str, keep: Sequence[Column] = ()) -> DataFrame:
+    """Rows ``t, e, z`` (and ``keep``) with a time, an event and all features, the features centred and scaled in one array."""
     z = F.array(*[(F.col(c).cast("double") - float(m)) / float(s) for c, m, s in zip(features, mu, sd, strict=True)])
-    whole = " and ".join(["t is not null", "e is not null", *[f"z[{i}] is not null and not isnan(z[{i}])" for i in range(len(features))]])
-    return df.select(F.col(time).cast("double").alias("t"), F.col(event).cast("double").alias("e"), z.alias("z")).where(whole)
+    complete = " and ".join(["t is not null", "e is not null", *[f"z[{i}] is not null and not isnan(z[{i}])" for i in range(len(features))]])
+    return df.select(F.col(time).cast("double").alias("t"), F.col(event).cast("double").alias("e"), z.alias("z"), *keep).where(complete)
+
+
+Derivatives = tuple[float, np.ndarray, np.ndarray]
 
 
-def cox_derivatives(data: DataFrame, beta: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-    """Log-likelihood, gradient and Hessian of the Breslow partial likelihood at ``beta`` over the bands of ``data``
-    (``cox_rows`` in descending order of time).
+def cox_derivatives(data: DataFrame, betas: dict[int, np.ndarray], parts: Callable[[Band], Iterable[tuple[int, Band]]] = whole) -> dict[int, Derivatives]:
+    """Log-likelihood, gradient and Hessian of the Breslow partial likelihood of every problem at its coefficients, in
+    the same passes over the bands of ``data`` (``cox_rows`` in descending order of time, ``parts`` as in
+    ``band_offsets``).
 
     With S0(t), S1(t) the sums of w and w z over the risk set (a vector scan of length p + 1) and A(t) the sum of
     d / S0 over event times up to t, the sum over event times of d S2 / S0 is the sum over subjects of
     w A(t) z z', so the scan never carries p x p numbers; those are summed once, as matrix products of a band."""
-    p = len(beta)
+    shift = dict.fromkeys(betas, 0.0)
 
-    def weights(band: Band) -> tuple[np.ndarray, np.ndarray]:
-        lp = band["z"] @ beta
-        return lp, np.exp(np.minimum(lp - shift, 700.0))
+    def mine(band: Band):
+        return ((p, rows) for p, rows in parts(band) if p in betas)
 
-    shift = 0.0
+    def weights(problem: int, rows: Band) -> tuple[np.ndarray, np.ndarray]:
+        lp = rows["z"] @ betas[problem]
+        return lp, np.exp(np.minimum(lp - shift[problem], 700.0))
 
-    def scanned(band: Band) -> np.ndarray:
-        _, w = weights(band)
-        return np.column_stack((w, w[:, None] * band["z"]))
+    def scanned(problem: int, rows: Band) -> np.ndarray:
+        _, w = weights(problem, rows)
+        return np.column_stack((w, w[:, None] * rows["z"]))
 
-    offsets = band_offsets(data, "t", scanned)
+    offsets = band_offsets(data, "t", scanned, parts=mine)
     if any(not np.isfinite(o.before).all() or o.before[0] > 1e250 for o in offsets.values()):
         # weights only enter as ratios within a risk set: far out, the largest is shifted to 1
-        top = data.mapInArrow(lambda batches: _largest(batches, beta), "x double").agg(F.max("x")).first()[0]
-        shift = float(top)
-        offsets = band_offsets(data, "t", scanned)
+        shift |= _largest(data, betas, mine)
+        offsets = band_offsets(data, "t", scanned, parts=mine)
 
-    def hazard(number: int, band: Band) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        v = scanned(band)
-        sums = running(band["t"], v, offsets[number])
-        s0 = np.maximum(sums[:, 0], 1e-300)  # a risk set far below the largest risk underflows
-        return v, sums, s0
+    def risk_sets(number: int, problem: int, rows: Band) -> tuple[np.ndarray, np.ndarray]:
+        sums = running(rows["t"], scanned(problem, rows), offsets[number, problem])
+        return sums, np.maximum(sums[:, 0], 1e-300)  # a risk set far below the largest risk underflows
 
     # events before a time lie behind it in this order, so what a band does not hold of A comes from the bands after it
-    share = _band_hazards(data, offsets, hazard)
+    share = _hazards_outside(data, risk_sets, mine)
 
-    def part(number: int, band: Band) -> np.ndarray:
-        t, e, z = band["t"], band["e"], band["z"]
-        v, sums, s0 = hazard(number, band)
-        later, above = share[number]
-        mine = e / s0
+    def part(number: int, problem: int, rows: Band) -> np.ndarray:
+        t, e, z = rows["t"], rows["e"], rows["z"]
+        sums, s0 = risk_sets(number, problem, rows)
+        later, above = share[number, problem]
         # A(t): events at times up to t; this band's rows from t's first row on, the bands after, and the rows
         # of t in the bands before
-        first = np.searchsorted(-t, -t, side="left")
-        a = np.cumsum(mine[::-1])[::-1][first] + later
+        a = np.cumsum((e / s0)[::-1])[::-1][np.searchsorted(-t, -t, side="left")] + later
         a[t == t[0]] += above
-        lp, w = weights(band)
+        lp, w = weights(problem, rows)
         dead = e > 0
         s1 = sums[dead, 1:] / s0[dead, None]
-        ll = float((e * (lp - shift)).sum() - (e[dead] * np.log(s0[dead])).sum())
+        ll = float((e * (lp - shift[problem])).sum() - (e[dead] * np.log(s0[dead])).sum())
         grad = (e[:, None] * z).sum(axis=0) - (e[dead, None] * s1).sum(axis=0)
         hess = (s1 * e[dead, None]).T @ s1 - (z * (w * a)[:, None]).T @ z
         return np.concatenate(([ll], grad, hess.ravel()))
 
-    out = band_sums(data, part)
-    if not len(out):
-        return 0.0, np.zeros(p), np.zeros((p, p))
-    return float(out[0]), out[1: p + 1], out[p + 1:].reshape(p, p)
+    found = band_sums(data, part, mine)
+    out = {}
+    for problem, beta in betas.items():
+        p = len(beta)
+        x = found.get(problem, np.zeros(1 + p + p * p))
+        out[problem] = float(x[0]), x[1: p + 1], x[p + 1:].reshape(p, p)
+    return out
 
 
-def _largest(batches, beta: np.ndarray):
-    _, band = band_of_batches(batches)
-    if band:
-        yield pa.RecordBatch.from_arrays([pa.array([float((band["z"] @ beta).max())])], names=["x"])
+def _largest(data: DataFrame, betas: dict[int, np.ndarray], parts) -> dict[int, float]:
+    def run(batches):
+        _, band = band_of_batches(batches)
+        for problem, rows in parts(band) if band else ():
+            if len(rows["t"]):
+                yield pa.RecordBatch.from_arrays([pa.array([problem], pa.int32()), pa.array([float((rows["z"] @ betas[problem]).max())])], names=["problem", "x"])
+
+    return {r["problem"]: float(r["x"]) for r in data.mapInArrow(run, "problem int, x double").groupBy("problem").agg(F.max("x").alias("x")).collect()}
 
 
-def _band_hazards(data: DataFrame, offsets, hazard) -> dict[int, tuple[float, float]]:
-    """Per band: the hazard of the events in the bands after it, and of those at its first time in the bands before."""
+def _hazards_outside(data: DataFrame, risk_sets, parts) -> dict[tuple[int, int], tuple[float, float]]:
+    """Per (band, problem): the hazard of the events in the bands after it, and of those at its first time in the
+    bands before."""
 
     def run(batches):
         number, band = band_of_batches(batches)
-        if band:
-            t, (_, _, s0) = band["t"], hazard(number, band)
-            mine = band["e"] / s0
-            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([float(t[0])]), pa.array([float(t[-1])]), pa.array([float(mine.sum())]),
-                                              pa.array([float(mine[t == t[-1]].sum())])], names=["band", "first", "last", "total", "tail"])
-
-    rows = data.mapInArrow(run, "band int, first double, last double, total double, tail double").toPandas().sort_values("band")
-    band, first, last, total, tail = (rows[c].to_numpy() for c in ("band", "first", "last", "total", "tail"))
-    later = np.cumsum(total[::-1])[::-1] - total
-    above = np.zeros(len(band))
-    for i in range(1, len(band)):
-        if last[i - 1] == first[i]:
-            above[i] = tail[i - 1] + (above[i - 1] if first[i - 1] == last[i - 1] else 0.0)
-    return {int(b): (float(later[i]), float(above[i])) for i, b in enumerate(band)}
+        for problem, rows in parts(band) if band else ():
+            t = rows["t"]
+            if len(t):
+                mine = rows["e"] / risk_sets(number, problem, rows)[1]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number], pa.int32()), pa.array([problem], pa.int32()), *(pa.array([float(x)]) for x in (
+                        t[0], t[-1], mine.sum(), mine[t == t[-1]].sum()))], names=["band", "problem", "first", "last", "total", "tail"])
+
+    rows = data.mapInArrow(run, "band int, problem int, first double, last double, total double, tail double").toPandas().sort_values(["problem", "band"])
+    out = {}
+    for problem, own in rows.groupby("problem"):
+        first, last, total, tail = (own[c].to_numpy() for c in ("first", "last", "total", "tail"))
+        later = np.cumsum(total[::-1])[::-1] - total
+        above = np.zeros(len(own))
+        for i in range(1, len(own)):
+            if last[i - 1] == first[i]:
+                above[i] = tail[i - 1] + (above[i - 1] if first[i - 1] == last[i - 1] else 0.0)
+        out |= {(int(b), int(problem)): (float(x), float(y)) for b, x, y in zip(own["band"], later, above, strict=True)}
+    return out
+
+
+def cox_together(df: DataFrame, features: Sequence[str], problems: dict[int, tuple[int, float]], subset: Callable[[Band, int], np.ndarray],
+                 keep: Sequence[str], time: str = "time", event: str = "event", n_iter: int = 50, tol: float = 1e-9) -> dict[int, CoxPH]:
+    """Cox models, without baselines, of many subsets of the rows: ``problems`` maps a number to (subset, alpha) and
+    ``subset(band, number)`` marks the band's rows of a subset by the whole-number columns ``keep``.
+
+    The rows are ranged once and all problems take their Newton steps in the same passes, so the number of passes
+    does not depend on how many there are, and the models equal those of separate fits."""
+    feats = list(features)
+    stats = df.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(feats)],
+                   *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(feats)]).first()
+    mu, sd = _scales(stats, len(feats))
+    data = ranged(cox_rows(df, feats, mu, sd, time, event, [F.col(c).cast("int").alias(c) for c in keep]), "t", stats["n"], descending=True)
+    by_subset: dict[int, list[int]] = {}
+    for number, (which, _) in problems.items():
+        by_subset.setdefault(which, []).append(number)
+
+    def parts(band: Band):
+        for which, numbers in by_subset.items():
+            rows = rows_where(band, subset(band, which))
+            for number in numbers:
+                yield number, rows
+
+    try:
+        fits = newton_together(lambda betas: cox_derivatives(data, betas, parts),
+                               {p: (np.zeros(len(feats)), a / sd ** 2) for p, (_, a) in problems.items()}, n_iter, tol)
+    finally:
+        data.unpersist()
+    out = {}
+    for number, (_, alpha) in problems.items():
+        m = out[number] = CoxPH(feats, alpha, n_iter, tol, time, event)
+        beta, m.loglik_, m.n_iter_, m.converged_ = fits[number]
+        m.coef_ = beta / sd
+    return out
+
+
+def cox_folds(folded: DataFrame, features: Sequence[str], alphas: Sequence[float], k: int, fold: str = "fold", time: str = "time",
+              event: str = "event") -> dict[tuple[int, float], CoxPH]:
+    """Cox models of every fold's complement at every penalty, ``(fold, alpha)`` to a model, fitted together."""
+    pairs = dict(enumerate((f, a) for f in range(k) for a in alphas))
+    fits = cox_together(folded, features, pairs, lambda band, f: band[fold] != f, [fold], time, event)
+    return {pair: fits[number] for number, pair in pairs.items()}
+
+
+def _scales(stats, p: int) -> tuple[np.ndarray, np.ndarray]:
+    """Means and standard deviations (1 for a constant feature)."""
+    mu = np.array([stats[f"m{i}"] or 0.0 for i in range(p)], dtype=float)
+    sd = np.array([stats[f"s{i}"] or 1.0 for i in range(p)], dtype=float)
+    sd[sd == 0] = 1.0
+    return mu, sd
 
 
 def cox_newton_local(x: np.ndarray, t: np.ndarray, e: np.ndarray, alpha: float = 0.0, n_iter: int = 50,
@@ -244,10 +310,31 @@ def newton(derivatives, beta: np.ndarray, pen: np.ndarray, n_iter: int, tol: flo
     """Newton steps with halving on the penalised log-likelihood, the same for the distributed and the
     local fit. ``derivatives(beta)`` gives value, gradient and Hessian without the penalty
     ``0.5 * sum(pen * beta ** 2)``. Returns (beta, log-likelihood, steps, converged)."""
+    return newton_together(lambda betas: {0: derivatives(betas[0])}, {0: (beta, pen)}, n_iter, tol)[0]
+
+
+def newton_together(derivatives, problems: dict[int, tuple[np.ndarray, np.ndarray]], n_iter: int, tol: float) -> dict[int, tuple]:
+    """``newton`` for many problems, ``(beta, pen)`` each: those that have not converged take each step in one call of
+    ``derivatives``, which maps their coefficients to their derivatives."""
+    steps = {p: _newton_steps(beta, pen, n_iter, tol) for p, (beta, pen) in problems.items()}
+    asked, done = {p: next(s) for p, s in steps.items()}, {}
+    while asked:
+        found, now = derivatives(asked), {}
+        for p in asked:
+            try:
+                now[p] = steps[p].send(found[p])
+            except StopIteration as end:
+                done[p] = end.value
+        asked = now
+    return done
+
+
+def _newton_steps(beta: np.ndarray, pen: np.ndarray, n_iter: int, tol: float):
+    """Yields coefficients, is sent their derivatives, and returns what ``newton`` does."""
     before = before_beta = None
     steps, p = 0, len(beta)
     for _ in range(n_iter):
-        ll, grad, hess = derivatives(beta)
+        ll, grad, hess = yield beta
         ll -= 0.5 * float(np.sum(pen * beta ** 2))
         if before is not None and ll < before - 1e-12:
             beta = (beta + before_beta) / 2.0  # back towards the previous point

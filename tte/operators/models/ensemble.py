@@ -6,6 +6,8 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, NaiveBayes, RandomForestClassifier,
 )
@@ -17,8 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tte.operators.curves import ipcw_weights
-from tte.operators.models.cox import CoxPH, cox_newton_local, survival_exponential
+from tte.operators.models.cox import CoxPH, cox_derivatives, cox_newton_local, newton_together, survival_exponential
 from tte.operators.pairs import concordance
+from tte.operators.vector_scan import Band, band_of_batches, band_sums, ranged
 
 
 def combine(df: DataFrame, risks: Sequence[str], weights: Sequence[float] | None = None, out: str = "risk") -> DataFrame:
@@ -153,39 +156,83 @@ def horizon_classifier(df: DataFrame, features: Sequence[str], tau: float, time:
 
 
 def fit_per_group(df: DataFrame, key: str, features: Sequence[str], time: str = "time", event: str = "event",
-                  alpha: float = 0.0, max_local_rows: int = 500_000) -> DataFrame:
-    """One Cox model per group; all groups' coefficients are kept (the reference keeps the
-    first). Groups up to ``max_local_rows`` rows are fitted by the local NumPy Newton inside
-    ``applyInPandas``; larger groups (one key may hold a third of the rows) are fitted by the
-    distributed ``CoxPH`` on their filtered rows, so no task ever holds an unbounded group. Both take the
-    same Newton steps (``newton``) on the same likelihood with the same stop test; they differ only in
-    where the sums are made."""
+                  alpha: float = 0.0, n_iter: int = 50, tol: float = 1e-9) -> DataFrame:
+    """One Cox model per group, ``key, n, coef_...``, whatever the number of groups and their sizes; a null key is a group
+    like any other (the reference keeps the first group only).
+
+    The rows are ranged by group and descending time into bands. A group that lies within one band takes all its Newton
+    steps there, in the task that holds the band. The groups that reach over a band's end, fewer than there are bands,
+    take theirs together: each step is one set of passes over the bands for all of them (``cox_derivatives``).
+    The likelihood, the steps and the stop test are the same. Rows without a time, event or feature are left out
+    and not counted in ``n``; a group without an event or with a single row has null coefficients."""
     feats = list(features)
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    big = [r[key] for r in sizes.where(F.col("_n") > max_local_rows).select(key).collect()]  # few keys by construction
-    small_df = df.join(F.broadcast(sizes.where(F.col("_n") <= max_local_rows).select(key)), key, "left_semi") if big else df
-    schema = T.StructType([df.schema[key], T.StructField("n", T.LongType())] +
-                          [T.StructField(f"coef_{f}", T.DoubleType()) for f in feats])
-
-    def fit_one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.dropna(subset=[*feats, time, event])
-        out = {key: [pdf[key].iloc[0]] if len(pdf) else [None], "n": [len(pdf)]}
-        if len(pdf) >= 2 and pdf[event].sum() > 0:
-            b = cox_newton_local(pdf[feats].to_numpy(float), pdf[time].to_numpy(float), pdf[event].to_numpy(float), alpha)
-        else:
-            b = [np.nan] * len(feats)
-        for f, v in zip(feats, b):
-            out[f"coef_{f}"] = [float(v)]
-        return pd.DataFrame(out)
-
-    out = small_df.select(key, *feats, time, event).groupBy(key).applyInPandas(fit_one, schema)
-    for kv in big:
-        part = df.where(F.col(key) == F.lit(kv))
-        m = CoxPH(feats, alpha=alpha, time=time, event=event).fit(part)
-        n = part.count()
-        row = [(kv, int(n), *[float(b) for b in m.coef_])]
-        out = out.unionByName(df.sparkSession.createDataFrame(row, schema))
-    return out
+    ok = " and ".join(f"({c} is not null and not isnan({c}))" for c in (f"cast(`{c}` as double)" for c in [time, event, *feats]))
+    rows = df.select(F.col(key).alias("key"), F.to_json(F.struct(F.col(key).alias("k"))).alias("g"), F.col(time).cast("double").alias("t"),
+                     F.col(event).cast("double").alias("e"), F.array(*[F.col(c).cast("double") for c in feats]).alias("z"),
+                     F.expr(ok).alias("ok"))
+    data = ranged(rows, "t", rows.count(), descending=True, group="g")
+    out = T.StructType([T.StructField("g", T.StringType()), T.StructField("n", T.LongType()), T.StructField("coef", T.ArrayType(T.DoubleType()))])
+
+    def ends(batches):
+        keys = [b.column("g") for b in batches if b.num_rows]
+        if keys:
+            yield pa.RecordBatch.from_pydict({"band": pa.array([TaskContext.get().partitionId()], pa.int32()),
+                                              "first": pa.array([keys[0][0].as_py()]), "last": pa.array([keys[-1][-1].as_py()])})
+
+    bands = data.select("g").mapInArrow(ends, "band int, first string, last string").orderBy("band").collect()
+    long = sorted({a["last"] for a, b in zip(bands, bands[1:]) if a["last"] == b["first"]})  # fewer than bands
+    number = {g: i for i, g in enumerate(long)}
+
+    def within(batches):
+        _, band = band_of_batches(batches)
+        found = []
+        for g, at in pd.Series(band.get("g", [])).groupby(band.get("g", []), sort=False).indices.items():
+            if g not in number:
+                at = at[band["ok"][at].astype(bool)]
+                fit = len(at) >= 2 and band["e"][at].sum() > 0
+                coef = cox_newton_local(band["z"][at], band["t"][at], band["e"][at], alpha, n_iter, tol).tolist() if fit else [None] * len(feats)
+                found.append((g, len(at), coef))
+        if found:
+            yield pa.RecordBatch.from_pydict(dict(zip(("g", "n", "coef"), zip(*found), strict=True)),
+                                             schema=pa.schema([("g", pa.string()), ("n", pa.int64()), ("coef", pa.list_(pa.float64()))]))
+
+    # the result of the small groups is written, so the kept bands can go
+    small = data.select("g", "t", "e", "z", "ok").mapInArrow(within, out).checkpoint()
+    try:
+        fitted = _fit_long(data, number, len(feats), alpha, n_iter, tol) if number else []
+    finally:
+        data.unpersist()
+    found = small.unionByName(df.sparkSession.createDataFrame(fitted, out))
+    keys = rows.groupBy("g").agg(F.first("key", ignorenulls=False).alias("key"))
+    return keys.join(found, "g").select(F.col("key").alias(key), "n", *[F.col("coef")[i].alias(f"coef_{f}") for i, f in enumerate(feats)])
+
+
+def _fit_long(data: DataFrame, number: dict[str, int], p: int, alpha: float, n_iter: int, tol: float) -> list[tuple]:
+    """The groups that several bands share: (group, rows, coefficients)."""
+
+    def raw(band: Band):
+        for g, at in pd.Series(band["g"]).groupby(band["g"], sort=False).indices.items():
+            if g in number:
+                at = at[band["ok"][at].astype(bool)]
+                yield number[g], {"t": band["t"][at], "e": band["e"][at], "z": band["z"][at]}
+
+    sums = band_sums(data, lambda _, __, x: np.concatenate(([len(x["t"]), x["e"].sum()], x["z"].sum(axis=0), (x["z"] ** 2).sum(axis=0))), raw)
+    scale, problems = {}, {}
+    for i, x in sums.items():
+        n, mu = x[0], x[2: p + 2] / x[0]
+        sd = np.sqrt(np.maximum(x[p + 2:] / n - mu ** 2, 0.0))
+        sd[sd < 1e-12 * np.maximum(1.0, np.abs(mu))] = 1.0
+        scale[i] = mu, sd
+        if n >= 2 and x[1] > 0:
+            problems[i] = np.zeros(p), alpha / sd ** 2
+
+    def parts(band: Band):
+        for i, x in raw(band):
+            if i in problems:
+                yield i, x | {"z": (x["z"] - scale[i][0]) / scale[i][1]}
+
+    fits = newton_together(lambda betas: cox_derivatives(data, betas, parts), problems, n_iter, tol) if problems else {}
+    return [(g, int(sums[i][0]) if i in sums else 0, (fits[i][0] / scale[i][1]).tolist() if i in fits else [None] * p) for g, i in number.items()]
 
 
 def update_model(model: CoxPH, history: DataFrame, new: DataFrame, strategy: str = "sliding", ts: str = "ts",

@@ -251,7 +251,8 @@ def rank_models(scores: DataFrame, metric: str, higher_is_better: bool = True, b
     by = list(by)
     g = scores.groupBy(*by, "model").agg(F.avg(metric).alias("score"), F.stddev_pop(metric).alias("std"),
                                          F.count(metric).alias("n"))
-    order = F.col("score").desc() if higher_is_better else F.col("score").asc()
+    # means of equal values in another order may differ in the last place: they tie
+    order = F.round("score", 9).desc() if higher_is_better else F.round("score", 9).asc()
     w = Window.partitionBy(*by).orderBy(order, F.col("model"))
     return g.select(*by, "model", "score", "std", F.rank().over(w).alias("rank"),
                     F.when(F.col("n") > 1, 1.0 / (1.0 + F.col("std"))).otherwise(F.lit(1.0)).alias("stability"))
@@ -290,7 +291,7 @@ def best_average(rankings: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     mean_rank, n_metrics``."""
     by = list(by)
     g = rankings.groupBy(*by, "model").agg(F.avg("rank").alias("mean_rank"), F.count(F.lit(1)).alias("n_metrics"))
-    order = Window.partitionBy(*by).orderBy("mean_rank", "model")
+    order = Window.partitionBy(*by).orderBy(F.round("mean_rank", 9), "model")
     return g.withColumn("_pick", F.row_number().over(order)).where(F.col("_pick") == 1).drop("_pick")
 
 

@@ -99,6 +99,53 @@ class OneHot:
         return out
 
 
+class LevelDictionary:
+    """P4 for columns of any number of levels: a numbered table of the levels seen at fit, joined to the rows, and one
+    sparse vector per row. ``OneHot`` makes a column per level and is bounded; this one has no limit.
+
+    Levels are numbered from 0 in order of column, then level: the places that the sorted 0/1 columns of ``OneHot`` would
+    have. The numbers come from a banded running count, so no task or driver holds the levels; ``table_`` is
+    written to the shared folder. Unknown levels and nulls give no entry."""
+
+    def __init__(self, columns: Sequence[str]):
+        self.columns = list(columns)
+        self.table_: DataFrame | None = None
+        self.size_ = 0
+
+    def fit(self, df: DataFrame) -> "LevelDictionary":
+        arr = F.array(*[F.struct(F.lit(i).alias("c"), _q(c).cast("string").alias("level")) for i, c in enumerate(sorted(self.columns))])
+        levels = df.select(F.explode(arr).alias("x")).select("x.*").where("level is not null").distinct()
+        # ranges of the sorted levels, numbered within and shifted by what lies before
+        ranged = levels.repartitionByRange("c", "level").sortWithinPartitions("c", "level").withColumn("part", F.spark_partition_id())
+        ranged = ranged.withColumn("at", F.monotonically_increasing_id()).checkpoint()
+        counts = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("least")).orderBy("part").collect()
+        before, shifts = 0, []
+        for r in counts:  # a row per partition
+            shifts.append((r["part"], before - r["least"]))
+            before += r["n"]
+        table = df.sparkSession.createDataFrame(shifts, "part int, shift long")
+        self.table_ = ranged.join(F.broadcast(table), "part").select("c", "level", (F.col("at") + F.col("shift")).cast("int").alias("number"))
+        self.size_ = before
+        return self
+
+    def transform(self, df: DataFrame, id_col: str, out: str = "levels") -> DataFrame:
+        """Every row with ``out``, a sparse vector of ``size_`` places, and the columns taken out; ``id_col`` tells rows apart."""
+        from pyspark.ml.functions import array_to_vector  # noqa: F401  the vector type
+        from pyspark.ml.linalg import Vectors, VectorUDT
+
+        size = self.size_
+
+        @F.udf(VectorUDT())
+        def sparse(places):
+            return Vectors.sparse(size, [(p, 1.0) for p in sorted(places or [])])
+
+        arr = F.array(*[F.struct(F.lit(i).alias("c"), _q(c).cast("string").alias("level")) for i, c in enumerate(sorted(self.columns))])
+        asked = df.select(F.col(id_col).alias("_id"), F.explode(arr).alias("x")).select("_id", "x.*").where("level is not null")
+        found = asked.join(self.table_, ["c", "level"]).groupBy("_id").agg(F.sort_array(F.collect_set("number")).alias("_places"))
+        rest = [c for c in df.columns if c not in self.columns]
+        return df.join(found, F.col(id_col).eqNullSafe(F.col("_id")), "left").select(*[_q(c) for c in rest], sparse("_places").alias(out))
+
+
 @dataclass
 class Pipeline:
     """P5: ordered steps; each later step sees the earlier steps' output. Columns no step names

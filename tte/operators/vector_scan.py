@@ -10,7 +10,7 @@ is part of its offsets. The plan has the same size whatever the length of the ve
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from typing import NamedTuple
 
 import numpy as np
@@ -35,13 +35,15 @@ class Offsets(NamedTuple):
     tail: np.ndarray
 
 
-def ranged(df: DataFrame, order: str, rows: int, descending: bool = False, spread: str | None = None) -> DataFrame:
-    """``df`` in bands of about ``BAND_ROWS`` of its ``rows`` rows, sorted by ``order`` (a column without nulls),
-    persisted. ``spread`` is a column that splits equal keys (default: a hash of the row)."""
-    key = F.col(order).desc() if descending else F.col(order).asc()
-    tie = F.col(spread) if spread else F.xxhash64(*[c for c in df.columns])
+def ranged(df: DataFrame, order: str, rows: int, descending: bool = False, group: str | None = None) -> DataFrame:
+    """``df`` in bands of about ``BAND_ROWS`` of its ``rows`` rows, sorted by ``group`` (if any) and ``order`` (columns
+    without nulls), persisted. Equal keys are split by a hash of the row."""
+    key = [F.col(order).desc() if descending else F.col(order).asc()]
+    if group:
+        key.insert(0, F.col(group).asc())
     bands = max(shuffle_partitions(df.sparkSession), -(-rows // BAND_ROWS))
-    out = df.withColumn("_tie", tie).repartitionByRange(bands, key, F.col("_tie")).sortWithinPartitions(key, F.col("_tie")).drop("_tie")
+    out = df.withColumn("_tie", F.xxhash64(*df.columns))
+    out = out.repartitionByRange(bands, *key, F.col("_tie")).sortWithinPartitions(*key, F.col("_tie")).drop("_tie")
     return out.persist(StorageLevel.MEMORY_AND_DISK)
 
 
@@ -65,40 +67,56 @@ def _lists(row: np.ndarray) -> pa.Array:
     return pa.array([np.asarray(row, dtype=np.float64).ravel().tolist()], pa.list_(pa.float64()))
 
 
-def band_offsets(bands: DataFrame, order: str, values: Callable[[Band], np.ndarray] | None = None,
-                 sums: Callable[[Band], tuple[np.ndarray, np.ndarray, np.ndarray]] | None = None) -> dict[int, Offsets]:
-    """The offsets of every band with rows. ``values`` gives one row of the scanned vector per row of a band;
-    or ``sums`` gives the sums themselves, over all rows and over those of the first and last key."""
+def whole(band: Band):
+    """A band as the one part of a single problem."""
+    yield 0, band
 
-    def summed(band: Band):
+
+def rows_where(band: Band, keep: np.ndarray) -> Band:
+    return {name: column[keep] for name, column in band.items()}
+
+
+def band_offsets(bands: DataFrame, order: str, values: Callable[[int, Band], np.ndarray] | None = None,
+                 sums: Callable[[int, Band], tuple[np.ndarray, np.ndarray, np.ndarray]] | None = None,
+                 parts: Callable[[Band], Iterable[tuple[int, Band]]] = whole) -> dict[tuple[int, int], Offsets]:
+    """The offsets of every (band, problem) with rows. ``parts`` gives the problems (whole numbers) that a band has
+    rows of, with these rows; problems may share rows, and each is a scan of its own. ``values`` gives one row of
+    the scanned vector per row; or ``sums`` the sums themselves, over all rows and those of the first and last key."""
+
+    def summed(problem: int, part: Band):
         if sums:
-            return sums(band)
-        key, v = band[order], values(band)
+            return sums(problem, part)
+        key, v = part[order], values(problem, part)
         return v.sum(axis=0), v[key == key[0]].sum(axis=0), v[key == key[-1]].sum(axis=0)
 
     def report(batches):
         number, band = band_of_batches(batches)
-        if band:
-            key = band[order]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([number], pa.int32()), pa.array([float(key[0])]), pa.array([float(key[-1])]), *map(_lists, summed(band))],
-                names=["band", "first", "last", "total", "head", "tail"])
-
-    rows = bands.mapInArrow(report, "band int, first double, last double, total array<double>, head array<double>, tail array<double>").toPandas()
-    rows = rows.sort_values("band").reset_index(drop=True)
-    n = len(rows)
-    total, head, tail = (np.array(rows[c].tolist(), dtype=np.float64).reshape(n, -1) for c in ("total", "head", "tail"))
-    first, last = rows["first"].to_numpy(), rows["last"].to_numpy()
-    before = np.cumsum(total, axis=0) - total
-    # of the bands before, those that end in this band's first key; of those after, those that begin with its last
-    same_before, same_after = np.zeros_like(total), np.zeros_like(total)
-    for i in range(1, n):
-        if last[i - 1] == first[i]:
-            same_before[i] = tail[i - 1] + (same_before[i - 1] if first[i - 1] == last[i - 1] else 0.0)
-    for i in range(n - 2, -1, -1):
-        if first[i + 1] == last[i]:
-            same_after[i] = head[i + 1] + (same_after[i + 1] if first[i + 1] == last[i + 1] else 0.0)
-    return {int(b): Offsets(before[i], same_before[i], same_after[i]) for i, b in enumerate(rows["band"])}
+        for problem, part in parts(band) if band else ():
+            key = part[order]
+            if len(key):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number], pa.int32()), pa.array([problem], pa.int32()), pa.array([float(key[0])]), pa.array([float(key[-1])]),
+                     *map(_lists, summed(problem, part))], names=["band", "problem", "first", "last", "total", "head", "tail"])
+
+    rows = bands.mapInArrow(report, "band int, problem int, first double, last double, total array<double>, head array<double>, "
+                                    "tail array<double>").toPandas().sort_values(["problem", "band"])
+    out = {}
+    for problem, own in rows.groupby("problem"):
+        n = len(own)
+        total, head, tail = (np.array(own[c].tolist(), dtype=np.float64).reshape(n, -1) for c in ("total", "head", "tail"))
+        first, last = own["first"].to_numpy(), own["last"].to_numpy()
+        before = np.cumsum(total, axis=0) - total
+        # of the bands before, those that end in this band's first key; of those after, those that begin with its last
+        same_before, same_after = np.zeros_like(total), np.zeros_like(total)
+        for i in range(1, n):
+            if last[i - 1] == first[i]:
+                same_before[i] = tail[i - 1] + (same_before[i - 1] if first[i - 1] == last[i - 1] else 0.0)
+        for i in range(n - 2, -1, -1):
+            if first[i + 1] == last[i]:
+                same_after[i] = head[i + 1] + (same_after[i + 1] if first[i + 1] == last[i + 1] else 0.0)
+        for i, band in enumerate(own["band"]):
+            out[int(band), int(problem)] = Offsets(before[i], same_before[i], same_after[i])
+    return out
 
 
 def running(key: np.ndarray, values: np.ndarray, offsets: Offsets, exclusive: bool = False) -> np.ndarray:
@@ -116,17 +134,21 @@ def running(key: np.ndarray, values: np.ndarray, offsets: Offsets, exclusive: bo
     return at[group]
 
 
-def band_sums(bands: DataFrame, part: Callable[[int, Band], np.ndarray]) -> np.ndarray:
-    """The sum over all bands of the vector that ``part`` makes of a band, added up on the executors."""
+def band_sums(bands: DataFrame, part: Callable[[int, int, Band], np.ndarray],
+              parts: Callable[[Band], Iterable[tuple[int, Band]]] = whole) -> dict[int, np.ndarray]:
+    """Per problem the sum over all bands of the vector that ``part(band number, problem, rows)`` makes, added up on
+    the executors."""
 
     def run(batches):
         number, band = band_of_batches(batches)
-        if band:
-            out = np.asarray(part(number, band), dtype=np.float64).ravel()
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(out), dtype=np.int32)), pa.array(out)], names=["i", "x"])
-
-    rows = bands.mapInArrow(run, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).toPandas().sort_values("i")
-    return rows["x"].to_numpy(dtype=np.float64)
+        for problem, rows in parts(band) if band else ():
+            if len(next(iter(rows.values()))):
+                out = np.asarray(part(number, problem, rows), dtype=np.float64).ravel()
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(out), problem, dtype=np.int32)), pa.array(np.arange(len(out), dtype=np.int32)),
+                                                  pa.array(out)], names=["problem", "i", "x"])
+
+    rows = bands.mapInArrow(run, "problem int, i int, x double").groupBy("problem", "i").agg(F.sum("x").alias("x")).toPandas()
+    return {int(p): own["x"].to_numpy(dtype=np.float64) for p, own in rows.sort_values(["problem", "i"]).groupby("problem")}
 
 
 def moments(df: DataFrame, columns: list[str], weight: str | None = None) -> tuple[float, np.ndarray, np.ndarray]:

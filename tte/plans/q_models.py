@@ -3,11 +3,13 @@ regression checks (M12-M14)."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tte.operators.metrics import assemble_oof, check_regression, leaderboard
 from tte.operators.models.aft import LocationScaleAFT, WeibullAFT
-from tte.operators.models.cox import CoxPH
+from tte.operators.models.cox import CoxPH, cox_derivatives, cox_rows
+from tte.operators.models.cox_cv import cox_nested_cv, cox_oof, cox_search, random_alphas
 from tte.operators.models.ensemble import (
     CLASSIFIERS, Bagging, combine, dynamic_scores, dynamic_selection, fit_per_group, horizon_classifier, stacked_scores, stacking,
     update_model,
@@ -15,9 +17,10 @@ from tte.operators.models.ensemble import (
 from tte.operators.models.hazard import DiscreteHazard, person_period
 from tte.operators.pairs import concordance
 from tte.operators.prep import OneHot, SimpleImputer, StandardScaler, build_pipeline, fit_transform_split
-from tte.operators.split import contiguous_folds, cross_validate, kfold, stratified_split
+from tte.operators.split import contiguous_folds, kfold, stratified_split
+from tte.operators.vector_scan import ranged
 from tte.plans.registry import r6, register
-from tte.plans.sqltext import COHORT_EPISODES, COHORT_LINES, COHORT_ORDERS, RISK
+from tte.plans.sqltext import COHORT_EPISODES, COHORT_LINES, COHORT_ORDERS, RISK, draws_cte
 from tte.sources.testdata import HORIZONS, cohort_episodes, cohort_lines, cohort_orders, standin_long, with_standin
 
 SEGMENTS = ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')
@@ -195,16 +198,13 @@ def l7_bagging(spark, sf_dir):
 
 
 def _oof(spark, sf_dir, k=3):
-    co = cohort_orders(spark, sf_dir)
-    oof, final = cross_validate(
-        co, lambda d: CoxPH(["x_price", "x_bal"], alpha=0.01).fit(d),
-        lambda m, d: m.risk(d).select("subject_id", "fold", "time", "event", "risk", "x_price", "x_bal"), k=k)
-    return oof, final
+    oof, models = cox_oof(cohort_orders(spark, sf_dir), ["x_price", "x_bal"], alpha=0.01, k=k)
+    return oof.select("subject_id", "fold", "time", "event", "risk", "x_price", "x_bal"), models
 
 
 @register("V5_cross_validate")
 def v5_cv(spark, sf_dir):
-    """Rows-only: 3-fold out-of-fold C-index of a Cox model."""
+    """3-fold out-of-fold C-index of a Cox model; all folds are fitted together (tested against separate fits)."""
     oof, _ = _oof(spark, sf_dir)
     return concordance(oof).select("c_index", "comparable")
 
@@ -334,38 +334,70 @@ def m14_regression(spark, sf_dir):
     return r.select("metric", r6("new").alias("new"), r6("base").alias("base"), r6("change").alias("change"), "regressed")
 
 
-def _cox_factory(alpha):
-    return lambda d: CoxPH(["x_price", "x_bal"], alpha=alpha).fit(d)
-
-
 def _c_of(m, d):
     return concordance(m.risk(d)).collect()[0]["c_index"] or 0.0
 
 
 @register("V6_nested_cv")
 def v6_nested(spark, sf_dir):
-    """Rows-only: 2 x 2 nested CV over the ridge penalty of the Cox model."""
-    from tte.operators.split import nested_cv
-
-    rows, best = nested_cv(cohort_orders(spark, sf_dir), lambda p: _cox_factory(p["alpha"]), _c_of,
-                           {"alpha": [0.0, 1.0]}, outer=2, inner=2)
-    return spark.createDataFrame([(f, float(p["alpha"]), float(i), float(o)) for f, p, i, o in rows],
-                                 "outer_fold int, alpha double, inner_c double, outer_c double")
+    """2 x 2 nested CV over the ridge penalty of the Cox model, all fits together (tested against separate fits)."""
+    return cox_nested_cv(cohort_orders(spark, sf_dir), ["x_price", "x_bal"], [0.0, 1.0], outer=2, inner=2)
 
 
 @register("V7_random_search")
 def v7_random(spark, sf_dir):
-    from tte.operators.split import random_search
-
-    out, best = random_search(cohort_orders(spark, sf_dir), lambda p: _cox_factory(p["alpha"]), _c_of,
-                              {"alpha": ("float", 1e-3, 10.0, True)}, trials=3, k=2)
-    return spark.createDataFrame([(t, float(p["alpha"]), float(s)) for t, p, s in out], "trial int, alpha double, mean_c double")
+    """Three log-uniform ridge penalties by 2-fold C-index, all fits together."""
+    return cox_search(cohort_orders(spark, sf_dir), ["x_price", "x_bal"], random_alphas(1e-3, 10.0, 3), k=2)
+
+
+# fixed coefficients at which the derivatives are stated in SQL (the stand-in risk)
+COX_AT = (0.4, -0.1)
+
+
+@register("L1_cox_derivatives", f"""WITH {COHORT_ORDERS},
+s AS (SELECT time, event, x_price, x_bal, {RISK} AS lp, exp({RISK}) AS w FROM cohort WHERE time IS NOT NULL AND event IS NOT NULL AND x_price IS NOT NULL AND x_bal IS NOT NULL),
+t AS (SELECT time, sum(event) AS d, sum(w) AS s0, sum(w * x_price) AS s1, sum(w * x_bal) AS s2, sum(w * x_price * x_price) AS s11,
+             sum(w * x_price * x_bal) AS s12, sum(w * x_bal * x_bal) AS s22 FROM s GROUP BY time),
+r AS (SELECT time, d, {', '.join(f"sum({c}) OVER (ORDER BY time DESC) AS {c}" for c in ('s0', 's1', 's2', 's11', 's12', 's22'))} FROM t),
+e AS (SELECT sum(event * lp) AS lp, sum(event * x_price) AS e1, sum(event * x_bal) AS e2 FROM s)
+SELECT round(max(lp) - sum(d * ln(s0)), 6) AS loglik, round(max(e1) - sum(d * s1 / s0), 6) AS grad_price, round(max(e2) - sum(d * s2 / s0), 6) AS grad_bal,
+       round(-sum(d * (s11 / s0 - s1 * s1 / (s0 * s0))), 6) AS hess_price, round(-sum(d * (s12 / s0 - s1 * s2 / (s0 * s0))), 6) AS hess_both,
+       round(-sum(d * (s22 / s0 - s2 * s2 / (s0 * s0))), 6) AS hess_bal
+FROM r CROSS JOIN e""")
+def l1_derivatives(spark, sf_dir):
+    """Log-likelihood, gradient and Hessian of the partial likelihood at fixed coefficients, by the array scan."""
+    co = cohort_orders(spark, sf_dir)
+    rows = cox_rows(co, ["x_price", "x_bal"], np.zeros(2), np.ones(2), "time", "event")
+    data = ranged(rows, "t", co.count(), descending=True)
+    try:
+        ll, grad, hess = cox_derivatives(data, {0: np.array(COX_AT)})[0]
+    finally:
+        data.unpersist()
+    values = [ll, *grad, hess[0, 0], hess[0, 1], hess[1, 1]]
+    names = ["loglik", "grad_price", "grad_bal", "hess_price", "hess_both", "hess_bal"]
+    return spark.createDataFrame([tuple(map(float, values))], ", ".join(f"{n} double" for n in names)).select(*[r6(n).alias(n) for n in names])
+
+
+@register("L1_cox_gradient_at_solution", "SELECT 0.0::DOUBLE AS gradient, true AS converged")
+def l1_solution(spark, sf_dir):
+    """The largest entry of the gradient at the fitted coefficients, per subject and rounded, is 0."""
+    co = cohort_orders(spark, sf_dir)
+    m = CoxPH(["x_price", "x_bal"]).fit(co)
+    n = co.count()
+    data = ranged(cox_rows(co, m.features, np.zeros(2), np.ones(2), "time", "event"), "t", n, descending=True)
+    try:
+        _, grad, _ = cox_derivatives(data, {0: m.coef_})[0]
+    finally:
+        data.unpersist()
+    return spark.createDataFrame([(float(np.abs(grad).max()) / n, m.converged_)], "gradient double, converged boolean").select(
+        F.abs(r6("gradient")).alias("gradient"), "converged")
 
 
 @register("V10_leakage_probe")
 def v10_leak(spark, sf_dir):
-    """Rows-only: two preparations are probed, centring the features (which must pass) and replacing
-    the price by the subject's mean follow-up (which sees outcomes and gains when fitted early)."""
+    """A Cox model on both features is fitted and scored by its C-index after two preparations: centring the features (which must
+    pass), and replacing the price by the mean follow-up of the customer's orders of that priority, groups that span the
+    folds (which sees held-out outcomes and gains when it is fitted before splitting)."""
     from tte.operators.split import leakage_probe
 
     def centred(train, rows):
@@ -373,21 +405,13 @@ def v10_leak(spark, sf_dir):
         return rows.withColumn("x_price", F.col("x_price") - F.lit(m["a"])).withColumn("x_bal", F.col("x_bal") - F.lit(m["b"]))
 
     def target_mean(train, rows):
-        means = train.groupBy(F.col("subject_id").alias("_id")).agg(F.avg("time").alias("_m"))
-        known = rows.join(means, rows["subject_id"] == means["_id"], "left")
-        return known.withColumn("x_price", -F.coalesce("_m", F.lit(0.0))).drop("_id", "_m")
-
-    from tte.operators.models.linear import LinearRisk
-
-    co = cohort_orders(spark, sf_dir)
-    fit = lambda feats: (lambda d: LinearRisk(dict.fromkeys(feats, 1.0)))  # noqa: E731  nothing to fit: only the preparation can leak
-
-    def score(model, rows):
-        """Correlation of the risk with an early time (0 for a constant risk)."""
-        r = model.risk(rows).agg(F.covar_pop("risk", "time"), F.stddev_pop("risk"), F.stddev_pop("time")).first()
-        return -r[0] / (r[1] * r[2]) if r[1] and r[2] else 0.0
+        means = train.groupBy(F.col("x_bal").alias("_b"), F.col("o_orderpriority").alias("_p")).agg(F.avg("time").alias("_m"))
+        same = rows["x_bal"].eqNullSafe(F.col("_b")) & rows["o_orderpriority"].eqNullSafe(F.col("_p"))
+        average = train.agg(F.avg("time").alias("_all"))
+        known = rows.join(means, same, "left").crossJoin(F.broadcast(average))  # one row
+        return known.withColumn("x_price", F.coalesce("_m", "_all")).drop("_b", "_p", "_m", "_all")
 
-    rows = [(name, *leakage_probe(co, prepare, fit, score, ["x_price"], k=2))
+    rows = [(name, *leakage_probe(cohort_orders(spark, sf_dir), prepare, lambda feats: (lambda d: CoxPH(feats).fit(d)), _c_of, ["x_price", "x_bal"], k=2))
             for name, prepare in (("centred", centred), ("target_mean", target_mean))]
     return spark.createDataFrame(rows, "preparation string, honest double, early double, leak_detected boolean")
 
@@ -400,25 +424,90 @@ def x1_perm(spark, sf_dir):
     return permutation_importance(cohort_orders(spark, sf_dir), "subject_id", m.risk, ["x_price", "x_bal"], repeats=2)
 
 
-@register("X2_permutation_shift")
-def x2_shift(spark, sf_dir):
-    """Rows-only: about 0 for a linear model by construction (a permutation keeps the mean)."""
-    from tte.operators.explain import permutation_shift
+def _fixed():
+    from tte.operators.models.linear import LinearRisk
 
-    m = CoxPH(["x_price", "x_bal"]).fit(cohort_orders(spark, sf_dir))
-    return permutation_shift(cohort_orders(spark, sf_dir), "subject_id", m.risk, ["x_price", "x_bal"], repeats=2)
+    return LinearRisk({"x_price": 0.4, "x_bal": -0.1})
 
 
-@register("X5_sampled_shapley")
+@register("X2_permutation_shift", """SELECT feature, 0.0::DOUBLE AS shift FROM (VALUES ('x_price'), ('x_bal')) t(feature)""")
+def x2_shift(spark, sf_dir):
+    """0 for a linear model by construction: a permutation keeps every value, hence the mean."""
+    from tte.operators.explain import permutation_shift
+
+    s = permutation_shift(cohort_orders(spark, sf_dir), "subject_id", _fixed().risk, ["x_price", "x_bal"], repeats=2)
+    return s.select("feature", F.abs(r6("shift")).alias("shift"))
+
+
+def _permuted_sql(at: str, feature: str, rep: int) -> str:
+    """The row number that the permutation sends ``at`` to: one turn of the network (a and b are its digits)."""
+    from tte.operators.permute import permutation_keys
+    from tte.operators.replicates import PRIME
+
+    left, right = f"({at} // b)", f"({at} % b)"
+    mix = lambda x, k: f"((((({x} + {k}) % {PRIME}) * (({x} + {k}) % {PRIME})) + 40503 * (({x} + {k}) % {PRIME}) + {k}) % {PRIME})"
+    steps, keys = [], permutation_keys(42, f"{feature}:{rep}")
+    for i, k in enumerate(keys):
+        l, r = (f"l{i}", f"r{i}")
+        steps.append((l, r, mix(r if i % 2 == 0 else l, k), i % 2 == 0))
+    out = f"SELECT *, {left} AS l0, {right} AS r0 FROM @src"
+    for l, r, m, on_left in steps:
+        i = int(l[1:]) + 1
+        out = f"SELECT * EXCLUDE ({l}, {r}), {f'({l} + {m}) % a' if on_left else l} AS l{i}, {r if on_left else f'({r} + {m}) % b'} AS r{i} FROM ({out})"
+    return f"SELECT * EXCLUDE (l4, r4), l4 * b + r4 AS moved FROM ({out})"
+
+
+def _copies_sql() -> str:
+    parts = []
+    for f in ("x_price", "x_bal"):
+        for r in range(2):
+            turn = _permuted_sql("pos", f, r)
+            walk = f"""SELECT row, n, a, b, row AS pos, 0 AS turn FROM numbered CROSS JOIN size
+  UNION ALL SELECT row, n, a, b, moved, turn + 1 FROM ({turn.replace('@src', '(SELECT * FROM w_%s_%d WHERE turn = 0 OR pos >= n)' % (f, r))})"""
+            parts.append((f"w_{f}_{r}", walk, f, r))
+    ctes = ",\n".join(f"{name} AS ({walk})" for name, walk, _, _ in parts)
+    reads = " UNION ALL ".join(
+        f"SELECT '{f}' AS permuted, {r} AS rep, o.row, v.{f} AS value FROM {name} w JOIN numbered o ON o.row = w.row JOIN numbered v ON v.row = w.pos WHERE w.turn > 0 AND w.pos < w.n"
+        for name, _, f, r in parts)
+    return f"""WITH RECURSIVE {COHORT_ORDERS}, numbered AS (SELECT *, row_number() OVER (ORDER BY subject_id) - 1 AS row FROM cohort),
+size AS (SELECT n, a, (n + a - 1) // a AS b FROM (SELECT count(*) AS n, CAST(floor(sqrt(count(*) - 1)) AS BIGINT) + 1 AS a FROM cohort)),
+{ctes}, copies AS ({reads})
+SELECT permuted, rep, count(*) AS n, round(sum(value), 6) AS total, round(avg(value * (row % 97)), 6) AS placed FROM copies GROUP BY permuted, rep"""
+
+
+@register("X2_permuted_copies", _copies_sql())
+def x2_copies(spark, sf_dir):
+    """Which value each row gets: per feature and repeat the count, the total (that of the table) and a sum that
+    depends on the place of every value."""
+    from tte.operators.explain import permuted_copies
+    from tte.operators.permute import row_numbers
+
+    co = cohort_orders(spark, sf_dir).select("subject_id", "x_price", "x_bal")
+    own, _ = row_numbers(co, "subject_id", "row")
+    c = permuted_copies(own, "subject_id", ["x_price", "x_bal"], 2, 42)
+    value = F.when(F.col("permuted") == "x_price", F.col("x_price")).otherwise(F.col("x_bal"))
+    return c.groupBy("permuted", "rep").agg(F.count(F.lit(1)).alias("n"), r6(F.sum(value)).alias("total"),
+                                            r6(F.avg(value * (F.col("row") % 97))).alias("placed"))
+
+
+SHAP_DRAWS = 8
+
+
+@register("X5_sampled_shapley", f"""WITH {COHORT_ORDERS}, numbered AS (SELECT *, row_number() OVER (ORDER BY subject_id) - 1 AS row, count(*) OVER () AS n FROM cohort),
+{draws_cte(42, SHAP_DRAWS, index=True)},
+bg AS (SELECT d.subject_id, avg(b.x_price) AS b_price, avg(b.x_bal) AS b_bal FROM draws d CROSS JOIN (SELECT count(*) AS n FROM cohort) c
+       JOIN numbered b ON b.row = d.u::HUGEINT * c.n // 2147483647 GROUP BY d.subject_id),
+s AS (SELECT 0.4 * (x_price - b_price) AS p, -0.1 * (x_bal - b_bal) AS q FROM numbered JOIN bg USING (subject_id))
+SELECT 'x_price' AS feature, round(avg(p), 6) AS mean_shapley, round(avg(abs(p)), 6) AS mean_abs FROM s
+UNION ALL SELECT 'x_bal', round(avg(q), 6), round(avg(abs(q)), 6) FROM s""")
 def x5_shapley(spark, sf_dir):
-    """Rows-only: Monte Carlo Shapley of the fixed linear risk per order, summarised per feature
-    (for a linear model the mean equals beta_j (mean x_j - mean background x_j))."""
+    """Monte Carlo Shapley values of the fixed linear risk per order, summarised per feature. In a linear model a feature's
+    value is its coefficient times the distance to the drawn background rows, whatever the order of the walk."""
     from tte.operators.explain import sampled_shapley
-    from tte.operators.models.linear import LinearRisk
 
     co = cohort_orders(spark, sf_dir)
-    sh = sampled_shapley(co, "subject_id", LinearRisk({"x_price": 0.4, "x_bal": -0.1}).risk, ["x_price", "x_bal"], co, draws=8)
-    return sh.groupBy("feature").agg(F.avg("shapley").alias("mean_shapley"), F.avg(F.abs("shapley")).alias("mean_abs"))
+    sh = sampled_shapley(co, "subject_id", _fixed().risk, ["x_price", "x_bal"], co, draws=SHAP_DRAWS)
+    return sh.groupBy("feature").agg(r6(F.avg("shapley")).alias("mean_shapley"), r6(F.avg(F.abs("shapley"))).alias("mean_abs"))
 
 
 @register("X10_X11_counterfactuals")

@@ -105,6 +105,19 @@ def w6_gate(spark, sf_dir):
     return out
 
 
+@register("W6_stream_update_buffer", """
+WITH r AS (SELECT event_type, event_id, value, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS i FROM events),
+c AS (SELECT event_type, count(*) AS n FROM events GROUP BY event_type)
+SELECT event_type, CAST(i // 60 + 1 AS BIGINT) AS signal, event_id, value FROM r JOIN c USING (event_type)
+WHERE i < n // 60 * 60 AND i % 60 >= 20""")
+def w6_buffer(spark, sf_dir):
+    """Per event type, the newest 40 of every 60 rows."""
+    from tte.streaming.stream import stream_update_buffer
+
+    out, _ = run_available_now(stream_update_buffer(_events(spark, sf_dir), "event_type", ["event_id", "value"], ["ts", "event_id"], 60, 40), "w6b")
+    return out
+
+
 @register("W3_stream_alerts", f"""
 WITH w AS (SELECT date_trunc('day', ts) AS window_start, count(*) AS n, count(value) AS v, count(props) AS p
            FROM events GROUP BY 1 HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= {CLOSED}),

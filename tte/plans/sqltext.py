@@ -127,14 +127,15 @@ df AS (
   FROM orders LEFT JOIN customer ON o_custkey = c_custkey)"""
 
 
-def draws_cte(seed: int, reps: int, cohort: str = "cohort") -> str:
-    """CTE ``draws(subject_id, rep, bw)``: the Poisson weights of ``tte.operators.replicates``, recomputed."""
+def draws_cte(seed: int, reps: int, cohort: str = "cohort", index: bool = False) -> str:
+    """CTE ``draws(subject_id, rep, bw)``: the Poisson weights of ``tte.operators.replicates``, recomputed; ``index``: the
+    hashes ``u`` instead."""
     from tte.operators.replicates import CUTS, PRIME, coefficients
 
     polynomials = ", ".join(f"({r}, {a}, {b}, {c}, {d})" for r, (a, b, c, d) in enumerate(coefficients(seed, reps)))
     return f"""
 draws AS (
-  SELECT subject_id, rep, CAST(len(list_filter({CUTS}, lambda q: q < u)) AS DOUBLE) AS bw FROM (
+  SELECT subject_id, rep, {"u" if index else f"CAST(len(list_filter({CUTS}, lambda q: q < u)) AS DOUBLE) AS bw"} FROM (
     SELECT subject_id, rep, (((((a * x + b) % {PRIME}) * x + c) % {PRIME}) * x + d) % {PRIME} AS u FROM (
       SELECT subject_id, CAST('0x' || substr(md5(coalesce(CAST(subject_id AS VARCHAR), '')), 1, 15) AS BIGINT) % {PRIME} AS x FROM {cohort})
     CROSS JOIN (SELECT rep, CAST(a AS BIGINT) AS a, CAST(b AS BIGINT) AS b, CAST(c AS BIGINT) AS c, CAST(d AS BIGINT) AS d

@@ -160,3 +160,58 @@ def stream_update_gate(stream: DataFrame, key: str, min_samples: int = 50) -> Da
     counts_schema = T.StructType([T.StructField(key, stream.schema[key].dataType), T.StructField("n", T.LongType())])
     return (stream.select(key).mapInArrow(_partial_counts, counts_schema).groupBy(key)
             .applyInPandasWithState(gate, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout))
+
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def stream_update_buffer(stream: DataFrame, key: str, columns: Sequence[str], order: Sequence[str], min_samples: int = 50,
+                         max_buffer: int = 10_000) -> DataFrame:
+    """The rows for an update, handed on: ``key, signal, columns...``.
+
+    Per key the newest ``max_buffer`` rows that no update has had yet are kept as state. When ``min_samples`` rows have
+    come since the last signal, the kept rows are emitted with the signal's number (1, 2, ...) and the buffer
+    is cleared. Rows of one batch count in the order of the columns ``order``, so if batches come in that order, the
+    result does not depend on where one batch ends. The state of a key is at most ``max_buffer`` rows (a list
+    state) and two numbers; a batch's rows of a key are sorted in its task, so a source with a large
+    backlog wants a limit on its files per batch. A null key is a key like any other."""
+    from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)  # list states need it
+    names = [*dict.fromkeys([*columns, *order])]
+    row_schema = T.StructType([stream.schema[c] for c in names])
+    out_schema = T.StructType([T.StructField(key, stream.schema[key].dataType), T.StructField("signal", T.LongType()),
+                               *(stream.schema[c] for c in columns)])
+
+    class Buffer(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.rows = handle.getListState("rows", row_schema)
+            self.counts = handle.getValueState("counts", "waiting long, signals long")
+
+        def handleInputRows(self, key_value, rows, timerValues):
+            waiting, signals = self.counts.get() if self.counts.exists() else (0, 0)
+            new = pd.concat([pdf[names] for pdf in rows]).sort_values([*order], kind="stable")
+            kept, out, at = None, [], 0
+            while at < len(new):
+                part = new.iloc[at: at + min_samples - waiting]
+                at, waiting = at + len(part), waiting + len(part)
+                if kept is None:
+                    old = list(self.rows.get())
+                    kept = pd.DataFrame(old, columns=names).astype(new.dtypes.to_dict()) if old else new.iloc[:0]
+                kept = pd.concat([kept, part]).tail(max_buffer) if len(kept) else part.tail(max_buffer)
+                if waiting == min_samples:
+                    waiting, signals = 0, signals + 1
+                    out.append(kept[list(columns)].assign(**{key: key_value[0], "signal": signals})[out_schema.names])
+                    kept = new.iloc[:0]
+            self.rows.clear()
+            if len(kept):
+                self.rows.put([tuple(x.to_pydatetime() if isinstance(x, pd.Timestamp) else None if x is pd.NaT else x for x in r)
+                               for r in kept.astype(object).itertuples(index=False)])
+            self.counts.update((waiting, signals))
+            yield from out
+
+        def close(self) -> None:
+            pass
+
+    return stream.select(*dict.fromkeys([key, *names])).groupBy(key).transformWithStateInPandas(
+        statefulProcessor=Buffer(), outputStructType=out_schema, outputMode="Append", timeMode="None")
