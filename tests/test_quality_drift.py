@@ -5,7 +5,7 @@ import pytest
 
 from tte.operators.drift import drift_scores, feature_stats
 from tte.operators.quality import (
-    Rule, cleanse_missing, iqr_outliers, profile_columns, quality_metrics, remove_outliers, validate,
+    Rule, cleanse_missing, iqr_outliers, profile_columns, quality_metrics, remove_outliers, top_values, validate,
 )
 from tte.operators.stats import exact_quantiles
 
@@ -92,3 +92,17 @@ def test_exact_quantiles_banded_path(spark):
     for g in (0, 1):
         for p in (0.05, 0.5, 0.95):
             assert q[(g, p)] == pytest.approx(float(np.quantile(v[np.arange(3001) % 2 == g], p)))
+
+
+def test_categorical_statistics_by_period_with_nulls(spark):
+    rows = [("a", "x"), ("a", "x"), ("a", "y"), ("a", None), ("b", None), (None, "z")]
+    df = spark.createDataFrame(rows, "g string, c string")
+    got = {r.g: (r.unique_count, r.top_category_rate, r.missing_rate) for r in feature_stats(df, [], ["c"], by=["g"]).collect()}
+    assert got == {"a": (2.0, 2 / 3, 0.25), "b": (0.0, 0.0, 1.0), None: (1.0, 1.0, 0.0)}
+
+
+def test_top_values_breaks_ties_by_value_and_leaves_nulls_out(spark):
+    df = spark.createDataFrame([("b", 1), ("a", 1), ("c", None), ("c", 2), (None, 3)], "s string, n int")
+    got = [tuple(r) for r in top_values(df, ["s", "n"], 2).collect()]
+    assert sorted(got) == [("n", "1", 2), ("n", "2", 1), ("s", "a", 1), ("s", "c", 2)]
+    assert "WindowGroupLimit" in top_values(df, ["s"], 2)._jdf.queryExecution().executedPlan().toString()

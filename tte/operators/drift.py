@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tte.operators.scan import BAND, band_of, plan_bands, prefix_sum
-from tte.operators.stats import melt
+from tte.operators.stats import distinct_counts, melt
 
 
 def _q(c):
@@ -24,8 +24,9 @@ def _q(c):
 
 def feature_stats(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (), by: Sequence[str] = ()) -> DataFrame:
     """Long rows ``by..., column, kind, mean, std, min, max, missing_rate, unique_count,
-    top_category_rate``. Numeric: sample std; categorical: distinct non-null values and the share
-    of the most frequent value among non-null rows (0 when all null)."""
+    top_category_rate``. Numeric: sample std; categorical: distinct non-null values (as text) and the
+    share of the most frequent value among non-null rows (0 when all null), from one table of value
+    counts for all categorical columns. Rows whose period is null are a period of their own."""
     by = list(by)
     aggs = [F.count(F.lit(1)).alias("_n")]
     for c in numeric:
@@ -33,31 +34,29 @@ def feature_stats(df: DataFrame, numeric: Sequence[str], categorical: Sequence[s
         aggs += [F.avg(x).alias(f"{c}__mean"), F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
                  F.max(x).alias(f"{c}__max"), F.avg(x.isNull().cast("double")).alias(f"{c}__miss")]
     for c in categorical:
-        aggs += [F.countDistinct(_q(c)).cast("double").alias(f"{c}__uniq"), F.avg(_q(c).isNull().cast("double")).alias(f"{c}__miss"),
-                 F.count(_q(c)).alias(f"{c}__nn")]
+        aggs += [F.avg(_q(c).isNull().cast("double")).alias(f"{c}__miss"), F.count(_q(c)).alias(f"{c}__nn")]
     wide = df.groupBy(*by).agg(*aggs)
-    if categorical:
-        # top share: per column the largest value count (a grouped count, then max per group)
-        tops = None
-        for c in categorical:
-            t = (df.where(_q(c).isNotNull()).groupBy(*by, _q(c)).agg(F.count(F.lit(1)).alias("_k"))
-                 .groupBy(*by).agg(F.max("_k").alias(f"{c}__top")))
-            tops = t if tops is None else tops.join(t, by, "full") if by else tops.crossJoin(t)
-        wide = wide.join(tops, by, "left") if by else wide.crossJoin(tops)
     null = F.lit(None).cast("double")
     rows = []
     for c in numeric:
         rows.append(F.struct(F.lit(c).alias("column"), F.lit("numeric").alias("kind"),
                              *[F.col(f"`{c}__{m}`").alias(m) for m in ("mean", "std", "min", "max")],
-                             F.col(f"`{c}__miss`").alias("missing_rate"), null.alias("unique_count"),
-                             null.alias("top_category_rate")))
+                             F.col(f"`{c}__miss`").alias("missing_rate"), F.lit(None).cast("long").alias("_nn")))
     for c in categorical:
         rows.append(F.struct(F.lit(c).alias("column"), F.lit("categorical").alias("kind"),
                              null.alias("mean"), null.alias("std"), null.alias("min"), null.alias("max"),
-                             F.col(f"`{c}__miss`").alias("missing_rate"), F.col(f"`{c}__uniq`").alias("unique_count"),
-                             F.when(F.col(f"`{c}__nn`") > 0, F.coalesce(F.col(f"`{c}__top`"), F.lit(0)) / F.col(f"`{c}__nn`"))
-                             .otherwise(F.lit(0.0)).alias("top_category_rate")))
-    return wide.select(*by, F.explode(F.array(*rows)).alias("_r")).select(*by, "_r.*")
+                             F.col(f"`{c}__miss`").alias("missing_rate"), F.col(f"`{c}__nn`").alias("_nn")))
+    long = wide.select(*by, F.explode(F.array(*rows)).alias("_r")).select(*by, "_r.*")
+    if not categorical:
+        return long.drop("_nn").withColumns({"unique_count": null, "top_category_rate": null})
+    counts = distinct_counts(df, categorical, by).select(
+        *[_q(b).alias(f"_by_{b}") for b in by], F.col("column").alias("_column"), "n_distinct", "n_top")
+    same = [F.col("column") == F.col("_column"), *[_q(b).eqNullSafe(_q(f"_by_{b}")) for b in by]]
+    is_cat = F.col("kind") == "categorical"
+    return long.join(counts, same, "left").select(
+        *by, "column", "kind", "mean", "std", "min", "max", "missing_rate",
+        F.when(is_cat, F.coalesce("n_distinct", F.lit(0)).cast("double")).alias("unique_count"),
+        F.when(is_cat & (F.col("_nn") > 0), F.col("n_top") / F.col("_nn")).when(is_cat, 0.0).alias("top_category_rate"))
 
 
 def _pair(base: DataFrame, cur: DataFrame) -> DataFrame:

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tte.operators.stats import (
-    corrected_kurt, corrected_skew, exact_quantiles, melt, most_frequent, numeric_columns, text_columns,
+    corrected_kurt, corrected_skew, distinct_counts, exact_quantiles, melt, most_frequent, numeric_columns, text_columns,
+    value_counts,
 )
 
 
@@ -74,14 +75,12 @@ def profile_columns(df: DataFrame, exact: bool = True) -> DataFrame:
 
 
 def top_values(df: DataFrame, cols: Sequence[str], k: int = 10) -> DataFrame:
-    """Q2: the ``k`` most frequent non-null values per column (count desc, then value): a
-    distributed top-k per column (``orderBy().limit()``), unioned."""
-    out = None
-    for c in cols:
-        t = (df.where(_q(c).isNotNull()).groupBy(_q(c).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("count"))
-             .orderBy(F.col("count").desc(), F.col("value")).limit(k).select(F.lit(c).alias("column"), "value", "count"))
-        out = t if out is None else out.unionByName(t)
-    return out
+    """Q2: the ``k`` most frequent non-null values per column (count desc, then value), from one table
+    of value counts. The rank filter becomes a group limit below the shuffle, so each task passes on
+    at most ``k`` rows a column."""
+    rank = Window.partitionBy("column").orderBy(F.col("n").desc(), "value")
+    return (value_counts(df, cols).withColumn("_rank", F.row_number().over(rank)).where(F.col("_rank") <= k)
+            .select("column", "value", F.col("n").alias("count")))
 
 
 def profile_survival(df: DataFrame, time: str = "time", event: str = "event", exact: bool = True) -> DataFrame:
@@ -144,12 +143,8 @@ def quality_metrics(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     ncols = len(df.columns)
     txt = set(text_columns(df))
-    aggs = [F.count(F.lit(1)).alias("n_rows")]
-    for c in df.columns:
-        aggs.append(F.sum(_q(c).isNull().cast("long")).alias(f"{c}__miss"))
-        if c in txt:
-            aggs.append(F.countDistinct(_q(c)).alias(f"{c}__uniq"))
-    wide = df.agg(*aggs)
+    wide = df.agg(F.count(F.lit(1)).alias("n_rows"),
+                  *[F.sum(_q(c).isNull().cast("long")).alias(f"{c}__miss") for c in df.columns])
     dup = df.groupBy(*[_q(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_c")).agg(
         F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
     miss = sum((F.col(f"`{c}__miss`") for c in df.columns), F.lit(0).cast("long"))
@@ -161,10 +156,15 @@ def quality_metrics(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     cols = F.array(*[F.struct(
         F.lit(c).alias("column"),
         ((1 - F.col(f"`{c}__miss`") / F.col("n_rows")) * 100.0).alias("completeness"),
-        (F.col(f"`{c}__uniq`") * 100.0 / F.col("n_rows") if c in txt else F.lit(None).cast("double")).alias("uniqueness"),
+        F.when(F.lit(c in txt), F.col("n_rows")).alias("_of"),
     ) for c in df.columns])
     per_col = wide.select(F.explode(cols).alias("_r")).select("_r.*")
-    return ds, per_col
+    if not txt:
+        return ds, per_col.select("column", "completeness", F.lit(None).cast("double").alias("uniqueness"))
+    # one row per text column
+    distinct = F.broadcast(distinct_counts(df, sorted(txt)).select("column", "n_distinct"))
+    return ds, per_col.join(distinct, "column", "left").select(
+        "column", "completeness", (F.coalesce("n_distinct", F.lit(0)) * 100.0 / F.col("_of")).alias("uniqueness"))
 
 
 def iqr_fences(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:

@@ -33,6 +33,20 @@ def melt(df: DataFrame, cols: Sequence[str], value_type: str = "double", keep: S
     return df.select(*keep, F.explode(arr).alias("_kv")).select(*keep, "_kv.column", "_kv.value")
 
 
+def value_counts(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """``by..., column, value, n``: rows of each non-null value, as text, of each column. One scan, narrow rows
+    that are counted before the shuffle, and no task that holds a column's values."""
+    long = melt(df, cols, "string", keep=by).where(F.col("value").isNotNull())
+    return long.groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def distinct_counts(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """``by..., column, n_distinct, n_top``: distinct non-null values, compared as text, and rows of the most
+    frequent one; columns without a value have no row."""
+    return value_counts(df, cols, by).groupBy(*by, "column").agg(
+        F.count(F.lit(1)).alias("n_distinct"), F.max("n").alias("n_top"))
+
+
 def most_frequent(df: DataFrame, cols: Sequence[str]) -> dict:
     """The most frequent non-null value of each column (the smallest on a tie; None without values).
 
