@@ -109,3 +109,40 @@ def test_dedup_keeps_every_event_once(spark):
     s = read_stream(spark, _files(spark, ev.unionByName(ev.where("event_id % 4 = 0")), 1))
     out, _ = run_available_now(stream_dedup(s, ["event_id"]), "dedup")
     assert sorted(r.event_id for r in out.collect()) == sorted(r.event_id for r in ev.collect())
+
+
+@pytest.mark.parametrize("files", [1, 5])
+def test_window_stats_stay_within_the_sketches_bounds(spark, files):
+    """Windows merged from panes: exact moments; distinct values, quantiles and the top share within the bounds that
+    the docstring gives; a column of nulls, empty texts and a far-off mean."""
+    import numpy as np
+
+    from tte.streaming.stream import stream_window_stats
+
+    n = 60_000
+    rows = spark.range(n, numPartitions=2).select(
+        F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") * 6 * 86400 / n).alias("ts"), (1e6 + F.xxhash64("id") % 100_000 / 100).alias("x"),
+        F.when(F.col("id") % 5 == 0, None).otherwise(F.col("id") % 20_011).alias("many"),
+        F.when(F.col("id") % 3 == 0, "").when(F.col("id") % 3 == 1, "b").alias("few"),
+        F.lit(None).cast("double").alias("none"), F.lit(None).cast("string").alias("nothing"))
+    s = read_stream(spark, _files(spark, rows, files), max_files_per_trigger=1 if files == 1 else None)
+    stats = stream_window_stats(s, ["x", "none"], ["many", "few", "nothing"], "2 days", "1 day", "0 seconds", center={"x": 1e6})
+    out, _ = run_available_now(stats, "bounds")
+    got = {(r.window_start.day, r.column): r for r in out.where("window_start >= timestamp_seconds(1704067200)").collect()}
+    data = rows.toPandas()
+    days = (data.ts.astype("int64") // 10 ** (9 if data.ts.dtype == "datetime64[ns]" else 6) - 1_704_067_200) // 86400
+    assert sorted({d for d, _ in got}) == [1, 2, 3, 4]  # the window that ends with the last row is open
+    for d in range(1, 5):
+        part = data[(days >= d - 1) & (days < d + 1)]
+        x = got[d, "x"]
+        assert x.n_rows == len(part) and x.missing_rate == 0 and x.min == part.x.min() and x.max == part.x.max()
+        assert abs(x["mean"] - part.x.mean()) < 1e-6 and abs(x["std"] - part.x.std()) < 1e-6
+        for p, q in zip((0.25, 0.5, 0.75), x.quantiles, strict=True):
+            assert abs((part.x <= q).mean() - p) < 0.01
+        many, few = got[d, "many"], got[d, "few"]
+        assert abs(many.unique_count / part.many.nunique() - 1) < 0.03 and abs(many.missing_rate - part.many.isna().mean()) < 1e-9
+        assert (few.unique_count, round(few.top_category_rate, 3)) == (2.0, 0.5)
+        none, nothing = got[d, "none"], got[d, "nothing"]
+        assert none.missing_rate == 1 and (none["mean"], none["std"], none["min"], none.quantiles) == (None,) * 4
+        assert (nothing.missing_rate, nothing.unique_count, nothing.top_category_rate) == (1.0, 0.0, 0.0)
+    assert np.isclose(max(r.top_category_rate for r in out.where("column = 'few'").collect()), 0.5, atol=0.01)

@@ -65,15 +65,16 @@ def _pair(base: DataFrame, cur: DataFrame) -> DataFrame:
     return b.join(c, "column")
 
 
-def drift_scores(base: DataFrame, cur: DataFrame) -> DataFrame:
+def drift_scores(base: DataFrame, cur: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """D2 + D3 on two D1 tables: numeric max(|dmean|/std0, |dstd|/std0), 0 when std0 = 0;
-    categorical max(|dtop share|, |ddistinct| / max(distinct0, 1))."""
+    categorical max(|dtop share|, |ddistinct| / max(distinct0, 1)). ``by``: columns of ``cur`` that tell its periods
+    apart; each is compared with ``base``."""
     j = _pair(base, cur)
     num = F.when(F.col("b_std") > 0, F.greatest(F.abs(F.col("c_mean") - F.col("b_mean")) / F.col("b_std"),
                                                 F.abs(F.col("c_std") - F.col("b_std")) / F.col("b_std"))).otherwise(F.lit(0.0))
     cat = F.greatest(F.abs(F.col("c_top_category_rate") - F.col("b_top_category_rate")),
                      F.abs(F.col("c_unique_count") - F.col("b_unique_count")) / F.greatest(F.col("b_unique_count"), F.lit(1.0)))
-    return j.select("column", "kind", F.when(F.col("kind") == "numeric", num).otherwise(cat).alias("drift"))
+    return j.select(*[F.col(f"c_{b}").alias(b) for b in by], "column", "kind", F.when(F.col("kind") == "numeric", num).otherwise(cat).alias("drift"))
 
 
 def drift_relative(base: DataFrame, cur: DataFrame) -> DataFrame:

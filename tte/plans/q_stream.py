@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tte.plans.registry import r6, register
 from tte.streaming.stream import (
     read_stream, run_available_now, stream_dedup, stream_feature_stats, stream_quality, stream_score, stream_sessions,
-    stream_update_gate,
+    stream_update_gate, stream_window_drift, stream_window_stats,
 )
 
 
@@ -61,6 +61,52 @@ def w2_feature_stats(spark, sf_dir):
                       r6("mean").alias("mean"), r6("std").alias("std"), "min", "max", r6("drift").alias("drift"))
 
 
+WINDOW_STATS = f"""w AS (SELECT d.start AS window_start, d.start + INTERVAL 3 DAY AS window_end, e.value, e.event_type
+      FROM (SELECT DISTINCT date_trunc('day', ts) - i * INTERVAL 1 DAY AS start FROM events, range(3) t(i)) d
+      JOIN events e ON e.ts >= d.start AND e.ts < d.start + INTERVAL 3 DAY WHERE d.start + INTERVAL 3 DAY <= {CLOSED}),
+v AS (SELECT window_start, window_end, event_type, count(*) AS k FROM w WHERE event_type IS NOT NULL GROUP BY ALL),
+st AS (SELECT window_start, window_end, count(*) AS n_rows, 'value' AS "column", 'numeric' AS kind, avg(value) AS mean, stddev_samp(value) AS std,
+         min(value) AS min, max(value) AS max, 1 - count(value) / count(*) AS missing_rate, NULL::DOUBLE AS unique_count,
+         NULL::DOUBLE AS top_category_rate FROM w GROUP BY 1, 2
+       UNION ALL
+       SELECT w.window_start, w.window_end, count(*), 'event_type', 'categorical', NULL, NULL, NULL, NULL, 1 - count(event_type) / count(*),
+         count(DISTINCT event_type)::DOUBLE, coalesce((SELECT max(k) / sum(k) FROM v WHERE v.window_start = w.window_start), 0.0)
+       FROM w GROUP BY 1, 2)"""
+
+
+def _window_stats(spark, sf_dir):
+    return stream_window_stats(_events(spark, sf_dir), ["value"], ["event_type"], "3 days", "1 day")
+
+
+@register("W2_stream_window_stats", f"""WITH {WINDOW_STATS}
+SELECT window_start, window_end, n_rows, "column", kind, round(mean, 6) AS mean, round(std, 6) AS std, min, max, round(missing_rate, 6) AS missing_rate,
+       unique_count, round(top_category_rate, 6) AS top_category_rate FROM st""")
+def w2_window_stats(spark, sf_dir):
+    """All D1 statistics of 3-day windows (1-day slide), merged from the sketches of the days."""
+    out, _ = run_available_now(_window_stats(spark, sf_dir), "w2s")
+    return out.select(*[F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end")], "n_rows", "column", "kind",
+                      r6("mean").alias("mean"), r6("std").alias("std"), "min", "max", r6("missing_rate").alias("missing_rate"), "unique_count",
+                      r6("top_category_rate").alias("top_category_rate"))
+
+
+@register("W2_stream_window_drift", f"""WITH {WINDOW_STATS},
+e0 AS (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-04'),
+b AS (SELECT avg(value) AS mean, stddev_samp(value) AS std, count(DISTINCT event_type) AS u,
+        (SELECT max(k) / sum(k) FROM (SELECT count(*) AS k FROM e0 WHERE event_type IS NOT NULL GROUP BY event_type)) AS top FROM e0)
+SELECT window_start, window_end, "column", kind, round(CASE WHEN kind = 'numeric' THEN
+         CASE WHEN b.std > 0 THEN greatest(abs(st.mean - b.mean) / b.std, abs(st.std - b.std) / b.std) ELSE 0.0 END
+       ELSE greatest(abs(top_category_rate - b.top), abs(unique_count - b.u) / greatest(b.u, 1)) END, 6) AS drift
+FROM st CROSS JOIN b""")
+def w2_window_drift(spark, sf_dir):
+    """Drift of both kinds of columns in 3-day windows against the first three days."""
+    from tte.operators.drift import feature_stats
+    from tte.sources.tables import table
+
+    base = feature_stats(table(spark, sf_dir, "events").where(F.col("ts") < F.lit("2024-01-04").cast("timestamp_ntz")), ["value"], ["event_type"])
+    out, _ = run_available_now(stream_window_drift(_window_stats(spark, sf_dir), base), "w2d")
+    return out.select(*[F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end")], "column", "kind", r6("drift").alias("drift"))
+
+
 @register("W4_stream_score", """
 SELECT event_id, round((value - 25.0) / 10.0, 6) AS risk,
        round(exp(-exp((value - 25.0) / 10.0) * 30.0 / 1000.0), 6) AS s30, round(exp(-exp((value - 25.0) / 10.0) * 90.0 / 1000.0), 6) AS s90
