@@ -106,3 +106,33 @@ def test_top_values_breaks_ties_by_value_and_leaves_nulls_out(spark):
     got = [tuple(r) for r in top_values(df, ["s", "n"], 2).collect()]
     assert sorted(got) == [("n", "1", 2), ("n", "2", 1), ("s", "a", 1), ("s", "c", 2)]
     assert "WindowGroupLimit" in top_values(df, ["s"], 2)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_batch_report_with_gaps(spark):
+    """Rows without an outcome or prediction count as samples and enter no score; a batch without any outcome has null
+    scores; the features' drift is against the first batch."""
+    from pyspark.sql import functions as F
+
+    from tte.operators.metrics import brier_score, integrated_brier
+    from tte.operators.monitor import alerts, batch_report
+    from tte.operators.pairs import concordance
+
+    rows = [(f"2024-01-0{1 + i % 3}", float(1 + i * 7 % 11), int(i % 4 != 0), float(i * 5 % 13), "ab"[i % 2] if i % 6 else None) for i in range(60)]
+    rows += [("2024-01-01", None, 1, 3.0, "a"), ("2024-01-02", 4.0, 1, None, "a"), ("2024-01-04", None, None, 1.0, "a"), (None, 1.0, 1, 1.0, "a")]
+    df = spark.createDataFrame(rows, "day string, time double, event int, x double, c string").withColumn("day", F.to_date("day"))
+    surv = [F.exp(-h * F.col("x") / 100) for h in (6.0, 3.0, 9.0)]
+    r = batch_report(df, {"m": (F.col("x"), surv)}, "day", [6.0, 3.0, 9.0], ["x"], ["c"])
+    got = {x.ts.day: x for x in r.metrics.collect()}
+    assert sorted(got) == [1, 2, 3, 4] and [got[d].n_samples for d in (1, 2, 3, 4)] == [21, 21, 20, 1]
+    for d in (1, 2, 3):
+        part = df.where((F.dayofmonth("day") == d) & F.col("time").isNotNull())
+        long = part.where("x is not null").withColumn("p", F.explode(F.array(*[F.struct(F.lit(h).alias("h"), s.alias("s")) for h, s in zip((6.0, 3.0, 9.0), surv)])))
+        long = long.select("time", "event", F.col("p.h").alias("horizon"), F.col("p.s").alias("surv"))
+        ibs = integrated_brier(brier_score(part, long, [3.0, 6.0, 9.0], same_times=True)).first()["ibs"]
+        c = concordance(part.where("x is not null"), risk="x").first()["c_index"]
+        assert abs(got[d].brier - ibs) < 1e-9 and abs(got[d].concordance - c) < 1e-9
+    assert (got[4].brier, got[4].concordance) == (None, None)
+    f = {(x.ts.day, x.column): x for x in r.features.collect()}
+    assert f[1, "x"].drift == 0 and f[1, "c"].drift == 0 and f[2, "x"].missing_rate == 1 / 21
+    assert all(got[d].drift == max(f[d, "x"].drift or 0, f[d, "c"].drift) for d in (1, 2, 3))
+    assert alerts(r.metrics.na.fill(0.5)).columns[:2] == ["ts", "model"]

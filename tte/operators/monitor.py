@@ -9,12 +9,15 @@ history is windowed on its own partition.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tte.operators.curves import curve_at, km_curves
+from tte.operators.drift import drift_scores, feature_stats
 from tte.operators.pairs import concordance
+from tte.session import ensure_checkpoint_dir
 
 DAY = 86400
 # fixed alert thresholds of the performance monitor
@@ -49,6 +52,66 @@ def batch_metrics(df: DataFrame, models: dict[str, tuple[Column, Column]], batch
                       F.col("c_index").alias("concordance"), "brier", "drift")
 
 
+class BatchReport(NamedTuple):
+    """``metrics``: a row per batch and model, a history for ``alerts`` and what follows it. ``features``: the D1 statistics and
+    the drift of every column in every batch."""
+
+    metrics: DataFrame
+    features: DataFrame
+
+
+def batch_report(df: DataFrame, models: dict[str, tuple[Column, Sequence[Column]]], batch: str, horizons: Sequence[float], numeric: Sequence[str],
+                 categorical: Sequence[str] = (), time: str = "time", event: str = "event") -> BatchReport:
+    """N1 in full: Harrell's C and the integrated Brier score of several models per batch, and all features' statistics
+    and drift (D2, D3) against the first batch.
+
+    ``models`` maps a name to its risk and to its survival at each of the two or more ``horizons``. Each batch has its own
+    censoring curve (events first, step), read once per row and not once per model and horizon. ``metrics``:
+    ``ts, model, n_samples`` (all rows of the batch), ``concordance, brier`` (integrated over the horizons), ``drift`` (the largest
+    of the columns) and ``drift_column`` (that column, the first by name of equal ones). ``features``: ``ts`` and the columns of
+    ``feature_stats``, with ``drift``. Rows without a time, event or prediction enter no score, rows without a batch nothing."""
+    df = df.where(F.col(batch).isNotNull())
+    ensure_checkpoint_dir(df.sparkSession)
+    hs = sorted(float(h) for h in horizons)
+    if len(hs) < 2:
+        raise ValueError("an integrated Brier score needs two horizons")
+    order = sorted(range(len(hs)), key=lambda i: float(horizons[i]))
+    t, e = F.col("_t"), F.col("_e")
+    preds = [(r.cast("double"), [survs[i].cast("double") for i in order]) for r, survs in models.values()]
+    rows = df.select(F.col(batch).alias("_batch"), F.col(time).cast("double").alias("_t"), F.col(event).alias("_e"),
+                     *[x for i, (r, ss) in enumerate(preds) for x in (r.alias(f"_r{i}"), F.array(*ss).alias(f"_s{i}"))])
+    cens = km_curves(rows.where(t.isNotNull() & e.isNotNull()), "_t", "_e", by=["_batch"], ties="events_first").select("_batch", "time", "cens")
+    cens = cens.checkpoint()  # a row per batch and distinct time, read twice
+    g_h = curve_at(cens, hs, "cens", "step", by=["_batch"]).groupBy("_batch").agg(F.array_sort(F.collect_list(F.struct("horizon", "cens"))).alias("_gh"))
+    g_t = cens.select("_batch", F.col("time").cast("double").alias("_t"), F.col("cens").alias("_gt"))
+    read = rows.join(g_t, ["_batch", "_t"], "left").join(g_h, "_batch", "left")
+    scores = []
+    for i in range(len(preds)):
+        for j, h in enumerate(hs):
+            s, g = F.col(f"_s{i}")[j], F.col("_gh")[j]["cens"]
+            part = (F.when((t <= h) & (e == 1), F.when(F.col("_gt") > 0, s * s / F.col("_gt")).otherwise(0.0))
+                    .when(t > h, F.when(g > 0, (1 - s) * (1 - s) / g).otherwise(0.0)).otherwise(0.0))
+            scores.append(F.avg(F.when(t.isNotNull() & e.isNotNull() & s.isNotNull(), part)).alias(f"_x{i}_{j}"))
+    wide = read.groupBy("_batch").agg(F.count(F.lit(1)).alias("n_samples"), *scores)
+    brier = F.array(*[F.struct(F.lit(m).alias("model"), sum(
+        ((hs[j + 1] - hs[j]) / 2 * (F.col(f"_x{i}_{j}") + F.col(f"_x{i}_{j + 1}")) for j in range(len(hs) - 1)), F.lit(0.0)) / (hs[-1] - hs[0]))
+        for i, m in enumerate(models)])
+    brier = wide.select("_batch", "n_samples", F.explode(brier).alias("_m")).select("_batch", "n_samples", "_m.model", F.col("_m.col2").alias("brier"))
+    risks = F.array(*[F.struct(F.lit(m).alias("model"), F.col(f"_r{i}").alias("risk")) for i, m in enumerate(models)])
+    long = rows.where(t.isNotNull() & e.isNotNull()).select("_batch", "_t", "_e", F.explode(risks).alias("_m")).select("_batch", "_t", "_e", "_m.*")
+    conc = concordance(long.where("risk is not null"), time="_t", event="_e", by=["model", "_batch"]).select("model", "_batch", "c_index")
+
+    stats = feature_stats(df, numeric, categorical, by=[batch]).withColumnRenamed(batch, "_batch").checkpoint()  # a row per batch and column
+    first = stats.agg(F.min("_batch").alias("_first"))
+    base = stats.join(F.broadcast(first), F.col("_batch") == F.col("_first")).drop("_batch", "_first")
+    features = stats.join(drift_scores(base, stats, by=["_batch"]), ["_batch", "column", "kind"])
+    worst = features.groupBy("_batch").agg(F.max("drift").alias("drift"), F.min_by("column", F.struct(-F.col("drift"), "column")).alias("drift_column"))
+    metrics = brier.join(conc, ["model", "_batch"], "left").join(worst, "_batch", "left")
+    ts = F.col("_batch").cast("timestamp_ntz").alias("ts")
+    return BatchReport(metrics.select(ts, "model", "n_samples", F.col("c_index").alias("concordance"), "brier", "drift", "drift_column"),
+                       features.select(ts, *[c for c in features.columns if c != "_batch"]))
+
+
 def _epoch(ts: str = "ts") -> Column:
     return F.unix_seconds(F.col(ts).cast("timestamp"))
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tte.operators.monitor import (
-    ab_assign, ab_results, alert_state, alerts, batch_metrics, best_average, compare_runs, evaluate_rules, experiment_means,
+    ab_assign, ab_results, alert_state, alerts, batch_metrics, batch_report, best_average, compare_runs, evaluate_rules, experiment_means,
     experiment_results, metric_trend, param_importance, performance_summary, rank_models, recent, retain_last, select_ensemble,
     select_model, update_triggers,
 )
@@ -62,6 +62,56 @@ def n1_batch_metrics(spark, sf_dir):
                     r6("drift").alias("drift"))
 
 
+REPORT_HORIZONS = (12.0, 24.0, 48.0)
+REPORT_CTE = f"""{HIST_CTE},
+hz AS (SELECT CAST(h AS DOUBLE) AS h FROM (VALUES (12), (24), (48)) t(h)),
+ghs AS (SELECT bb.batch, h, coalesce((SELECT cens_ef FROM km k WHERE k.batch = bb.batch AND k.time <= h ORDER BY k.time DESC LIMIT 1), 1.0) AS g_h
+        FROM (SELECT DISTINCT batch FROM s) bb, hz),
+bh AS (SELECT mm.model, mm.batch, g.h,
+         avg(CASE WHEN mm.time <= g.h AND mm.event = 1 THEN CASE WHEN k.cens_ef > 0 THEN pow(exp(-g.h / 48.0 * exp((risk - 25.0) / 25.0)), 2) / k.cens_ef ELSE 0 END
+                  WHEN mm.time > g.h THEN CASE WHEN g.g_h > 0 THEN pow(1 - exp(-g.h / 48.0 * exp((risk - 25.0) / 25.0)), 2) / g.g_h ELSE 0 END ELSE 0 END) AS brier
+       FROM m mm JOIN ghs g ON g.batch = mm.batch JOIN km k ON k.batch = mm.batch AND k.time = mm.time GROUP BY mm.model, mm.batch, g.h),
+seg AS (SELECT model, batch, h, brier, lag(h) OVER o AS h0, lag(brier) OVER o AS b0 FROM bh WINDOW o AS (PARTITION BY model, batch ORDER BY h)),
+ibs AS (SELECT model, batch, sum((h - h0) * (brier + b0) / 2) / 36.0 AS ibs FROM seg GROUP BY model, batch),
+nx AS (SELECT batch, x1 AS x, 'x1' AS "column" FROM s UNION ALL SELECT batch, CAST(hour(start_ts) AS DOUBLE), 'hour' FROM s),
+ns AS (SELECT batch, "column", avg(x) AS mean, stddev_samp(x) AS std, min(x) AS min, max(x) AS max, 1 - count(x) / count(*) AS missing_rate FROM nx GROUP BY 1, 2),
+cv AS (SELECT batch, CAST(CAST(floor(x1 / 20) AS BIGINT) AS VARCHAR) AS v, count(*) AS k FROM s WHERE x1 IS NOT NULL GROUP BY 1, 2),
+cs AS (SELECT batch, count(*)::DOUBLE AS u, max(k) / sum(k) AS top FROM cv GROUP BY batch),
+feat AS (SELECT n.batch, n."column", 'numeric' AS kind, n.mean, n.std, n.min, n.max, n.missing_rate, NULL::DOUBLE AS unique_count, NULL::DOUBLE AS top_category_rate,
+           CASE WHEN b.std > 0 THEN greatest(abs(n.mean - b.mean) / b.std, abs(n.std - b.std) / b.std) ELSE 0.0 END AS drift
+         FROM ns n JOIN ns b ON b."column" = n."column" AND b.batch = (SELECT min(batch) FROM s)
+         UNION ALL
+         SELECT c.batch, 'band', 'categorical', NULL, NULL, NULL, NULL, (SELECT 1 - count(x1) / count(*) FROM s WHERE s.batch = c.batch), c.u, c.top,
+           greatest(abs(c.top - b.top), abs(c.u - b.u) / greatest(b.u, 1)) FROM cs c JOIN cs b ON b.batch = (SELECT min(batch) FROM s)),
+worst AS (SELECT batch, max(drift) AS drift, first("column" ORDER BY drift DESC, "column") AS drift_column FROM feat GROUP BY batch)"""
+
+
+def _report(spark, sf_dir):
+    ep = cohort_episodes(spark, sf_dir).withColumns({
+        "batch": F.to_date("start_ts"), "hour": F.hour("start_ts").cast("double"), "band": F.floor(F.col("x1") / 20).cast("string")})
+    surv = lambda r: [F.exp(-h / 48.0 * F.exp((r - 25.0) / 25.0)) for h in REPORT_HORIZONS]
+    x = F.col("x1")
+    return batch_report(ep, {"value": (x, surv(x)), "inverse": (-x, surv(-x))}, "batch", REPORT_HORIZONS, ["x1", "hour"], ["band"])
+
+
+@register("N1_batch_report", f"""WITH {REPORT_CTE}
+SELECT hist.ts, hist.model, hist.n_samples, round(hist.concordance, 6) AS concordance, round(ibs.ibs, 6) AS brier, round(worst.drift, 6) AS drift, drift_column
+FROM hist JOIN ibs ON ibs.model = hist.model AND CAST(ibs.batch AS TIMESTAMP) = hist.ts JOIN worst ON worst.batch = ibs.batch""")
+def n1_batch_report(spark, sf_dir):
+    """C, integrated Brier score over three horizons and the largest drift of three features, per signup day and model."""
+    m = _report(spark, sf_dir).metrics
+    return m.select("ts", "model", "n_samples", r6("concordance").alias("concordance"), r6("brier").alias("brier"), r6("drift").alias("drift"), "drift_column")
+
+
+@register("N1_batch_features", f"""WITH {REPORT_CTE}
+SELECT CAST(batch AS TIMESTAMP) AS ts, "column", kind, round(mean, 6) AS mean, round(std, 6) AS std, min, max, round(missing_rate, 6) AS missing_rate,
+       unique_count, round(top_category_rate, 6) AS top_category_rate, round(drift, 6) AS drift FROM feat""")
+def n1_batch_features(spark, sf_dir):
+    f = _report(spark, sf_dir).features
+    return f.select("ts", "column", "kind", r6("mean").alias("mean"), r6("std").alias("std"), "min", "max", r6("missing_rate").alias("missing_rate"),
+                    "unique_count", r6("top_category_rate").alias("top_category_rate"), r6("drift").alias("drift"))
+
+
 ALERT_SQL = f"""{HIST_CTE},
 w AS (SELECT *, avg(concordance) OVER win AS c_mean, count(*) OVER win AS pts, avg(brier) OVER win AS b_mean FROM hist
       WINDOW win AS (PARTITION BY model ORDER BY epoch(ts) RANGE BETWEEN {7 * 86400 - 1} PRECEDING AND CURRENT ROW)),
