@@ -104,3 +104,11 @@ def test_shuffle_partition_count_independent(spark, frame):
             assert (got.concordant, got.discordant, got.tied_risk, got.tied_time) == ref
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_concordance_by_a_column_with_an_inner_name(spark):
+    rows = [(g, float(t), int(t % 3 != 0), float(t * 7 % 5)) for g in (1, 2) for t in range(1, 25)]
+    df = spark.createDataFrame(rows, "_b int, time double, event int, risk double")
+    got = [r.c_index for r in concordance(df, by=["_b"]).collect()]
+    want = concordance(df.where("_b = 1")).first()["c_index"]
+    assert len(got) == 2 and want is not None and all(abs(c - want) < 1e-12 for c in got)

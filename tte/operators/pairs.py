@@ -200,13 +200,13 @@ def dominance(points: DataFrame, by: Sequence[str] = (), k: int | None = None, w
     spark = points.sparkSession
     time_band = band_of("xv", cuts_t)
     # the two halves of a hot time, events and censored, are bands of their own
-    pts = points.withColumn("rb", band_of("y", cuts_r)).withColumn("_b", time_band).withColumn(
-        "tb", 2 * F.col("_b") + F.when(F.col("_b") % 2 == 1, F.col("tie")).otherwise(0))
+    pts = points.withColumn("rb", band_of("y", cuts_r)).withColumn("_tte_time_band", time_band).withColumn(
+        "tb", 2 * F.col("_tte_time_band") + F.when(F.col("_tte_time_band") % 2 == 1, F.col("tie")).otherwise(0))
     group = lambda kind, gid: F.struct(F.lit(kind).alias("kind"), gid.cast("int").alias("gid"))
     hot = F.pmod(F.xxhash64("xv", "tie", "w"), F.lit(max(1, -(-n // BAND_ROWS))))
     dealt = pts.withColumn("_to", F.filter(F.array(
         F.when(F.col("rb") % 2 == 0, group("r", F.col("rb"))).otherwise(group("c", hot)),
-        F.when(F.col("_b") % 2 == 0, group("t", F.col("tb")))), lambda x: x.isNotNull()))
+        F.when(F.col("_tte_time_band") % 2 == 0, group("t", F.col("tb")))), lambda x: x.isNotNull()))
     dealt = dealt.select(*by, "xv", "tie", "y", "w", "rb", "tb", F.explode("_to").alias("_to")).select(
         *by, "xv", "tie", "y", "w", "rb", "tb", "_to.kind", "_to.gid")
     # small groups share a Python call
