@@ -14,7 +14,7 @@ from tte.operators.models.cox import CoxPH, cox_derivatives, cox_newton_local, c
 from tte.operators.models.cox_cv import cox_nested_cv, cox_oof
 from tte.operators.models.linear import LinearRisk
 from tte.operators.pairs import concordance
-from tte.operators.permute import digits, permutation_keys, permuted, row_numbers
+from tte.operators.permute import digits, permutation_keys, permuted, row_numbers, with_permuted
 from tte.operators.replicates import bootstrap_weights, coefficients, id_hash, replicate_sums, weight_matrix
 from tte.operators.vector_scan import band_offsets, moments, ranged, running
 
@@ -219,3 +219,13 @@ def test_update_buffer_hands_the_newest_rows_on(spark, tmp_path, files):
         ids = part.event_id.tolist()
         want += [(kind, k + 1, i) for k in range(len(ids) // 30) for i in ids[30 * k + 10: 30 * k + 30]]
     assert got == sorted(want) and len(got) > 40
+
+
+@pytest.mark.parametrize("n", [1, 7, 600, 1001])
+def test_permuted_column_is_that_of_the_expression(spark, n):
+    rows = spark.range(n).withColumn("keys", F.array(*[F.lit(k) for k in permutation_keys(5, "f")]).cast("array<bigint>"))
+    moved = with_permuted(rows, "id", "keys", n, "to")
+    assert moved.columns == ["id", "keys", "to"]
+    assert moved.where(~F.col("to").eqNullSafe(permuted(F.col("id"), F.col("keys"), n))).count() == 0
+    # each digit is made once: as one expression it is repeated wherever a round reads it
+    assert str(moved._jdf.queryExecution().optimizedPlan().toString()).count("40503") < 185

@@ -8,8 +8,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tte.operators.permute import drawn_numbers, permutation_keys, permuted, row_numbers
+from tte.operators.permute import drawn_numbers, permutation_keys, row_numbers, with_permuted
 from tte.operators.stats import exact_quantiles
+from tte.session import ensure_checkpoint_dir
 
 
 def linear_contributions(df: DataFrame, coef: dict[str, float], means: dict[str, float] | None = None) -> DataFrame:
@@ -109,16 +110,23 @@ def permuted_copies(df: DataFrame, id_col: str, features: Sequence[str], repeats
     the row numbers leads to, all else is the row's own. The rows are numbered once, and one join by number
     reads the values of all features and repeats; each value is used as often as it occurs."""
     feats = list(features)
+    ensure_checkpoint_dir(df.sparkSession)
     numbered, n = row_numbers(df, id_col)
+    numbered = numbered.checkpoint()  # read twice, and numbered by a sort
     tasks = F.array(*[F.struct(F.lit(f).alias("permuted"), F.lit(r).alias("rep"), F.array(*[F.lit(k) for k in permutation_keys(seed, f"{f}:{r}")])
                                .cast("array<bigint>").alias("_keys")) for f in feats for r in range(repeats)])
     asked = numbered.select("*", F.explode(tasks).alias("_t")).select("*", "_t.*").drop("_t")
-    asked = asked.withColumn("_from", permuted(F.col("_row"), F.col("_keys"), n))
+    asked = with_permuted(asked, "_row", "_keys", n, "_from")
     values = numbered.select(F.col("_row").alias("_from"), *[F.col(f).alias(f"_v_{f}") for f in feats])
     new = [F.when(F.col("permuted") == f, F.col(f"_v_{f}")).otherwise(F.col(f)).alias(f) for f in feats]
     return asked.join(values, "_from").select(*[c for c in df.columns if c not in feats], *new, "permuted", "rep")
 
 
+def permute_column(df: DataFrame, id_col: str, column: str, seed: int) -> DataFrame:
+    """``df`` with the values of one column permuted over its rows."""
+    return permuted_copies(df, id_col, [column], 1, seed).select(*df.columns)
+
+
 def permutation_importance(df: DataFrame, id_col: str, score_fn, features: Sequence[str], repeats: int = 3,
                            seed: int = 42, time: str = "time", event: str = "event") -> DataFrame:
     """Drop in Harrell's C when a feature is permuted, mean and std over repeats, sorted desc.

@@ -69,6 +69,23 @@ def permuted(number: Column, keys: Column, n: int) -> Column:
     return F.aggregate(turns, number.cast("long"), lambda at, turn: F.when((turn == 1) | (at >= n), once(at)).otherwise(at))
 
 
+def with_permuted(df: DataFrame, number: str, keys: str, n: int, out: str) -> DataFrame:
+    """``df`` with ``permuted`` of the columns ``number`` and ``keys`` as ``out``, for tables of any size.
+
+    The one expression repeats a digit wherever a round reads it, 185 times in all, and is interpreted. Here
+    every round is a projection of its own, so each digit is made once, by compiled code; only the about one in ``a`` rows
+    that have to go through the network again use the expression."""
+    a, b = digits(n)
+    x = df.withColumns({"_left": F.floor(F.col(number).cast("long") / F.lit(b)).cast("long"), "_right": F.col(number).cast("long") % b})
+    for i in range(ROUNDS):
+        own, other, size = ("_left", "_right", a) if i % 2 == 0 else ("_right", "_left", b)
+        key = F.col(keys)[i]
+        x = x.withColumn("_y", (F.col(other) + key) % PRIME)
+        x = x.withColumn(own, (F.col(own) + (F.col("_y") * F.col("_y") + F.lit(40_503) * F.col("_y") + key) % PRIME) % size)
+    x = x.withColumn("_at", F.col("_left") * b + F.col("_right"))
+    return x.withColumn(out, F.when(F.col("_at") < n, F.col("_at")).otherwise(permuted(F.col("_at"), F.col(keys), n))).drop("_left", "_right", "_y", "_at")
+
+
 def drawn_numbers(id_col: str, draw: Column, draws: int, n: int, seed: int) -> Column:
     """A row number below ``n`` per (id, draw), draws from 0: the replicates' hash, scaled."""
     a, b, c, d = (F.element_at(F.array(*[F.lit(x) for x in column]).cast("array<bigint>"), draw.cast("int") + 1)
