@@ -112,3 +112,19 @@ def test_concordance_by_a_column_with_an_inner_name(spark):
     got = [r.c_index for r in concordance(df, by=["_b"]).collect()]
     want = concordance(df.where("_b = 1")).first()["c_index"]
     assert len(got) == 2 and want is not None and all(abs(c - want) < 1e-12 for c in got)
+
+
+def test_concordance_reads_its_rows_once(spark):
+    from pyspark.sql import functions as F
+
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(300).select((F.col("id") % 50).cast("double").alias("time"), (F.col("id") % 2).cast("int").alias("event"),
+                                   (F.col("id") % 7).cast("double").alias("risk"))
+    got = concordance(rows.mapInArrow(counted, rows.schema)).collect()
+    assert len(got) == 1 and read.value == 300

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tte.operators.scan import BAND_ROWS, MAX_BANDS, band_of
-from tte.session import shuffle_partitions
+from tte.session import ensure_checkpoint_dir, shuffle_partitions
 
 #: Replicates whose weights are in a kernel's matrices at once.
 REPLICATES_AT_ONCE = 32
@@ -134,6 +134,9 @@ def _across(by: list[str], schema: pa.Schema):
     """Cells in order (by, risk band, time band) to the sums over pairs that differ in time band, and in risk
     band unless that is a single risk."""
 
+    def numbers(column: pa.Array) -> np.ndarray:
+        return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
     def run(batches):
         now = low = None  # group; weights of lower risk bands by time band
         band: dict[int, list[np.ndarray]] = {}
@@ -170,7 +173,9 @@ def _across(by: list[str], schema: pa.Schema):
 
         out = []
         for batch in batches:
-            cols = [c.to_pylist() for c in batch.columns]
+            if not batch.num_rows:
+                continue
+            cols = [*(c.to_pylist() for c in batch.columns[:-2]), *map(numbers, batch.columns[-2:])]
             for *key, rb, tb, w, q in zip(*cols, strict=True):
                 if key != now:
                     if now is not None:
@@ -181,7 +186,7 @@ def _across(by: list[str], schema: pa.Schema):
                     close_band()
                     band, at_band = {}, rb
                 have = band.get(tb)
-                band[tb] = [np.array(w), np.array(q)] if have is None else [have[0] + w, have[1] + q]
+                band[tb] = [w, q] if have is None else [have[0] + w, have[1] + q]
         if now is not None:
             out.append(close_group())
         if out:
@@ -214,7 +219,8 @@ def dominance(points: DataFrame, by: Sequence[str] = (), k: int | None = None, w
     dealt = dealt.withColumn("_part", F.pmod(F.xxhash64(*by, "kind", "gid"), F.lit(parts)))
     sums = [T.StructField(c, T.ArrayType(T.DoubleType())) for c in ("a", "b", "c")]
     own = [points.schema[c] for c in by]
-    solved = dealt.groupBy("_part").applyInPandas(
+    # by number, or the few bytes of a group would let several groups run one after the other in one task
+    solved = dealt.repartition(parts, "_part").groupBy("_part").applyInPandas(
         _kernels(by, weights), T.StructType([*own, T.StructField("rb", T.LongType()), T.StructField("tb", T.LongType()), *sums]))
     schema = T.StructType([*own, *(T.StructField(c, T.ArrayType(T.DoubleType())) for c in ("less", "eq", "greater"))])
     arrow = pa.schema([*(pa.field(c.name, _arrow_type(c.dataType)) for c in own), *(pa.field(c, pa.list_(pa.float64())) for c in ("less", "eq", "greater"))])
@@ -239,6 +245,12 @@ def add_arrays(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> Data
     return ordered.select(*by, *[F.col(f"_x.{c}").alias(c) for c in columns])
 
 
+def _kept(points: DataFrame) -> DataFrame:
+    """The distinct points, written: the bands, the tied times and the kernels read them, and whatever scores the rows runs once."""
+    ensure_checkpoint_dir(points.sparkSession)
+    return points.checkpoint()
+
+
 def plan_points(points: DataFrame, k: int | None = None, rows: bool = False) -> tuple[int, list[float], list[float]]:
     """About how many distinct points there are (``rows``: how many rows), and the cut points of the time and
     risk bands, from one action (two where there are more than ``BAND_ROWS`` for each shuffle partition)."""
@@ -274,8 +286,8 @@ def concordance(df: DataFrame, risk: str = "risk", time: str = "time", event: st
     base = df.where(F.col(time).isNotNull() & F.col(event).isNotNull() & F.col(risk).isNotNull())
     rows = base.select(*by, F.col(time).cast("double").alias("xv"), F.when(F.col(event).cast("int") == 1, 0).otherwise(1).alias("tie"),
                        F.col(risk).cast("double").alias("y"), w.alias("w"))
-    pts = rows.groupBy(*by, "xv", "tie", "y").agg(F.sum("w").alias("w"))
-    tot = dominance(pts, by, k, plan=plan_points(rows, k))
+    pts = _kept(rows.groupBy(*by, "xv", "tie", "y").agg(F.sum("w").alias("w")))
+    tot = dominance(pts, by, k, plan=plan_points(pts, k, rows=True))
     tied = pts.groupBy(*by, "xv").agg(F.sum(F.when(F.col("tie") == 0, F.col("w")).otherwise(0.0)).alias("_q"),
                                       F.sum(F.when(F.col("tie") == 1, F.col("w")).otherwise(0.0)).alias("_c"))
     tied = tied.groupBy(*by).agg(F.sum(F.col("_q") * F.col("_c")).alias("tied_x"))
@@ -307,8 +319,8 @@ def concordance_events_only(df: DataFrame, risk: str = "risk", time: str = "time
     by = list(by)
     base = df.where(F.col(time).isNotNull() & F.col(risk).isNotNull() & (F.col(event) == 1))
     rows = base.select(*by, F.col(time).cast("double").alias("xv"), F.lit(0).alias("tie"), F.col(risk).cast("double").alias("y"))
-    pts = rows.groupBy(*by, "xv", "tie", "y").agg(F.count(F.lit(1)).cast("double").alias("w"))
-    tot = dominance(pts, by, k, plan=plan_points(rows, k))
+    pts = _kept(rows.groupBy(*by, "xv", "tie", "y").agg(F.count(F.lit(1)).cast("double").alias("w")))
+    tot = dominance(pts, by, k, plan=plan_points(pts, k, rows=True))
     if not by:  # a table without pairs has no totals
         tot = df.sparkSession.range(1).select().join(tot, F.lit(True), "left")
     tot = tot.select(*by, *[F.coalesce(F.get(c, F.lit(0)), F.lit(0.0)).alias(c) for c in ("less", "eq", "greater")])
