@@ -71,7 +71,8 @@ class CoxPH:
         self.time = time
         self.event = event
         self.coef_: np.ndarray | None = None
-        self.baseline_: DataFrame | None = None
+        self._baseline: DataFrame | None = None
+        self._baseline_rows: DataFrame | None = None
         self.loglik_: float | None = None
         self.n_iter_: int = 0
         self.converged_ = False
@@ -105,10 +106,21 @@ class CoxPH:
         return self.with_baseline(df)
 
     def with_baseline(self, df: DataFrame) -> "CoxPH":
-        """Set the Breslow baseline of the rows ``df``."""
-        self.baseline_ = breslow_baseline(self.risk(df), F.exp(F.col("risk")), self.time, self.event)
+        """Take the Breslow baseline of the rows ``df``."""
+        self._baseline, self._baseline_rows = None, df
         return self
 
+    @property
+    def baseline_(self) -> DataFrame | None:
+        """The Breslow baseline, planned when it is first read: its scans run actions of their own."""
+        if self._baseline is None and self._baseline_rows is not None:
+            self._baseline = breslow_baseline(self.risk(self._baseline_rows), F.exp(F.col("risk")), self.time, self.event)
+        return self._baseline
+
+    @baseline_.setter
+    def baseline_(self, baseline: DataFrame | None) -> None:
+        self._baseline = baseline
+
     def risk(self, df: DataFrame) -> DataFrame:
         """I1 (linear): ``risk`` = x b on the original scale."""
         return df.withColumn("risk", self._lp(self.coef_, self.features))

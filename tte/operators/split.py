@@ -163,7 +163,12 @@ def leakage_probe(df: DataFrame, prepare, make_fit, score, features: list[str],
             for f in range(k):
                 train, test = folded.where(F.col("fold") != f), folded.where(F.col("fold") == f)
                 seen = folded if leaky else train
-                total += score(make_fit(list(features))(prepare(seen, train)), prepare(seen, test))
+                prepared = prepare(seen, train).persist()  # a fit reads its rows several times
+                try:
+                    model = make_fit(list(features))(prepared)
+                finally:
+                    prepared.unpersist()
+                total += score(model, prepare(seen, test))
             return float(total / k)
 
         base, leaked = cv(False), cv(True)
