@@ -58,7 +58,17 @@ def bootstrap_weights(df: DataFrame, id_col: str, reps: int, seed: int) -> DataF
     """V8: every row with its weight ``bw`` in each of the replicates ``rep``, as rows. For a handful of
     replicates; sums over many take ``replicate_sums`` or a kernel with ``weight_matrix``."""
     x = df.select("*", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("rep"))
-    return x.withColumn("bw", poisson_weight(id_col, seed, "rep", reps))
+    return with_poisson_weight(x, id_col, seed, "rep", reps, "bw")
+
+
+def with_poisson_weight(df: DataFrame, id_col: str, seed: int, rep: str, reps: int, out: str) -> DataFrame:
+    """``df`` with ``poisson_weight`` as ``out``. The id's hash and the uniform are columns of their own: in one expression the
+    cuts repeat the uniform eleven times, and each of these the MD5 three times."""
+    a, b, c, d = (F.element_at(F.array(*[F.lit(x) for x in column]).cast("array<bigint>"), F.col(rep).cast("int") + 1)
+                  for column in zip(*coefficients(seed, reps), strict=True))
+    x = F.col("_id_hash")
+    u = df.withColumn("_id_hash", id_hash(id_col)).withColumn("_uniform", (((((a * x + b) % PRIME) * x + c) % PRIME) * x + d) % PRIME)
+    return u.withColumn(out, _poisson(F.col("_uniform"))).drop("_id_hash", "_uniform")
 
 
 def weight_matrix(x: np.ndarray, polynomials: Sequence[tuple[int, int, int, int]]) -> np.ndarray:
