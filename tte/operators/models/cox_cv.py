@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tte.operators.models.cox import CoxPH, cox_folds, cox_together
 from tte.operators.pairs import concordance
 from tte.operators.split import kfold
+from tte.session import ensure_checkpoint_dir
 
 
 def linear_risk(model: CoxPH) -> Column:
@@ -25,7 +26,8 @@ def linear_risk(model: CoxPH) -> Column:
 def cox_oof(df: DataFrame, features: Sequence[str], alpha: float = 0.0, k: int = 5, id_col: str = "subject_id", seed: int = 42,
             stratify: str | None = "event", time: str = "time", event: str = "event") -> tuple[DataFrame, dict[int, CoxPH]]:
     """V5: every row with its ``fold`` and the ``risk`` that the model of the other folds gives it; and the models."""
-    folded = kfold(df, id_col, k, seed, stratify)
+    ensure_checkpoint_dir(df.sparkSession)
+    folded = kfold(df, id_col, k, seed, stratify).checkpoint()  # ranked by a sort, and read by the fits and by every score
     models = {f: m for (f, _), m in cox_folds(folded, features, [alpha], k, time=time, event=event).items()}
     risk = F.lit(None).cast("double")
     for f, m in models.items():
@@ -44,7 +46,8 @@ def _scored(rows: DataFrame, cases: Sequence[tuple[Column, Column, list]], names
 def cox_search(df: DataFrame, features: Sequence[str], alphas: Sequence[float], k: int = 3, id_col: str = "subject_id", seed: int = 42,
                time: str = "time", event: str = "event") -> DataFrame:
     """V7: ``alpha, mean_c``, the mean held-out C-index over the folds, for every penalty tried."""
-    folded = kfold(df, id_col, k, seed, event)
+    ensure_checkpoint_dir(df.sparkSession)
+    folded = kfold(df, id_col, k, seed, event).checkpoint()
     models = cox_folds(folded, features, alphas, k, time=time, event=event)
     cases = [(F.col("fold") == f, linear_risk(m), [f, float(a)]) for (f, a), m in models.items()]
     return _scored(folded, cases, ["fold", "alpha"], time, event).groupBy("alpha").agg(F.avg("c_index").alias("mean_c"))
