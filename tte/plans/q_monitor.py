@@ -225,13 +225,12 @@ def n8_state(spark, sf_dir):
     a = alerts(history(spark, sf_dir)).withColumn(
         "alert_id", F.concat_ws("|", "model", "metric", F.col("ts").cast("string")))
     hour = F.expr("INTERVAL 1 HOUR")
-    log = a.select("alert_id", "ts", F.lit("create").alias("action")).unionByName(
-        a.where(F.col("value") > 0.3).select("alert_id", (F.col("ts") + hour).alias("ts"), F.lit("acknowledge").alias("action"))
-    ).unionByName(
-        a.where(F.col("value") > 0.6).select("alert_id", (F.col("ts") + hour * 2).alias("ts"), F.lit("resolve").alias("action"))
-    ).unionByName(
-        a.where(F.col("value") > 0.6).select("alert_id", (F.col("ts") + hour * 3).alias("ts"), F.lit("acknowledge").alias("action")))
-    return alert_state(log)
+    act = lambda ts, action: F.struct(ts.alias("ts"), F.lit(action).alias("action"))
+    # an alert's actions from its one row: a union would make the history once per action
+    acts = F.filter(F.array(act(F.col("ts"), "create"), F.when(F.col("value") > 0.3, act(F.col("ts") + hour, "acknowledge")),
+                            F.when(F.col("value") > 0.6, act(F.col("ts") + hour * 2, "resolve")),
+                            F.when(F.col("value") > 0.6, act(F.col("ts") + hour * 3, "acknowledge"))), lambda x: x.isNotNull())
+    return alert_state(a.select("alert_id", F.explode(acts).alias("_act")).select("alert_id", "_act.*"))
 
 
 @register("N9_metric_trend", f"""WITH {HIST_CTE}
