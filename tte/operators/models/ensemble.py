@@ -50,8 +50,9 @@ class Bagging:
         k = max(1, int(round(self.feat_frac * len(self.features))))
         for m in range(self.n):
             feats = sorted(rng.choice(self.features, size=k, replace=False).tolist())
-            bw = bootstrap_weights(df, id_col, 1, self.seed + m).where(F.col("bw") > 0)
-            rep = bw.select("*", F.explode(F.sequence(F.lit(1), F.col("bw").cast("int"))).alias("_copy"))
+            bw = bootstrap_weights(df, id_col, 1, self.seed + m)
+            # no copy of a row of weight 0; a filter on the weight would be computed from the id once more
+            rep = bw.select("*", F.explode(F.array_repeat(F.lit(1), F.col("bw").cast("int"))).alias("_copy"))
             self.members_.append(CoxPH(feats, alpha=self.alpha).fit(rep))
         return self
 
@@ -108,6 +109,12 @@ def _with_exponential(df: DataFrame, horizons: Sequence[float], scale: float) ->
     return survival_exponential(hazard, horizons, "_hazard").drop("_hazard")
 
 
+def long_risks(df: DataFrame, risks: dict[str, str], name: str, time: str = "time", event: str = "event") -> DataFrame:
+    """``time, event``, ``name`` and ``risk``: every row once per name, with the risk of the column that ``risks`` maps it to."""
+    each = F.array(*[F.struct(F.lit(n).alias(name), F.col(r).cast("double").alias("risk")) for n, r in risks.items()])
+    return df.select(time, event, F.explode(each).alias("_m")).select(time, event, "_m.*")
+
+
 def dynamic_selection(oof: DataFrame, base_risks: Sequence[str], method: str = "top_half") -> list[str]:
     """Keep the better half of the base models by out-of-fold C-index (``top_half``), the
     first half (``first_half``) or all (``all``)."""
@@ -116,10 +123,8 @@ def dynamic_selection(oof: DataFrame, base_risks: Sequence[str], method: str = "
     half = max(1, len(base_risks) // 2)
     if method == "first_half":
         return list(base_risks)[:half]
-    scores = []
-    for r in base_risks:
-        c = concordance(oof, risk=r).collect()[0]["c_index"]
-        scores.append((-(c or 0.0), r))
+    found = {r["model"]: r["c_index"] for r in concordance(long_risks(oof, {r: r for r in base_risks}, "model"), by=["model"]).collect()}
+    scores = [(-(found.get(r) or 0.0), r) for r in base_risks]
     return [r for _, r in sorted(scores)[:half]]
 
 
@@ -139,12 +144,29 @@ def horizon_classifier(df: DataFrame, features: Sequence[str], tau: float, time:
     (censored before tau get weight 0). Returns a function that adds ``risk`` = P(event by tau); the
     support vector classifier has no probability, its risk is the sigmoid of the margin. Rows without a
     feature value are not learned from and get a null risk."""
+    return horizon_classifiers(df, features, tau, {kind: params}, time, event)[kind]
+
+
+def horizon_classifiers(df: DataFrame, features: Sequence[str], tau: float, kinds: dict[str, dict], time: str = "time",
+                        event: str = "event") -> dict[str, Callable[[DataFrame], DataFrame]]:
+    """L10 for several kinds, each with its parameters: the censoring curve is planned once for all."""
+    whole = _whole(features)
+    w = ipcw_weights(df.where(whole), [tau], time, event).withColumn("_y", ((F.col(time) <= tau) & (F.col(event) == 1)).cast("double"))
+    v = VectorAssembler(inputCols=list(features), outputCol="_f").transform(w.where(F.col("weight") > 0))
+    # not persisted: kept rows lie in other partitions, and the trees' fits depend on those
+    models = {kind: CLASSIFIERS[kind](featuresCol="_f", labelCol="_y", weightCol="weight", **params).fit(v) for kind, params in kinds.items()}
+    return {kind: _scorer(model, features) for kind, model in models.items()}
+
+
+def _whole(features: Sequence[str]) -> Column:
     whole = F.lit(True)
     for f in features:
         whole = whole & F.col(f).isNotNull()
-    w = ipcw_weights(df.where(whole), [tau], time, event).withColumn("_y", ((F.col(time) <= tau) & (F.col(event) == 1)).cast("double"))
-    v = VectorAssembler(inputCols=list(features), outputCol="_f").transform(w.where(F.col("weight") > 0))
-    model = CLASSIFIERS[kind](featuresCol="_f", labelCol="_y", weightCol="weight", **params).fit(v)
+    return whole
+
+
+def _scorer(model, features: Sequence[str]) -> Callable[[DataFrame], DataFrame]:
+    whole = _whole(features)
 
     def score(x: DataFrame) -> DataFrame:
         vv = VectorAssembler(inputCols=list(features), outputCol="_f", handleInvalid="keep").transform(x)

@@ -11,7 +11,7 @@ from tte.operators.models.aft import LocationScaleAFT, WeibullAFT
 from tte.operators.models.cox import CoxPH, cox_derivatives, cox_rows
 from tte.operators.models.cox_cv import cox_nested_cv, cox_oof, cox_search, random_alphas
 from tte.operators.models.ensemble import (
-    CLASSIFIERS, Bagging, combine, dynamic_scores, dynamic_selection, fit_per_group, horizon_classifier, stacked_scores, stacking,
+    CLASSIFIERS, Bagging, combine, dynamic_scores, dynamic_selection, fit_per_group, horizon_classifiers, long_risks, stacked_scores, stacking,
     update_model,
 )
 from tte.operators.models.hazard import DiscreteHazard, person_period
@@ -250,13 +250,14 @@ def l9_dynamic(spark, sf_dir):
 @register("L10_horizon_classifier")
 def l10_horizon(spark, sf_dir):
     """Rows-only: C-index of P(event within a year) by each classifier kind."""
-    co, out = cohort_orders(spark, sf_dir), None
+    scored = co = cohort_orders(spark, sf_dir)
     params = {"forest": {"numTrees": 10, "seed": 1}, "gbt": {"maxIter": 5, "seed": 1}, "svc": {"maxIter": 20}}
-    for kind in CLASSIFIERS:
-        score = horizon_classifier(co, ["x_price", "x_bal"], 365.0, kind=kind, **params.get(kind, {}))
-        one = concordance(score(co)).select(F.lit(kind).alias("kind"), "c_index")
-        out = one if out is None else out.unionByName(one)
-    return out
+    scores = horizon_classifiers(co, ["x_price", "x_bal"], 365.0, {kind: params.get(kind, {}) for kind in CLASSIFIERS})
+    for kind, score in scores.items():
+        scored = score(scored).withColumnRenamed("risk", f"_{kind}")
+    c = concordance(long_risks(scored, {kind: f"_{kind}" for kind in scores}, "model"), by=["model"]).select(F.col("model").alias("kind"), "c_index")
+    kinds = spark.createDataFrame([(kind,) for kind in scores], "kind string")
+    return kinds.join(c, "kind", "left")
 
 
 @register("L2_normal_aft")
