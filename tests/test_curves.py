@@ -64,3 +64,16 @@ def test_edges(frame, spark):
     assert km_quantile(km_curves(cens)).collect()[0].time_at_p is None
     withnull = spark.createDataFrame([(1.0, 1), (None, 1), (2.0, None), (3.0, 0)], "time double, event int")
     assert {r.time for r in km_curves(withnull).collect()} == {1.0, 3.0}
+
+
+def test_curve_scans_read_the_subjects_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def read(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            yield pdf.assign(time=(pdf["id"] % 9).astype(float), event=pdf["id"] % 2).drop(columns="id")
+
+    curve = km_curves(spark.range(60).mapInPandas(read, "time double, event long"))
+    assert curve.count() == 9 and curve_at(curve, [3.0], "surv").count() == 1
+    assert seen.value == 60

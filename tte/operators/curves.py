@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tte.operators.scan import AUTO, plan_bands, prefix_product, prefix_sum
+from tte.session import ensure_checkpoint_dir
 
 CLIP_LO = 1e-8  # fixed value: censoring curve lower clip used by the weighted metrics
 
@@ -30,6 +31,9 @@ def risk_table(df: DataFrame, time: str = "time", event: str = "event", by: Sequ
         F.sum(F.when(ev == 1, w).otherwise(0)).alias("d"),
         F.sum(F.when(ev == 1, 0).otherwise(w)).alias("c"),
     ).withColumn("m", F.col("d") + F.col("c"))
+    # the scans read a row per distinct time several times; the subjects are read once
+    ensure_checkpoint_dir(df.sparkSession)
+    agg = agg.checkpoint()
     plan = plan_bands(agg, "time")
     scanned = prefix_sum(agg, "time", ["m"], by=by, exclusive=True, plan=plan)
     totals = agg.groupBy(*by).agg(F.sum("m").alias("_total"))

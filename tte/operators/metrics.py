@@ -19,16 +19,19 @@ from tte.operators.pairs import concordance, dominance, plan_points
 from tte.operators.replicates import coefficients, id_hash, interval, replicate_sums, weight_matrix
 from tte.operators.scan import prefix_sum
 from tte.operators.vector_scan import Band, Offsets, band_offsets, band_sums, ranged, running
+from tte.session import ensure_checkpoint_dir
 
 
-def _g_at_times(train: DataFrame, test: DataFrame, time: str, event: str, same_times: bool = False) -> DataFrame:
-    """Censoring survival G(T) (events_first, step) for each test row.
+def _g_at_times(train: DataFrame, test: DataFrame, time: str, event: str, same_times: bool = False,
+                cens: DataFrame | None = None) -> DataFrame:
+    """Censoring survival G(T) (events_first, step; ``cens`` if it is known) for each test row.
 
     With ``same_times`` (every test time is a train time, e.g. the same subjects) this is an
     equi-join on the curve's time; otherwise a banded range lookup (``lookup_curve``)."""
     from tte.operators.curves import lookup_curve
 
-    cens = km_curves(train, time, event, ties="events_first").select("time", "cens")
+    if cens is None:
+        cens = km_curves(train, time, event, ties="events_first").select("time", "cens")
     if same_times:
         g = cens.select(F.col("time").alias("_gt"), F.col("cens").alias("g_t"))
         return test.join(g, F.col(time).cast("double") == F.col("_gt"), "left").drop("_gt")
@@ -40,7 +43,7 @@ def brier_parts(train: DataFrame, test_long: DataFrame, horizons: Sequence[float
     """Each test row with its ``contribution`` to the Brier score of its horizon."""
     cens = km_curves(train, time, event, ties="events_first").select("time", "cens")
     g_h = curve_at(cens, horizons, "cens", "step").withColumnRenamed("cens", "g_h")
-    with_g = _g_at_times(train, test_long, time, event, same_times)
+    with_g = _g_at_times(train, test_long, time, event, same_times, cens)
     j = with_g.join(F.broadcast(g_h), "horizon")
     t, e, h, s = F.col(time), F.col(event), F.col("horizon"), F.col("surv")
     return j.withColumn("contribution", (
@@ -106,6 +109,8 @@ def dynamic_auc(train: DataFrame, test: DataFrame, horizons: Sequence[float], ri
         aggs.append(F.sum(F.when((t <= h) & (e == 1) & (F.col("g_t") > 0), 1.0 / F.col("g_t")).otherwise(F.lit(0.0))).alias(f"cw{i}"))
         aggs.append(F.sum(F.when(t > h, F.lit(1.0)).otherwise(F.lit(0.0))).alias(f"kw{i}"))
     per_risk = with_g.groupBy(F.col(risk).cast("double").alias("risk")).agg(*aggs)
+    ensure_checkpoint_dir(test.sparkSession)
+    per_risk = per_risk.checkpoint()  # read for the bands, their totals and the scan; the join above runs once
     scanned = prefix_sum(per_risk, "risk", [f"kw{i}" for i in range(len(hs))], exclusive=True)
     tot = []
     for i in range(len(hs)):
