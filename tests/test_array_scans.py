@@ -229,3 +229,23 @@ def test_permuted_column_is_that_of_the_expression(spark, n):
     assert moved.where(~F.col("to").eqNullSafe(permuted(F.col("id"), F.col("keys"), n))).count() == 0
     # each digit is made once: as one expression it is repeated wherever a round reads it
     assert str(moved._jdf.queryExecution().optimizedPlan().toString()).count("40503") < 185
+
+
+def test_a_walks_order_is_not_sorted_in_the_row(spark):
+    df = spark.createDataFrame([(i, float(i), float(i % 3)) for i in range(12)] + [(3, 1.0, 2.0), (None, 4.0, 5.0)], "id long, a double, b double")
+    model = LinearRisk({"a": 2.0, "b": -1.0})
+    out = sampled_shapley(df, "id", model.risk, ["a", "b"], df, draws=4)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_sort" not in plan and "lambda" not in plan and "decimal" not in plan
+    # a repeated id is one subject of twice the draws, as is a null one
+    assert out.count() == 2 * 13 and out.where("shapley is null").count() == 0
+
+
+def test_subjects_rows_share_their_weights(spark):
+    df = spark.createDataFrame([(i, h, float(i + h)) for i in range(5) for h in range(3)], "id long, h int, v double").coalesce(1)
+    rows = list(df.select(id_hash("id").alias("x"), "h", "v").toPandas().itertuples())
+    got = {r.h: r for r in replicate_sums(df, "id", ["v"], 4, 1, ["h"]).collect()}
+    for h in range(3):
+        own = [r for r in rows if r.h == h]
+        w = weight_matrix(np.array([r.x for r in own]), coefficients(1, 4))
+        assert np.allclose(got[h].v, w.T @ [r.v for r in own]) and np.allclose(got[h].w, w.sum(axis=0))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tte.operators.permute import drawn_numbers, permutation_keys, row_numbers, with_permuted
+from tte.operators.replicates import id_hash
 from tte.operators.stats import exact_quantiles
 from tte.session import ensure_checkpoint_dir
 
@@ -195,19 +196,25 @@ def sampled_shapley(df: DataFrame, id_col: str, score_fn, features: Sequence[str
     feature after the other, and every step's change of risk belongs to its feature.
 
     All points of all walks are scored as one table. A point counts for the feature that led to it and
-    against the one that leads on, so the steps are a grouped sum: no join of scores, and a subject's values
-    add up to f(x) minus the mean of f over its background rows."""
+    against the one that leads on, so the steps are one grouped sum per feature, a row a subject: no join of scores, and a
+    subject's values add up to f(x) minus the mean of f over its background rows."""
     feats = list(features)
     numbered, nb = row_numbers(background.select(id_col, *feats), id_col)
     bg = numbered.select(F.col("_row").alias("_bg"), *[F.col(f).alias(f"_bg_{f}") for f in feats])
-    x = df.select(id_col, *feats, F.explode(F.sequence(F.lit(0), F.lit(draws - 1))).alias("_draw"))
-    x = x.withColumn("_bg", drawn_numbers(id_col, F.col("_draw"), draws, nb, seed)).join(bg, "_bg")
-    order = F.array_sort(F.array(*[F.struct(F.xxhash64(F.col(id_col), F.col("_draw"), F.lit(i), F.lit(seed + 2)).alias("h"), F.lit(f).alias("f"))
-                                   for i, f in enumerate(feats)]))
-    x = x.withColumn("_order", F.transform(order, lambda o: o["f"])).withColumn("_at", F.explode(F.sequence(F.lit(0), F.lit(len(feats)))))
-    taken = lambda f: F.array_position("_order", F.lit(f)) <= F.col("_at")
-    points = x.select(F.col(id_col), "_order", "_at", *[F.when(taken(f), F.col(f)).otherwise(F.col(f"_bg_{f}")).alias(f) for f in feats])
-    parts = F.array(F.when(F.col("_at") > 0, F.struct(F.get("_order", F.col("_at") - 1).alias("feature"), F.col("risk").alias("d"))),
-                    F.when(F.col("_at") < len(feats), F.struct(F.get("_order", F.col("_at")).alias("feature"), (-F.col("risk")).alias("d"))))
-    steps = score_fn(points).select(id_col, F.explode(F.filter(parts, lambda p: p.isNotNull())).alias("p"))
-    return steps.groupBy(id_col, "p.feature").agg((F.sum("p.d") / draws).alias("shapley"))
+    x = df.select(id_col, *feats, id_hash(id_col).alias("_id_hash")).select("*", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))).alias("_draw"))
+    x = x.withColumn("_bg", drawn_numbers(F.col("_id_hash"), F.col("_draw"), draws, nb, seed)).join(bg, "_bg")
+    # a feature's place in the order is how many hashes are smaller (equal ones: names), so that nothing is sorted in a row
+    x = x.withColumns({f"_h{i}": F.xxhash64(F.col(id_col), F.col("_draw"), F.lit(i), F.lit(seed + 2)) for i in range(len(feats))})
+
+    def place(i: int) -> Column:
+        before = [F.col(f"_h{j}") <= F.col(f"_h{i}") if feats[j] < feats[i] else F.col(f"_h{j}") < F.col(f"_h{i}") for j in range(len(feats)) if j != i]
+        return sum((b.cast("int") for b in before), F.lit(1))
+
+    places = [f"_place{i}" for i in range(len(feats))]
+    x = x.withColumns({p: place(i) for i, p in enumerate(places)}).withColumn("_at", F.explode(F.sequence(F.lit(0), F.lit(len(feats)))))
+    points = x.select(F.col(id_col), "_at", *places, *[F.when(F.col(p) <= F.col("_at"), F.col(f)).otherwise(F.col(f"_bg_{f}")).alias(f)
+                                                       for f, p in zip(feats, places, strict=True)])
+    part = lambda p: F.when(F.col(p) == F.col("_at"), F.col("risk")).when(F.col(p) == F.col("_at") + 1, -F.col("risk"))
+    sums = score_fn(points).groupBy(id_col).agg(*[F.sum(part(p)).alias(p) for p in places])
+    rows = F.array(*[F.struct(F.lit(f).alias("feature"), (F.col(p) / draws).alias("shapley")) for f, p in zip(feats, places, strict=True)])
+    return sums.select(id_col, F.explode(rows).alias("p")).select(id_col, "p.*")

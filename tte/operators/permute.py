@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tte.operators.replicates import PRIME, coefficients, id_hash
+from tte.operators.replicates import PRIME, coefficients
 from tte.operators.scan import prefix_sum
 
 ROUNDS = 4
@@ -86,10 +86,12 @@ def with_permuted(df: DataFrame, number: str, keys: str, n: int, out: str) -> Da
     return x.withColumn(out, F.when(F.col("_at") < n, F.col("_at")).otherwise(permuted(F.col("_at"), F.col(keys), n))).drop("_left", "_right", "_y", "_at")
 
 
-def drawn_numbers(id_col: str, draw: Column, draws: int, n: int, seed: int) -> Column:
-    """A row number below ``n`` per (id, draw), draws from 0: the replicates' hash, scaled."""
+def drawn_numbers(x: Column, draw: Column, draws: int, n: int, seed: int) -> Column:
+    """A row number below ``n`` per (id, draw), draws from 0: the replicates' hash, scaled. ``x`` is a column with the
+    ids' ``id_hash``; the polynomial reads it three times."""
     a, b, c, d = (F.element_at(F.array(*[F.lit(x) for x in column]).cast("array<bigint>"), draw.cast("int") + 1)
                   for column in zip(*coefficients(seed, draws), strict=True))
-    x = id_hash(id_col)
     u = (((((a * x + b) % PRIME) * x + c) % PRIME) * x + d) % PRIME
+    if n < 1 << 32:  # the product is below 2 ** 63
+        return F.call_function("div", u * F.lit(n), F.lit(PRIME)).cast("long")
     return F.call_function("div", u.cast("decimal(10,0)") * F.lit(n).cast("decimal(18,0)"), F.lit(PRIME).cast("decimal(10,0)")).cast("long")
