@@ -90,12 +90,13 @@ def replicate_sums(df: DataFrame, id_col: str, values: Sequence[str], reps: int,
 
     def run(batches):
         for pdf in batches:
-            weights = weight_matrix(pdf["_x"].to_numpy(), polynomials)
+            ids, own = np.unique(pdf["_x"].to_numpy(), return_inverse=True)  # a subject's rows share its weights
+            weights = weight_matrix(ids, polynomials)
             groups = pdf.groupby(by, sort=False, dropna=False).indices.items() if by else [((), np.arange(len(pdf)))]
             out = []
             for key, at in groups:
                 key = key if isinstance(key, tuple) else (key,)
-                w = weights[at]
+                w = weights[own[at]]
                 out.append((*key, w.sum(axis=0).tolist(), *((w.T @ pdf[v].to_numpy()[at]).tolist() for v in values)))
             yield pd.DataFrame(out, columns=schema.names)
 
