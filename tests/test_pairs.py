@@ -128,3 +128,13 @@ def test_concordance_reads_its_rows_once(spark):
                                    (F.col("id") % 7).cast("double").alias("risk"))
     got = concordance(rows.mapInArrow(counted, rows.schema)).collect()
     assert len(got) == 1 and read.value == 300
+
+
+def test_kernels_run_once_and_bands_are_compiled(spark):
+    from tte.operators.pairs import dominance, plan_points
+    from tte.operators.scan import banded
+
+    pts = spark.range(500).selectExpr("cast(id % 90 as double) xv", "cast(id % 2 as int) tie", "cast(id % 70 as double) y", "1.0d w").checkpoint()
+    plan = lambda df: df._jdf.queryExecution().toString()
+    assert "FlatMapGroupsInPandas" not in plan(dominance(pts, plan=plan_points(pts, 4)))  # the pass and the sums read the kernels' written rows
+    assert "lambda" not in plan(banded(pts, "y", [10.0, 20.0, 30.0], "rb"))

@@ -61,3 +61,11 @@ def test_band_ids_are_monotone_and_single_out_cut_points(frame):
     for cuts in ([], [3.0], sorted(set(rng.integers(0, 50, 17).astype(float)))):
         rows = frame(x=x).withColumn("b", scan.band_of("x", cuts)).collect()
         assert all(r.b == 2 * sum(c < r.x for c in cuts) + (r.x in cuts) for r in rows)
+
+
+def test_compiled_bands_are_those_of_the_expression(spark):
+    x = [None, float("nan"), float("-inf"), float("inf"), -0.0, 0.0, 1.0, 1.5, 2.0, 3.0, -1.0]
+    df = spark.createDataFrame([(v,) for v in x], "x double")
+    for cuts in ([], [1.0], [-0.0, 2.0], [-1.0, 0.0, 1.0, 2.0, 3.0], [1.0, float("inf")]):
+        rows = scan.banded(df, "x", cuts, "b").withColumn("e", scan.band_of("x", cuts)).collect()
+        assert [r.b for r in rows] == [r.e for r in rows]

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tte.operators.scan import BAND_ROWS, MAX_BANDS, band_of
+from tte.operators.scan import BAND_ROWS, MAX_BANDS, banded
 from tte.session import ensure_checkpoint_dir, shuffle_partitions
 
 #: Replicates whose weights are in a kernel's matrices at once.
@@ -203,16 +203,14 @@ def dominance(points: DataFrame, by: Sequence[str] = (), k: int | None = None, w
     by = list(by)
     n, cuts_t, cuts_r = plan or plan_points(points, k)
     spark = points.sparkSession
-    time_band = band_of("xv", cuts_t)
     # the two halves of a hot time, events and censored, are bands of their own
-    pts = points.withColumn("rb", band_of("y", cuts_r)).withColumn("_tte_time_band", time_band).withColumn(
+    pts = banded(banded(points, "y", cuts_r, "rb"), "xv", cuts_t, "_tte_time_band").withColumn(
         "tb", 2 * F.col("_tte_time_band") + F.when(F.col("_tte_time_band") % 2 == 1, F.col("tie")).otherwise(0))
     group = lambda kind, gid: F.struct(F.lit(kind).alias("kind"), gid.cast("int").alias("gid"))
     hot = F.pmod(F.xxhash64("xv", "tie", "w"), F.lit(max(1, -(-n // BAND_ROWS))))
-    dealt = pts.withColumn("_to", F.filter(F.array(
-        F.when(F.col("rb") % 2 == 0, group("r", F.col("rb"))).otherwise(group("c", hot)),
-        F.when(F.col("_tte_time_band") % 2 == 0, group("t", F.col("tb")))), lambda x: x.isNotNull()))
-    dealt = dealt.select(*by, "xv", "tie", "y", "w", "rb", "tb", F.explode("_to").alias("_to")).select(
+    to = F.array(F.when(F.col("rb") % 2 == 0, group("r", F.col("rb"))).otherwise(group("c", hot)),
+                 F.when(F.col("_tte_time_band") % 2 == 0, group("t", F.col("tb"))))
+    dealt = pts.select(*by, "xv", "tie", "y", "w", "rb", "tb", F.explode(to).alias("_to")).where(F.col("_to").isNotNull()).select(
         *by, "xv", "tie", "y", "w", "rb", "tb", "_to.kind", "_to.gid")
     # small groups share a Python call
     parts = max(shuffle_partitions(spark), -(-2 * n // BAND_ROWS), k or 1)
@@ -222,6 +220,7 @@ def dominance(points: DataFrame, by: Sequence[str] = (), k: int | None = None, w
     # by number, or the few bytes of a group would let several groups run one after the other in one task
     solved = dealt.repartition(parts, "_part").groupBy("_part").applyInPandas(
         _kernels(by, weights), T.StructType([*own, T.StructField("rb", T.LongType()), T.StructField("tb", T.LongType()), *sums]))
+    solved = _kept(solved)  # the pass over the cells and the sums both read it: the kernels run once
     schema = T.StructType([*own, *(T.StructField(c, T.ArrayType(T.DoubleType())) for c in ("less", "eq", "greater"))])
     arrow = pa.schema([*(pa.field(c.name, _arrow_type(c.dataType)) for c in own), *(pa.field(c, pa.list_(pa.float64())) for c in ("less", "eq", "greater"))])
     cells = solved.where("rb is not null").select(*by, "rb", "tb", F.col("a"), F.col("b"))
@@ -246,7 +245,8 @@ def add_arrays(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> Data
 
 
 def _kept(points: DataFrame) -> DataFrame:
-    """The distinct points, written: the bands, the tied times and the kernels read them, and whatever scores the rows runs once."""
+    """The distinct points (or the kernels' rows), written: the bands, the tied times and the kernels read them, and whatever
+    scores the rows runs once."""
     ensure_checkpoint_dir(points.sparkSession)
     return points.checkpoint()
 

@@ -12,8 +12,10 @@ shuffle partitions).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,22 +49,36 @@ def band_of(order: str, cuts: Sequence[float]) -> Column:
     equals a cut point. A hot key spans several quantiles, so it is a cut point and gets an odd
     band of its own (single-valued); keys between cut points share the even bands.
 
-    Looked up in two steps, among every m-th cut point and then among the m that follow it, so a row
-    costs about twice the square root of the number of cut points."""
+    One binary search over the cut points, as one fold over its step sizes: a row costs the logarithm of their number."""
     key = F.col(order).cast("double")
     if not cuts:
         return F.lit(0)
-    m = max(1, int(len(cuts) ** 0.5))
-    literals = lambda xs: F.array(*[F.lit(float(c)) for c in xs])
-    below = lambda xs: F.size(F.filter(xs, lambda c: c < key))
-    coarse = below(literals(cuts[m - 1:: m])) * m
-    near = F.slice(literals(cuts), coarse + 1, m)
-    return (coarse + below(near)) * 2 + F.array_contains(near, key).cast("int")
+    n = len(cuts)
+    known = F.array(*[F.lit(float(c)) for c in cuts])
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(n.bit_length()))])
+    # ``at``: so many cut points are known to lie below the key
+    further = lambda at, step: F.when((at + step <= n) & (F.get(known, at + step - 1) < key), at + step).otherwise(at)
+    equal = lambda at: F.coalesce(F.get(known, at) == key, F.lit(False)).cast("int")
+    return F.when(key.isNotNull(), F.aggregate(steps, F.lit(0), further, lambda at: at * 2 + equal(at)))
+
+
+def banded(df: DataFrame, order: str, cuts: Sequence[float], name: str) -> DataFrame:
+    """``df`` with ``band_of`` as the column ``name``, for tables of any size: the cut points are searched by MLlib's
+    ``Bucketizer``, which is compiled, and a fold over an array is not."""
+    known = sorted({float(c) + 0.0 for c in cuts})  # + 0.0: a negative zero is a zero
+    if not known or not all(math.isfinite(c) for c in known):
+        return df.withColumn(name, band_of(order, cuts))
+    key, n = F.col("_tte_key"), len(known)
+    at = F.col("_tte_at").cast("int")  # cut points at or below the key
+    equal = F.coalesce(F.get(F.array(*[F.lit(c) for c in known]), at - 1) == key, F.lit(False)).cast("int")
+    search = Bucketizer(splits=[float("-inf"), *known, float("inf")], inputCol="_tte_key", outputCol="_tte_at", handleInvalid="keep")
+    found = search.transform(df.withColumn("_tte_key", F.col(order).cast("double") + F.lit(0.0)))
+    return found.withColumn(name, F.when(F.isnan(key), 2 * n).when(key.isNotNull(), at * 2 - equal)).drop("_tte_key", "_tte_at")
 
 
 def with_band(df: DataFrame, order: str, k: int | None = None, name: str = BAND) -> DataFrame:
     """Add a band column on ``order`` with about ``k`` value bands."""
-    return df.withColumn(name, band_of(order, plan_bands(df, order, k)))
+    return banded(df, order, plan_bands(df, order, k), name)
 
 
 AUTO = "auto"
@@ -81,7 +97,7 @@ def prefix_sum(df: DataFrame, order: str, values: Sequence[str], by: Sequence[st
     # step), reused instead of planning again
     cuts = plan_bands(df, order, k) if plan is AUTO else plan
     part = [*by, BAND]
-    src = df.withColumn(BAND, band_of(order, cuts))
+    src = banded(df, order, cuts, BAND)
     w = Window.partitionBy(*part).orderBy(order).rangeBetween(Window.unboundedPreceding, 0)
     wt = Window.partitionBy(*part, order)
     local = src.select("*", *[F.sum(v).over(w).alias(f"_loc_{v}") for v in values],
@@ -129,7 +145,7 @@ def carry_forward(df: DataFrame, key: Sequence[str], order: str, value: str, out
     """
     key = list(key)
     part = [*key, BAND]
-    src = df.withColumn(BAND, band_of(order, plan_bands(df, order, k)))
+    src = with_band(df, order, k)
     w = Window.partitionBy(*part).orderBy(order)
     w = w.rowsBetween(Window.unboundedPreceding, -1) if unique else w.rangeBetween(Window.unboundedPreceding, -1)
     local = src.withColumn("_loc", F.last(value, ignorenulls=True).over(w))
