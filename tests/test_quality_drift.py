@@ -136,3 +136,20 @@ def test_batch_report_with_gaps(spark):
     assert f[1, "x"].drift == 0 and f[1, "c"].drift == 0 and f[2, "x"].missing_rate == 1 / 21
     assert all(got[d].drift == max(f[d, "x"].drift or 0, f[d, "c"].drift) for d in (1, 2, 3))
     assert alerts(r.metrics.na.fill(0.5)).columns[:2] == ["ts", "model"]
+
+
+def test_isolation_draws_and_flat_trees(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from tte.operators.quality import flat_tree, path_lengths, tree_draws
+
+    rows = spark.range(300).select(F.xxhash64("id").alias("_row"))
+    drawn = tree_draws(rows, 4, 0.3, 7)
+    assert "lambda" not in drawn._jdf.queryExecution().optimizedPlan().toString()  # compiled
+    u = lambda t: F.pmod(F.xxhash64("_row", F.lit(t), F.lit(7)), F.lit(1 << 53)).cast("double") / float(1 << 53)
+    expected = {(r._row, t) for t in range(4) for r in rows.where(u(t) < 0.3).collect()}
+    assert {(r._row, r._t) for r in drawn.collect()} == expected
+    tree = ("node", 0, 1.0, ("leaf", 3), ("node", 1, 5.0, ("leaf", 1), ("leaf", 2)))
+    x = np.array([[0.0, 9.0], [1.0, 4.0], [2.0, 5.0]])
+    assert path_lengths(flat_tree(tree, lambda n: n / 10), x, 8).tolist() == [1.3, 2.1, 2.2]

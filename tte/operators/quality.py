@@ -8,9 +8,10 @@ distinct counts for ``percentile_approx`` / ``approx_count_distinct`` at scale.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -517,6 +518,41 @@ def cleanse(df: DataFrame, outlier_columns: Sequence[str] = (), remove: bool = T
     return out, summary
 
 
+def tree_draws(hashed: DataFrame, trees: int, share: float, seed: int) -> DataFrame:
+    """The rows with a draw ``_u`` below ``share`` in tree ``_t``, by a hash of (``_row``, tree, seed). A row's draws are rows, which
+    compiled code makes and drops again; as an array they would be made by interpreted functions."""
+    draw = F.pmod(F.xxhash64("_row", "_t", F.lit(seed)), F.lit(1 << 53)).cast("double") / float(1 << 53)
+    each = hashed.select("*", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("_t"))
+    return each.withColumn("_u", draw).where(F.col("_u") < share)
+
+
+def flat_tree(tree: tuple, leaf: Callable[[int], float]) -> tuple[np.ndarray, ...]:
+    """A grown isolation tree as arrays by node: column and cut, left and right child (a leaf's are itself), and path length."""
+    nodes: list[list] = []
+
+    def add(node: tuple, depth: int) -> int:
+        at = len(nodes)
+        if node[0] == "leaf":
+            nodes.append([0, 0.0, at, at, depth + leaf(node[1])])
+            return at
+        nodes.append([node[1], node[2], 0, 0, 0.0])
+        nodes[at][2], nodes[at][3] = add(node[3], depth + 1), add(node[4], depth + 1)
+        return at
+
+    add(tree, 0)
+    column, cut, left, right, length = zip(*nodes, strict=True)
+    return np.array(column), np.array(cut), np.array(left), np.array(right), np.array(length, dtype=float)
+
+
+def path_lengths(flat: tuple[np.ndarray, ...], x: np.ndarray, depth: int) -> np.ndarray:
+    """Path length of each row: all rows go down one level at a time, whatever the number of nodes."""
+    column, cut, left, right, length = flat
+    at, rows = np.zeros(len(x), dtype=np.int64), np.arange(len(x))
+    for _ in range(depth):
+        at = np.where(x[rows, column[at]] < cut[at], left[at], right[at])
+    return length[at]
+
+
 def isolation_scores(df: DataFrame, cols: Sequence[str], trees: int = 100, sample: int = 256,
                      contamination: float = 0.1, seed: int = 42, id_col: str | None = None) -> DataFrame:
     """Q8: isolation-forest score per row and a flag for the top ``contamination`` share.
@@ -525,7 +561,6 @@ def isolation_scores(df: DataFrame, cols: Sequence[str], trees: int = 100, sampl
     from ``sample`` rows picked by hash (a bounded ``trees x sample`` draw, taken with a
     distributed top-k by hash), the small forest is broadcast, and every row is scored in
     ``mapInPandas``. The cut is the (1 - contamination) ``percentile_approx`` of the scores."""
-    import numpy as np
     import pandas as pd
 
     st = df.agg(F.count(F.lit(1)).alias("_n"), *[F.avg(c).alias(f"m_{c}") for c in cols],
@@ -537,12 +572,8 @@ def isolation_scores(df: DataFrame, cols: Sequence[str], trees: int = 100, sampl
     # each tree draws with its own hash of (row, tree): about 2 x sample candidates per tree, of which
     # those with the smallest hashes stay, so every tree has min(sample, n) rows at any n
     share = min(1.0, 2.0 * sample / n)
-    row = F.xxhash64(*[_q(c) for c in df.columns])
-    draw = lambda t: F.pmod(F.xxhash64(row, t, F.lit(seed)), F.lit(1 << 53)).cast("double") / float(1 << 53)
-    drawn = F.filter(F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(t.alias("t"), draw(t).alias("u"))),
-                     lambda x: x["u"] < share)
-    cand = z.select(*[f"_z_{c}" for c in cols], F.explode(drawn).alias("_d")).select(
-        *[f"_z_{c}" for c in cols], F.col("_d.t").alias("_t"), F.col("_d.u").alias("_u"))
+    hashed = z.select(*[f"_z_{c}" for c in cols], F.xxhash64(*[_q(c) for c in df.columns]).alias("_row"))
+    cand = tree_draws(hashed, trees, share, seed).drop("_row")
     w = Window.partitionBy("_t").orderBy("_u")
     picked = cand.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= sample).drop("_rn", "_u")
     pdf = picked.toPandas()  # trees x sample rows: bounded by the parameters, not by the data
@@ -567,28 +598,13 @@ def isolation_scores(df: DataFrame, cols: Sequence[str], trees: int = 100, sampl
         return 2.0 * (np.log(n - 1) + 0.5772156649) - 2.0 * (n - 1) / n if n > 2 else (1.0 if n == 2 else 0.0)
 
     cm = c_of(m) or 1.0
-    bforest = df.sparkSession.sparkContext.broadcast(forest)
-
-    def path_len(tree, x):
-        out = np.zeros(len(x))
-        idx = np.arange(len(x))
-        stack = [(tree, idx, 0)]
-        while stack:
-            node, ii, d = stack.pop()
-            if node[0] == "leaf":
-                out[ii] = d + c_of(node[1])
-                continue
-            _, j, s, left, right = node
-            mask = x[ii, j] < s
-            stack.append((left, ii[mask], d + 1))
-            stack.append((right, ii[~mask], d + 1))
-        return out
+    bforest = df.sparkSession.sparkContext.broadcast([flat_tree(t, c_of) for t in forest])
 
     def score(it):
         fr = bforest.value
         for b in it:
             x = b[zc].to_numpy(float)
-            h = np.mean([path_len(t, x) for t in fr], axis=0) if len(x) else np.zeros(0)
+            h = np.mean([path_lengths(t, x, limit) for t in fr], axis=0) if len(x) else np.zeros(0)
             b = b.drop(columns=zc)
             b["anomaly_score"] = np.power(2.0, -h / cm)
             yield b
