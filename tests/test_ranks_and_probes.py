@@ -108,3 +108,48 @@ def test_cox_reports_convergence_and_excluded_rows(frame):
     assert model.converged_ and model.n_excluded_ == 1 and model.coef_[0] == pytest.approx(1.0, abs=0.2)
     with pytest.warns(UserWarning):
         assert not CoxPH(["x"], n_iter=1).fit(df.limit(400)).converged_
+
+
+def test_probed_preparations_are_fitted_together_as_one_by_one(spark, frame):
+    from tte.operators.models.cox_cv import CIndex, CoxFit
+
+    rng = np.random.default_rng(4)
+    n = 400
+    x, g = rng.normal(size=n), rng.integers(0, 80, n)
+    df = frame(subject_id=range(n), x=x, g=g.astype(float), time=np.ceil(rng.exponential(np.exp(-0.5 * x)) * 50), event=rng.integers(0, 2, n))
+    df = df.withColumn("x", F.when(F.col("subject_id") % 50 != 0, F.col("x")))  # rows without a feature are left out
+
+    def centred(train, rows):
+        return rows.crossJoin(train.agg(F.avg("x").alias("_a"))).withColumn("x", F.col("x") - F.col("_a")).drop("_a")
+
+    def target(train, rows):
+        means = train.groupBy(F.col("g").alias("_g")).agg(F.avg("time").alias("_m"))
+        return rows.join(means, rows["g"] == means["_g"], "left").withColumn("g", F.coalesce("_m", F.lit(50.0))).drop("_g", "_m")
+
+    one_by_one = {name: leakage_probe(df, f, lambda feats: (lambda d: CoxPH(feats).fit(d)), lambda m, d: CIndex()(m, d), ["x", "g"], k=2)
+                  for name, f in (("centred", centred), ("target", target))}
+    spark.sparkContext.setJobGroup("probe", "together")
+    try:
+        together = leakage_probe(df, {"centred": centred, "target": target}, CoxFit, CIndex(), ["x", "g"], k=2)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert together.keys() == one_by_one.keys()
+    for name, want in one_by_one.items():
+        assert together[name][:2] == pytest.approx(want[:2], abs=1e-12) and together[name][2] is want[2]
+    assert together["target"][2] is True
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("probe")) < 150  # 8 fits and 8 scores one by one: about 350
+
+
+def test_cox_tables_are_scaled_and_counted_by_table(frame):
+    from tte.operators.models.cox import cox_tables
+
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(300, 2))
+    t = np.round(rng.exponential(np.exp(-x[:, 0])) * 20)
+    a = frame(p=x[:, 0], q=x[:, 1], time=t, event=rng.integers(0, 2, 300))
+    b = a.select((F.col("p") * 1000 + 5).alias("p"), F.when(F.col("q") < 1, F.col("q")).alias("q"), "time", "event")
+    empty = a.where("p > 1e9")
+    for table, m in zip((a, b, empty), cox_tables([a, b, empty], ["p", "q"], alpha=0.1), strict=True):
+        alone = CoxPH(["p", "q"], alpha=0.1).fit(table)
+        assert np.allclose(m.coef_, alone.coef_, atol=1e-10) and m.converged_ == alone.converged_ and m.n_excluded_ == alone.n_excluded_
+        assert m.loglik_ == pytest.approx(alone.loglik_, abs=1e-6) and m.intercept_shift_ == pytest.approx(alone.intercept_shift_, abs=1e-6)

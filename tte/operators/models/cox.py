@@ -1,11 +1,11 @@
 """Cox proportional hazards on Spark (L1) with the Breslow baseline (K7-K9) and a local NumPy
 form for per-group fits (L11).
 
-Newton-Raphson on the Breslow partial likelihood. The rows are ranged by descending time once; each step
+Newton-Raphson on the Breslow partial likelihood. The rows are ranged by descending time once and kept as bytes; each step
 is a vector scan of w = exp(x b) and w x over the bands (``vector_scan``), a scalar scan of the hazard, and
-one pass that adds up the gradient and the Hessian as matrix products. The plans have the same size for
-2 and for 100 features. Besides p + p x p sums only p + 1 numbers a band reach the driver, where the
-p x p system is solved. Features are centred and scaled inside; the ridge penalty
+one pass that adds up the gradient and the Hessian as matrix products; for a few features (``FEW``) the last two are one
+pass. The plans have the same size for 2 and for 100 features. Besides p + p x p sums only p + 1 numbers a band
+(2 p x p more for a few features) reach the driver, where the p x p system is solved. Features are centred and scaled inside; the ridge penalty
 0.5 alpha |b|^2 applies to the coefficients on the original scale.
 """
 
@@ -13,8 +13,10 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Callable, Iterable, Sequence
+from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +24,7 @@ from pyspark.sql import functions as F
 from tte.operators.curves import curve_at
 from tte.operators.scan import prefix_sum
 from tte.operators.vector_scan import Band, band_of_batches, band_offsets, band_sums, ranged, rows_where, running, whole
+from tte.session import ensure_checkpoint_dir
 
 
 def breslow_baseline(df: DataFrame, rel_risk: Column | str, time: str = "time", event: str = "event",
@@ -89,10 +92,10 @@ class CoxPH:
         stats = df.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(self.features)],
                        *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(self.features)]).collect()[0]
         mu, sd = _scales(stats, p)
-        data = ranged(cox_rows(df, self.features, mu, sd, self.time, self.event), "t", stats["n"], descending=True)
+        data = ranged(cox_rows(df, self.features, mu, sd, self.time, self.event), "t", stats["n"], descending=True, pack=True)
         try:
             # rows without a time, event or feature cannot enter a risk set: their number is reported
-            self.n_excluded_ = stats["n"] - data.count()
+            self.n_excluded_ = stats["n"] - (data.agg(F.sum("_rows")).first()[0] or 0)
             beta = (np.asarray(init, float) * sd) if init is not None else np.zeros(p)
             pen = self.alpha / sd ** 2  # ridge on the original-scale coefficients
             beta, self.loglik_, self.n_iter_, self.converged_ = newton(
@@ -139,6 +142,8 @@ def cox_rows(df: DataFrame, features: Sequence[str], mu: np.ndarray, sd: np.ndar
 
 
 Derivatives = tuple[float, np.ndarray, np.ndarray]
+#: Up to so many features the p x p sums of single bands go to the driver, which saves a pass.
+FEW = 8
 
 
 def cox_derivatives(data: DataFrame, betas: dict[int, np.ndarray], parts: Callable[[Band], Iterable[tuple[int, Band]]] = whole) -> dict[int, Derivatives]:
@@ -173,12 +178,13 @@ def cox_derivatives(data: DataFrame, betas: dict[int, np.ndarray], parts: Callab
         return sums, np.maximum(sums[:, 0], 1e-300)  # a risk set far below the largest risk underflows
 
     # events before a time lie behind it in this order, so what a band does not hold of A comes from the bands after it
-    share = _hazards_outside(data, risk_sets, mine)
+    few = all(len(beta) <= FEW for beta in betas.values())
+    share = {} if few else _hazards_outside(data, risk_sets, mine)
 
-    def part(number: int, problem: int, rows: Band) -> np.ndarray:
+    def part(number: int, problem: int, rows: Band, own: bool = False) -> np.ndarray:
         t, e, z = rows["t"], rows["e"], rows["z"]
         sums, s0 = risk_sets(number, problem, rows)
-        later, above = share[number, problem]
+        later, above = (0.0, 0.0) if own else share[number, problem]
         # A(t): events at times up to t; this band's rows from t's first row on, the bands after, and the rows
         # of t in the bands before
         a = np.cumsum((e / s0)[::-1])[::-1][np.searchsorted(-t, -t, side="left")] + later
@@ -189,9 +195,15 @@ def cox_derivatives(data: DataFrame, betas: dict[int, np.ndarray], parts: Callab
         ll = float((e * (lp - shift[problem])).sum() - (e[dead] * np.log(s0[dead])).sum())
         grad = (e[:, None] * z).sum(axis=0) - (e[dead, None] * s1).sum(axis=0)
         hess = (s1 * e[dead, None]).T @ s1 - (z * (w * a)[:, None]).T @ z
-        return np.concatenate(([ll], grad, hess.ravel()))
-
-    found = band_sums(data, part, mine)
+        out = np.concatenate(([ll], grad, hess.ravel()))
+        if not own:
+            return out
+        # with the sums of w z z' of the band and of its first time, its Hessian is completed where the other bands' hazards are known
+        first, mine_h = t == t[0], e / s0
+        zw = z * w[:, None]
+        return np.concatenate(([t[0], t[-1], mine_h.sum(), mine_h[t == t[-1]].sum()], out, (zw.T @ z).ravel(), (zw[first].T @ z[first]).ravel()))
+
+    found = _completed(data, lambda *a: part(*a, own=True), mine, betas) if few else band_sums(data, part, mine)
     out = {}
     for problem, beta in betas.items():
         p = len(beta)
@@ -224,9 +236,12 @@ def _hazards_outside(data: DataFrame, risk_sets, parts) -> dict[tuple[int, int],
                     [pa.array([number], pa.int32()), pa.array([problem], pa.int32()), *(pa.array([float(x)]) for x in (
                         t[0], t[-1], mine.sum(), mine[t == t[-1]].sum()))], names=["band", "problem", "first", "last", "total", "tail"])
 
-    rows = data.mapInArrow(run, "band int, problem int, first double, last double, total double, tail double").toPandas().sort_values(["problem", "band"])
+    return _outside(data.mapInArrow(run, "band int, problem int, first double, last double, total double, tail double").toPandas())
+
+
+def _outside(rows: pd.DataFrame) -> dict[tuple[int, int], tuple[float, float]]:
     out = {}
-    for problem, own in rows.groupby("problem"):
+    for problem, own in rows.sort_values(["problem", "band"]).groupby("problem"):
         first, last, total, tail = (own[c].to_numpy() for c in ("first", "last", "total", "tail"))
         later = np.cumsum(total[::-1])[::-1] - total
         above = np.zeros(len(own))
@@ -237,6 +252,30 @@ def _hazards_outside(data: DataFrame, risk_sets, parts) -> dict[tuple[int, int],
     return out
 
 
+def _completed(data: DataFrame, part, parts, betas: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+    """``band_sums`` of the derivatives in one pass without the hazards outside the bands, for few features: a band's Hessian
+    lacks these times its sums of w z z', which are added here."""
+
+    def run(batches):
+        number, band = band_of_batches(batches)
+        for problem, rows in parts(band) if band else ():
+            if len(rows["t"]):
+                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([problem], pa.int32()),
+                                                  pa.array([part(number, problem, rows).tolist()], pa.list_(pa.float64()))], names=["band", "problem", "x"])
+
+    rows = data.mapInArrow(run, "band int, problem int, x array<double>").toPandas()
+    x = {(int(b), int(p)): np.asarray(v, dtype=np.float64) for b, p, v in zip(rows["band"], rows["problem"], rows["x"], strict=True)}
+    share = _outside(pd.DataFrame([(*key, *v[:4]) for key, v in x.items()], columns=["band", "problem", "first", "last", "total", "tail"]))
+    out = {}
+    for (number, problem), v in sorted(x.items()):
+        p = len(betas[problem])
+        own, all_rows, first = v[4: 5 + p + p * p].copy(), *np.split(v[5 + p + p * p:], 2)
+        later, above = share[number, problem]
+        own[1 + p:] -= later * all_rows + above * first
+        out[problem] = out[problem] + own if problem in out else own
+    return out
+
+
 def cox_together(df: DataFrame, features: Sequence[str], problems: dict[int, tuple[int, float]], subset: Callable[[Band, int], np.ndarray],
                  keep: Sequence[str], time: str = "time", event: str = "event", n_iter: int = 50, tol: float = 1e-9) -> dict[int, CoxPH]:
     """Cox models, without baselines, of many subsets of the rows: ``problems`` maps a number to (subset, alpha) and
@@ -248,7 +287,7 @@ def cox_together(df: DataFrame, features: Sequence[str], problems: dict[int, tup
     stats = df.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(feats)],
                    *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(feats)]).first()
     mu, sd = _scales(stats, len(feats))
-    data = ranged(cox_rows(df, feats, mu, sd, time, event, [F.col(c).cast("int").alias(c) for c in keep]), "t", stats["n"], descending=True)
+    data = ranged(cox_rows(df, feats, mu, sd, time, event, [F.col(c).cast("int").alias(c) for c in keep]), "t", stats["n"], descending=True, pack=True)
     by_subset: dict[int, list[int]] = {}
     for number, (which, _) in problems.items():
         by_subset.setdefault(which, []).append(number)
@@ -272,6 +311,49 @@ def cox_together(df: DataFrame, features: Sequence[str], problems: dict[int, tup
     return out
 
 
+def cox_tables(tables: Sequence[DataFrame], features: Sequence[str], alpha: float = 0.0, time: str = "time", event: str = "event",
+               n_iter: int = 50, tol: float = 1e-9) -> list[CoxPH]:
+    """The models, without baselines, that ``CoxPH.fit`` gives for each of the tables. Their rows are scaled by their own table,
+    ranged once as one table, and all models take their Newton steps in the same passes."""
+    feats, cases = list(features), range(len(tables))
+    own = [t.select(F.lit(i).alias("_case"), F.col(time).cast("double").alias(time), F.col(event).cast("double").alias(event),
+                    *[F.col(c).cast("double").alias(c) for c in feats]) for i, t in enumerate(tables)]
+    ensure_checkpoint_dir(tables[0].sparkSession)
+    rows = reduce(DataFrame.unionAll, own).checkpoint()  # what prepared a table runs and is planned once, for the scales and the passes
+    known = " and ".join([f"`{time}` is not null", f"`{event}` is not null", *[f"`{c}` is not null" for c in feats]])
+    stats = {r["_case"]: r for r in rows.groupBy("_case").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.expr(known)).alias("known"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(feats)],
+        *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(feats)]).collect()}
+    scales = [_scales(stats[i], len(feats)) if i in stats else (np.zeros(len(feats)), np.ones(len(feats))) for i in cases]
+    of_case = lambda values: F.get(F.array(*[F.lit(float(v)) for v in values]), F.col("_case"))
+    scaled = rows.select("_case", time, event, *[((F.col(c) - of_case(m[i] for m, _ in scales)) / of_case(s[i] for _, s in scales)).alias(c)
+                                                 for i, c in enumerate(feats)])
+    data = ranged(cox_rows(scaled, feats, np.zeros(len(feats)), np.ones(len(feats)), time, event, [F.col("_case")]), "t",
+                  sum(r["n"] for r in stats.values()), descending=True, group="_case", pack=True)
+
+    def parts(band: Band):
+        for case in np.unique(band["_case"]):
+            yield int(case), rows_where(band, band["_case"] == case)
+
+    try:
+        fits = newton_together(lambda betas: cox_derivatives(data, betas, parts),
+                               {i: (np.zeros(len(feats)), alpha / scales[i][1] ** 2) for i in cases}, n_iter, tol)
+    finally:
+        data.unpersist()
+    out = []
+    for i in cases:
+        m = CoxPH(feats, alpha, n_iter, tol, time, event)
+        beta, m.loglik_, m.n_iter_, m.converged_ = fits[i]
+        if not m.converged_:
+            warnings.warn(f"Cox fit stopped after {n_iter} steps without converging", stacklevel=2)
+        if i in stats:  # a feature that is not a number anywhere leaves no row
+            m.n_excluded_ = stats[i]["n"] - (stats[i]["known"] if np.isfinite(scales[i]).all() else 0)
+        m.coef_ = beta / scales[i][1]
+        m.intercept_shift_ = float(np.dot(m.coef_, scales[i][0]))
+        out.append(m)
+    return out
+
+
 def cox_folds(folded: DataFrame, features: Sequence[str], alphas: Sequence[float], k: int, fold: str = "fold", time: str = "time",
               event: str = "event") -> dict[tuple[int, float], CoxPH]:
     """Cox models of every fold's complement at every penalty, ``(fold, alpha)`` to a model, fitted together."""

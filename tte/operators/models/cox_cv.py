@@ -8,12 +8,13 @@ scores come from one grouped concordance.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tte.operators.models.cox import CoxPH, cox_folds, cox_together
+from tte.operators.models.cox import CoxPH, cox_folds, cox_tables, cox_together
 from tte.operators.pairs import concordance
 from tte.operators.split import kfold
 from tte.session import ensure_checkpoint_dir
@@ -23,6 +24,36 @@ def linear_risk(model: CoxPH) -> Column:
     return sum((F.lit(float(b)) * F.col(c) for b, c in zip(model.coef_, model.features, strict=True)), F.lit(0.0))
 
 
+class CoxFit:
+    """Fits a Cox model to one table, or to many ``together`` in the same passes."""
+
+    def __init__(self, features: Sequence[str], time: str = "time", event: str = "event"):
+        self.features, self.time, self.event = list(features), time, event
+
+    def __call__(self, rows: DataFrame) -> CoxPH:
+        return CoxPH(self.features, time=self.time, event=self.event).fit(rows)
+
+    def together(self, tables: Sequence[DataFrame]) -> list[CoxPH]:
+        return cox_tables(tables, self.features, time=self.time, event=self.event)
+
+
+class CIndex:
+    """The C-index of a model on one table (0 without a comparable pair), or of many models on theirs ``together``, by one
+    grouped count."""
+
+    def __init__(self, time: str = "time", event: str = "event"):
+        self.time, self.event = time, event
+
+    def __call__(self, model: CoxPH, rows: DataFrame) -> float:
+        return concordance(model.risk(rows), "risk", self.time, self.event).first()["c_index"] or 0.0
+
+    def together(self, models: Sequence[CoxPH], tables: Sequence[DataFrame]) -> list[float]:
+        scored = [m.risk(t).select(F.lit(i).alias("_case"), self.time, self.event, "risk") for i, (m, t) in enumerate(zip(models, tables, strict=True))]
+        found = concordance(reduce(DataFrame.unionAll, scored), "risk", self.time, self.event, by=["_case"]).select("_case", "c_index").collect()
+        c = {r["_case"]: r["c_index"] for r in found}
+        return [c.get(i) or 0.0 for i in range(len(models))]
+
+
 def cox_oof(df: DataFrame, features: Sequence[str], alpha: float = 0.0, k: int = 5, id_col: str = "subject_id", seed: int = 42,
             stratify: str | None = "event", time: str = "time", event: str = "event") -> tuple[DataFrame, dict[int, CoxPH]]:
     """V5: every row with its ``fold`` and the ``risk`` that the model of the other folds gives it; and the models."""

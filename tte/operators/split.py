@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tte.operators.scan import BAND_ROWS, prefix_sum
-from tte.session import shuffle_partitions
+from tte.session import ensure_checkpoint_dir, shuffle_partitions
 
 
 def hashed_rank(df: DataFrame, id_col: str, seed: int, by: Sequence[str] = ()) -> DataFrame:
@@ -155,23 +155,36 @@ def leakage_probe(df: DataFrame, prepare, make_fit, score, features: list[str],
     it were fitted before splitting (learned from all rows, the held-out outcomes among them). A
     preparation that only summarises features gains nothing from that; one that uses the outcome (for
     example target means per group) does. Returns (honest mean score, leaky mean score, whether the
-    gain exceeds ``threshold``)."""
-    folded = kfold(df, id_col, k, seed, event).persist()
-    try:
-        def cv(leaky: bool):
-            total = 0.0
+    gain exceeds ``threshold``).
+
+    ``prepare`` may be a dict of preparations by name; they share the folds, and the result is a dict. A fit that can take
+    many tables ``together`` (``cox_cv.CoxFit``) fits all folds of all preparations so, and a score that has
+    ``together`` (``cox_cv.CIndex``) scores them so; others run one after the other."""
+    named = prepare if isinstance(prepare, dict) else {None: prepare}
+    ensure_checkpoint_dir(df.sparkSession)
+    folded = kfold(df, id_col, k, seed, event).checkpoint()  # every preparation's plan begins here
+    trains, tests = [], []
+    for prepared_by in named.values():
+        for leaky in (False, True):
             for f in range(k):
                 train, test = folded.where(F.col("fold") != f), folded.where(F.col("fold") == f)
                 seen = folded if leaky else train
-                prepared = prepare(seen, train).persist()  # a fit reads its rows several times
-                try:
-                    model = make_fit(list(features))(prepared)
-                finally:
-                    prepared.unpersist()
-                total += score(model, prepare(seen, test))
-            return float(total / k)
-
-        base, leaked = cv(False), cv(True)
+                trains.append(prepared_by(seen, train))
+                tests.append(prepared_by(seen, test))
+    fit = make_fit(list(features))
+    models = fit.together(trains) if hasattr(fit, "together") else [_fitted(fit, t) for t in trains]
+    scores = score.together(models, tests) if hasattr(score, "together") else [score(m, t) for m, t in zip(models, tests, strict=True)]
+    out = {}
+    for i, name in enumerate(named):
+        own = scores[2 * k * i: 2 * k * (i + 1)]
+        base, leaked = float(sum(own[:k]) / k), float(sum(own[k:]) / k)
+        out[name] = base, leaked, (leaked - base) > threshold
+    return out if isinstance(prepare, dict) else out[None]
+
+
+def _fitted(fit, rows: DataFrame):
+    rows = rows.persist()  # a fit reads its rows several times
+    try:
+        return fit(rows)
     finally:
-        folded.unpersist()
-    return base, leaked, (leaked - base) > threshold
+        rows.unpersist()

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark import StorageLevel, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tte.operators.scan import BAND_ROWS
 from tte.session import shuffle_partitions
@@ -35,18 +36,37 @@ class Offsets(NamedTuple):
     tail: np.ndarray
 
 
-def ranged(df: DataFrame, order: str, rows: int, descending: bool = False, group: str | None = None) -> DataFrame:
+def ranged(df: DataFrame, order: str, rows: int, descending: bool = False, group: str | None = None, pack: bool = False) -> DataFrame:
     """``df`` in bands of about ``BAND_ROWS`` of its ``rows`` rows, sorted by ``group`` (if any) and ``order`` (columns
-    without nulls), persisted. Equal keys are split by a hash of the row."""
+    without nulls), persisted; ``pack`` keeps them as ``packed`` does. Equal keys are split by a hash of the row."""
     key = [F.col(order).desc() if descending else F.col(order).asc()]
     if group:
         key.insert(0, F.col(group).asc())
     bands = max(shuffle_partitions(df.sparkSession), -(-rows // BAND_ROWS))
     out = df.withColumn("_tie", F.xxhash64(*df.columns))
     out = out.repartitionByRange(bands, *key, F.col("_tie")).sortWithinPartitions(*key, F.col("_tie")).drop("_tie")
+    if pack:
+        out = packed(out)
     return out.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def packed(bands: DataFrame) -> DataFrame:
+    """``bands`` of columns of numbers, or of equally long arrays of numbers, with each Arrow batch as one row: ``_rows``, its number of
+    rows, and the columns' doubles as bytes. Passes that read the bands again and again convert no rows; ``band_of_batches`` reads
+    both forms."""
+    fields = [(f.name, isinstance(f.dataType, T.ArrayType)) for f in bands.schema]
+    schema = T.StructType([T.StructField("_rows", T.IntegerType()), *(T.StructField(n + "[]" * many, T.BinaryType()) for n, many in fields)])
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                columns = [batch.column(name).flatten() if many else batch.column(name) for name, many in fields]
+                held = [np.ascontiguousarray(c.to_numpy(zero_copy_only=False), dtype=np.float64).tobytes() for c in columns]
+                yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int32()), *(pa.array([x], pa.binary()) for x in held)], names=schema.names)
+
+    return bands.mapInArrow(run, schema)
+
+
 def band_of_batches(batches) -> tuple[int, Band]:
     """All rows of a task as arrays; list columns become matrices."""
     held = [b for b in batches if b.num_rows]
@@ -54,6 +74,12 @@ def band_of_batches(batches) -> tuple[int, Band]:
     if not held:
         return number, {}
     table, out = pa.Table.from_batches(held).combine_chunks(), {}
+    if table.column_names[0] == "_rows":
+        n = sum(table.column(0).to_pylist())
+        for name in table.column_names[1:]:
+            x = np.concatenate([np.frombuffer(v.as_buffer(), np.float64) for chunk in table.column(name).chunks for v in chunk])
+            out[name.removesuffix("[]")] = x.reshape(n, -1) if name.endswith("[]") else x
+        return number, out
     for name in table.column_names:
         column = table.column(name).combine_chunks()
         if pa.types.is_list(column.type):

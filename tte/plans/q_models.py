@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tte.operators.metrics import assemble_oof, check_regression, leaderboard
 from tte.operators.models.aft import LocationScaleAFT, WeibullAFT
 from tte.operators.models.cox import CoxPH, cox_derivatives, cox_rows
-from tte.operators.models.cox_cv import cox_nested_cv, cox_oof, cox_search, random_alphas
+from tte.operators.models.cox_cv import CIndex, CoxFit, cox_nested_cv, cox_oof, cox_search, random_alphas
 from tte.operators.models.ensemble import (
     CLASSIFIERS, Bagging, combine, dynamic_scores, dynamic_selection, fit_per_group, horizon_classifiers, long_risks, stacked_scores, stacking,
     update_model,
@@ -335,10 +335,6 @@ def m14_regression(spark, sf_dir):
     return r.select("metric", r6("new").alias("new"), r6("base").alias("base"), r6("change").alias("change"), "regressed")
 
 
-def _c_of(m, d):
-    return concordance(m.risk(d)).collect()[0]["c_index"] or 0.0
-
-
 @register("V6_nested_cv")
 def v6_nested(spark, sf_dir):
     """2 x 2 nested CV over the ridge penalty of the Cox model, all fits together (tested against separate fits)."""
@@ -402,8 +398,9 @@ def v10_leak(spark, sf_dir):
     from tte.operators.split import leakage_probe
 
     def centred(train, rows):
-        m = train.agg(F.avg("x_price").alias("a"), F.avg("x_bal").alias("b")).first()
-        return rows.withColumn("x_price", F.col("x_price") - F.lit(m["a"])).withColumn("x_bal", F.col("x_bal") - F.lit(m["b"]))
+        m = train.agg(F.avg("x_price").alias("_a"), F.avg("x_bal").alias("_b"))  # one row
+        both = rows.crossJoin(F.broadcast(m))
+        return both.withColumn("x_price", F.col("x_price") - F.col("_a")).withColumn("x_bal", F.col("x_bal") - F.col("_b")).drop("_a", "_b")
 
     def target_mean(train, rows):
         means = train.groupBy(F.col("x_bal").alias("_b"), F.col("o_orderpriority").alias("_p")).agg(F.avg("time").alias("_m"))
@@ -412,8 +409,8 @@ def v10_leak(spark, sf_dir):
         known = rows.join(means, same, "left").crossJoin(F.broadcast(average))  # one row
         return known.withColumn("x_price", F.coalesce("_m", "_all")).drop("_b", "_p", "_m", "_all")
 
-    rows = [(name, *leakage_probe(cohort_orders(spark, sf_dir), prepare, lambda feats: (lambda d: CoxPH(feats).fit(d)), _c_of, ["x_price", "x_bal"], k=2))
-            for name, prepare in (("centred", centred), ("target_mean", target_mean))]
+    found = leakage_probe(cohort_orders(spark, sf_dir), {"centred": centred, "target_mean": target_mean}, CoxFit, CIndex(), ["x_price", "x_bal"], k=2)
+    rows = [(name, *result) for name, result in found.items()]
     return spark.createDataFrame(rows, "preparation string, honest double, early double, leak_detected boolean")
 
 
