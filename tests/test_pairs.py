@@ -138,3 +138,34 @@ def test_kernels_run_once_and_bands_are_compiled(spark):
     plan = lambda df: df._jdf.queryExecution().toString()
     assert "FlatMapGroupsInPandas" not in plan(dominance(pts, plan=plan_points(pts, 4)))  # the pass and the sums read the kernels' written rows
     assert "lambda" not in plan(banded(pts, "y", [10.0, 20.0, 30.0], "rb"))
+
+
+def test_few_times_are_bands_and_cells_follow_the_largest_group(spark, frame):
+    from pyspark.sql import functions as F
+
+    from tte.operators import pairs
+
+    rng = np.random.default_rng(8)
+    n = 3000
+    t, e, r, g = rng.integers(0, 6, n).astype(float), rng.integers(0, 2, n), rng.normal(size=n).round(2), rng.integers(0, 3, n)
+    r[:900] = 0.5  # a hot risk
+    df = frame(time=t, event=e, risk=r, g=g)
+    for row in concordance(df, by=["g"]).collect():
+        m = g == row.g
+        assert (row.concordant, row.discordant, row.tied_risk, row.tied_time) == brute(t[m], e[m], r[m])
+    pts = df.select("g", F.col("time").alias("xv"), (1 - F.col("event")).alias("tie"), F.col("risk").alias("y"), F.lit(1.0).alias("w"))
+    times = pts.groupBy("g", "xv").agg(F.count(F.lit(1)).alias("_tte_n"))
+    rows, cuts_t, cuts_r = pairs.plan_points(pts, rows=True, by=["g"], times=times)
+    assert rows == n and cuts_t == [float(x) for x in range(6)]  # no time is shared by a band: there is no kernel over a time band
+    assert len(cuts_r) <= 2  # 8 partitions and 3 groups: 3 bands of each group, not 8
+
+
+def test_counts_in_levels_of_the_key_equal_all_pairs():
+    rng = np.random.default_rng(9)
+    for n, keys, ys, shape in ((1, 1, 1, ()), (200, 3, 50, ()), (150, 90_000, 4, (2,)), (120, 40, 30, (1,))):
+        ik, iy, iw = 2 * rng.integers(0, keys, n), rng.integers(0, ys, n).astype(float), rng.integers(0, 4, (n, *shape)).astype(float)
+        qk, qy, qw = 2 * rng.integers(0, keys, n) + 1, rng.integers(0, ys, n).astype(float), rng.integers(0, 4, (n, *shape)).astype(float)
+        later = ik[None] > qk[:, None]
+        for got, test in zip(dominance_counts(ik, iy, iw, qk, qy, qw), (np.less, np.equal, np.greater), strict=True):
+            want = np.einsum("qi,q...,i...->...", (later & test(iy[None], qy[:, None])).astype(float), qw, iw)
+            assert np.shape(got) == shape and np.array_equal(got, want)

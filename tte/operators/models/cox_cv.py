@@ -66,22 +66,26 @@ def cox_oof(df: DataFrame, features: Sequence[str], alpha: float = 0.0, k: int =
     return folded.withColumn("risk", risk), models
 
 
-def _scored(rows: DataFrame, cases: Sequence[tuple[Column, Column, list]], names: list[str], time: str, event: str) -> DataFrame:
-    """C-index per case over the rows of its condition, scored by its risk; all cases in one grouped count."""
-    each = F.array(*[F.when(cond, F.struct(risk.alias("risk"), *[F.lit(v).alias(n) for n, v in zip(names, values, strict=True)]))
-                     for cond, risk, values in cases])
-    long = rows.select(time, event, F.explode(F.filter(each, lambda x: x.isNotNull())).alias("x")).select(time, event, "x.*")
-    return concordance(long, "risk", time, event, by=names).select(*names, "c_index")
+def _scored(rows: DataFrame, cases: Sequence[tuple[Column, Column]], time: str, event: str) -> dict[int, float]:
+    """C-index per case (its place in ``cases``; None without a comparable pair) over the rows of its condition, scored by its risk;
+    all cases in one grouped count."""
+    each = F.array(*[F.when(cond, F.struct(F.lit(i).alias("_case"), risk.alias("_risk"))) for i, (cond, risk) in enumerate(cases)])
+    long = rows.select(time, event, F.explode(each).alias("_x")).where("_x is not null").select(time, event, "_x._case", "_x._risk")
+    return {r["_case"]: r["c_index"] for r in concordance(long, "_risk", time, event, by=["_case"]).select("_case", "c_index").collect()}
 
 
 def cox_search(df: DataFrame, features: Sequence[str], alphas: Sequence[float], k: int = 3, id_col: str = "subject_id", seed: int = 42,
                time: str = "time", event: str = "event") -> DataFrame:
     """V7: ``alpha, mean_c``, the mean held-out C-index over the folds, for every penalty tried."""
-    ensure_checkpoint_dir(df.sparkSession)
-    folded = kfold(df, id_col, k, seed, event).checkpoint()
-    models = cox_folds(folded, features, alphas, k, time=time, event=event)
-    cases = [(F.col("fold") == f, linear_risk(m), [f, float(a)]) for (f, a), m in models.items()]
-    return _scored(folded, cases, ["fold", "alpha"], time, event).groupBy("alpha").agg(F.avg("c_index").alias("mean_c"))
+    folded = kfold(df, id_col, k, seed, event, keep=list(dict.fromkeys([time, event, *features]))).persist()
+    try:
+        models = cox_folds(folded, features, alphas, k, time=time, event=event)
+        # k x alphas numbers
+        c = _scored(folded, [(F.col("fold") == f, linear_risk(m)) for (f, _), m in models.items()], time, event)
+    finally:
+        folded.unpersist()
+    scores = [(float(a), c[i]) for i, (_, a) in enumerate(models) if i in c]
+    return df.sparkSession.createDataFrame(scores, "alpha double, c_index double").groupBy("alpha").agg(F.avg("c_index").alias("mean_c"))
 
 
 def random_alphas(lo: float, hi: float, trials: int, seed: int = 42) -> list[float]:
@@ -95,7 +99,8 @@ def cox_nested_cv(df: DataFrame, features: Sequence[str], alphas: Sequence[float
     first of ``alphas``), that mean, and the C-index on the outer fold of the model refitted with it: ``outer_fold, alpha,
     inner_c, outer_c``. Inner folds are drawn once over all rows, so an outer fold's training rows are split by the
     same draw; inner and outer models of all penalties are fitted together."""
-    rows = kfold(kfold(df, id_col, outer, seed, event).withColumnRenamed("fold", "outer"), id_col, inner, seed + 1, event).withColumnRenamed("fold", "inner")
+    rows = kfold(kfold(df, id_col, outer, seed, event).withColumnRenamed("fold", "outer"), id_col, inner, seed + 1, event,
+                 keep=list(dict.fromkeys([time, event, *features, "outer"]))).withColumnRenamed("fold", "inner")
     rows = rows.persist()
     try:
         # subset f * (inner + 1) + g leaves out outer fold f and inner fold g (g = inner: none)
@@ -106,12 +111,12 @@ def cox_nested_cv(df: DataFrame, features: Sequence[str], alphas: Sequence[float
         for number, (which, a) in problems.items():
             f, g = divmod(which, inner + 1)
             held = (F.col("outer") == f) if g == inner else (F.col("outer") != f) & (F.col("inner") == g)
-            cases.append((held, linear_risk(models[number]), [f, g, float(a)]))
+            cases.append((held, linear_risk(models[number])))
         # outer x inner x alphas numbers
-        scores = _scored(rows, cases, ["outer", "inner", "alpha"], time, event).collect()
+        scores = _scored(rows, cases, time, event)
     finally:
         rows.unpersist()
-    c = {(r["outer"], r["inner"], r["alpha"]): r["c_index"] or 0.0 for r in scores}
+    c = {(*divmod(which, inner + 1), float(a)): scores.get(number) or 0.0 for number, (which, a) in problems.items()}
     out = []
     for f in range(outer):
         means = [float(np.mean([c.get((f, g, float(a)), 0.0) for g in range(inner)])) for a in alphas]

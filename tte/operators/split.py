@@ -12,24 +12,27 @@ from tte.operators.scan import BAND_ROWS, prefix_sum
 from tte.session import ensure_checkpoint_dir, shuffle_partitions
 
 
-def hashed_rank(df: DataFrame, id_col: str, seed: int, by: Sequence[str] = ()) -> DataFrame:
+def hashed_rank(df: DataFrame, id_col: str, seed: int, by: Sequence[str] = (), keep: Sequence[str] | None = None) -> DataFrame:
     """Adds ``_rank``, 1 to n without gaps or repeats, in the order of ``xxhash64(id, seed)`` within
     ``by``; equal hashes are ordered by the id, and rows that repeat an id by a hash of the whole row.
 
     The hash stays a 64-bit number: its high bits cut the rows into buckets of about ``BAND_ROWS``, a
-    window numbers each bucket, and bucket offsets come from the bucket counts."""
+    window numbers each bucket, and bucket offsets come from the bucket counts. Of the columns only those of ``keep`` (default:
+    all) are sorted and returned; the ranks are the same."""
     by = list(by)
     n = df.count()
     bits = max(1, max(shuffle_partitions(df.sparkSession), -(-n // BAND_ROWS)).bit_length())
     h = df.withColumn("_h", F.xxhash64(F.col(id_col), F.lit(seed))).withColumn("_hb", F.shiftright("_h", 64 - bits))
-    order = Window.partitionBy(*by, "_hb").orderBy("_h", id_col, F.xxhash64(*df.columns))
+    columns = list(df.columns if keep is None else keep)
+    h = h.select(*dict.fromkeys([*columns, id_col, *by]), "_h", "_hb", F.xxhash64(*df.columns).alias("_whole"))
+    order = Window.partitionBy(*by, "_hb").orderBy("_h", id_col, "_whole")
     counts = h.groupBy(*by, "_hb").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*by).orderBy("_hb").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*[F.col(c).alias(f"_by_{i}") for i, c in enumerate(by)], F.col("_hb").alias("_ob"),
                             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     same = [F.col(c).eqNullSafe(F.col(f"_by_{i}")) for i, c in enumerate(by)] + [F.col("_hb") == F.col("_ob")]
     numbered = h.withColumn("_row", F.row_number().over(order))
-    return numbered.join(offsets, same).select(*df.columns, (F.col("_row") + F.col("_before")).cast("long").alias("_rank"))
+    return numbered.join(offsets, same).select(*columns, (F.col("_row") + F.col("_before")).cast("long").alias("_rank"))
 
 
 def stratified_split(df: DataFrame, id_col: str, event: str = "event", test_size: float = 0.2,
@@ -47,10 +50,10 @@ def stratified_split(df: DataFrame, id_col: str, event: str = "event", test_size
     return r.withColumn("split", F.when(is_test, "test").otherwise("train")).drop("_rank")
 
 
-def kfold(df: DataFrame, id_col: str, k: int = 5, seed: int = 42, stratify: str | None = None) -> DataFrame:
+def kfold(df: DataFrame, id_col: str, k: int = 5, seed: int = 42, stratify: str | None = None, keep: Sequence[str] | None = None) -> DataFrame:
     """V2: ``fold`` in 0..k-1 from the hashed rank (optionally within the strata of ``stratify``),
-    so fold sizes differ by at most one per stratum."""
-    r = hashed_rank(df, id_col, seed, by=[stratify] if stratify else [])
+    so fold sizes differ by at most one per stratum. ``keep``: the columns to return beside it (default: all)."""
+    r = hashed_rank(df, id_col, seed, by=[stratify] if stratify else [], keep=keep)
     return r.withColumn("fold", F.pmod(F.col("_rank") - 1, F.lit(k)).cast("int")).drop("_rank")
 
 
